@@ -317,3 +317,186 @@ register("impute_median", f"""SELECT "column", CAST(median AS DOUBLE) AS median
         WHERE r.split = 'train') t)
   ON {', '.join(config.FEATURES)} INTO NAME "column" VALUE median) u""")(
     lambda s, d: sp.feature_medians(ev_train(s, d), config.FEATURES, accuracy=P.PERCENTILE_ACCURACY))
+
+# ---- reporting ----------------------------------------------------------------------------------
+
+from voltaic.operators import report as rp  # noqa: E402
+from voltaic.operators.windows import temperature_columns  # noqa: E402
+from voltaic.session import scratch_path  # noqa: E402
+from voltaic.sources import files as fs  # noqa: E402
+from voltaic.sources import raw as rw  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    return scratch_path(spark, f"voltaic-queries/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ev_wide(spark, d):
+    return window_wide(ev_readings(spark, d), P.EV_WINDOW)
+
+
+_PRESENT = ["hv_temp_min", "hv_temp_max", "battery_temp_avg", "hv_soc", "hv_battery_voltage", "no_such_column"]
+_PRESENT_OK = [c for c in _PRESENT if c != "no_such_column"]
+register("present_columns", f"""SELECT "column", non_null FROM (UNPIVOT (
+  SELECT {', '.join(f'count({c}) AS {c}' for c in _PRESENT_OK)} FROM (
+    SELECT *, (hv_temp_min + hv_temp_max) / 2 AS battery_temp_avg
+    FROM ({O.pivot(O.EV_READINGS, config.SIGNALS_WIDE, P.EV_WINDOW, True)}) p) x)
+  ON {', '.join(_PRESENT_OK)} INTO NAME "column" VALUE non_null) u WHERE non_null > 0""")(
+    lambda s, d: rp.present_columns(
+        temperature_columns(window_pivot(ev_readings(s, d), config.SIGNALS_WIDE, P.EV_WINDOW)), _PRESENT))
+
+_ML_KEEP = [c for c in O.ML_COLS.split(", ") if c not in config.STREAM_FILL_COLUMNS]
+register("fill_missing", f"""SELECT {', '.join(_ML_KEEP)},
+  {', '.join(f'CASE WHEN {c} IS NULL OR isnan({c}) THEN 0.0 ELSE {c} END AS {c}' for c in config.STREAM_FILL_COLUMNS)}
+FROM ({O.ml_dataset()}) m""")(lambda s, d: rp.fill_missing(ev_ml(s, d)))
+
+register("vehicle_slice", f"""SELECT * FROM ({O.ev_wide()}) w WHERE vehicle_id = '{P.SLICE_VEHICLE}'
+  AND CAST(time AS DATE) >= DATE '{P.SLICE_START}' AND CAST(time AS DATE) <= DATE '{P.SLICE_END}'""")(
+    lambda s, d: rp.vehicle_slice(ev_wide(s, d), P.SLICE_VEHICLE, P.SLICE_START, P.SLICE_END))
+
+register("vehicle_dates", f"""SELECT vehicle_id, CAST(min(time) AS DATE) AS first_date,
+  CAST(max(time) AS DATE) AS last_date FROM ({O.ev_wide()}) w GROUP BY 1""")(
+    lambda s, d: rp.vehicle_dates(ev_wide(s, d)))
+
+register("coerce_numeric", """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+  TRY_CAST(event_type AS DOUBLE) AS event_type FROM events""")(
+    lambda s, d: rp.coerce_numeric(s.read.parquet(f"{d}/events.parquet").select(
+        "event_id", F.get_json_object("props", "$.k").alias("k"), "event_type"), ["k", "event_type"]))
+
+register("latest_reading", f"""SELECT vehicle_id, max_by(time, time) AS time,
+  max_by(hv_battery_voltage, time) AS hv_battery_voltage, max_by(hv_soc, time) AS hv_soc
+FROM ({O.ev_wide()}) w GROUP BY 1""")(lambda s, d: rp.latest_reading(ev_wide(s, d)))
+
+register("vehicle_kpis", f"""SELECT vehicle_id, round(avg(vehicle_speed), 9) AS avg_speed,
+  round(avg(ambient_air_temp), 9) AS avg_ambient_temp, count(*) AS windows
+FROM ({O.ev_wide()}) w GROUP BY 1""")(lambda s, d: rounded(rp.vehicle_kpis(ev_wide(s, d))))
+
+register("vehicle_risk", f"""SELECT vehicle_id, count_if(maintenance_risk = 1) AS risk_count,
+  count(maintenance_risk) AS labelled,
+  round(CASE WHEN count(maintenance_risk) > 0 THEN 100.0 * count_if(maintenance_risk = 1) / count(maintenance_risk) END, 9)
+    AS risk_percentage
+FROM ({O.ml_dataset()}) m GROUP BY 1""")(lambda s, d: rounded(rp.vehicle_risk(ev_ml(s, d))))
+
+register("label_names", f"""SELECT CASE maintenance_risk WHEN 0 THEN '{rp.LABEL_NAMES[0]}'
+  WHEN 1 THEN '{rp.LABEL_NAMES[1]}' END AS label, count(*) AS windows
+FROM ({O.ml_dataset()}) m WHERE maintenance_risk IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1""")(
+    lambda s, d: rp.label_names(ev_ml(s, d)))
+
+register("unpivot_signals", f"""SELECT vehicle_id, time, signal, value FROM (
+  SELECT vehicle_id, time, hv_temp_min, hv_temp_max, battery_temp_avg FROM ({O.wide(O.LI_READINGS, P.LI_WINDOW)}) w)
+  UNPIVOT INCLUDE NULLS (value FOR signal IN (hv_temp_min, hv_temp_max, battery_temp_avg))""")(
+    lambda s, d: rp.unpivot_long(li_wide(s, d), ["vehicle_id", "time"], rp.TEMPERATURE_COLUMNS))
+
+register("unpivot_metrics", f"""SELECT threshold, metric, score FROM (UNPIVOT (
+  SELECT threshold, precision, recall, f1 FROM ({_sweep_sql(config.THRESHOLD_GRID_REPORT)}) x)
+  ON precision, recall, f1 INTO NAME metric VALUE score) u""")(
+    lambda s, d: rp.unpivot_long(ev.threshold_sweep(event_scores(s, d), config.THRESHOLD_GRID_REPORT),
+                                 ["threshold"], ["precision", "recall", "f1"], "metric", "score"))
+
+register("recent_rows", f"""SELECT {', '.join(rp.RECENT_COLUMNS)} FROM ({O.ev_wide()}) w
+ORDER BY time DESC, vehicle_id LIMIT 100""")(lambda s, d: rp.recent_rows(ev_wide(s, d)))
+
+register("preview", f"SELECT * FROM ({O.ml_dataset()}) m ORDER BY vehicle_id, time LIMIT 20")(
+    lambda s, d: rp.preview(ev_ml(s, d), ["vehicle_id", "time"]))
+
+register("change_scatter", f"""SELECT vehicle_id, time, soc_change, voltage_change, maintenance_risk
+FROM ({O.ml_dataset()}) m""")(lambda s, d: rp.change_scatter(ev_ml(s, d)))
+
+register("change_bins", f"""SELECT maintenance_risk, floor(soc_change / 1.0) * 1.0 AS soc_bin,
+  floor(voltage_change / 5.0) * 5.0 AS voltage_bin, count(*) AS count
+FROM ({O.ml_dataset()}) m GROUP BY ALL""")(lambda s, d: rp.change_bins(ev_ml(s, d)))
+
+
+def _export_csv(spark, d):
+    sliced = rp.vehicle_slice(ev_wide(spark, d), P.SLICE_VEHICLE, P.SLICE_START, P.SLICE_END)
+    path = fs.export_csv(sliced, _scratch(spark, "export_csv"))
+    return fs.read_csv(spark, path, sliced.schema)
+
+
+register("export_csv", ORACLE["vehicle_slice"])(_export_csv)
+
+
+def _load_folder(spark, d):
+    path = fs.write_dataset(ev_wide(spark, d), _scratch(spark, "load_folder"))
+    return fs.load_folder(spark, path)
+
+
+register("load_folder", O.ev_wide())(_load_folder)
+
+
+def _dataset_roundtrip(spark, d):
+    path = fs.write_dataset(ev_ml(spark, d), _scratch(spark, "dataset_roundtrip"), partition_by=["vehicle_id"])
+    return fs.read_dataset(spark, path)
+
+
+register("dataset_roundtrip", O.ml_dataset())(_dataset_roundtrip)
+
+
+def _threshold_lookup(spark, d):
+    sweep = ev.threshold_sweep(event_scores(spark, d), config.THRESHOLD_GRID_REPORT)
+    path = fs.export_csv(sweep.select(*fs.THRESHOLD_METRICS_SCHEMA.fieldNames()), _scratch(spark, "metrics_csv"))
+    return fs.threshold_lookup(fs.read_csv(spark, path, fs.THRESHOLD_METRICS_SCHEMA), P.EVAL_THRESHOLD)
+
+
+register("threshold_lookup", f"""SELECT threshold, precision, recall, f1, true_positives, false_positives,
+  false_negatives FROM ({_sweep_sql(config.THRESHOLD_GRID_REPORT)}) x WHERE round(threshold, 6) = 0.7""")(
+    _threshold_lookup)
+
+# ---- repair and normalization -------------------------------------------------------------------
+
+register("repair_time", O.repaired())(lambda s, d: rw.repair_readings(rw.lineitem_raw_sources(s, d)))
+
+register("normalize_sources", O.repaired(("SRC_R",)))(
+    lambda s, d: rw.normalize_sources(rw.lineitem_raw_sources(s, d), ["SRC_R"]))
+
+register("row_accounting", f"""SELECT source, count(*) AS rows, count_if(corrected) AS corrected_rows
+FROM ({O.repaired(('SRC_R',))}) n GROUP BY ROLLUP (source)""")(
+    lambda s, d: pr.row_accounting(rw.normalize_sources(rw.lineitem_raw_sources(s, d), ["SRC_R"])))
+
+
+def _scan_nanos(spark, d):
+    path = fs.write_dataset(rw.lineitem_raw_sources(spark, d), _scratch(spark, "raw_nanos"))
+    return rw.scan_nanos(spark, path, time_col="time_ns")
+
+
+register("scan_nanos", O.LI_RAW)(_scan_nanos)
+
+# ---- model (rows-only: forest output has no SQL equivalent) ------------------------------------
+
+from voltaic.operators import model as md  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def ev_model(spark, d):
+    key = (id(spark.sparkContext), d)
+    if key not in _MODELS:
+        data = sp.split_by_rank(ev_complete(spark, d))
+        _MODELS[key] = md.train_rf(data.filter(F.col("split") == "train"))
+    return _MODELS[key]
+
+
+def ev_split(spark, d, name):
+    return sp.split_by_rank(ev_complete(spark, d)).filter(F.col("split") == name)
+
+
+register("train_rf")(lambda s, d: md.model_summary(s, ev_model(s, d)))
+register("feature_importance")(lambda s, d: md.feature_importance(s, ev_model(s, d)))
+register("score_rows")(lambda s, d: md.score_rows(ev_model(s, d), ev_split(s, d, "test")))
+
+
+def _model_roundtrip(spark, d):
+    path = md.save_model(ev_model(spark, d), _scratch(spark, "model"))
+    return md.score_rows(md.load_model(path), ev_split(spark, d, "test"))
+
+
+register("model_roundtrip")(_model_roundtrip)
+
+
+def _validation_sweep(spark, d):
+    scored = md.score_rows(ev_model(spark, d), ev_split(spark, d, "validation"))
+    return ev.threshold_sweep(scored, config.THRESHOLD_GRID_LOW)
+
+
+register("validation_sweep")(_validation_sweep)

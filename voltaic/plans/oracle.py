@@ -91,3 +91,28 @@ def split_rank() -> str:
   CASE WHEN rn <= CAST(floor(n * 0.6) AS BIGINT) THEN 'train'
        WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'validation' ELSE 'test' END AS split
 FROM ({ranked()}) r"""
+
+
+def ev_wide() -> str:
+    return wide(EV_READINGS, P.EV_WINDOW)
+
+
+LI_RAW = f"""SELECT 'SRC_' || l_returnflag AS source, 'S' || CAST(l_suppkey AS VARCHAR) AS vehicle_id,
+  epoch_us(CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS TIMESTAMP) + INTERVAL 64 YEAR
+                ELSE CAST(l_shipdate AS TIMESTAMP) END) * 1000 AS time_ns,
+  CAST(CASE l_linenumber WHEN 1 THEN 4 WHEN 2 THEN 15 WHEN 3 THEN 56 WHEN 4 THEN 900
+       WHEN 5 THEN 1200 WHEN 6 THEN 1208 WHEN 7 THEN 1209 END AS INTEGER) AS value_id,
+  CAST(l_quantity AS DOUBLE) AS value
+FROM lineitem"""
+
+
+def repaired(listed: tuple | None = None) -> str:
+    cond = "time_ns > 1704067200000000000"
+    if listed is not None:
+        names = ", ".join(f"'{s}'" for s in listed)
+        cond = f"source IN ({names}) AND {cond}"
+    return f"""SELECT source, vehicle_id, value_id, value,
+  CASE WHEN {cond} THEN make_timestamp(time_ns // 1000) - INTERVAL 64 YEAR
+       ELSE make_timestamp(time_ns // 1000) END AS time,
+  coalesce({cond}, false) AS corrected
+FROM ({LI_RAW}) r"""
