@@ -500,3 +500,119 @@ def _validation_sweep(spark, d):
 
 
 register("validation_sweep")(_validation_sweep)
+
+# ---- streaming --------------------------------------------------------------------------------
+
+from voltaic.streaming import features as sf  # noqa: E402
+from voltaic.streaming import messages as ms  # noqa: E402
+
+_PARSED = "vehicle_id, time AS event_time, value_id, value"
+
+
+def _messages_dir(spark, d, name, readings=None, mode="overwrite", path=None):
+    path = path or _scratch(spark, name)
+    ms.write_text(ms.publish_messages(readings if readings is not None else ev_readings(spark, d)), path, mode)
+    return path
+
+
+register("publish_messages", f"""SELECT vehicle_id AS key, vehicle_id, time, value_id, value FROM ({O.EV_READINGS}) r""")(
+    lambda s, d: ms.publish_messages(ev_readings(s, d)).select(
+        "key", F.from_json("value", ms.MESSAGE_SCHEMA).alias("m")).select(
+        "key", "m.vehicle_id", F.col("m.time").try_cast("timestamp_ntz").alias("time"), "m.value_id", "m.value"))
+
+
+def _stream_parse(spark, d):
+    src = _messages_dir(spark, d, "stream_parse_in")
+    out, ck = _scratch(spark, "stream_parse_out"), _scratch(spark, "stream_parse_ck")
+    parsed = ms.parse_messages(ms.text_source(spark, src))
+    sf.run_to_parquet(sf.to_ntz_times(parsed, ("event_time",)), out, ck)
+    return spark.read.parquet(out)
+
+
+register("stream_parse", f"SELECT {_PARSED} FROM ({O.EV_READINGS}) r")(_stream_parse)
+
+
+def _topic_inspect(spark, d):
+    src = _messages_dir(spark, d, "topic_inspect_in")
+    return sf.to_ntz_times(ms.parse_messages(ms.text_source(spark, src, stream=False)), ("event_time",))
+
+
+register("topic_inspect", f"SELECT {_PARSED} FROM ({O.EV_READINGS}) r")(_topic_inspect)
+
+
+def _run_windows(spark, src, tag):
+    out, ck = _scratch(spark, f"{tag}_out"), _scratch(spark, f"{tag}_ck")
+    win = sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW)
+    q = sf.run_to_parquet(sf.to_ntz_times(win), out, ck)
+    return out, ck, q
+
+
+def _stream_windows(spark, d):
+    out, _, _ = _run_windows(spark, _messages_dir(spark, d, "stream_windows_in"), "stream_windows")
+    return spark.read.parquet(out)
+
+
+register("stream_windows", O.stream_windows())(_stream_windows)
+
+
+def _stream_late(spark, d):
+    """T4: a second batch of readings shifted 10 days back arrives after the
+    watermark passed them; the state store drops every one of them."""
+    src = _messages_dir(spark, d, "stream_late_in")
+    out = _scratch(spark, "stream_late_out")
+    ck = _scratch(spark, "stream_late_ck")
+
+    def run():
+        win = sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW)
+        return sf.run_to_parquet(sf.to_ntz_times(win), out, ck)
+
+    run()
+    before = spark.read.parquet(out).count()
+    late = ev_readings(spark, d).withColumn("time", F.timestamp_add("DAY", F.lit(-10), F.col("time")))
+    _messages_dir(spark, d, "", late, mode="append", path=src)
+    q = run()
+    dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
+                  if p.get("stateOperators"))
+    after = spark.read.parquet(out).count()
+    return spark.createDataFrame([(before, after, int(dropped))],
+                                 "windows_before long, windows_after long, late_rows_dropped long")
+
+
+register("stream_late")(_stream_late)
+
+
+def _stream_features(spark, d, halves: bool = False):
+    src = _scratch(spark, "stream_features_in")
+    out, ck = _scratch(spark, "stream_features_out"), _scratch(spark, "stream_features_ck")
+    readings = ev_readings(spark, d)
+
+    def run():
+        feats = sf.stream_features(sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW), band=P.EV_BAND)
+        sf.run_to_parquet(sf.to_ntz_times(feats), out, ck)
+
+    if halves:  # restart from the checkpoint half way: state must carry over
+        mid = readings.agg(F.percentile_approx("time", 0.5, 10000).alias("m")).first()["m"]
+        _messages_dir(spark, d, "", readings.filter(F.col("time") <= F.lit(mid)), path=src)
+        run()
+        _messages_dir(spark, d, "", readings.filter(F.col("time") > F.lit(mid)), mode="append", path=src)
+    else:
+        _messages_dir(spark, d, "", readings, path=src)
+    run()
+    return spark.read.parquet(out)
+
+
+register("stream_features", O.stream_features())(_stream_features)
+register("stream_restart", O.stream_features())(lambda s, d: _stream_features(s, d, halves=True))
+
+
+def _stream_scores(spark, d):
+    model = ev_model(spark, d)
+    src = _messages_dir(spark, d, "stream_scores_in")
+    out, ck = _scratch(spark, "stream_scores_out"), _scratch(spark, "stream_scores_ck")
+    feats = sf.stream_features(sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW),
+                               band=P.EV_BAND, first_row="current")
+    sf.run_to_parquet(sf.to_ntz_times(sf.score_stream(feats, model)), out, ck)
+    return spark.read.parquet(out)
+
+
+register("stream_scores")(_stream_scores)

@@ -116,3 +116,25 @@ def repaired(listed: tuple | None = None) -> str:
        ELSE make_timestamp(time_ns // 1000) END AS time,
   coalesce({cond}, false) AS corrected
 FROM ({LI_RAW}) r"""
+
+
+def ev_valid_messages() -> str:
+    return f"SELECT * FROM ({EV_READINGS}) r WHERE value_id IN (4, 15, 56, 900, 1200) AND time IS NOT NULL AND value IS NOT NULL"
+
+
+def stream_windows() -> str:
+    cols = ", ".join(config.SIGNALS_ML.values())
+    return f"""SELECT vehicle_id, time, {cols}
+FROM ({pivot(EV_READINGS, config.SIGNALS_ML, P.EV_WINDOW, True)}) w
+WHERE window_end <= (SELECT max(time) FROM ({ev_valid_messages()}) m) - INTERVAL 30 SECOND"""
+
+
+def stream_features(band=P.EV_BAND) -> str:
+    lo, hi = band
+    return f"""WITH v AS (SELECT * FROM ({stream_windows()}) w
+  WHERE hv_soc IS NOT NULL AND hv_battery_voltage IS NOT NULL AND hv_soc > 0
+    AND hv_battery_voltage >= {lo} AND hv_battery_voltage <= {hi} AND NOT isnan(hv_battery_voltage)),
+l AS (SELECT *, hv_battery_voltage / hv_soc AS voltage_per_soc,
+  lag(hv_battery_voltage) OVER w AS previous_voltage, lag(hv_soc) OVER w AS previous_soc
+  FROM v WINDOW w AS (PARTITION BY vehicle_id ORDER BY time))
+SELECT *, hv_battery_voltage - previous_voltage AS voltage_change, hv_soc - previous_soc AS soc_change FROM l"""
