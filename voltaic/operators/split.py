@@ -54,6 +54,8 @@ def rank_cutoffs(
     if accuracy is None:
         accuracy = int(min(10_000_000, max(10_000, n // 2_000)))
     ks = [int(n * f) for f in fractions]
+    if all(k <= 0 for k in ks):
+        return n, [None] * len(ks)
     margin = (2 * math.ceil(n / accuracy) + 2) / max(n, 1)
     qs = []
     for f in fractions:
@@ -84,14 +86,31 @@ def rank_cutoffs(
     return n, cutoffs
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage once before several passes: a reliable ``checkpoint``
+    written to the shared folder named by ``spark.checkpoint.dir`` (survives
+    executor loss; never a machine-local checkpoint)."""
+    from voltaic.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def split_by_rank(
     df: DataFrame,
     fractions: Sequence[float] = config.SPLIT_FRACTIONS,
     order: Sequence[str] = ("time", "vehicle_id"),
     names: Sequence[str] = SPLIT_NAMES,
     accuracy: int | None = None,
+    checkpoint: bool = True,
 ) -> DataFrame:
-    """M1: add ``split`` = train / validation / test by exact rank cutoffs."""
+    """M1: add ``split`` = train / validation / test by exact rank cutoffs.
+
+    The cutoffs need three small passes over the input; with ``checkpoint``
+    the input is computed once and written to the checkpoint folder first.
+    """
+    if checkpoint:
+        df = materialize(df)
     _, cutoffs = rank_cutoffs(df, fractions, order, accuracy)
     expr = None
     for name, cut in zip(names, cutoffs):

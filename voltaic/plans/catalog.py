@@ -28,7 +28,8 @@ ORACLE: dict[str, str] = {}
 
 
 def _bigint_counts(sql: str) -> str:
-    """DuckDB's ``count_if`` is HUGEINT; wrap each call so it is BIGINT like Spark's."""
+    """DuckDB's ``count_if`` is HUGEINT and NULL on no rows; Spark's is BIGINT and 0.
+    Rewrite each call as ``count(*) FILTER (WHERE ...)``, which behaves like Spark's."""
     out, i = [], 0
     while True:
         j = sql.find("count_if(", i)
@@ -41,7 +42,7 @@ def _bigint_counts(sql: str) -> str:
             k += 1
             if depth == 0:
                 break
-        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        out.append(sql[i:j] + "count(*) FILTER (WHERE " + sql[j + len("count_if("):k - 1] + ")")
         i = k
 
 
@@ -311,11 +312,11 @@ register("class_weights", f"""SELECT CASE WHEN neg = 0 THEN 1 ELSE neg END AS ne
 FROM (SELECT count_if(maintenance_risk = 0) AS neg, count_if(maintenance_risk = 1) AS pos
       FROM ({O.split_rank()}) r WHERE split = 'train') c""")(lambda s, d: sp.class_counts(ev_train(s, d)))
 
-register("impute_median", f"""SELECT "column", CAST(median AS DOUBLE) AS median FROM (UNPIVOT (
+register("impute_median", f"""SELECT "column", CAST(median AS DOUBLE) AS median FROM (
   SELECT {', '.join(f'quantile_disc({c}, 0.5) AS {c}' for c in config.FEATURES)}
   FROM (SELECT c.* FROM ({O.complete_rows()}) c JOIN ({O.split_rank()}) r USING (vehicle_id, time)
         WHERE r.split = 'train') t)
-  ON {', '.join(config.FEATURES)} INTO NAME "column" VALUE median) u""")(
+  UNPIVOT INCLUDE NULLS (median FOR "column" IN ({', '.join(config.FEATURES)}))""")(
     lambda s, d: sp.feature_medians(ev_train(s, d), config.FEATURES, accuracy=P.PERCENTILE_ACCURACY))
 
 # ---- reporting ----------------------------------------------------------------------------------
@@ -557,7 +558,8 @@ register("stream_windows", O.stream_windows())(_stream_windows)
 
 def _stream_late(spark, d):
     """T4: a second batch of readings shifted 10 days back arrives after the
-    watermark passed them; the state store drops every one of them."""
+    watermark passed them; the state store drops every one of them. Spark counts
+    the dropped rows after the partial aggregate (one per task, key and window)."""
     src = _messages_dir(spark, d, "stream_late_in")
     out = _scratch(spark, "stream_late_out")
     ck = _scratch(spark, "stream_late_ck")
@@ -571,11 +573,11 @@ def _stream_late(spark, d):
     late = ev_readings(spark, d).withColumn("time", F.timestamp_add("DAY", F.lit(-10), F.col("time")))
     _messages_dir(spark, d, "", late, mode="append", path=src)
     q = run()
-    dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
-                  if p.get("stateOperators"))
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
+                  for op in p.get("stateOperators") or [])
     after = spark.read.parquet(out).count()
     return spark.createDataFrame([(before, after, int(dropped))],
-                                 "windows_before long, windows_after long, late_rows_dropped long")
+                                 "windows_before long, windows_after long, late_state_rows_dropped long")
 
 
 register("stream_late")(_stream_late)
@@ -616,3 +618,20 @@ def _stream_scores(spark, d):
 
 
 register("stream_scores")(_stream_scores)
+
+# ---- the ML chain on daily supplier readings (larger input; also used by the bench) ---------------
+
+_LI_DAILY = dict(window="1 day", band=(1.0, 50.0), threshold=20.0)
+
+
+def li_ml_daily(spark, d):
+    return fx.ml_dataset(li_readings(spark, d), **_LI_DAILY)
+
+
+def _li_daily_sql() -> str:
+    sql = O.ml_dataset().replace(O.EV_READINGS, O.LI_READINGS).replace(f"INTERVAL '{P.EV_WINDOW}'", "INTERVAL '1 day'")
+    sql = sql.replace(f">= {P.EV_BAND[0]} AND hv_battery_voltage <= {P.EV_BAND[1]}", ">= 1.0 AND hv_battery_voltage <= 50.0")
+    return sql.replace(f"> {P.EV_RISK} THEN 1", "> 20.0 THEN 1")
+
+
+register("ml_dataset_daily", _li_daily_sql())(li_ml_daily)
