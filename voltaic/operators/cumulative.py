@@ -22,7 +22,7 @@ def running_totals(
     sum_cols: Sequence[str],
     *,
     descending: bool = True,
-    buckets: int = 64,
+    buckets: int = 200,
     prefix: str = "cum_",
 ) -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over all rows at or before this row's

@@ -133,7 +133,7 @@ def multiclass_metrics(df: DataFrame, label: str = LABEL, prediction: str = "pre
     )
 
 
-def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", buckets: int = 64) -> DataFrame:
+def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", buckets: int = 200) -> DataFrame:
     """Exact ROC-AUC and PR-AUC (trapezoid), MLlib's curve conventions.
 
     Scores are grouped (one row per distinct score), then running positive and

@@ -156,3 +156,15 @@ def signal_names(spark: SparkSession, readings: DataFrame,
     return (dictionary.join(F.broadcast(counts), "value_id", "left")
             .select("value_id", "name", F.coalesce("rows", F.lit(0)).alias("rows"))
             .orderBy("value_id"))
+
+
+def schema_report(df: DataFrame) -> DataFrame:
+    """S14 with data: ``(position, column, type, nullable, non_null)`` per column,
+    the non-NULL counts from one aggregate pass."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
+                              F.lit(f.dataType.simpleString()).alias("type"),
+                              F.lit(f.nullable).alias("nullable"), F.col(f"c{i}").alias("non_null"))
+                     for i, f in enumerate(fields)])
+    return counts.select(F.inline(rows))

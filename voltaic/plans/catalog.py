@@ -635,3 +635,38 @@ def _li_daily_sql() -> str:
 
 
 register("ml_dataset_daily", _li_daily_sql())(li_ml_daily)
+
+# ---- schema report, per-split counts, the imputed pipeline, test evaluation -----------------------
+
+register("schema_report", f"""SELECT * FROM (VALUES
+  (0, 'vehicle_id', 'string', true), (1, 'time', 'timestamp_ntz', true),
+  (2, 'value_id', 'int', true), (3, 'value', 'double', true)) t(position, "column", type, nullable)
+JOIN (UNPIVOT (SELECT count(vehicle_id) AS vehicle_id, count(time) AS time, count(value_id) AS value_id,
+  count(value) AS value FROM ({O.EV_READINGS}) r) ON vehicle_id, time, value_id, value
+  INTO NAME "column" VALUE non_null) c USING ("column")""")(
+    lambda s, d: pr.schema_report(ev_readings(s, d)))
+
+register("split_distribution", f"""SELECT split, maintenance_risk, count(*) AS count FROM ({O.split_rank()}) r
+GROUP BY 1, 2 ORDER BY 1, 2""")(
+    lambda s, d: pr.class_distribution(sp.split_by_rank(ev_complete(s, d)), by=["split"]))
+
+
+def _train_imputed(spark, d):
+    """The 60/20/20 time-percentile variant: median imputer fitted on training rows,
+    SOC-first feature order (the second training script)."""
+    data = sp.split_by_time(ev_ml(spark, d), [0.6, 0.8], accuracy=P.SPLIT_TIME_ACCURACY)
+    model = md.train_rf(data.filter(F.col("split") == "train"), config.FEATURES_SOC_FIRST, impute=True)
+    return md.feature_importance(spark, model, config.FEATURES_SOC_FIRST)
+
+
+register("train_rf_imputed")(_train_imputed)
+
+
+def _evaluate_best_on_test(spark, d):
+    """M8 + M9: choose the threshold on validation, evaluate it on the test split."""
+    best = _validation_sweep(spark, d).orderBy(F.desc("f1"), F.asc("threshold")).first()
+    scored = md.score_rows(ev_model(spark, d), ev_split(spark, d, "test"))
+    return ev.evaluate_at_threshold(scored, best["threshold"])
+
+
+register("evaluate_best_on_test")(_evaluate_best_on_test)

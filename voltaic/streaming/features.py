@@ -33,6 +33,17 @@ FEATURE_SCHEMA = T.StructType([
     T.StructField("voltage_change", T.DoubleType()),
     T.StructField("soc_change", T.DoubleType()),
 ])
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark) -> None:
+    """``transformWithStateInPandas`` needs the RocksDB state store; select it
+    for queries started from now on unless a RocksDB provider is already set."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, "") or ""):
+        spark.conf.set(key, ROCKSDB)
+
+
 def stream_windows(messages: DataFrame, *, window: str = config.WINDOW,
                    watermark: str = config.WATERMARK, signals=config.SIGNALS_ML) -> DataFrame:
     """Parsed messages -> watermarked tumbling-window pivot (append-safe)."""
@@ -53,6 +64,7 @@ def stream_features(windows: DataFrame, *, band=config.VOLTAGE_BAND, first_row:
 
     from voltaic.streaming import state
 
+    use_rocksdb(windows.sparkSession)
     # the processor runs in a driver-side Python runner too, which does not see
     # files added with addPyFile: ship its self-contained module by value
     cloudpickle.register_pickle_by_value(state)
