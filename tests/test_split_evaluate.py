@@ -132,3 +132,21 @@ def test_multiclass_matches_mllib(spark):
         ml = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
                                                metricName=metric).evaluate(dfl)
         assert abs(ml - val) < 1e-12, metric
+
+
+def test_select_ranks_with_narrowing_rounds(spark):
+    """Force the narrowing rounds (tiny max_bracket) and compare with a sort."""
+    from voltaic.operators.ranks import disc_rank, exact_quantiles, select_ranks
+
+    rnd = random.Random(11)
+    vals = [float(rnd.randrange(5000)) for _ in range(20000)] + [None] * 50
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "x double, i long")
+    ordered = sorted((v, i) for i, v in enumerate(vals) if v is not None)
+    ks = [1, 2, 137, 9999, 10000, 19999, 20000, 0, 20001]
+    got = select_ranks(df, [(("x", "i"), k) for k in ks], accuracy=100, max_bracket=300)
+    want = [ordered[k - 1] if 0 < k <= len(ordered) else None for k in ks]
+    assert got == want
+    q = exact_quantiles(df, ["x"], [0.01, 0.5, 0.6, 0.99], accuracy=100, max_bracket=500)
+    xs = [v for v, _ in ordered]
+    for p in (0.01, 0.5, 0.6, 0.99):
+        assert q[("x", p)] == xs[disc_rank(p, len(xs)) - 1]

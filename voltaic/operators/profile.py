@@ -60,12 +60,21 @@ def signal_percentiles(
     percentiles: Sequence[float] = config.PERCENTILES,
     names: Sequence[str] = config.PERCENTILE_NAMES,
     accuracy: int = 10000,
+    exact: bool = False,
 ) -> DataFrame:
-    """Approximate percentiles in one pass (one column per percentile).
+    """Percentiles, one column per percentile.
 
-    ``accuracy`` is Spark's (default 10000, as in the reference); a large value
-    (>= 1e6 on small tables) gives the exact discrete percentile.
+    Default: ``percentile_approx`` in one pass with Spark's default accuracy,
+    as the reference. ``exact``: discrete percentiles (``percentile_disc``)
+    through ``ranks.exact_quantiles`` (bounded work per percentile).
     """
+    if exact:
+        from voltaic.operators.ranks import exact_quantiles
+
+        q = exact_quantiles(values, [col], list(percentiles))
+        dtype = dict(values.dtypes)[col]
+        return values.sparkSession.createDataFrame(
+            [tuple(q[(col, p)] for p in percentiles)], ", ".join(f"{n} {dtype}" for n in names))
     arr = F.percentile_approx(col, list(percentiles), accuracy)
     return values.agg(arr.alias("_p")).select(
         *[F.col("_p")[i].alias(n) for i, n in enumerate(names)]

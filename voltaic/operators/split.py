@@ -15,13 +15,13 @@ Only scalars reach the driver; rows are then split by comparing the
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaic import config
+from voltaic.operators.ranks import count_nonnull, exact_quantiles, select_ranks
 
 SPLIT_NAMES = ("train", "validation", "test")
 
@@ -38,52 +38,18 @@ def rank_cutoffs(
     df: DataFrame,
     fractions: Sequence[float] = config.SPLIT_FRACTIONS,
     order: Sequence[str] = ("time", "vehicle_id"),
-    accuracy: int | None = None,
+    **kw,
 ) -> tuple[int, list[tuple | None]]:
     """Exact cutoff tuples for ranks ``int(n * f)`` in ``order`` order.
 
     Returns ``(n, [tuple or None])``; ``None`` means rank 0 (nothing at or
     below). ``order`` must make rows unique (ties are broken arbitrarily
-    otherwise, as with ``row_number``).
+    otherwise, as with ``row_number``). See ``ranks.select_ranks``.
     """
-    order = list(order)
-    t = order[0]
-    # accuracy grows with the data so the bracket stays small (about 4n/accuracy rows)
-    first = df.agg(F.count(F.lit(1)).alias("n")).first()
-    n = int(first["n"])
-    if accuracy is None:
-        accuracy = int(min(10_000_000, max(10_000, n // 2_000)))
+    order = tuple(order)
+    n = count_nonnull(df, [order[0]])[order[0]]
     ks = [int(n * f) for f in fractions]
-    if all(k <= 0 for k in ks):
-        return n, [None] * len(ks)
-    margin = (2 * math.ceil(n / accuracy) + 2) / max(n, 1)
-    qs = []
-    for f in fractions:
-        qs += [max(0.0, f - margin), min(1.0, f + margin)]
-    bounds = df.agg(F.percentile_approx(t, qs, accuracy).alias("b")).first()["b"]
-    brackets = [(bounds[2 * i], bounds[2 * i + 1]) for i in range(len(fractions))]
-    counts = df.agg(*[
-        expr for i, (lo, hi) in enumerate(brackets) for expr in (
-            F.count_if(F.col(t) < F.lit(lo)).alias(f"below_{i}"),
-            F.count_if(F.col(t) <= F.lit(hi)).alias(f"upto_{i}"),
-        )
-    ]).first()
-    cutoffs: list[tuple | None] = []
-    for i, k in enumerate(ks):
-        if k <= 0:
-            cutoffs.append(None)
-            continue
-        lo, hi = brackets[i]
-        below, upto = int(counts[f"below_{i}"]), int(counts[f"upto_{i}"])
-        if not (below < k <= upto):  # approximate bounds missed: fall back to the full range
-            lo_c, hi_c = None, None
-            below = 0
-        else:
-            lo_c, hi_c = F.col(t) >= F.lit(lo), F.col(t) <= F.lit(hi)
-        inside = df if lo_c is None else df.filter(lo_c & hi_c)
-        row = inside.select(*order).orderBy(*order).offset(k - below - 1).limit(1).first()
-        cutoffs.append(tuple(row[c] for c in order))
-    return n, cutoffs
+    return n, select_ranks(df, [(order, k) for k in ks], counts={order[0]: n}, **kw)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -101,8 +67,8 @@ def split_by_rank(
     fractions: Sequence[float] = config.SPLIT_FRACTIONS,
     order: Sequence[str] = ("time", "vehicle_id"),
     names: Sequence[str] = SPLIT_NAMES,
-    accuracy: int | None = None,
     checkpoint: bool = True,
+    **kw,
 ) -> DataFrame:
     """M1: add ``split`` = train / validation / test by exact rank cutoffs.
 
@@ -111,7 +77,7 @@ def split_by_rank(
     """
     if checkpoint:
         df = materialize(df)
-    _, cutoffs = rank_cutoffs(df, fractions, order, accuracy)
+    _, cutoffs = rank_cutoffs(df, fractions, order, **kw)
     expr = None
     for name, cut in zip(names, cutoffs):
         cond = F.lit(False) if cut is None else _tuple_le(list(order), cut)
@@ -120,17 +86,23 @@ def split_by_rank(
 
 
 def time_cutoffs(df: DataFrame, fractions: Sequence[float], time_col: str = "time",
-                 accuracy: int = 10000) -> list:
-    """Approximate time quantiles in one pass (M2/M3); Spark's default accuracy."""
+                 accuracy: int = 10000, exact: bool = False) -> list:
+    """Time quantiles (M2/M3). Default: ``percentile_approx`` in one pass with
+    Spark's default accuracy, as the reference. ``exact``: discrete quantiles
+    (``percentile_disc``) through ``ranks.exact_quantiles``."""
+    if exact:
+        q = exact_quantiles(df, [time_col], list(fractions))
+        return [q[(time_col, f)] for f in fractions]
     return list(df.agg(F.percentile_approx(time_col, list(fractions), accuracy).alias("q")).first()["q"])
 
 
 def split_by_time(df: DataFrame, fractions: Sequence[float] = (0.8,), time_col: str = "time",
-                  names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+                  names: Sequence[str] | None = None, accuracy: int = 10000,
+                  exact: bool = False) -> DataFrame:
     """M2 (one fraction, train/test) and M3 (two fractions): ``time <= cutoff`` inclusive."""
     if names is None:
         names = ("train", "test") if len(fractions) == 1 else SPLIT_NAMES
-    cuts = time_cutoffs(df, fractions, time_col, accuracy)
+    cuts = time_cutoffs(df, fractions, time_col, accuracy, exact)
     expr = None
     for name, cut in zip(names, cuts):
         cond = F.col(time_col) <= F.lit(cut)
@@ -159,12 +131,18 @@ def with_class_weight(df: DataFrame, w1: float, w0: float = 1.0, label: str = co
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(w1))).otherwise(F.lit(float(w0))))
 
 
-def feature_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """M4 surrogate: the median of every feature in one pass, long ``(column, median)``.
+def feature_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10000,
+                    exact: bool = False) -> DataFrame:
+    """M4 surrogate: the median of every feature, long ``(column, median)``.
 
-    ``accuracy`` as in ``percentile_approx``; large values give the exact
-    lower median on small tables.
+    Default: one ``percentile_approx`` pass (the imputer's approximate median).
+    ``exact``: the lower median (``percentile_disc(0.5)``) of each column via
+    ``ranks.exact_quantiles``; only the medians reach the driver.
     """
+    if exact:
+        q = exact_quantiles(df, list(cols), [0.5])
+        rows = [(c, None if q[(c, 0.5)] is None else float(q[(c, 0.5)])) for c in cols]
+        return df.sparkSession.createDataFrame(rows, "column string, median double")
     wide = df.agg(*[F.percentile_approx(F.col(c), 0.5, accuracy).cast("double").alias(c) for c in cols])
     return wide.unpivot([], list(cols), "column", "median")
 

@@ -159,7 +159,7 @@ register("signal_percentiles", f"""SELECT {', '.join(
     f"quantile_disc(value, {q}) AS {n}" for q, n in zip(config.PERCENTILES, config.PERCENTILE_NAMES))}
 FROM ({O.EV_READINGS}) r WHERE value_id = 1200""")(
     lambda s, d: pr.signal_percentiles(rd.single_signal(ev_readings(s, d), 1200, "value"), "value",
-                                       accuracy=P.PERCENTILE_ACCURACY))
+                                       exact=True))
 
 _DESCRIBE = ["vehicle_speed", "ambient_air_temp", "hv_aux_power", "hv_soc", "hv_battery_voltage",
              "battery_temp_avg", "battery_temp_delta"]
@@ -294,11 +294,11 @@ FROM ({O.complete_rows()}) c, (SELECT {qs} FROM ({O.complete_rows()}) c2) q"""
 
 
 register("split_time_80", _time_split_sql([0.8], ["train", "test"]))(
-    lambda s, d: sp.split_by_time(ev_complete(s, d), [0.8], accuracy=P.SPLIT_TIME_ACCURACY)
+    lambda s, d: sp.split_by_time(ev_complete(s, d), [0.8], exact=True)
     .select("vehicle_id", "time", config.LABEL, "split"))
 
 register("split_time_3way", _time_split_sql([0.6, 0.8], ["train", "validation", "test"]))(
-    lambda s, d: sp.split_by_time(ev_complete(s, d), [0.6, 0.8], accuracy=P.SPLIT_TIME_ACCURACY)
+    lambda s, d: sp.split_by_time(ev_complete(s, d), [0.6, 0.8], exact=True)
     .select("vehicle_id", "time", config.LABEL, "split"))
 
 
@@ -317,7 +317,7 @@ register("impute_median", f"""SELECT "column", CAST(median AS DOUBLE) AS median
   FROM (SELECT c.* FROM ({O.complete_rows()}) c JOIN ({O.split_rank()}) r USING (vehicle_id, time)
         WHERE r.split = 'train') t)
   UNPIVOT INCLUDE NULLS (median FOR "column" IN ({', '.join(config.FEATURES)}))""")(
-    lambda s, d: sp.feature_medians(ev_train(s, d), config.FEATURES, accuracy=P.PERCENTILE_ACCURACY))
+    lambda s, d: sp.feature_medians(ev_train(s, d), config.FEATURES, exact=True))
 
 # ---- reporting ----------------------------------------------------------------------------------
 
@@ -654,7 +654,7 @@ GROUP BY 1, 2 ORDER BY 1, 2""")(
 def _train_imputed(spark, d):
     """The 60/20/20 time-percentile variant: median imputer fitted on training rows,
     SOC-first feature order (the second training script)."""
-    data = sp.split_by_time(ev_ml(spark, d), [0.6, 0.8], accuracy=P.SPLIT_TIME_ACCURACY)
+    data = sp.split_by_time(ev_ml(spark, d), [0.6, 0.8], exact=True)
     model = md.train_rf(data.filter(F.col("split") == "train"), config.FEATURES_SOC_FIRST, impute=True)
     return md.feature_importance(spark, model, config.FEATURES_SOC_FIRST)
 

@@ -10,8 +10,6 @@ EV_RISK = 60.0
 LI_WINDOW = "30 days"
 BATTERY_CODES = [900, 1200, 1290, 1293, 1294, 1295]
 WIDE_CODES = [4, 15, 56, 900, 1200, 1208, 1209]
-PERCENTILE_ACCURACY = 1_000_000
-SPLIT_TIME_ACCURACY = 10_000_000
 SLICE_VEHICLE = "V3"
 SLICE_START = "2024-01-05"
 SLICE_END = "2024-01-10"
