@@ -53,25 +53,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
 
-
-_SHIPPED: set[int] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``voltaic`` importable in Python workers (once per context).
-
-    Python-side operators (the streaming state processor) are pickled by
-    reference, so executors need the package: it is zipped on the driver and
-    distributed with ``addPyFile``, which works the same on a cluster.
-    """
-    sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
-        return
-    import shutil
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="voltaic-pkg-")
-    archive = shutil.make_archive(os.path.join(out_dir, "voltaic"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="voltaic")
-    sc.addPyFile(archive)
-    _SHIPPED.add(id(sc))
