@@ -114,3 +114,32 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, *, available_n
     if available_now:
         q.awaitTermination()
     return q
+
+
+def run_to_console(stream: DataFrame, *, num_rows: int = 20, truncate: bool = False,
+                   output_mode: str = "append", processing_time: str | None = None):
+    """K4: print each micro-batch (demonstration sink; returns the running query)."""
+    w = (stream.writeStream.format("console").outputMode(output_mode)
+         .option("numRows", num_rows).option("truncate", str(truncate).lower()))
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def foreach_batch_to_parquet(stream: DataFrame, path: str, checkpoint: str, *,
+                             output_mode: str = "append", available_now: bool = True,
+                             processing_time: str | None = None):
+    """K5: ``foreachBatch`` that writes each micro-batch to ``path/batch_id=<id>``
+    with overwrite, so a batch replayed after a failure replaces its own output
+    instead of duplicating it (idempotent by ``batch_id``)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    w = (stream.writeStream.foreachBatch(write).outputMode(output_mode)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q
