@@ -150,3 +150,17 @@ def test_select_ranks_with_narrowing_rounds(spark):
     xs = [v for v, _ in ordered]
     for p in (0.01, 0.5, 0.6, 0.99):
         assert q[("x", p)] == xs[disc_rank(p, len(xs)) - 1]
+
+
+def test_select_ranks_with_a_hot_value(spark):
+    """A third of the rows share one value: ranks inside and around it resolve
+    by recursion on the next column, without gathering the tie group."""
+    from voltaic.operators.ranks import select_ranks
+
+    rnd = random.Random(13)
+    vals = [0.0 if i % 3 == 0 else float(rnd.randrange(1, 3000)) for i in range(9000)]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "x double, i long")
+    ordered = sorted((v, i) for i, v in enumerate(vals))
+    ks = [1, 1500, 3000, 3001, 4500, 8999, 9000]
+    got = select_ranks(df, [(("x", "i"), k) for k in ks], accuracy=50, max_bracket=200)
+    assert got == [ordered[k - 1] for k in ks]

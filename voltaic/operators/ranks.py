@@ -33,13 +33,14 @@ def disc_rank(p: float, n: int) -> int:
     return max(1, math.ceil(Fraction(str(p)) * n)) if n > 0 else 0
 
 
-def _in(col: str, lo, hi) -> Column:
+def _bracket(col: str, b: dict) -> Column:
+    """Rows of ``col`` inside the bracket ``b`` (open bounds after a narrowing round)."""
     c = F.col(col)
     cond = c.isNotNull()
-    if lo is not None:
-        cond = cond & (c >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (c <= F.lit(hi))
+    if b["lo"] is not None:
+        cond = cond & ((c > F.lit(b["lo"])) if b["lo_open"] else (c >= F.lit(b["lo"])))
+    if b["hi"] is not None:
+        cond = cond & ((c < F.lit(b["hi"])) if b["hi_open"] else (c <= F.lit(b["hi"])))
     return cond
 
 
@@ -55,60 +56,85 @@ def select_ranks(
     *,
     accuracy: int = 10000,
     max_bracket: int = 1_000_000,
-    max_rounds: int = 8,
+    max_rounds: int = 12,
     counts: dict | None = None,
 ) -> list:
-    """Exact k-th values; ``None`` for ``k <= 0`` or ``k`` beyond the rows."""
+    """Exact k-th values; ``None`` for ``k <= 0`` or ``k`` beyond the rows.
+
+    Ties are handled without ever gathering a tie group: when rank k falls on
+    a value of the first column shared by many rows, that value is the answer
+    for the first column and the search continues on the next column among
+    the tied rows only (recursively). Brackets that exclude their edge values
+    are open, so a hot value never stays inside a bracket it is not part of.
+    """
     reqs = [(tuple(cols), int(k)) for cols, k in requests]
-    firsts = [cols[0] for cols, _ in reqs]
-    counts = counts or count_nonnull(df, firsts)
-    # per request: lo, hi (inclusive bounds on the first column), below, inside
-    st = [{"lo": None, "hi": None, "below": 0, "inside": counts[c[0]]} for c, _ in reqs]
+    counts = counts or count_nonnull(df, [c[0] for c, _ in reqs])
+    st = [{"lo": None, "hi": None, "lo_open": False, "hi_open": False, "below": 0,
+           "inside": counts[c[0]], "margin": 2} for c, _ in reqs]
+    answers: dict[int, tuple] = {}
+    ties: dict[int, tuple] = {}   # request -> (first value, rank among the tied rows)
     live = [i for i, (c, k) in enumerate(reqs) if 0 < k <= counts[c[0]]]
 
     for _ in range(max_rounds):
-        wide = [i for i in live if st[i]["inside"] > max_bracket]
+        wide = [i for i in live if i not in ties and st[i]["inside"] > max_bracket]
         if not wide:
             break
         aggs = []
         for i in wide:
-            (cols, k), s = reqs[i], st[i]
-            m, r = s["inside"], k - s["below"]
-            margin = 2 * math.ceil(m / accuracy) + 2
+            (cols, k), b = reqs[i], st[i]
+            m, r = b["inside"], k - b["below"]
+            margin = b["margin"] * math.ceil(m / accuracy) + 2
             qs = [max(0.0, (r - margin) / m), min(1.0, (r + margin) / m)]
-            inside = F.when(_in(cols[0], s["lo"], s["hi"]), F.col(cols[0]))
+            inside = F.when(_bracket(cols[0], b), F.col(cols[0]))
             aggs.append(F.percentile_approx(inside, qs, accuracy).alias(f"q{i}"))
         qrow = df.agg(*aggs).first()
-        cnt_aggs = []
+        cnt = []
         for i in wide:
             lo, hi = qrow[f"q{i}"]
-            col = F.col(reqs[i][0][0])
-            cnt_aggs += [F.count_if(col < F.lit(lo)).alias(f"b{i}"), F.count_if(col <= F.lit(hi)).alias(f"u{i}")]
-        crow = df.agg(*cnt_aggs).first()
+            c = F.col(reqs[i][0][0])
+            cnt += [F.count_if(c < F.lit(lo)).alias(f"lt{i}"), F.count_if(c == F.lit(lo)).alias(f"eqlo{i}"),
+                    F.count_if(c <= F.lit(hi)).alias(f"le{i}"), F.count_if(c == F.lit(hi)).alias(f"eqhi{i}")]
+        crow = df.agg(*cnt).first()
         for i in wide:
             lo, hi = qrow[f"q{i}"]
-            below, upto = int(crow[f"b{i}"]), int(crow[f"u{i}"])
             k = reqs[i][1]
-            if below < k <= upto and upto - below < st[i]["inside"]:
-                st[i].update(lo=lo, hi=hi, below=below, inside=upto - below)
-
-    if not live:
-        return [None] * len(reqs)
-    parts = []
-    for i in live:
-        cols, k = reqs[i]
-        s = st[i]
-        parts.append(df.filter(_in(cols[0], s["lo"], s["hi"])).select(
-            F.lit(i).alias("_req"), F.lit(k - s["below"]).alias("_target"),
-            F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(cols)]).alias("_key")))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("_req").orderBy("_key")
-    picked = (cand.withColumn("_rn", F.row_number().over(w))
-              .filter(F.col("_rn") == F.col("_target")).select("_req", "_key").collect())
-    found = {r["_req"]: tuple(r["_key"]) for r in picked}
-    return [found.get(i) if i in live else None for i in range(len(reqs))]
+            lt, eq_lo = int(crow[f"lt{i}"]), int(crow[f"eqlo{i}"])
+            le, eq_hi = int(crow[f"le{i}"]), int(crow[f"eqhi{i}"])
+            if not (lt < k <= le):          # outside the approximate bracket: widen and retry
+                st[i]["margin"] *= 4
+            elif k <= lt + eq_lo:           # rank k falls on the value lo
+                ties[i] = (lo, k - lt)
+            elif k > le - eq_hi:            # rank k falls on the value hi
+                ties[i] = (hi, k - (le - eq_hi))
+            else:                           # strictly between: open bracket (lo, hi)
+                st[i].update(lo=lo, hi=hi, lo_open=True, hi_open=True, below=lt + eq_lo,
+                             inside=le - eq_hi - lt - eq_lo)
+
+    for i, (value, r) in ties.items():
+        cols = reqs[i][0]
+        if len(cols) == 1:
+            answers[i] = (value,)
+        else:
+            rest = select_ranks(df.filter(F.col(cols[0]) == F.lit(value)), [(cols[1:], r)],
+                                accuracy=accuracy, max_bracket=max_bracket, max_rounds=max_rounds)[0]
+            answers[i] = None if rest is None else (value, *rest)
+
+    final = [i for i in live if i not in ties]
+    if final:
+        parts = []
+        for i in final:
+            cols, k = reqs[i]
+            parts.append(df.filter(_bracket(cols[0], st[i])).select(
+                F.lit(i).alias("_req"), F.lit(k - st[i]["below"]).alias("_target"),
+                F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(cols)]).alias("_key")))
+        cand = parts[0]
+        for p in parts[1:]:
+            cand = cand.unionByName(p)
+        w = Window.partitionBy("_req").orderBy("_key")
+        picked = (cand.withColumn("_rn", F.row_number().over(w))
+                  .filter(F.col("_rn") == F.col("_target")).select("_req", "_key").collect())
+        answers.update({r["_req"]: tuple(r["_key"]) for r in picked})
+    return [answers.get(i) for i in range(len(reqs))]
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **kw) -> dict:
