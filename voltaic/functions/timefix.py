@@ -13,17 +13,23 @@ from pyspark.sql import functions as F
 from voltaic import config
 
 
-def _epoch_ntz() -> Column:
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def epoch_ntz() -> Column:
+    """1970-01-01 00:00:00 as TIMESTAMP_NTZ."""
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def ntz_to_micros(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ wall clock -> microseconds since the epoch, read as UTC."""
+    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(c))
 
 
 def micros_to_ntz(micros: Column | str) -> Column:
     """Microseconds since the epoch -> TIMESTAMP_NTZ (UTC wall clock)."""
-    return F.timestamp_add("MICROSECOND", _col(micros), _epoch_ntz())
+    return F.timestamp_add("MICROSECOND", _col(micros), epoch_ntz())
 
 
 def _strict(value: Column, lossy: Column, message: str) -> Column:

@@ -14,19 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaic import config
-from voltaic.functions.timefix import is_repaired, nanos_to_micros, repair_time
+from voltaic.functions.timefix import is_repaired, nanos_to_micros, ntz_to_micros, repair_time
 from voltaic.sources.readings import LINE_NUMBER_CODES
 from voltaic.functions.exprs import code_case
 
 
-def _epoch_ntz():
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def ntz_to_nanos(col) -> F.Column:
     """TIMESTAMP_NTZ -> nanoseconds since the epoch (UTC wall clock), BIGINT."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), c) * F.lit(1000)
+    return ntz_to_micros(col) * F.lit(1000)
 
 
 def scan_nanos(spark: SparkSession, *paths: str, time_col: str = "time") -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltaic.functions.timefix import micros_to_ntz, ntz_to_micros
+
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("vehicle_id", T.StringType(), True),
     T.StructField("time", T.StringType(), True),
@@ -23,18 +25,14 @@ MESSAGE_SCHEMA = T.StructType([
 ])
 
 
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def ntz_to_instant(c: Column) -> Column:
     """TIMESTAMP_NTZ wall clock -> TIMESTAMP instant, reading the clock as UTC."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+    return F.timestamp_micros(ntz_to_micros(c))
 
 
 def instant_to_ntz(c: Column) -> Column:
     """TIMESTAMP instant -> its UTC wall clock as TIMESTAMP_NTZ."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+    return micros_to_ntz(F.unix_micros(c))
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, *, starting: str = "earliest",
