@@ -74,3 +74,17 @@ def test_normalize_only_listed_sources(spark):
     assert got["A"] == (dt.datetime(2026, 1, 1), True)
     assert got["B"] == (dt.datetime(2090, 1, 1), False)
     assert F is not None
+
+
+def test_sources_from_file_names(spark, tmp_path):
+    from voltaic.sources.raw import sources_from_files
+
+    paths = {}
+    for name, t in (("CUP1", dt.datetime(2088, 3, 1)), ("ID1", dt.datetime(2023, 3, 1))):
+        table = pa.table({"vehicle_id": [name], "time": pa.array([_ns(t)], pa.int64()).cast(pa.timestamp("ns")),
+                          "value_id": pa.array([1200], pa.int32()), "value": [400.0]})
+        paths[name] = str(tmp_path / f"{name}_raw.parquet")
+        pq.write_table(table, paths[name])
+    norm = normalize_sources(sources_from_files(spark, paths), ["CUP1"])
+    got = {r.source: (r.time, r.corrected) for r in norm.collect()}
+    assert got == {"CUP1": (dt.datetime(2024, 3, 1), True), "ID1": (dt.datetime(2023, 3, 1), False)}

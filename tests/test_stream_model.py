@@ -97,3 +97,22 @@ def test_model_invariants_and_roundtrip(spark, tmp_path):
     assert again.exceptAll(scored).count() == 0
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan
+
+
+def test_message_quality_counts(spark, tmp_path):
+    _write(str(tmp_path), "q.json", [
+        _msg("2024-01-01T00:00:01", 1200, 400.0),
+        "{oops",
+        _msg("not a time", 4, 1.0),
+        '{"vehicle_id": "V", "time": "2024-01-01T00:00:03", "value_id": 4.5, "value": 1.0}',
+        '{"vehicle_id": "V", "time": "2024-01-01T00:00:03", "value_id": 4}',
+    ])
+    r = ms.message_quality(ms.text_source(spark, str(tmp_path), stream=False)).first()
+    assert (r.messages, r.malformed, r.bad_time, r.no_code, r.no_value) == (5, 1, 1, 1, 1)
+
+
+def test_publish_limit_takes_first_in_order(spark):
+    df = spark.createDataFrame([("V", dt.datetime(2024, 1, 1, 0, 0, s), 1200, float(s)) for s in (5, 1, 3, 2)],
+                               "vehicle_id string, time timestamp_ntz, value_id int, value double")
+    got = [json.loads(r.value)["value"] for r in ms.publish_messages(df, limit=2).collect()]
+    assert sorted(got) == [1.0, 2.0]

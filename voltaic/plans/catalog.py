@@ -670,3 +670,14 @@ def _evaluate_best_on_test(spark, d):
 
 
 register("evaluate_best_on_test")(_evaluate_best_on_test)
+
+
+def _message_quality(spark, d):
+    return ms.message_quality(ms.text_source(spark, _messages_dir(spark, d, "message_quality_in"), stream=False))
+
+
+register("message_quality", f"""SELECT count(*) AS messages,
+  count_if(vehicle_id IS NULL AND time IS NULL AND value_id IS NULL AND value IS NULL) AS malformed,
+  count_if(time IS NOT NULL AND TRY_CAST(strftime(time, '%Y-%m-%dT%H:%M:%S.%f') AS TIMESTAMP) IS NULL) AS bad_time,
+  count_if(value_id IS NULL) AS no_code, count_if(value IS NULL) AS no_value FROM ({O.EV_READINGS}) r""")(
+    _message_quality)

@@ -114,3 +114,20 @@ def write_text(messages: DataFrame, path: str, mode: str = "overwrite") -> str:
     """K3 test sink: the JSON values as text files (one message per line)."""
     messages.select("value").write.mode(mode).text(path)
     return path
+
+
+def message_quality(messages: DataFrame) -> DataFrame:
+    """Counts of bad records in one pass: malformed JSON (no field parsed),
+    unparseable times, NULL or fractional codes and NULL values."""
+    data = F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA)
+    m = messages.select(data.alias("m")).select("m.*")
+    wall = F.col("time").try_cast("timestamp_ntz")
+    malformed = (F.col("vehicle_id").isNull() & F.col("time").isNull() & F.col("value_id").isNull()
+                 & F.col("value").isNull())
+    return m.agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(malformed).alias("malformed"),
+        F.count_if(~malformed & F.col("time").isNotNull() & wall.isNull()).alias("bad_time"),
+        F.count_if(~malformed & F.col("value_id").isNull()).alias("no_code"),
+        F.count_if(~malformed & F.col("value").isNull()).alias("no_value"),
+    )
