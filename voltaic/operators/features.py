@@ -66,13 +66,19 @@ def _apply(df: DataFrame, cols) -> DataFrame:
 
 
 def duration_seconds(text: str) -> int:
-    """Seconds in a simple interval string such as ``"10 seconds"`` or ``"6 hours"``."""
-    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
-    n, unit = text.strip().split()
-    unit = unit.lower().rstrip("s")
-    if unit not in units:
-        raise ValueError(f"unsupported interval unit in {text!r}")
-    return int(float(n) * units[unit])
+    """Seconds in an interval string such as ``"10 seconds"``, ``"6 hours"`` or
+    ``"1 hour 30 minutes"`` (the forms ``F.window`` accepts for fixed lengths)."""
+    units = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    parts = text.strip().lower().replace("interval", "").split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"cannot read the interval {text!r}")
+    total = 0.0
+    for n, unit in zip(parts[::2], parts[1::2]):
+        unit = unit.rstrip("s")
+        if unit not in units:
+            raise ValueError(f"unsupported interval unit in {text!r}")
+        total += float(n) * units[unit]
+    return max(1, int(total))
 
 
 def auto_chunk(window: str, rows_per_chunk: int = CHUNK_ROWS) -> str:
