@@ -93,9 +93,3 @@ def scan_profile(df: DataFrame, time_col: str = "time") -> DataFrame:
         F.min(time_col).alias("min_time"),
         F.max(time_col).alias("max_time"),
     )
-
-
-def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``printSchema`` as rows ``(position, column, type, nullable)``."""
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column string, type string, nullable boolean")
