@@ -2,16 +2,14 @@
 
 ``split_by_rank`` reproduces ``row_number() OVER (ORDER BY time, vehicle_id)``
 cutoffs exactly without a global window (which plans a single-partition
-exchange). For each cutoff rank ``k`` it:
-
-1. brackets ``k`` between two approximate time quantiles (one pass, with the
-   row count, guaranteed by ``percentile_approx``'s rank error ``n/accuracy``);
-2. counts the rows below the bracket (one pass for all cutoffs);
-3. picks the ``(k - below)``-th ``(time, vehicle_id)`` inside the bracket,
-   which holds about ``4n/accuracy`` rows (plus ties), with a top-k sort.
-
-Only scalars reach the driver; rows are then split by comparing the
-``(time, vehicle_id)`` tuple with the cutoff tuples, a pushable filter.
+exchange): the cutoff tuples at ranks ``int(n * f)`` come from
+``ranks.select_ranks`` (bounded narrowing by approximate quantiles, then one
+window per cutoff over at most ~1e6 candidates; tie groups are never
+gathered). Only the cutoff tuples reach the driver; rows are then split by
+comparing ``(time, vehicle_id)`` with them, a pushable filter.
+
+The time-quantile splits keep the reference's ``percentile_approx`` by
+default; ``exact=True`` gives discrete quantiles through the same selector.
 """
 from __future__ import annotations
 
