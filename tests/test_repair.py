@@ -88,3 +88,30 @@ def test_sources_from_file_names(spark, tmp_path):
     norm = normalize_sources(sources_from_files(spark, paths), ["CUP1"])
     got = {r.source: (r.time, r.corrected) for r in norm.collect()}
     assert got == {"CUP1": (dt.datetime(2024, 3, 1), True), "ID1": (dt.datetime(2023, 3, 1), False)}
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    """Repair, unit casts and the stream's wall-clock/instant round trip give
+    the same answers under a zone with daylight saving time."""
+    from voltaic.functions.timefix import micros_to_ntz, ntz_to_micros
+    from voltaic.streaming.messages import instant_to_ntz, ntz_to_instant
+
+    walls = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 11, 3, 1, 30), dt.datetime(1969, 12, 31, 23, 59, 59, 1)]
+    df = spark.createDataFrame([(w,) for w in walls], "w timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        results = []
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            out = df.select(
+                ntz_to_micros("w").alias("us"),
+                micros_to_ntz(ntz_to_micros("w")).alias("back"),
+                instant_to_ntz(ntz_to_instant(F.col("w"))).alias("round_trip"),
+                repair_time(F.lit(LIMIT + 10**9)).alias("repaired"),
+            ).collect()
+            results.append([tuple(r) for r in out])
+        assert results[0] == results[1]
+        assert [r[1] for r in results[0]] == walls and [r[2] for r in results[0]] == walls
+        assert results[0][2][0] == -999999
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -23,8 +23,21 @@ def epoch_ntz() -> Column:
 
 
 def ntz_to_micros(c: Column | str) -> Column:
-    """TIMESTAMP_NTZ wall clock -> microseconds since the epoch, read as UTC."""
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(c))
+    """TIMESTAMP_NTZ wall clock -> microseconds since the epoch, read as UTC.
+
+    ``NTZ - NTZ`` is a day-time interval computed without any time zone
+    (``timestamp_diff`` would cast both sides through the session zone); its
+    fields add up to the exact microsecond count.
+    """
+    iv = _col(c) - epoch_ntz()
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), iv)
+
+    return (part("DAY").cast("long") * F.lit(86_400_000_000)
+            + part("HOUR").cast("long") * F.lit(3_600_000_000)
+            + part("MINUTE").cast("long") * F.lit(60_000_000)
+            + (part("SECOND") * F.lit(1_000_000)).cast("long"))
 
 
 def micros_to_ntz(micros: Column | str) -> Column:
