@@ -18,6 +18,23 @@ def code_case(col: Column | str, mapping: Mapping, default=None) -> Column:
     return expr if default is None else expr.otherwise(F.lit(default))
 
 
+def lit_for(df, col: str, value) -> Column:
+    """A literal for comparing with ``df[col]``, typed like the column.
+
+    Values collected from TIMESTAMP_NTZ columns come back as naive datetimes;
+    ``F.lit`` would make them zone-dependent TIMESTAMPs, so they go through
+    their ISO text and a cast instead.
+    """
+    import datetime as _dt
+
+    from pyspark.sql import types as T
+
+    dtype = df.schema[col].dataType
+    if isinstance(value, _dt.datetime) and isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def in_band(col: Column | str, lo: float, hi: float) -> Column:
     """Inclusive band test; NULL and NaN are outside (NaN compares false here)."""
     c = F.col(col) if isinstance(col, str) else col

@@ -26,6 +26,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltaic.functions.exprs import lit_for
+
 
 def disc_rank(p: float, n: int) -> int:
     """Rank (1-based) of the discrete ``p`` quantile of ``n`` values:
@@ -33,14 +35,16 @@ def disc_rank(p: float, n: int) -> int:
     return max(1, math.ceil(Fraction(str(p)) * n)) if n > 0 else 0
 
 
-def _bracket(col: str, b: dict) -> Column:
+def _bracket(df: DataFrame, col: str, b: dict) -> Column:
     """Rows of ``col`` inside the bracket ``b`` (open bounds after a narrowing round)."""
     c = F.col(col)
     cond = c.isNotNull()
     if b["lo"] is not None:
-        cond = cond & ((c > F.lit(b["lo"])) if b["lo_open"] else (c >= F.lit(b["lo"])))
+        lo = lit_for(df, col, b["lo"])
+        cond = cond & ((c > lo) if b["lo_open"] else (c >= lo))
     if b["hi"] is not None:
-        cond = cond & ((c < F.lit(b["hi"])) if b["hi_open"] else (c <= F.lit(b["hi"])))
+        hi = lit_for(df, col, b["hi"])
+        cond = cond & ((c < hi) if b["hi_open"] else (c <= hi))
     return cond
 
 
@@ -85,15 +89,16 @@ def select_ranks(
             m, r = b["inside"], k - b["below"]
             margin = b["margin"] * math.ceil(m / accuracy) + 2
             qs = [max(0.0, (r - margin) / m), min(1.0, (r + margin) / m)]
-            inside = F.when(_bracket(cols[0], b), F.col(cols[0]))
+            inside = F.when(_bracket(df, cols[0], b), F.col(cols[0]))
             aggs.append(F.percentile_approx(inside, qs, accuracy).alias(f"q{i}"))
         qrow = df.agg(*aggs).first()
         cnt = []
         for i in wide:
             lo, hi = qrow[f"q{i}"]
-            c = F.col(reqs[i][0][0])
-            cnt += [F.count_if(c < F.lit(lo)).alias(f"lt{i}"), F.count_if(c == F.lit(lo)).alias(f"eqlo{i}"),
-                    F.count_if(c <= F.lit(hi)).alias(f"le{i}"), F.count_if(c == F.lit(hi)).alias(f"eqhi{i}")]
+            name = reqs[i][0][0]
+            c, lo_l, hi_l = F.col(name), lit_for(df, name, lo), lit_for(df, name, hi)
+            cnt += [F.count_if(c < lo_l).alias(f"lt{i}"), F.count_if(c == lo_l).alias(f"eqlo{i}"),
+                    F.count_if(c <= hi_l).alias(f"le{i}"), F.count_if(c == hi_l).alias(f"eqhi{i}")]
         crow = df.agg(*cnt).first()
         for i in wide:
             lo, hi = qrow[f"q{i}"]
@@ -115,7 +120,7 @@ def select_ranks(
         if len(cols) == 1:
             answers[i] = (value,)
         else:
-            rest = select_ranks(df.filter(F.col(cols[0]) == F.lit(value)), [(cols[1:], r)],
+            rest = select_ranks(df.filter(F.col(cols[0]) == lit_for(df, cols[0], value)), [(cols[1:], r)],
                                 accuracy=accuracy, max_bracket=max_bracket, max_rounds=max_rounds)[0]
             answers[i] = None if rest is None else (value, *rest)
 
@@ -124,7 +129,7 @@ def select_ranks(
         parts = []
         for i in final:
             cols, k = reqs[i]
-            parts.append(df.filter(_bracket(cols[0], st[i])).select(
+            parts.append(df.filter(_bracket(df, cols[0], st[i])).select(
                 F.lit(i).alias("_req"), F.lit(k - st[i]["below"]).alias("_target"),
                 F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(cols)]).alias("_key")))
         cand = parts[0]

@@ -19,17 +19,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaic import config
+from voltaic.functions.exprs import lit_for
 from voltaic.operators.ranks import count_nonnull, exact_quantiles, select_ranks
 
 SPLIT_NAMES = ("train", "validation", "test")
 
 
-def _tuple_le(cols: Sequence[str], values: Sequence) -> Column:
+def _tuple_le(df: DataFrame, cols: Sequence[str], values: Sequence) -> Column:
     """Lexicographic ``(cols) <= (values)``."""
-    c0, v0 = F.col(cols[0]), F.lit(values[0])
+    c0, v0 = F.col(cols[0]), lit_for(df, cols[0], values[0])
     if len(cols) == 1:
         return c0 <= v0
-    return (c0 < v0) | ((c0 == v0) & _tuple_le(cols[1:], values[1:]))
+    return (c0 < v0) | ((c0 == v0) & _tuple_le(df, cols[1:], values[1:]))
 
 
 def rank_cutoffs(
@@ -78,7 +79,7 @@ def split_by_rank(
     _, cutoffs = rank_cutoffs(df, fractions, order, **kw)
     expr = None
     for name, cut in zip(names, cutoffs):
-        cond = F.lit(False) if cut is None else _tuple_le(list(order), cut)
+        cond = F.lit(False) if cut is None else _tuple_le(df, list(order), cut)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return df.withColumn("split", expr.otherwise(F.lit(names[len(cutoffs)])))
 
@@ -103,7 +104,7 @@ def split_by_time(df: DataFrame, fractions: Sequence[float] = (0.8,), time_col:
     cuts = time_cutoffs(df, fractions, time_col, accuracy, exact)
     expr = None
     for name, cut in zip(names, cuts):
-        cond = F.col(time_col) <= F.lit(cut)
+        cond = F.col(time_col) <= lit_for(df, time_col, cut)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return df.withColumn("split", expr.otherwise(F.lit(names[len(cuts)])))
 

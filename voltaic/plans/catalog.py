@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaic import config
+from voltaic.functions.exprs import lit_for
 from voltaic.operators import evaluate as ev
 from voltaic.operators import features as fx
 from voltaic.operators import profile as pr
@@ -594,9 +595,10 @@ def _stream_features(spark, d, halves: bool = False):
 
     if halves:  # restart from the checkpoint half way: state must carry over
         mid = readings.agg(F.percentile_approx("time", 0.5, 10000).alias("m")).first()["m"]
-        _messages_dir(spark, d, "", readings.filter(F.col("time") <= F.lit(mid)), path=src)
+        cut = lit_for(readings, "time", mid)
+        _messages_dir(spark, d, "", readings.filter(F.col("time") <= cut), path=src)
         run()
-        _messages_dir(spark, d, "", readings.filter(F.col("time") > F.lit(mid)), mode="append", path=src)
+        _messages_dir(spark, d, "", readings.filter(F.col("time") > cut), mode="append", path=src)
     else:
         _messages_dir(spark, d, "", readings, path=src)
     run()
