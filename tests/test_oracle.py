@@ -38,3 +38,16 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["vehicle_id", "time"]
     assert df.count() == 22
+
+
+@pytest.mark.parametrize("name", ["split_rank", "split_time_3way", "repair_time", "stream_windows", "window_pivot"])
+def test_zone_independent(spark, con, name):
+    """The same answers under a session zone with daylight saving time."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = E.queries()[name](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = con.sql(ORACLE[name]).df()
+    assert canon(got, 6) == canon(want, 6)
