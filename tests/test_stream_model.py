@@ -116,3 +116,16 @@ def test_publish_limit_takes_first_in_order(spark):
                                "vehicle_id string, time timestamp_ntz, value_id int, value double")
     got = [json.loads(r.value)["value"] for r in ms.publish_messages(df, limit=2).collect()]
     assert sorted(got) == [1.0, 2.0]
+
+
+def test_saved_model_carries_feature_order(spark, tmp_path):
+    from voltaic import config
+    from voltaic.operators import model as md
+    from voltaic.operators.split import split_by_time
+    from voltaic.plans.catalog import ev_ml
+
+    data = split_by_time(ev_ml(spark, "/root/testdata/sf0.01"), [0.6, 0.8], exact=True)
+    m = md.train_rf(data.filter("split = 'train'"), config.FEATURES_SOC_FIRST, impute=True, numTrees=3, maxDepth=3)
+    again = md.load_model(md.save_model(m, str(tmp_path / "m")))
+    assert md.model_features(again) == config.FEATURES_SOC_FIRST
+    assert [r.feature for r in md.feature_importance(spark, again).collect()] != []

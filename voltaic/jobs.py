@@ -64,7 +64,7 @@ def train_valid_test(spark: SparkSession, ml_path: str, model_path: str,
     model = md.train_rf(data.filter(F.col("split") == "train"), features, **rf_params)
     md.save_model(model, model_path)
     out = {"split_counts": pr.class_distribution(data, by=["split"]),
-           "importance": md.feature_importance(spark, model, features)}
+           "importance": md.feature_importance(spark, model)}
     for name in ("validation", "test"):
         scored = model.transform(data.filter(F.col("split") == name))
         out[f"{name}_confusion"] = ev.confusion_matrix(scored)
@@ -112,7 +112,7 @@ def train_time_split(spark: SparkSession, ml_path: str, model_path: str,
     test = md.score_rows(model, data.filter(F.col("split") == "test"), keep=(config.LABEL,))
     return {"split_counts": pr.class_distribution(data, by=["split"]), "validation_sweep": sweep,
             "test_at_best": ev.evaluate_at_threshold(test, best["threshold"]),
-            "importance": md.feature_importance(spark, model, features)}
+            "importance": md.feature_importance(spark, model)}
 
 
 def stream_scoring(spark: SparkSession, messages: DataFrame, model_path: str, output: str, checkpoint: str,

@@ -53,9 +53,19 @@ def score_rows(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("vehi
                          probability_of("probability").alias("risk_probability"))
 
 
+def model_features(model: PipelineModel) -> list[str]:
+    """The feature names a fitted pipeline was trained on, read from its
+    assembler (``_imputed`` suffixes removed), so a saved model carries its
+    own feature list and order."""
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    return [c[: -len("_imputed")] if c.endswith("_imputed") else c for c in assembler.getInputCols()]
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel,
-                       features: Sequence[str] = config.FEATURES) -> DataFrame:
-    """``(feature, importance)`` ordered by importance (ties by name)."""
+                       features: Sequence[str] | None = None) -> DataFrame:
+    """``(feature, importance)`` ordered by importance (ties by name);
+    names come from the model unless given."""
+    features = list(features) if features is not None else model_features(model)
     imp = model.stages[-1].featureImportances.toArray()
     rows = [(f, float(v)) for f, v in zip(features, imp)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")

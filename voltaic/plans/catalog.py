@@ -658,7 +658,7 @@ def _train_imputed(spark, d):
     SOC-first feature order (the second training script)."""
     data = sp.split_by_time(ev_ml(spark, d), [0.6, 0.8], exact=True)
     model = md.train_rf(data.filter(F.col("split") == "train"), config.FEATURES_SOC_FIRST, impute=True)
-    return md.feature_importance(spark, model, config.FEATURES_SOC_FIRST)
+    return md.feature_importance(spark, model)
 
 
 register("train_rf_imputed")(_train_imputed)
