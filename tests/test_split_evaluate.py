@@ -164,3 +164,14 @@ def test_select_ranks_with_a_hot_value(spark):
     ks = [1, 1500, 3000, 3001, 4500, 8999, 9000]
     got = select_ranks(df, [(("x", "i"), k) for k in ks], accuracy=50, max_bracket=200)
     assert got == [ordered[k - 1] for k in ks]
+
+
+def test_histogram_sweep_equals_counts(spark):
+    rnd = random.Random(21)
+    data = [(rnd.randrange(2), rnd.choice([None, float("nan"), 0.0, 1.0, round(rnd.random(), 2)]))
+            for _ in range(3000)]
+    df = spark.createDataFrame(data, "maintenance_risk int, risk_probability double")
+    grid = [i / 100 for i in range(101)]
+    a = sorted(map(tuple, ev.threshold_sweep(df, grid, method="counts").collect()))
+    b = sorted(map(tuple, ev.threshold_sweep(df, grid, method="histogram").collect()))
+    assert len(a) == 101 and a == b

@@ -60,12 +60,19 @@ def threshold_sweep(
     *,
     label: str = LABEL,
     probability: str = "risk_probability",
+    method: str = "auto",
 ) -> DataFrame:
     """M7: per threshold ``t``, predict ``p >= t`` and report cells and rates.
 
-    One scan: the grid is expanded into ``4 * len(thresholds)`` conditional
-    counts of one aggregate, then turned into one row per threshold.
+    One scan either way. ``"counts"``: the grid becomes ``4 * len(thresholds)``
+    conditional counts of one aggregate (best for the short grids the
+    reference uses). ``"histogram"``: probabilities are bucketed at the
+    thresholds and counted per ``(label, bucket)``, then cumulated over that
+    table of at most ``2 * (len + 2)`` rows, so any grid size costs the same
+    scan. ``"auto"`` picks counts up to 32 thresholds.
     """
+    if method == "histogram" or (method == "auto" and len(thresholds) > 32):
+        return _sweep_histogram(df, thresholds, label, probability)
     lbl, p = F.col(label), F.col(probability)
     aggs = []
     for i, t in enumerate(thresholds):
@@ -86,6 +93,42 @@ def threshold_sweep(
     )
 
 
+def _sweep_histogram(df: DataFrame, thresholds: Sequence[float], label: str, probability: str) -> DataFrame:
+    from pyspark.ml.feature import Bucketizer
+    from pyspark.sql import Window
+
+    grid = sorted({float(t) for t in thresholds})
+    g = len(grid)
+    splits = [float("-inf"), *grid, float("inf")]
+    # NULL probability counts as predicted negative (bucket 0); NaN goes to
+    # Bucketizer's extra bucket g + 1, positive for every threshold like p >= t
+    scores = df.select(F.col(label).alias("_l"),
+                       F.coalesce(F.col(probability).cast("double"), F.lit(float("-inf"))).alias("_p"))
+    hist = (Bucketizer(splits=splits, inputCol="_p", outputCol="_b", handleInvalid="keep")
+            .transform(scores).groupBy("_b")
+            .agg(F.count_if(F.col("_l") == 1).alias("_pos"), F.count_if(F.col("_l") == 0).alias("_neg")))
+    # every bucket 0..g+1, with threshold j - 1 attached to bucket j: predicted
+    # positive at threshold j - 1 means bucket >= j, a suffix sum. Both tables
+    # have at most g + 2 rows, so the join and the unpartitioned window are bounded.
+    buckets = df.sparkSession.createDataFrame(
+        [(float(b), grid[b - 1] if 1 <= b <= g else None) for b in range(g + 2)], "_b double, threshold double")
+    x = buckets.join(F.broadcast(hist), "_b", "left").fillna(0, subset=["_pos", "_neg"])
+    suffix = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tp, fp = F.sum("_pos").over(suffix), F.sum("_neg").over(suffix)
+    cells = x.select(
+        "threshold",
+        tp.cast("long").alias("true_positives"),
+        fp.cast("long").alias("false_positives"),
+        (F.sum("_pos").over(whole) - tp).cast("long").alias("false_negatives"),
+        (F.sum("_neg").over(whole) - fp).cast("long").alias("true_negatives"),
+    ).filter(F.col("threshold").isNotNull())
+    return with_rates(cells).select(
+        "threshold", "precision", "recall", "f1", "true_positives", "false_positives",
+        "false_negatives", "true_negatives", "fpr",
+    )
+
+
 def best_threshold(sweep: DataFrame) -> DataFrame:
     """M8: highest F1; ties keep the lowest threshold."""
     return sweep.orderBy(F.desc("f1"), F.asc("threshold")).limit(1)

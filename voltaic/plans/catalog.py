@@ -683,3 +683,7 @@ register("message_quality", f"""SELECT count(*) AS messages,
   count_if(time IS NOT NULL AND TRY_CAST(strftime(time, '%Y-%m-%dT%H:%M:%S.%f') AS TIMESTAMP) IS NULL) AS bad_time,
   count_if(value_id IS NULL) AS no_code, count_if(value IS NULL) AS no_value FROM ({O.EV_READINGS}) r""")(
     _message_quality)
+
+_FINE_GRID = [round(i / 100, 2) for i in range(101)]
+register("threshold_curve", _sweep_sql(_FINE_GRID))(
+    lambda s, d: ev.threshold_sweep(event_scores(s, d), _FINE_GRID, method="histogram"))
