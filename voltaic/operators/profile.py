@@ -115,7 +115,8 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
     Done as an aggregate of ``min(struct(order..., rest...))`` rather than a
     ``row_number`` window: the partial aggregate runs before the exchange, so a
     key with a huge group of copies is reduced map-side instead of landing in
-    one task whole.
+    one task whole. (Struct buffers are not fixed-width, so Spark plans a
+    sort-based aggregate: it spills instead of holding groups in memory.)
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
