@@ -630,13 +630,8 @@ def li_ml_daily(spark, d):
     return fx.ml_dataset(li_readings(spark, d), **_LI_DAILY)
 
 
-def _li_daily_sql() -> str:
-    sql = O.ml_dataset().replace(O.EV_READINGS, O.LI_READINGS).replace(f"INTERVAL '{P.EV_WINDOW}'", "INTERVAL '1 day'")
-    sql = sql.replace(f">= {P.EV_BAND[0]} AND hv_battery_voltage <= {P.EV_BAND[1]}", ">= 1.0 AND hv_battery_voltage <= 50.0")
-    return sql.replace(f"> {P.EV_RISK} THEN 1", "> 20.0 THEN 1")
-
-
-register("ml_dataset_daily", _li_daily_sql())(li_ml_daily)
+register("ml_dataset_daily", O.ml_dataset(_LI_DAILY["threshold"], band=_LI_DAILY["band"], readings=O.LI_READINGS,
+                                          window=_LI_DAILY["window"]))(li_ml_daily)
 
 # ---- schema report, per-split counts, the imputed pipeline, test evaluation -----------------------
 

@@ -43,15 +43,16 @@ FROM ({pivot(readings_sql, config.SIGNALS_WIDE, window, True)}) p
 WHERE hv_soc IS NOT NULL AND hv_battery_voltage IS NOT NULL"""
 
 
-def banded(band=P.EV_BAND) -> str:
+def banded(band=P.EV_BAND, readings: str = EV_READINGS, window: str = P.EV_WINDOW) -> str:
     lo, hi = band
     return f"""SELECT *, CASE WHEN hv_soc > 0 THEN hv_battery_voltage / hv_soc END AS voltage_per_soc
-FROM ({pivot(EV_READINGS, config.SIGNALS_ML, P.EV_WINDOW, False)}) p
+FROM ({pivot(readings, config.SIGNALS_ML, window, False)}) p
 WHERE hv_battery_voltage >= {lo} AND hv_battery_voltage <= {hi} AND NOT isnan(hv_battery_voltage) AND hv_soc IS NOT NULL"""
 
 
-def sequenced(band=P.EV_BAND, lookahead: int = config.LOOKAHEAD_ROWS) -> str:
-    return f"""WITH b AS ({banded(band)}),
+def sequenced(band=P.EV_BAND, lookahead: int = config.LOOKAHEAD_ROWS, readings: str = EV_READINGS,
+              window: str = P.EV_WINDOW) -> str:
+    return f"""WITH b AS ({banded(band, readings, window)}),
 l AS (SELECT *, lag(hv_battery_voltage) OVER w AS previous_voltage, lag(hv_soc) OVER w AS previous_soc
       FROM b WINDOW w AS (PARTITION BY vehicle_id ORDER BY time)),
 c AS (SELECT *, hv_battery_voltage - previous_voltage AS voltage_change, hv_soc - previous_soc AS soc_change FROM l)
@@ -60,9 +61,9 @@ SELECT *, max(abs(voltage_change)) OVER (PARTITION BY vehicle_id ORDER BY time
 FROM c"""
 
 
-def labelled(threshold=P.EV_RISK) -> str:
+def labelled(threshold=P.EV_RISK, **kw) -> str:
     return f"""SELECT *, CASE WHEN future_max_voltage_change > {threshold} THEN 1 ELSE 0 END AS maintenance_risk
-FROM ({sequenced()}) s"""
+FROM ({sequenced(**kw)}) s"""
 
 
 ML_COLS = ("vehicle_id, time, vehicle_speed, ambient_air_temp, hv_aux_power, hv_soc, hv_battery_voltage, "
@@ -70,8 +71,9 @@ ML_COLS = ("vehicle_id, time, vehicle_speed, ambient_air_temp, hv_aux_power, hv_
            "future_max_voltage_change, maintenance_risk")
 
 
-def ml_dataset() -> str:
-    return f"""SELECT {ML_COLS} FROM ({labelled()}) x
+def ml_dataset(threshold=P.EV_RISK, **kw) -> str:
+    """The ML table; keyword arguments as ``sequenced`` (band, readings, window)."""
+    return f"""SELECT {ML_COLS} FROM ({labelled(threshold, **kw)}) x
 WHERE previous_voltage IS NOT NULL AND previous_soc IS NOT NULL AND future_max_voltage_change IS NOT NULL"""
 
 
