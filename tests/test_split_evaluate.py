@@ -175,3 +175,10 @@ def test_histogram_sweep_equals_counts(spark):
     a = sorted(map(tuple, ev.threshold_sweep(df, grid, method="counts").collect()))
     b = sorted(map(tuple, ev.threshold_sweep(df, grid, method="histogram").collect()))
     assert len(a) == 101 and a == b
+
+
+def test_running_totals_adds_buckets_for_large_inputs(spark):
+    df = spark.createDataFrame([(float(i), 1) for i in range(3000)], "s double, x int")
+    got = running_totals(df, "s", ["x"], descending=False, buckets=2, max_bucket_rows=100)
+    vals = {r.s: r.cum_x for r in got.collect()}
+    assert all(vals[float(i)] == i + 1 for i in range(3000))
