@@ -34,20 +34,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+_LOCAL_CKPT: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder for this session.
 
-    On a cluster the setting names shared storage and is used as is. Only when
-    it is unset (local tests) is a fresh scratch folder chosen.
+    ``spark.checkpoint.dir`` (the cluster's shared folder) is used as is; else
+    a folder already given to the context with ``setCheckpointDir``. Only when
+    neither exists (local tests) is a fresh scratch folder chosen; it is set on
+    the context, because ``spark.checkpoint.dir`` cannot be changed at runtime.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        sc = None
+    if not path and sc is not None:
+        path = sc.getCheckpointDir() or _LOCAL_CKPT.get(id(sc))
     if not path:
         path = tempfile.mkdtemp(prefix="voltaic-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session; the conf is used there
-        pass
+        if sc is not None:
+            _LOCAL_CKPT[id(sc)] = path
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
