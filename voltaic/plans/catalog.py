@@ -214,51 +214,20 @@ register("confusion_cells", f"SELECT {_CELLS.format(p='prediction = 1')} FROM ({
     lambda s, d: ev.confusion_cells(event_scores(s, d)))
 
 
-def _rates_sql(inner: str, with_threshold: bool = True) -> str:
-    return f"""SELECT {'threshold, ' if with_threshold else ''}
-  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
-  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
-  CASE WHEN (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
-          + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END) > 0
-       THEN 2 * (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
-              * (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)
-            / ((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
-              + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END))
-       ELSE 0.0 END AS f1,
-  CAST(tp AS BIGINT) AS true_positives, CAST(fp AS BIGINT) AS false_positives,
-  CAST(fn AS BIGINT) AS false_negatives, CAST(tn AS BIGINT) AS true_negatives,
-  CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0.0 END AS fpr,
-  CASE WHEN tp + tn + fp + fn > 0 THEN (tp + tn) / (tp + tn + fp + fn) ELSE 0.0 END AS accuracy
-FROM (SELECT {'t.threshold, ' if with_threshold else ''}
-  CAST(count_if(maintenance_risk = 1 AND {{p}}) AS DOUBLE) AS tp,
-  CAST(count_if(maintenance_risk = 0 AND {{p}}) AS DOUBLE) AS fp,
-  CAST(count_if(maintenance_risk = 1 AND NOT coalesce({{p}}, false)) AS DOUBLE) AS fn,
-  CAST(count_if(maintenance_risk = 0 AND NOT coalesce({{p}}, false)) AS DOUBLE) AS tn
-  FROM {inner} GROUP BY ALL) c"""
-
-
-def _sweep_sql(grid) -> str:
-    values = ", ".join(f"({t})" for t in grid)
-    inner = f"({O.SCORES}) s, (SELECT CAST(t0 AS DOUBLE) AS threshold FROM (VALUES {values}) v(t0)) t"
-    body = _rates_sql(inner).replace("{p}", "s.risk_probability >= t.threshold")
-    return f"""SELECT threshold, precision, recall, f1, true_positives, false_positives, false_negatives,
-  true_negatives, fpr FROM ({body}) r"""
-
-
-register("threshold_sweep", _sweep_sql(config.THRESHOLD_GRID_COARSE))(
+register("threshold_sweep", O.sweep(config.THRESHOLD_GRID_COARSE))(
     lambda s, d: ev.threshold_sweep(event_scores(s, d), config.THRESHOLD_GRID_COARSE))
 
-register("best_threshold", f"""SELECT * FROM ({_sweep_sql(config.THRESHOLD_GRID_LOW)}) x
+register("best_threshold", f"""SELECT * FROM ({O.sweep(config.THRESHOLD_GRID_LOW)}) x
 ORDER BY f1 DESC, threshold ASC LIMIT 1""")(
     lambda s, d: ev.best_threshold(ev.threshold_sweep(event_scores(s, d), config.THRESHOLD_GRID_LOW)))
 
 register("evaluate_at_threshold", f"""SELECT {P.EVAL_THRESHOLD} :: DOUBLE AS threshold, true_positives,
   false_positives, false_negatives, true_negatives, precision, recall, f1, accuracy, fpr
-FROM ({_rates_sql(f'({O.SCORES}) s', False).replace('{p}', f'risk_probability >= {P.EVAL_THRESHOLD}')}) r""")(
+FROM ({O.rates(f'({O.SCORES}) s', False).replace('{p}', f'risk_probability >= {P.EVAL_THRESHOLD}')}) r""")(
     lambda s, d: ev.evaluate_at_threshold(event_scores(s, d), P.EVAL_THRESHOLD))
 
 register("risk_metrics", f"""SELECT precision, recall, f1
-FROM ({_rates_sql(f'({O.SCORES}) s', False).replace('{p}', 'prediction = 1')}) r""")(
+FROM ({O.rates(f'({O.SCORES}) s', False).replace('{p}', 'prediction = 1')}) r""")(
     lambda s, d: ev.risk_metrics(event_scores(s, d)))
 
 register("multiclass_metrics", f"""WITH cm AS (SELECT CAST(maintenance_risk AS DOUBLE) AS l, prediction AS p,
@@ -287,18 +256,11 @@ register("split_rank", O.split_rank())(
     lambda s, d: sp.split_by_rank(ev_complete(s, d)).select("vehicle_id", "time", config.LABEL, "split"))
 
 
-def _time_split_sql(fracs, names) -> str:
-    qs = ", ".join(f"quantile_disc(time, {f}) AS q{i}" for i, f in enumerate(fracs))
-    case = " ".join(f"WHEN time <= q{i} THEN '{n}'" for i, n in enumerate(names[:-1]))
-    return f"""SELECT vehicle_id, time, maintenance_risk, CASE {case} ELSE '{names[-1]}' END AS split
-FROM ({O.complete_rows()}) c, (SELECT {qs} FROM ({O.complete_rows()}) c2) q"""
-
-
-register("split_time_80", _time_split_sql([0.8], ["train", "test"]))(
+register("split_time_80", O.time_split([0.8], ["train", "test"]))(
     lambda s, d: sp.split_by_time(ev_complete(s, d), [0.8], exact=True)
     .select("vehicle_id", "time", config.LABEL, "split"))
 
-register("split_time_3way", _time_split_sql([0.6, 0.8], ["train", "validation", "test"]))(
+register("split_time_3way", O.time_split([0.6, 0.8], ["train", "validation", "test"]))(
     lambda s, d: sp.split_by_time(ev_complete(s, d), [0.6, 0.8], exact=True)
     .select("vehicle_id", "time", config.LABEL, "split"))
 
@@ -391,7 +353,7 @@ register("unpivot_signals", f"""SELECT vehicle_id, time, signal, value FROM (
     lambda s, d: rp.unpivot_long(li_wide(s, d), ["vehicle_id", "time"], rp.TEMPERATURE_COLUMNS))
 
 register("unpivot_metrics", f"""SELECT threshold, metric, score FROM (UNPIVOT (
-  SELECT threshold, precision, recall, f1 FROM ({_sweep_sql(config.THRESHOLD_GRID_REPORT)}) x)
+  SELECT threshold, precision, recall, f1 FROM ({O.sweep(config.THRESHOLD_GRID_REPORT)}) x)
   ON precision, recall, f1 INTO NAME metric VALUE score) u""")(
     lambda s, d: rp.unpivot_long(ev.threshold_sweep(event_scores(s, d), config.THRESHOLD_GRID_REPORT),
                                  ["threshold"], ["precision", "recall", "f1"], "metric", "score"))
@@ -442,7 +404,7 @@ def _threshold_lookup(spark, d):
 
 
 register("threshold_lookup", f"""SELECT threshold, precision, recall, f1, true_positives, false_positives,
-  false_negatives FROM ({_sweep_sql(config.THRESHOLD_GRID_REPORT)}) x WHERE round(threshold, 6) = 0.7""")(
+  false_negatives FROM ({O.sweep(config.THRESHOLD_GRID_REPORT)}) x WHERE round(threshold, 6) = 0.7""")(
     _threshold_lookup)
 
 # ---- repair and normalization -------------------------------------------------------------------
@@ -680,5 +642,5 @@ register("message_quality", f"""SELECT count(*) AS messages,
     _message_quality)
 
 _FINE_GRID = [round(i / 100, 2) for i in range(101)]
-register("threshold_curve", _sweep_sql(_FINE_GRID))(
+register("threshold_curve", O.sweep(_FINE_GRID))(
     lambda s, d: ev.threshold_sweep(event_scores(s, d), _FINE_GRID, method="histogram"))

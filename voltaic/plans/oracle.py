@@ -140,3 +140,41 @@ l AS (SELECT *, hv_battery_voltage / hv_soc AS voltage_per_soc,
   lag(hv_battery_voltage) OVER w AS previous_voltage, lag(hv_soc) OVER w AS previous_soc
   FROM v WINDOW w AS (PARTITION BY vehicle_id ORDER BY time))
 SELECT *, hv_battery_voltage - previous_voltage AS voltage_change, hv_soc - previous_soc AS soc_change FROM l"""
+
+
+def rates(inner: str, with_threshold: bool = True) -> str:
+    return f"""SELECT {'threshold, ' if with_threshold else ''}
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+  CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+  CASE WHEN (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+          + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END) > 0
+       THEN 2 * (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+              * (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)
+            / ((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+              + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END))
+       ELSE 0.0 END AS f1,
+  CAST(tp AS BIGINT) AS true_positives, CAST(fp AS BIGINT) AS false_positives,
+  CAST(fn AS BIGINT) AS false_negatives, CAST(tn AS BIGINT) AS true_negatives,
+  CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0.0 END AS fpr,
+  CASE WHEN tp + tn + fp + fn > 0 THEN (tp + tn) / (tp + tn + fp + fn) ELSE 0.0 END AS accuracy
+FROM (SELECT {'t.threshold, ' if with_threshold else ''}
+  CAST(count_if(maintenance_risk = 1 AND {{p}}) AS DOUBLE) AS tp,
+  CAST(count_if(maintenance_risk = 0 AND {{p}}) AS DOUBLE) AS fp,
+  CAST(count_if(maintenance_risk = 1 AND NOT coalesce({{p}}, false)) AS DOUBLE) AS fn,
+  CAST(count_if(maintenance_risk = 0 AND NOT coalesce({{p}}, false)) AS DOUBLE) AS tn
+  FROM {inner} GROUP BY ALL) c"""
+
+
+def sweep(grid) -> str:
+    values = ", ".join(f"({t})" for t in grid)
+    inner = f"({SCORES}) s, (SELECT CAST(t0 AS DOUBLE) AS threshold FROM (VALUES {values}) v(t0)) t"
+    body = rates(inner).replace("{p}", "s.risk_probability >= t.threshold")
+    return f"""SELECT threshold, precision, recall, f1, true_positives, false_positives, false_negatives,
+  true_negatives, fpr FROM ({body}) r"""
+
+
+def time_split(fracs, names) -> str:
+    qs = ", ".join(f"quantile_disc(time, {f}) AS q{i}" for i, f in enumerate(fracs))
+    case = " ".join(f"WHEN time <= q{i} THEN '{n}'" for i, n in enumerate(names[:-1]))
+    return f"""SELECT vehicle_id, time, maintenance_risk, CASE {case} ELSE '{names[-1]}' END AS split
+FROM ({complete_rows()}) c, (SELECT {qs} FROM ({complete_rows()}) c2) q"""
