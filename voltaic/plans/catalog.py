@@ -125,6 +125,8 @@ register("features", O.banded())(lambda s, d: ev_banded(s, d))
 # ---- row windows ------------------------------------------------------------------------------
 
 _SEQ = "vehicle_id, time, previous_voltage, previous_soc, voltage_change, soc_change"
+# 1-day chunks over 6-hour windows: four windows per chunk, so nearly every row
+# depends on a neighbouring chunk and the oracle checks the edge pass on real data
 
 register("lag_features", f"SELECT {_SEQ} FROM ({O.sequenced()}) s")(
     lambda s, d: fx.sequence_features(ev_banded(s, d), chunk="1 day").select(*_SEQ.split(", ")))
