@@ -21,6 +21,13 @@ row is the previous chunk's last row, and the ``lookahead`` rows after a
 chunk's tail are each among the first ``lookahead`` rows of their own chunk,
 so all of them are edge rows. The result equals the per-vehicle window row for
 row (tested), with no sampling or caps.
+
+Bounds: a main-pass group holds at most ``chunk / window`` rows; the edge pass
+holds at most ``2 * lookahead`` rows per chunk of a vehicle, i.e. at most
+``2 * lookahead * span / chunk`` rows per vehicle (43,800 for ten years of
+one-day chunks), a number set by the time span, not by the data volume. A
+dense hot vehicle has full chunks, so its edge rows are a tiny share
+(``tools/skew_probe.py`` measures it).
 """
 from __future__ import annotations
 
