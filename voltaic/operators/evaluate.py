@@ -176,16 +176,22 @@ def multiclass_metrics(df: DataFrame, label: str = LABEL, prediction: str = "pre
     )
 
 
-def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", buckets: int = 200) -> DataFrame:
+def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", buckets: int = 200,
+        checkpoint: bool = True) -> DataFrame:
     """Exact ROC-AUC and PR-AUC (trapezoid), MLlib's curve conventions.
 
-    Scores are grouped (one row per distinct score), then running positive and
-    negative counts in descending score order come from ``running_totals``
-    (no single-partition window). ROC starts at (0, 0); the PR curve starts at
+    Scores are grouped (one row per distinct score) and, with ``checkpoint``,
+    written once to the checkpoint folder; running positive and negative
+    counts in descending score order come from ``running_totals`` (no
+    single-partition window). ROC starts at (0, 0); the PR curve starts at
     (0, precision of the first point).
     """
     g = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    if checkpoint:  # read three times below (edges, per-bucket totals, running sums): compute once
+        from voltaic.operators.split import materialize
+
+        g = materialize(g)
     cum = running_totals(g, "s", ["pos", "neg"], descending=True, buckets=buckets)
     cp, cn = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
