@@ -97,8 +97,14 @@ def time_cutoffs(df: DataFrame, fractions: Sequence[float], time_col: str = "tim
 
 def split_by_time(df: DataFrame, fractions: Sequence[float] = (0.8,), time_col: str = "time",
                   names: Sequence[str] | None = None, accuracy: int = 10000,
-                  exact: bool = False) -> DataFrame:
-    """M2 (one fraction, train/test) and M3 (two fractions): ``time <= cutoff`` inclusive."""
+                  exact: bool = False, checkpoint: bool | None = None) -> DataFrame:
+    """M2 (one fraction, train/test) and M3 (two fractions): ``time <= cutoff`` inclusive.
+
+    ``checkpoint`` (default: on in exact mode, which makes several passes)
+    computes the input once into the checkpoint folder first.
+    """
+    if checkpoint if checkpoint is not None else exact:
+        df = materialize(df)
     if names is None:
         names = ("train", "test") if len(fractions) == 1 else SPLIT_NAMES
     cuts = time_cutoffs(df, fractions, time_col, accuracy, exact)
