@@ -436,7 +436,7 @@ _MODELS: dict = {}
 
 
 def ev_model(spark, d):
-    key = (id(spark.sparkContext), d)
+    key = (id(spark), d)
     if key not in _MODELS:
         data = sp.split_by_rank(ev_complete(spark, d))
         _MODELS[key] = md.train_rf(data.filter(F.col("split") == "train"))
