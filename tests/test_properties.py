@@ -37,3 +37,27 @@ def test_chunked_lookahead_matches_plain(spark, data, lookahead, chunk):
 def test_load_missing_folder_is_empty(spark, tmp_path):
     df = load_folder(spark, str(tmp_path / "nothing-here"))
     assert df.count() == 0
+
+
+values = st.lists(st.one_of(st.none(), st.sampled_from([0.0, 0.0, 0.0, 1.5, -2.0]), st.floats(-50, 50, allow_nan=False)),
+                  min_size=1, max_size=400)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=values, fracs=st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4))
+def test_exact_ranks_match_a_sort(spark, vals, fracs):
+    """select_ranks / exact_quantiles against a brute-force sort, with NULLs, a
+    hot value and brackets small enough to force the narrowing rounds."""
+    from voltaic.operators.ranks import disc_rank, exact_quantiles, select_ranks
+
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "x double, i long")
+    ordered = sorted((v, i) for i, v in enumerate(vals) if v is not None)
+    n = len(ordered)
+    ks = sorted({max(0, min(n + 1, int(f * n))) for f in fracs} | {1, n})
+    got = select_ranks(df, [(("x", "i"), k) for k in ks], accuracy=20, max_bracket=16)
+    assert got == [ordered[k - 1] if 0 < k <= n else None for k in ks]
+    q = exact_quantiles(df, ["x"], [round(f, 2) for f in fracs], accuracy=20, max_bracket=16)
+    xs = [v for v, _ in ordered]
+    for f in fracs:
+        p = round(f, 2)
+        assert q[("x", p)] == (xs[disc_rank(p, n) - 1] if n else None)
