@@ -35,3 +35,28 @@ def test_batch_jobs_and_stream_scoring(spark):
     idem = sf.foreach_batch_to_parquet(
         sf.stream_windows(ms.text_source(spark, src), window="6 hours"), f"{base}/fb", f"{base}/fbck")
     assert idem is not None and spark.read.parquet(f"{base}/fb").count() > 0
+
+
+def test_normalize_job_writes_one_folder_per_source(spark, tmp_path):
+    import datetime as dt
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def ns(t):
+        return int((t - dt.datetime(1970, 1, 1)).total_seconds()) * 10**9
+
+    paths = {}
+    for name, times in (("CUP1", [dt.datetime(2088, 1, 1), dt.datetime(2088, 1, 2)]), ("ID2", [dt.datetime(2023, 1, 1)])):
+        table = pa.table({"vehicle_id": [name] * len(times),
+                          "time": pa.array([ns(t) for t in times], pa.int64()).cast(pa.timestamp("ns")),
+                          "value_id": pa.array([1200] * len(times), pa.int32()), "value": [400.0] * len(times)})
+        paths[name] = str(tmp_path / f"{name}.parquet")
+        pq.write_table(table, paths[name])
+    out = str(tmp_path / "normalized")
+    acct = {r.source: (r.rows, r.corrected_rows) for r in jobs.normalize(spark, paths, out, repaired=["CUP1"]).collect()}
+    assert acct == {"CUP1": (2, 2), "ID2": (1, 0), None: (3, 2)}
+    assert sorted(d for d in os.listdir(out) if d.startswith("source=")) == ["source=CUP1", "source=ID2"]
+    times = sorted(r.time for r in spark.read.parquet(out).collect())
+    assert times == [dt.datetime(2023, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)]
