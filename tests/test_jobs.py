@@ -25,6 +25,10 @@ def test_batch_jobs_and_stream_scoring(spark):
     assert sweep.count() == 4
     t = jobs.train_time_split(spark, f"{base}/ml", f"{base}/model2", numTrees=5, maxDepth=4, exact=True)
     assert t["test_at_best"].count() == 1
+    e = jobs.train_evaluate_80(spark, f"{base}/ml", f"{base}/model3", numTrees=5, maxDepth=4, exact=True)
+    cells = e["test_cells"].first()
+    assert sum(cells) == e["split_counts"].filter("split = 'test'").groupBy().sum("count").first()[0]
+    assert e["threshold_analysis"].count() == 9 and e["test_auc"].count() == 1
     # streaming scoring job: start, process what is there, stop
     src = ms.write_text(ms.publish_messages(events_as_readings(spark, "/root/testdata/sf0.001")), f"{base}/in")
     q = jobs.stream_scoring(spark, ms.text_source(spark, src), f"{base}/model", f"{base}/scores",
