@@ -64,3 +64,16 @@ def test_normalize_job_writes_one_folder_per_source(spark, tmp_path):
     assert sorted(d for d in os.listdir(out) if d.startswith("source=")) == ["source=CUP1", "source=ID2"]
     times = sorted(r.time for r in spark.read.parquet(out).collect())
     assert times == [dt.datetime(2023, 1, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)]
+
+
+def test_report_jobs(spark):
+    base = scratch_path(spark, "test-reports-" + uuid.uuid4().hex[:8])
+    readings = write_dataset(events_as_readings(spark, "/root/testdata/sf0.001"), f"{base}/readings")
+    sig = jobs.signal_report(spark, readings)
+    assert {r.value_id for r in sig["stats"].collect()} == {900, 1200}
+    assert sig["names"].count() == 6
+    volt = jobs.voltage_report(spark, readings, band=(5.0, 150.0))
+    assert volt["percentiles"].count() == 1 and volt["extremes"].count() <= 20
+    jobs.preprocess(spark, readings, f"{base}/processed", window="6 hours")
+    feat = jobs.feature_report(spark, f"{base}/processed")
+    assert feat["describe"].count() == 7 and feat["preview"].count() <= 20

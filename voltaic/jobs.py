@@ -140,6 +140,38 @@ def train_evaluate_80(spark: SparkSession, ml_path: str, model_path: str,
             "importance": md.feature_importance(spark, model)}
 
 
+def signal_report(spark: SparkSession, readings_path: str,
+                  codes: Sequence[int] = tuple(config.BATTERY_SIGNAL_NAMES)) -> dict[str, DataFrame]:
+    """Battery signal check: counts and statistics per listed code, with names."""
+    r = scan_readings(spark, readings_path)
+    return {"stats": pr.signal_stats(r, codes), "names": pr.signal_names(spark, r)}
+
+
+def voltage_report(spark: SparkSession, readings_path: str, code: int = 1200,
+                   band: tuple[float, float] = config.VOLTAGE_BAND) -> dict[str, DataFrame]:
+    """Voltage analysis of one signal: range, percentiles, extremes and band counts."""
+    from voltaic.sources.readings import scan_profile, single_signal
+
+    v = single_signal(scan_readings(spark, readings_path), code, "battery_voltage")
+    return {"profile": scan_profile(v),
+            "percentiles": pr.signal_percentiles(v, "battery_voltage"),
+            "extremes": pr.out_of_band(v, "battery_voltage", band),
+            "band": pr.band_audit(v, "battery_voltage", band)}
+
+
+def feature_report(spark: SparkSession, processed_path: str) -> dict[str, DataFrame]:
+    """Processed-table analysis: describe, NULL counts, SOC/voltage ranges, vehicles,
+    schema and a preview."""
+    from voltaic.operators import report as rp
+
+    w = spark.read.parquet(processed_path)
+    cols = [c for c in ("vehicle_speed", "ambient_air_temp", "hv_aux_power", "hv_soc", "hv_battery_voltage",
+                        "battery_temp_avg", "battery_temp_delta") if c in w.columns]
+    return {"describe": pr.describe_columns(w, cols), "nulls": pr.null_counts(w, long=True),
+            "ranges": pr.range_stats(w), "vehicles": pr.vehicles(w), "schema": pr.schema_report(w),
+            "preview": rp.preview(w, ["vehicle_id", "time"])}
+
+
 def stream_scoring(spark: SparkSession, messages: DataFrame, model_path: str, output: str, checkpoint: str,
                    *, window: str = config.WINDOW, watermark: str = config.WATERMARK,
                    processing_time: str = "5 seconds", first_row: str = "current"):
