@@ -172,6 +172,23 @@ def feature_report(spark: SparkSession, processed_path: str) -> dict[str, DataFr
             "preview": rp.preview(w, ["vehicle_id", "time"])}
 
 
+def publish(spark: SparkSession, readings_path: str, servers: str, topic: str, limit: int | None = 1000) -> DataFrame:
+    """Producer: readings as JSON messages (first ``limit`` in time order, or all)
+    written to a Kafka topic in one batch job; returns what was sent."""
+    from voltaic.streaming import messages as ms
+
+    msgs = ms.publish_messages(scan_readings(spark, readings_path), limit=limit)
+    ms.write_kafka(msgs, servers, topic)
+    return msgs
+
+
+def inspect_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """Consumer check: the topic read once from the earliest offset and decoded."""
+    from voltaic.streaming import messages as ms
+
+    return ms.parse_messages(ms.kafka_source(spark, servers, topic, starting="earliest", stream=False))
+
+
 def stream_scoring(spark: SparkSession, messages: DataFrame, model_path: str, output: str, checkpoint: str,
                    *, window: str = config.WINDOW, watermark: str = config.WATERMARK,
                    processing_time: str = "5 seconds", first_row: str = "current"):
