@@ -28,3 +28,15 @@ def test_label_names_and_risk_share(spark):
     risk = {r.vehicle_id: (r.risk_count, r.labelled, r.risk_percentage) for r in rp.vehicle_risk(df).collect()}
     assert risk["A"][0] == 1 and abs(risk["A"][2] - 100 / 3) < 1e-12
     assert risk["B"] == (0, 0, None)
+
+
+def test_dedup_keeps_first_by_stated_order(spark):
+    from voltaic.operators.profile import dedup
+
+    df = spark.createDataFrame([("A", 1, 5.0, "x"), ("A", 1, 2.0, "y"), ("A", 1, 2.0, "b"), ("B", 2, 9.0, "z")],
+                               "vehicle_id string, k int, value double, tag string")
+    got = {(r.vehicle_id, r.k): (r.value, r.tag) for r in dedup(df, ["vehicle_id", "k"], ["value"]).collect()}
+    assert got == {("A", 1): (2.0, "b"), ("B", 2): (9.0, "z")}   # ties on value broken by the rest
+    one = dedup(df.drop("tag"), ["vehicle_id", "k"], ["value"])
+    assert one.columns == ["vehicle_id", "k", "value"]
+    assert {(r.vehicle_id, r.value) for r in one.collect()} == {("A", 2.0), ("B", 9.0)}

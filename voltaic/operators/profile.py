@@ -120,6 +120,9 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if len(order + rest) == 1:  # a single value column: plain min, hash-aggregated
+        c = (order + rest)[0]
+        return df.groupBy(*keys).agg(F.min(c).alias(c)).select(*df.columns)
     packed = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_r")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in order + rest]) \
         .select(*df.columns)
