@@ -191,15 +191,7 @@ def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", b
     if checkpoint:  # read three times below (edges, per-bucket totals, running sums): compute once
         from voltaic.operators.split import materialize
 
-        try:
-            g = materialize(g)
-        except Exception as exc:  # noqa: BLE001
-            # a freshly fitted forest keeps a session reference in its training
-            # summary; once the session has used DataFrame.observe, closures that
-            # capture the model cannot be serialized for a checkpoint. The
-            # uncheckpointed plan gives the same result, recomputing the scores.
-            if "not serializable" not in str(exc).lower():
-                raise
+        g = materialize(g)
     cum = running_totals(g, "s", ["pos", "neg"], descending=True, buckets=buckets)
     cp, cn = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
