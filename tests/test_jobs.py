@@ -32,10 +32,12 @@ def test_batch_jobs_and_stream_scoring(spark):
     # streaming scoring job: start, process what is there, stop
     src = ms.write_text(ms.publish_messages(events_as_readings(spark, "/root/testdata/sf0.001")), f"{base}/in")
     q = jobs.stream_scoring(spark, ms.text_source(spark, src), f"{base}/model", f"{base}/scores",
-                            f"{base}/ck", window="6 hours", processing_time="1 second")
+                            f"{base}/ck", window="6 hours", band=(5.0, 150.0), processing_time="1 second")
     q.processAllAvailable()
     q.stop()
-    assert spark.read.parquet(f"{base}/scores").count() >= 0
+    scores = spark.read.parquet(f"{base}/scores").collect()
+    assert len(scores) > 0 and all(0.0 <= r.risk_probability <= 1.0 for r in scores)
+    assert {r.prediction for r in scores} <= {0.0, 1.0}
     idem = sf.foreach_batch_to_parquet(
         sf.stream_windows(ms.text_source(spark, src), window="6 hours"), f"{base}/fb", f"{base}/fbck")
     assert idem is not None and spark.read.parquet(f"{base}/fb").count() > 0

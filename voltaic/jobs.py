@@ -191,13 +191,14 @@ def inspect_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 
 def stream_scoring(spark: SparkSession, messages: DataFrame, model_path: str, output: str, checkpoint: str,
                    *, window: str = config.WINDOW, watermark: str = config.WATERMARK,
+                   band: tuple[float, float] = config.VOLTAGE_BAND,
                    processing_time: str = "5 seconds", first_row: str = "current"):
     """Messages -> closed windows -> per-vehicle features (state store) -> scores,
     appended to Parquet every ``processing_time``; returns the running query."""
     from voltaic.streaming import features as sf
 
     feats = sf.stream_features(sf.stream_windows(messages, window=window, watermark=watermark),
-                               first_row=first_row)
+                               band=band, first_row=first_row)
     scored = sf.score_stream(feats, md.load_model(model_path))
     return sf.run_to_parquet(sf.to_ntz_times(scored), output, checkpoint, available_now=False,
                              processing_time=processing_time)
