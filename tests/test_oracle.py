@@ -27,11 +27,28 @@ def test_query_matches_oracle(spark, con, name):
     assert gr == wr
 
 
-def test_every_query_has_callable_and_schema(spark):
+def test_rows_only_queries(spark):
+    """The queries without an oracle, at sf0.01 (models need a training split),
+    with the invariants that hold for them."""
     qs = E.queries()
-    assert set(ORACLE) <= set(qs)
-    for name in sorted(set(qs) - set(ORACLE) - SLOW):
-        assert qs[name](spark, SF_SMALL).count() >= 0
+    assert set(ORACLE) <= set(qs) and set(qs) - set(ORACLE) == SLOW
+    d = "/root/testdata/sf0.01"
+    summary = qs["train_rf"](spark, d).first()
+    assert summary.num_trees == 100 and summary.max_depth == 8 and summary.num_features == 10
+    imp = qs["feature_importance"](spark, d).collect()
+    assert len(imp) == 10 and abs(sum(r.importance for r in imp) - 1) < 1e-9
+    scored = qs["score_rows"](spark, d).collect()
+    assert len(scored) == 96 and all(0 <= r.risk_probability <= 1 for r in scored)
+    again = qs["model_roundtrip"](spark, d).collect()
+    key = lambda r: (r.vehicle_id, r.time)
+    assert sorted(again, key=key) == sorted(scored, key=key)
+    assert qs["validation_sweep"](spark, d).count() == 9
+    late = qs["stream_late"](spark, d).first()
+    assert late.windows_before == late.windows_after == 833 and late.late_state_rows_dropped > 0
+    assert qs["stream_scores"](spark, d).count() == 651
+    assert qs["train_rf_imputed"](spark, d).count() == 10
+    best = qs["evaluate_best_on_test"](spark, d).first()
+    assert best.true_positives + best.false_positives + best.false_negatives + best.true_negatives == 96
 
 
 def test_entry_runs(spark):
