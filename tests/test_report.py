@@ -17,8 +17,9 @@ def test_present_columns_and_latest(spark):
                                "vehicle_id string, time timestamp_ntz, hv_temp_min double, hv_soc double")
     present = {r.column for r in rp.present_columns(df, ["hv_temp_min", "hv_soc", "missing"]).collect()}
     assert present == {"hv_soc"}
-    latest = rp.latest_reading(df, ["hv_soc"]).first()
-    assert latest.hv_soc == 2.0 and latest.time == dt.datetime(2024, 1, 2)
+    for unique in (False, True):
+        latest = rp.latest_reading(df, ["hv_soc"], unique_time=unique).first()
+        assert latest.hv_soc == 2.0 and latest.time == dt.datetime(2024, 1, 2)
 
 
 def test_label_names_and_risk_share(spark):

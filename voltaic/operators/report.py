@@ -68,8 +68,16 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def latest_reading(df: DataFrame, cols: Sequence[str] = ("hv_battery_voltage", "hv_soc"),
-                   time_col: str = "time") -> DataFrame:
-    """The last row per vehicle by time (``max_by``, a partial aggregate)."""
+                   time_col: str = "time", unique_time: bool = False) -> DataFrame:
+    """The last row per vehicle by time (``max_by``, a partial aggregate).
+
+    With ``unique_time`` (one row per vehicle and time, as in window tables)
+    each column takes its own ``max_by``, which Spark hash-aggregates; otherwise
+    one ``max_by`` of a struct keeps the columns of a single row even on ties.
+    """
+    if unique_time:
+        return df.groupBy("vehicle_id").agg(
+            F.max(time_col).alias(time_col), *[F.max_by(c, time_col).alias(c) for c in cols])
     packed = F.max_by(F.struct(F.col(time_col).alias(time_col), *[F.col(c) for c in cols]), F.col(time_col))
     return df.groupBy("vehicle_id").agg(packed.alias("_l")).select(
         "vehicle_id", *[F.col(f"_l.{c}").alias(c) for c in (time_col, *cols)])

@@ -332,7 +332,7 @@ register("coerce_numeric", """SELECT event_id, TRY_CAST(json_extract_string(prop
 
 register("latest_reading", f"""SELECT vehicle_id, max_by(time, time) AS time,
   max_by(hv_battery_voltage, time) AS hv_battery_voltage, max_by(hv_soc, time) AS hv_soc
-FROM ({O.ev_wide()}) w GROUP BY 1""")(lambda s, d: rp.latest_reading(ev_wide(s, d)))
+FROM ({O.ev_wide()}) w GROUP BY 1""")(lambda s, d: rp.latest_reading(ev_wide(s, d), unique_time=True))
 
 register("vehicle_kpis", f"""SELECT vehicle_id, round(avg(vehicle_speed), 9) AS avg_speed,
   round(avg(ambient_air_temp), 9) AS avg_ambient_temp, count(*) AS windows
