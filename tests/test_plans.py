@@ -51,3 +51,16 @@ def test_fixed_seed_same_forest(spark):
     a = md.feature_importance(spark, md.train_rf(train, numTrees=5, maxDepth=3)).collect()
     b = md.feature_importance(spark, md.train_rf(train, numTrees=5, maxDepth=3)).collect()
     assert a == b
+
+
+def test_no_cross_joins_in_registered_queries(spark):
+    """No registered batch query plans a cartesian or nested-loop join."""
+    import __spark_entry__ as E
+
+    skip = {"train_rf", "feature_importance", "score_rows", "model_roundtrip", "validation_sweep",
+            "train_rf_imputed", "evaluate_best_on_test"}
+    for name, fn in sorted(E.queries().items()):
+        if name in skip or name.startswith("stream_"):
+            continue
+        plan = _plan(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
