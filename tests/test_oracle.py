@@ -1,11 +1,11 @@
 """Every registered query against its DuckDB oracle on the smallest test tables."""
 import pytest
 
-import __spark_entry__ as E
+from voltaic.plans.catalog import ORACLE, QUERIES
 from oracle_check import canon, con_for
 from conftest import SF_SMALL
 
-ORACLE = E.oracle_sql()
+
 # model keys need a non-empty training split: sf0.001 has one complete row
 SLOW = {"train_rf", "feature_importance", "score_rows", "model_roundtrip", "validation_sweep",
         "stream_scores", "stream_late", "train_rf_imputed", "evaluate_best_on_test"}
@@ -18,7 +18,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    got = QUERIES[name](spark, SF_SMALL).toPandas()
     want = con.sql(ORACLE[name]).df()
     assert len(got) == len(want)
     gc, gr = canon(got, 6)
@@ -30,7 +30,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_rows_only_queries(spark):
     """The queries without an oracle, at sf0.01 (models need a training split),
     with the invariants that hold for them."""
-    qs = E.queries()
+    qs = QUERIES
     assert set(ORACLE) <= set(qs) and set(qs) - set(ORACLE) == SLOW
     d = "/root/testdata/sf0.01"
     summary = qs["train_rf"](spark, d).first()
@@ -63,7 +63,7 @@ def test_zone_independent(spark, con, name):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        got = E.queries()[name](spark, SF_SMALL).toPandas()
+        got = QUERIES[name](spark, SF_SMALL).toPandas()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     want = con.sql(ORACLE[name]).df()

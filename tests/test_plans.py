@@ -55,11 +55,11 @@ def test_fixed_seed_same_forest(spark):
 
 def test_no_cross_joins_in_registered_queries(spark):
     """No registered batch query plans a cartesian or nested-loop join."""
-    import __spark_entry__ as E
+    from voltaic.plans.catalog import QUERIES
 
     skip = {"train_rf", "feature_importance", "score_rows", "model_roundtrip", "validation_sweep",
             "train_rf_imputed", "evaluate_best_on_test"}
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         if name in skip or name.startswith("stream_"):
             continue
         plan = _plan(fn(spark, SF_SMALL))
