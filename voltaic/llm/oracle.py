@@ -39,8 +39,8 @@ lens AS (SELECT DISTINCT n FROM win),
 dw AS (SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS k, ws FROM w JOIN lens ON len(ws) >= n),
 h AS (SELECT DISTINCT doc_id, k, d.n, item_id
       FROM (SELECT doc_id, n, k, array_to_string(ws[k:k + n - 1], ' ') AS txt FROM dw) d JOIN win USING (n, txt)),
-pos AS (SELECT doc_id, count(DISTINCT at) AS n_hit
-        FROM (SELECT doc_id, unnest(range(k, k + n)) AS at FROM h) GROUP BY 1),
+pos AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM h) GROUP BY 1),
 its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
         array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM h GROUP BY 1)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
