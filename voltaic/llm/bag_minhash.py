@@ -15,13 +15,15 @@ weighted Jaccard similarity, without bias. Drawing stops when no further point
 can come before the latest first time.
 
 1. Texts with equal words form one content class (a digest, partial counts).
-2. Classes are banded; a bucket's smallest class is its centre, and each other
-   member is verified against the centre: as many pairs as members.
+2. Classes are banded; each member of a bucket is verified against the
+   bucket's centre: as many pairs as members.
 3. Linked classes are joined into components. A member that missed its centre
    may still be linked to other members. One minus weighted Jaccard is a
    metric, so only members whose similarities to the centre differ by at most
-   ``1 - threshold`` qualify; those pairs are verified unless they are already
-   in one component. No bucket, candidate or partner count is capped.
+   ``1 - threshold`` qualify. They are compared tile by tile, all texts of one
+   with all of the other in matrix products, where their components differ; a
+   tile pair returns links between components. No bucket, candidate or partner
+   count is capped.
 
 A link is found with probability ``1 - (1 - s**rows)**bands``: 0.99997 at 0.8
 for 20 bands of 4, and above for closer pairs; exact copies always.
@@ -41,10 +43,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import BINARY, LONGS, Scratch, map_text, words
+from voltaic.llm.common import BINARY, LONG, LONGS, Scratch, map_text, words
 from voltaic.llm.components import connected_components
 
 SHINGLE = 5
+#: Texts and features in a tile, features that are multiplied at a time.
+TILE_ROWS, TILE_FEATURES, COLUMNS = 512, 500_000, 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,13 +63,13 @@ def shingles(own: list[bytes], size: int = SHINGLE) -> np.ndarray:
     """64-bit hashes of the shingles of a word list, in text order."""
     if not own:
         return np.zeros(0, np.uint64)
-    digest = xxhash.xxh3_64_intdigest
-    hashed = np.fromiter((digest(w) for w in own), np.uint64, len(own))
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
     width = min(size, len(own))
     out = np.full(len(own) - width + 1, width, np.uint64)
     for k in range(width):
-        out = _mix((out ^ hashed[k : k + len(out)]) * _MIX + np.uint64(k + 1))
-    return out
+        out = (out ^ hashed[k : k + len(out)]) * _MIX
+        out ^= out >> np.uint64(29)
+    return _mix(out)
 
 
 def signatures(texts: list[np.ndarray], slots: int) -> np.ndarray:
@@ -123,32 +127,72 @@ def _sketch_setup(size: int, bands: int, rows: int):
     return fn
 
 
-def _shingle_setup(size: int):
+def features(own: np.ndarray) -> np.ndarray:
+    """Multiset of shingle hashes as a sorted set: the k-th copy of a shingle is an element of its own."""
+    element, count = np.unique(own, return_counts=True)
+    copy = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    repeated = np.repeat(element, count)
+    return np.sort(np.where(copy > 0, _mix(repeated + copy.astype(np.uint64) * _MIX), repeated))
+
+
+def _feature_setup(size: int):
     def fn(texts: list) -> list:
-        counted = [np.unique(shingles(words(t), size).view(np.int64), return_counts=True) for t in texts]
-        edges = np.concatenate([[0], np.cumsum([len(c[0]) for c in counted])]).astype(np.int32)
-        made = []
-        for i in (0, 1):
-            flat = np.concatenate([c[i] for c in counted]) if counted else np.zeros(0)
-            made.append(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat.astype(np.int64), pa.int64())))
-        return made
+        made = [features(shingles(words(t), size)) for t in texts]
+        return [[m.tobytes() for m in made], [len(m) for m in made]]
 
     return fn
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Weighted Jaccard similarity of each pair ``(a, b, a_hash, a_n, b_hash, b_n)``."""
+    """Weighted Jaccard similarity of each pair ``(a, b, a_features, b_features)``."""
     for batch in batches:
         out = np.zeros(batch.num_rows)
-        lists = [batch.column(i) for i in range(2, 6)]
-        for row in range(batch.num_rows):
-            a_hash, a_n, b_hash, b_n = (x[row].values.to_numpy() for x in lists)
-            _, at, bt = np.intersect1d(a_hash, b_hash, assume_unique=True, return_indices=True)
-            both = np.minimum(a_n[at], b_n[bt]).sum()
-            out[row] = both / (a_n.sum() + b_n.sum() - both)
+        sides = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        for row, (left, right) in enumerate(sides):
+            both = np.sort(np.concatenate([np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)]))
+            common = int((both[1:] == both[:-1]).sum())
+            out[row] = common / (len(both) - common)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["a", "b", "sim"])
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Similarity of every left text with every right text, by matrix products over their common features."""
+    flat = [np.concatenate(side) for side in (left, right)]
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    common = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
+    both = np.zeros((len(left), len(right)), np.float32)
+    at = [np.searchsorted(common, f) for f in flat]
+    for k in (0, 1):
+        known = (at[k] < len(common)) & (common[np.minimum(at[k], len(common) - 1)] == flat[k] if len(common) else False)
+        at[k] = np.where(known, at[k], -1)
+    row = [np.repeat(np.arange(len(s)), s) for s in sizes]
+    for start in range(0, len(common), COLUMNS):
+        parts = []
+        for k, side in enumerate((left, right)):
+            here = (at[k] >= start) & (at[k] < start + COLUMNS)
+            part = np.zeros((len(side), min(COLUMNS, len(common) - start)), np.float32)
+            part[row[k][here], at[k][here] - start] = 1
+            parts.append(part)
+        both += parts[0] @ parts[1].T
+    exact = both.astype(np.float64)
+    return exact / (sizes[0][:, None] + sizes[1][None, :] - exact)
+
+
+def _compare_tiles(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the texts of two tiles that are in different parts."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            nodes_a, parts_a, raw_a, nodes_b, parts_b, raw_b = (c[row].as_py() for c in batch.columns)
+            apart = np.array(parts_a)[:, None] != np.array(parts_b)[None, :]
+            if not apart.any():
+                continue
+            left, right = ([np.frombuffer(r, np.uint64) for r in raw] for raw in (raw_a, raw_b))
+            i, j = np.nonzero(apart & (overlaps(left, right) >= threshold))
+            # One link between two parts says as much as all of them.
+            ends = np.unique(np.stack([np.array(parts_a)[i], np.array(parts_b)[j]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -180,45 +224,44 @@ def near_duplicates(
     banded = scratch.store(
         firsts.join(nodes.select("key", "node"), "key").select("node", F.explode("bands").alias("bucket")), "bands"
     )
-    centres = banded.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    centres = scratch.store(centres.select("bucket", "centre"), "centres")
-    members = scratch.store(banded.join(centres, "bucket").where("node != centre"), "members")
-    scratch.drop(banded, centres)
+    # The centre of a bucket is the member whose buckets hold most rows: in a group of copies, the one they derive from.
+    sizes = scratch.store(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    shared = scratch.store(banded.join(sizes, "bucket"), "shared")
+    weights = scratch.store(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    centres = shared.join(weights, "node").groupBy("bucket").agg(
+        F.max_by("node", F.struct("weight", -F.col("node"))).alias("centre")
+    )
+    centres = scratch.store(centres, "centres")
+    members = shared.select("bucket", "node").join(centres, "bucket").where("node != centre")
+    members = scratch.store(members, "members")
+    scratch.drop(banded, centres, sizes, shared)
 
     stars = members.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     stars = scratch.store(stars, "star-pairs")
     wanted = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()
     wanted = scratch.store(wanted.join(nodes, "node").select("node", "key", "id"), "wanted")
     texts = _texts_of(own, sketched, wanted)
-    shingled = map_text(texts, "text", {"hashes": LONGS, "counts": LONGS}, functools.partial(_shingle_setup, size), False)
-    shingled = scratch.store(shingled, "shingles")
+    shingled = map_text(texts, "text", {"features": BINARY, "n": LONG}, functools.partial(_feature_setup, size), False)
+    shingled = scratch.store(shingled, "features")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        joined = pairs.join(shingled.toDF("b", "b_hash", "b_n"), "b").join(shingled.toDF("a", "a_hash", "a_n"), "a")
-        joined = joined.select("a", "b", "a_hash", "a_n", "b_hash", "b_n")
-        return scratch.store(joined.mapInArrow(_overlap, "a long, b long, sim double"), name)
-
-    sims = verified(stars, "star-sims")
+    raw = shingled.select("node", "features")
+    joined = stars.join(raw.toDF("b", "right"), "b").join(raw.toDF("a", "left"), "a").select("a", "b", "left", "right")
+    sims = scratch.store(joined.mapInArrow(_overlap, "a long, b long, sim double"), "star-sims")
     links = sims.where(F.col("sim") >= threshold).select("a", "b")
     parts = scratch.store(connected_components(links, scratch), "parts")
 
     placed = members.join(sims.withColumnsRenamed({"a": "centre", "b": "node"}), ["centre", "node"])
     placed = placed.join(parts.withColumnRenamed("id", "node"), "node", "left")
-    placed = scratch.store(
-        placed.select("bucket", "node", "sim", F.coalesce("component", "node").alias("part")), "placed"
-    )
-    missed = placed.where(F.col("sim") < threshold).alias("m")
-    reach = 1 - threshold + 1e-9
-    rest = missed.join(placed.alias("o"), F.col("m.bucket") == F.col("o.bucket")).where(
-        (F.col("m.part") != F.col("o.part"))
-        & (F.abs(F.col("m.sim") - F.col("o.sim")) <= reach)
-        & ((F.col("o.sim") >= threshold) | (F.col("m.node") < F.col("o.node")))
-    )
-    rest = rest.select(F.least("m.node", "o.node").alias("a"), F.greatest("m.node", "o.node").alias("b")).distinct()
-    more = verified(scratch.store(rest, "rest-pairs"), "rest-sims").where(F.col("sim") >= threshold)
+    placed = placed.select("bucket", "node", "sim", F.coalesce("component", "node").alias("part"))
+    more = _links_of_missed(scratch.store(placed, "placed"), shingled, threshold, scratch)
     scratch.drop(shingled, members, stars)
     if not more.isEmpty():
-        parts = scratch.store(connected_components(links.unionByName(more.select("a", "b")), scratch), "all-parts")
+        # ``more`` links parts; together with each node's part it links nodes.
+        of_parts = scratch.store(connected_components(more, scratch), "parts-of-parts")
+        moved = parts.alias("p").join(of_parts.alias("q"), F.col("p.component") == F.col("q.id"), "left")
+        moved = moved.select("p.id", F.coalesce("q.component", "p.component").alias("component"))
+        alone = of_parts.join(parts.select("id"), "id", "left_anti")
+        parts = scratch.store(moved.unionByName(alone), "all-parts")
 
     classed = nodes.join(parts.withColumnRenamed("id", "node"), "node", "left")
     classed = classed.select("key", "id", F.coalesce("component", "node").alias("part"))
@@ -237,6 +280,49 @@ def near_duplicates(
     )
 
 
+def _links_of_missed(placed: DataFrame, shingled: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Links ``(a, b)`` between parts, from members that missed their bucket's centre.
+
+    A bucket's members are ranked in steps of ``1 - threshold`` by similarity to
+    the centre; only equal and neighbouring steps can hold a link. Members of a
+    step are dealt into tiles of bounded size; rows are pairs of tiles.
+    """
+    open_ = placed.groupBy("bucket").agg(F.min("sim").alias("least"), F.count_distinct("part").alias("parts"))
+    open_ = scratch.store(open_.where((F.col("least") < threshold) & (F.col("parts") > 1)).select("bucket"), "open")
+    rows = placed.join(open_, "bucket").join(shingled, "node")
+    rows = rows.withColumn("missed", F.col("sim") < threshold)
+    rows = rows.withColumn("step", F.floor(F.col("sim") / F.lit(1 - threshold + 1e-9)))
+    where = ["bucket", "step", "missed"]
+    tiles = rows.groupBy(where).agg(
+        F.ceil(F.greatest(F.count("*") / TILE_ROWS, F.sum("n") / TILE_FEATURES)).alias("tiles")
+    )
+    dealt = rows.join(scratch.store(tiles, "tile-counts"), where)
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
+    filled = dealt.groupBy(*where, "tile").agg(
+        F.collect_list("node").alias("nodes"), F.collect_list("part").alias("own"), F.collect_list("features").alias("raw")
+    )
+    filled = scratch.store(filled.withColumn("number", F.monotonically_increasing_id()), "tiles")
+    key = filled.select("number", "bucket", "step", "missed")
+    near = key.withColumn("step", F.explode(F.array(F.col("step"), F.col("step") + 1)))
+    pairs = near.alias("x").join(
+        key.alias("y"),
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.step") == F.col("y.step")),
+    )
+    pairs = pairs.where("x.missed or y.missed").select(
+        F.least("x.number", "y.number").alias("a"), F.greatest("x.number", "y.number").alias("b")
+    )
+    pairs = scratch.store(pairs.distinct(), "tile-pairs")
+    sides = [
+        filled.select(F.col("number").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("nodes", "own", "raw")])
+        for s in "ab"
+    ]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    both = both.select("nodes_a", "own_a", "raw_a", "nodes_b", "own_b", "raw_b")
+    found = scratch.store(both.mapInArrow(functools.partial(_compare_tiles, threshold), "a long, b long").distinct(), "more")
+    scratch.drop(filled)
+    return found
+
+
 def _texts_of(own: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFrame:
     """One text of each wanted content: that of its smallest id (a null id reads as one more value)."""
     rows = own.withColumn("id", F.coalesce("id", F.lit(-(2**63))))
