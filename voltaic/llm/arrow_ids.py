@@ -51,48 +51,49 @@ class Encoder:
         self.normalize = self.tokenizer.normalizer.normalize_str
         self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = self.tokenizer.model
+        self.codes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.cache, self.words = Cache(CACHE_ENTRIES), Cache(CACHE_ENTRIES // 2)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
-    def _runs(self, runs: list[str]) -> list[bytes]:
+    def _runs(self, runs: list[str]) -> dict[str, bytes]:
         """The library's normalizer and splitter on many runs at once, its model on each distinct word once."""
-        normal = self.normalize(" ".join(runs))
-        own = normal.split(" ")
-        if len(own) != len(runs):
-            return self._library(runs)
-        pieces = self.split(normal)
-        starts = np.cumsum([0] + [len(r) + 1 for r in own[:-1]])
-        of_run = np.searchsorted(starts, [span[0] for _, span in pieces], side="right")
-        edges = np.searchsorted(of_run, np.arange(1, len(runs) + 2)).tolist()
-        known, tokenize = {}, self.model.tokenize
-        for word in {p for p, _ in pieces}:
-            ids = self.words.get(word)
-            if ids is None:
-                ids = b"".join([t.id.to_bytes(4, "little") for t in tokenize(word)])
-                if len(word) <= 64:
-                    self.words.put(word, ids)
-            known[word] = ids
-        parts = [known[p] for p, _ in pieces]
-        return [parts[a] if b - a == 1 else b"".join(parts[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        normal = self.normalize(" ".join(runs)).split(" ")
+        if len(normal) != len(runs):
+            return dict(zip(runs, self._library(runs), strict=True))
+        words: dict[str, list[str]] = {}
+        other = []
+        for own in dict.fromkeys(normal):
+            # ASCII letters, with full stops and commas after them or none, are what the splitter makes of them.
+            body = own.rstrip(".,")
+            if body.isascii() and body.isalpha():
+                words[own] = [body] if len(body) == len(own) else [body, own[len(body) :]]
+            else:
+                other.append(own)
+        pieces = self.split(" ".join(other)) if other else []
+        ends = np.cumsum([len(r) + 1 for r in other])
+        of_run = np.searchsorted(ends, [span[0] for _, span in pieces], side="right")
+        edges = np.searchsorted(of_run, np.arange(len(other) + 1)).tolist()
+        text = [p for p, _ in pieces]
+        words.update((own, text[a:b]) for own, a, b in zip(other, edges[:-1], edges[1:], strict=True))
+        known, new = self.words.split(set().union(*words.values()))
+        tokenize, code = self.model.tokenize, self.codes
+        made = {w: b"".join([code[t.id] for t in tokenize(w)]) for w in new}
+        self.words.update(made)
+        known.update(made)
+        coded = {o: known[w[0]] if len(w) == 1 else b"".join([known[p] for p in w]) for o, w in words.items()}
+        return {run: coded[own] for run, own in zip(runs, normal, strict=True)}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [None if t and self.ODD.search(t) else (t or "").split() for t in texts]
-        known, new = {}, []
-        for run in set().union(*(s for s in split if s)):
-            ids = self.cache.get(run)
-            if ids is None:
-                new.append(run)
-            else:
-                known[run] = ids
-        for i in range(0, len(new), 20_000):
-            for run, ids in zip(new[i : i + 20_000], self._runs(new[i : i + 20_000]), strict=True):
-                known[run] = ids
-                if len(run) <= 64:
-                    self.cache.put(run, ids)
+        known, new = self.cache.split(set().union(*(s for s in split if s)))
+        for i in range(0, len(new), 50_000):
+            made = self._runs(new[i : i + 50_000])
+            known.update(made)
+            self.cache.update(made)
         return [
             self._library([t])[0] if s is None else b"".join(map(known.__getitem__, s))
             for t, s in zip(texts, split, strict=True)

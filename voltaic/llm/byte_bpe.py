@@ -104,19 +104,25 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
 class Cache:
     """Two generations of a dict: when the young one is full, the old one is forgotten."""
 
+    #: Longer keys are not kept.
+    LONGEST = 64
+
     def __init__(self, entries: int):
         self.entries, self.young, self.old = entries, {}, {}
 
-    def get(self, key):
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
+    def split(self, keys: set) -> tuple[dict, list]:
+        """Known values by key, and the other keys."""
+        young, old = self.young, self.old
+        known = {k: young[k] for k in keys if k in young}
+        again = {k: old[k] for k in keys if k in old and k not in known}
+        known.update(again)
+        young.update(again)
+        return known, [k for k in keys if k not in known]
+
+    def update(self, values: dict) -> None:
+        self.young.update((k, v) for k, v in values.items() if len(k) <= self.LONGEST)
         if len(self.young) >= self.entries:
             self.old, self.young = self.young, {}
-        self.young[key] = value
 
 
 class PairTable:
@@ -232,8 +238,8 @@ class Codec:
             if whole is not None:
                 out[piece] = whole.to_bytes(4, "little")
                 continue
-            size = next((s for s in self.SIZES if len(raw) <= s), None)
-            if size is None:
+            size = 1 << max(2, (len(raw) - 1).bit_length())
+            if size > self.SIZES[-1]:
                 out[piece] = np.array(merge(raw, self.ranks, self.longest), "<u4").tobytes()
             else:
                 by_size[size][0].append(piece)
@@ -248,19 +254,15 @@ class Codec:
         split = [
             [] if not t else self.pattern.findall(t) if self.ODD.search(t) else self.RUNS.findall(t) for t in texts
         ]
-        known, new = {}, []
-        for run in set().union(*split):
-            ids = self.runs.get(run)
-            if ids is None:
-                new.append(run)
-            else:
-                known[run] = ids
+        known, new = self.runs.split(set().union(*split))
         matches = [self.pattern.findall(run) for run in new]
         pieces = self.merged(set().union(*matches))
-        for run, own in zip(new, matches, strict=True):
-            known[run] = ids = b"".join([pieces[m] for m in own])
-            if len(run) <= 64:
-                self.runs.put(run, ids)
+        made = {
+            run: pieces[own[0]] if len(own) == 1 else b"".join([pieces[m] for m in own])
+            for run, own in zip(new, matches, strict=True)
+        }
+        known.update(made)
+        self.runs.update(made)
         return [b"".join(map(known.__getitem__, runs)) for runs in split]
 
     def decode(self, ids: list[bytes | None]) -> list[bytes]:

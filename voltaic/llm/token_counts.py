@@ -187,21 +187,14 @@ class BatchCounter:
 
     def count(self, distinct: set[str]) -> dict[str, int]:
         """Tokens of each word."""
-        out, new = {}, []
-        for word in distinct:
-            known = self.cache.get(word)
-            if known is not None:
-                out[word] = known
-            elif len(word) > MAX_BATCH_WORD:
-                out[word] = self.scalar.count(word)
-            else:
-                new.append(word)
-        new.sort()
+        out, new = self.cache.split(distinct)
+        made = {w: self.scalar.count(w) for w in new if len(w) > MAX_BATCH_WORD}
+        new = sorted(w for w in new if len(w) <= MAX_BATCH_WORD)
         for i in range(0, len(new), BATCH_WORDS):
             part = new[i : i + BATCH_WORDS]
-            for word, n in zip(part, self.count_new(part).tolist(), strict=True):
-                out[word] = n
-                self.cache.put(word, n)
+            made.update(zip(part, self.count_new(part).tolist(), strict=True))
+        self.cache.update(made)
+        out.update(made)
         return out
 
 
