@@ -48,7 +48,7 @@ from voltaic.llm.components import connected_components
 
 SHINGLE = 5
 #: Texts and features in a tile, features that are multiplied at a time.
-TILE_ROWS, TILE_FEATURES, COLUMNS = 512, 500_000, 4096
+TILE_ROWS, TILE_FEATURES, COLUMNS = 512, 250_000, 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
