@@ -61,10 +61,10 @@ def test_language(docs, empty, spark):
 
 
 def test_toxicity(spark, docs, empty):
-    texts = [(i, f"plain words number {i % 7} here") for i in range(60)]
-    texts += [(100 + i, f"you are a loweix{i % 5} thing and a tra5h heap {i % 7}") for i in range(30)]
+    texts = [(i, f"plain words number {i} here") for i in range(200)]
+    texts += [(1000 + i, f"you are a loweix{i % 5} thing and a tra5h heap {i % 7}") for i in range(30)]
     table = spark.createDataFrame(texts, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in texts] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in texts] + [(None, 1), (3, None)], "doc_id long, toxic int")
     model = toxicity.fit(table, labels)
     assert any(e.strip().startswith("lowei") for e in model.entries)
     probe = spark.createDataFrame([(1, "what a lоwеix9 TRA5H"), (2, "a nice day"), (3, None)], "doc_id long, text string")

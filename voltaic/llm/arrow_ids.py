@@ -2,7 +2,8 @@
 
 Documents are dealt into shards by ranges of the id and sorted inside. A
 shard's ids, each document ending with ``end_id``, form one stream that is cut
-into rows of ``length`` ids (``fixed_size_list``) with a mask of the same shape;
+into rows of ``length`` ids (``fixed_size_list``, 16 bits an id where the vocabulary
+allows, else 32) with a bit mask of the same shape;
 only a file's last row is padded. Each row also lists the documents that start
 in it. Memory-mapping a file gives zero-copy access to any row: its place
 follows from its number.
@@ -31,7 +32,7 @@ from voltaic.llm.common import Scratch, ship, slices
 from voltaic.llm.files import new_name, reading, writing
 
 #: Entries of a worker's cache per generation; two are held.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 400_000
 #: Rows of an Arrow record batch in a file.
 BATCH_ROWS = 512
 _STATES: dict = {}
@@ -108,10 +109,15 @@ def _encoder(content: str) -> Encoder:
     return _STATES[key]
 
 
-def _schema(length: int) -> pa.Schema:
+def _id_type(vocabulary: int) -> pa.DataType:
+    """The narrowest unsigned type that holds every id: half the file for vocabularies up to 65,536."""
+    return pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
+
+
+def _schema(length: int, ids: pa.DataType) -> pa.Schema:
     return pa.schema([
-        ("input_ids", pa.list_(pa.uint32(), length)),
-        ("mask", pa.list_(pa.uint8(), length)),
+        ("input_ids", pa.list_(ids, length)),
+        ("mask", pa.list_(pa.bool_(), length)),
         ("doc_ids", pa.list_(pa.int64())),
         ("doc_starts", pa.list_(pa.int64())),
     ])
@@ -120,8 +126,8 @@ def _schema(length: int) -> pa.Schema:
 class ShardWriter:
     """One file: ids come in document by document, full rows go out in batches."""
 
-    def __init__(self, out, length: int):
-        self.length, self.schema = length, _schema(length)
+    def __init__(self, out, length: int, ids: pa.DataType):
+        self.length, self.schema, self.dtype = length, _schema(length, ids), ids.to_pandas_dtype()
         self.file = pa.ipc.new_file(out, self.schema)
         self.buffer: list[np.ndarray] = []
         self.buffered = self.written = 0
@@ -129,19 +135,18 @@ class ShardWriter:
 
     def add(self, doc: int | None, ids: np.ndarray) -> None:
         self.docs.append((doc, self.written + self.buffered))
-        self.buffer.append(ids)
+        self.buffer.append(ids.astype(self.dtype))
         self.buffered += len(ids)
         if self.buffered >= self.length * BATCH_ROWS:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        ids = np.concatenate(self.buffer) if self.buffer else np.zeros(0, np.uint32)
+        ids = np.concatenate(self.buffer) if self.buffer else np.zeros(0, self.dtype)
         rows = -(-len(ids) // self.length) if last else len(ids) // self.length
         used = min(len(ids), rows * self.length)
-        flat = np.zeros(rows * self.length, np.uint32)
+        flat = np.zeros(rows * self.length, self.dtype)
         flat[:used] = ids[:used]
-        mask = np.zeros(rows * self.length, np.uint8)
-        mask[:used] = 1
+        mask = np.arange(rows * self.length) < used
         here = [(d, s) for d, s in self.docs if s < self.written + used]
         self.docs = self.docs[len(here) :]
         row = np.array([(s - self.written) // self.length for _, s in here], np.int64)
@@ -171,12 +176,12 @@ def _write(folder: str, vocabulary, length: int, end_id: int, batches) -> Iterat
     name = new_name(folder, ".arrow")
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, 8 << 20):
             docs, shards = part.column(0).to_pylist(), part.column(2)
             for doc, ids in zip(docs, encoder.encode(part.column(1).to_pylist()), strict=True):
                 if writer is None:
                     context = writing(name)
-                    writer, shard = ShardWriter(context.__enter__(), length), shards[0].as_py()
+                    writer, shard = ShardWriter(context.__enter__(), length, _id_type(max(len(encoder.codes), end_id + 1))), shards[0].as_py()
                 writer.add(doc, np.frombuffer(ids + end, "<u4"))
                 count += 1
     if writer is not None:
@@ -246,9 +251,7 @@ def _documents(file, base: int, total: int) -> Iterator[pa.RecordBatch]:
     at, rows = 0, []
     for k in range(file.num_record_batches):
         batch = file.get_batch(k)
-        ids = batch.column(0).flatten().to_numpy()
-        mask = batch.column(1).flatten().to_numpy()
-        ids = ids[: int(mask.sum())]
+        ids = batch.column(0).flatten().to_numpy()[: batch.column(1).flatten().true_count].astype("<u4")
         docs, starts = batch.column(2).flatten().to_pylist(), batch.column(3).flatten().to_pylist()
         edges = [*starts, at + len(ids)]
         if open_doc:

@@ -276,7 +276,7 @@ def near_duplicates(
         "id",
         "key",
         F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce(kept, F.lit(True)).alias("kept"),
+        F.when(F.col("key").isNull(), F.lit(True)).otherwise(kept).alias("kept"),
     )
 
 

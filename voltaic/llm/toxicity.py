@@ -214,16 +214,18 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     sample_docs: int = 20_000,
-    min_docs: int = 5,
-    min_weight: float = 4.5,
+    min_docs: int = 3,
+    min_share: float = 0.002,
+    min_weight: float = 3.5,
     max_entries: int = 2_000,
     exceptions: tuple[str, ...] = (),
 ) -> Model:
     """Fit lexicon, exceptions and curve on labelled documents.
 
-    An entry must occur in ``min_docs`` toxic documents of the sample and have
-    log odds of ``min_weight``. Phrases around a match that occur in ``min_docs``
-    clean documents and in no toxic one join the given ``exceptions``.
+    An entry must occur in ``min_docs`` toxic documents of the sample and in
+    ``min_share`` of them, and have log odds of ``min_weight``. Phrases around a
+    match that occur in as many clean documents and in no toxic one join the
+    given ``exceptions``.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -241,6 +243,7 @@ def fit(
         n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
         if not n_toxic or not n_clean:
             return Model({}, exceptions, (4.0 if n_toxic else -4.0, 0.0, 0.0))
+        min_docs = max(min_docs, int(np.ceil(min_share * n_toxic)))
 
         def counted(label: int, allowed=None) -> dict[str, int]:
             got = sample.where(F.col("toxic") == label).select("text")
