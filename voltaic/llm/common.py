@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from voltaic.session import ensure_checkpoint_dir
 
 #: Text bytes a Python worker handles at a time; bounds its memory whatever the row count of an Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: Spark and Arrow type of an appended column.
 LONG = (T.LongType(), pa.int64())
