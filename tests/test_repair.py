@@ -115,3 +115,68 @@ def test_results_do_not_depend_on_the_session_zone(spark):
         assert results[0][2][0] == -999999
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_nanoseconds_are_exact(spark):
+    """Random nanoseconds from 1900 to 2200 against Python integers; strict mode keeps or raises."""
+    import random
+
+    import pytest
+
+    from voltaic.functions.timefix import nanos_to_micros, repair_time
+
+    rnd = random.Random(8)
+    ns = [rnd.randrange(-2_208_988_800, 7_258_118_400) * 10**9 + rnd.randrange(10**9) for _ in range(4000)]
+    ns += [n // 1_000_000 * 1_000_000 for n in ns] + [n // 10**10 * 10**10 - 1 for n in ns[:200]]
+    epoch = dt.datetime(1970, 1, 1)
+    df = spark.createDataFrame([(n,) for n in ns], "n long")
+    for out in (nanos_to_micros("n", "truncate"), repair_time("n", limit_ns=2**63 - 1)):
+        for r in df.select("n", out.alias("t")).collect():
+            assert r.t == epoch + dt.timedelta(microseconds=r.n // 1000)
+    whole = df.filter(F.pmod("n", F.lit(1000)) == 0)
+    assert all(r.t == epoch + dt.timedelta(microseconds=r.n // 1000)
+               for r in whole.select("n", nanos_to_micros("n").alias("t")).collect())
+    with pytest.raises(Exception, match="nanosecond digits"):
+        df.select(nanos_to_micros("n")).collect()
+
+
+def test_sources_by_folder_and_equal_names(spark, tmp_path):
+    import pytest
+
+    from voltaic.sources.files import load_folder
+    from voltaic.sources.raw import sources_from_files
+
+    for name, year in (("A", 2088), ("B", 2023)):
+        (tmp_path / name).mkdir()
+        for part in ("readings.parquet", "more.parquet"):
+            table = pa.table({"vehicle_id": [name], "value_id": pa.array([1200], pa.int32()), "value": [400.0],
+                              "time": pa.array([_ns(dt.datetime(year, 3, 1))], pa.int64()).cast(pa.timestamp("ns"))})
+            pq.write_table(table, tmp_path / name / part)
+    for paths in ({n: str(tmp_path / n) for n in "AB"}, {n: str(tmp_path / n / "readings.parquet") for n in "AB"}):
+        rows = normalize_sources(sources_from_files(spark, paths), ["A"]).collect()
+        assert len(rows) in (2, 4)
+        assert all(r.source == r.vehicle_id and r.corrected == (r.source == "A") for r in rows)
+        assert {r.time.year for r in rows} == {2024, 2023}
+    with pytest.raises(ValueError):
+        sources_from_files(spark, {"A": str(tmp_path / "A"), "B": str(tmp_path / "A") + "/"})
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sources_from_files(spark, {"A": str(tmp_path / "nowhere")})
+    with pytest.raises(Exception, match="no source"):
+        normalize_sources(sources_from_files(spark, {"A": str(tmp_path / "A")}).withColumn(
+            "source", F.lit(None).cast("string"))).collect()
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "false")
+    with pytest.raises(Exception):
+        load_folder(spark, str(tmp_path / "A")).collect()
+    assert load_folder(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_dedup_and_describe_edges(spark):
+    from voltaic.operators.profile import dedup, describe_columns
+
+    rows = [("k", None, None), ("k", 5.0, 1.0), ("k", 7.0, 0.0), ("n", None, 2.0)]
+    df = spark.createDataFrame(rows, "key string, v double, w double")
+    one = {r.key: r.v for r in dedup(df.select("key", "v"), ["key"], ["v"]).collect()}
+    two = {r.key: (r.v, r.w) for r in dedup(df, ["key"], ["v"]).collect()}
+    assert one == {"k": 5.0, "n": None} and two == {"k": (5.0, 1.0), "n": (None, 2.0)}
+    empty = describe_columns(df.limit(0), ["v", "w"]).collect()
+    assert [(r.column, r["count"], r["mean"]) for r in empty] == [("v", 0, None), ("w", 0, None)]

@@ -104,7 +104,7 @@ def test_auc_matches_mllib(spark):
     schema = StructType([StructField("raw", VectorUDT()), StructField("label", DoubleType()),
                          StructField("p", DoubleType())])
     df = spark.createDataFrame(data, schema)
-    ours = ev.auc(df.withColumn("maintenance_risk", F.col("label").cast("int")), score="p", buckets=8).first()
+    ours = ev.auc(df.withColumn("maintenance_risk", F.col("label").cast("int")), score="p", bucket_rows=100).first()
     for metric, val in (("areaUnderROC", ours.roc_auc), ("areaUnderPR", ours.pr_auc)):
         ml = BinaryClassificationEvaluator(rawPredictionCol="raw", labelCol="label", metricName=metric,
                                            numBins=0).evaluate(df)
@@ -113,7 +113,7 @@ def test_auc_matches_mllib(spark):
 
 def test_running_totals_equal_window(spark):
     df = spark.createDataFrame([(float(i), i % 3) for i in range(500)], "s double, x int")
-    got = running_totals(df, "s", ["x"], descending=True, buckets=7)
+    got = running_totals(df, "s", ["x"], descending=True, bucket_rows=70)
     w = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("cum_x", F.sum("x").over(w))
     assert got.select("s", "x", "cum_x").exceptAll(ref).count() == 0
@@ -166,19 +166,72 @@ def test_select_ranks_with_a_hot_value(spark):
     assert got == [ordered[k - 1] for k in ks]
 
 
-def test_histogram_sweep_equals_counts(spark):
+def test_sweep_keeps_the_grid_and_counts_nulls_negative(spark):
     rnd = random.Random(21)
     data = [(rnd.randrange(2), rnd.choice([None, float("nan"), 0.0, 1.0, round(rnd.random(), 2)]))
             for _ in range(3000)]
     df = spark.createDataFrame(data, "maintenance_risk int, risk_probability double")
-    grid = [i / 100 for i in range(101)]
-    a = sorted(map(tuple, ev.threshold_sweep(df, grid, method="counts").collect()))
-    b = sorted(map(tuple, ev.threshold_sweep(df, grid, method="histogram").collect()))
-    assert len(a) == 101 and a == b
+    grid = [0.9, 0.3, 0.3] + [i / 50 for i in range(51)]
+    got = ev.threshold_sweep(df, grid).collect()
+    assert [r.threshold for r in got] == grid
+    for r in got:  # NaN sorts above every number, as in Spark's comparisons
+        hit = [p is not None and (p != p or p >= r.threshold) for _, p in data]
+        assert r.true_positives == sum(h and l == 1 for h, (l, _) in zip(hit, data))
+        assert r.true_negatives == sum(not h and l == 0 for h, (l, _) in zip(hit, data))
+
+
+def test_auc_ranks_null_scores_lowest(spark):
+    data = [(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.2), (1, None), (0, None)]
+    df = spark.createDataFrame(data, "maintenance_risk int, risk_probability double")
+    got = ev.auc(df).first()
+    value = [(l, -1.0 if p is None else p) for l, p in data]
+    pairs = [(a > b) + 0.5 * (a == b) for x, a in value if x == 1 for y, b in value if y == 0]
+    assert abs(got.roc_auc - sum(pairs) / len(pairs)) < 1e-12
+
+
+def test_running_totals_refuse_nulls(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        running_totals(spark.createDataFrame([(1.0, 1), (None, 1)], "s double, x int"), "s", ["x"])
+
+
+def test_rank_parts_push_and_agree_with_the_labels(spark, tmp_path):
+    from voltaic.operators.split import rank_parts
+
+    df = _table(spark, 300)
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    parts = rank_parts(stored)
+    labels = {(r.time, r.vehicle_id): r.split for r in split_by_rank(stored).collect()}
+    seen = {(r.time, r.vehicle_id): n for n, p in parts.items() for r in p.collect()}
+    assert seen == labels
+    for part in parts.values():
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Scan ExistingRDD" not in plan and "(time," in plan.split("PushedFilters:")[1].split("]")[0]
+
+
+def test_empty_tables_have_no_cutoffs(spark):
+    from voltaic.operators.split import split_by_time
+
+    for exact in (False, True):
+        assert split_by_time(_table(spark, 10).limit(0), [0.8], exact=exact).count() == 0
+
+
+def test_rank_search_always_narrows(spark):
+    """With the default bracket, 5,000 rows already take the narrowing rounds; no progress raises."""
+    import pytest
+
+    from voltaic.operators.ranks import select_ranks
+
+    df = spark.range(5000).select(F.col("id").alias("x"), F.lit(0).alias("i"))
+    assert select_ranks(df, [(("x",), 1234)]) == [(1233,)]
+    with pytest.raises(RuntimeError):
+        select_ranks(df, [(("x",), 1234)], max_rounds=0)
 
 
 def test_running_totals_adds_buckets_for_large_inputs(spark):
     df = spark.createDataFrame([(float(i), 1) for i in range(3000)], "s double, x int")
-    got = running_totals(df, "s", ["x"], descending=False, buckets=2, max_bucket_rows=100)
+    got = running_totals(df, "s", ["x"], descending=False, bucket_rows=100)
     vals = {r.s: r.cum_x for r in got.collect()}
     assert all(vals[float(i)] == i + 1 for i in range(3000))

@@ -45,6 +45,13 @@ def micros_to_ntz(micros: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", _col(micros), epoch_ntz())
 
 
+def _micros(ns: Column) -> Column:
+    """Nanoseconds to whole microseconds, rounded down, in integers only (a double holds no
+    present-day nanosecond count exactly)."""
+    unit = F.lit(1000).cast("long")
+    return F.call_function("div", ns - F.pmod(ns, unit), unit)
+
+
 def _strict(value: Column, lossy: Column, message: str) -> Column:
     return F.when(lossy, F.raise_error(F.lit(message)).cast("timestamp_ntz")).otherwise(value)
 
@@ -56,7 +63,7 @@ def nanos_to_micros(ns: Column | str, mode: str = "strict") -> Column:
     cast); ``"truncate"`` floors them away.
     """
     c = _col(ns)
-    out = micros_to_ntz(F.floor(c / F.lit(1000)).cast("long"))
+    out = micros_to_ntz(_micros(c.cast("long")))
     if mode == "truncate":
         return out
     if mode != "strict":
@@ -92,6 +99,6 @@ def repair_time(
     A Feb 29 without a twin lands on Feb 28 (calendar clamp). NULL stays NULL.
     Output is TIMESTAMP_NTZ, microsecond precision (sub-µs digits truncated).
     """
-    base = micros_to_ntz(F.floor(_col(ns) / F.lit(1000)).cast("long"))
+    base = micros_to_ntz(_micros(_col(ns).cast("long")))
     shifted = F.timestamp_add("YEAR", F.lit(-years), base)
     return F.when(is_repaired(ns, limit_ns), shifted).otherwise(base)

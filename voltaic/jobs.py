@@ -62,23 +62,29 @@ def _complete(spark: SparkSession, ml_path: str, features: Sequence[str]) -> Dat
 def train_valid_test(spark: SparkSession, ml_path: str, model_path: str,
                      features: Sequence[str] = config.FEATURES, **rf_params) -> dict[str, DataFrame]:
     """Exact 60/20/20 rank split, class-weighted forest, validation and test metrics."""
-    data = sp.split_by_rank(_complete(spark, ml_path, features))
-    model = md.train_rf(data.filter(F.col("split") == "train"), features, **rf_params)
+    parts = sp.rank_parts(_complete(spark, ml_path, features))
+    model = md.train_rf(parts["train"], features, **rf_params)
     md.save_model(model, model_path)
+    labelled = [p.withColumn("split", F.lit(name)) for name, p in parts.items()]
+    data = labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
     out = {"split_counts": pr.class_distribution(data, by=["split"]),
            "importance": md.feature_importance(spark, model)}
     for name in ("validation", "test"):
-        scored = model.transform(data.filter(F.col("split") == name))
+        scored = _stored_scores(model, parts[name])
         out[f"{name}_confusion"] = ev.confusion_matrix(scored)
         out[f"{name}_metrics"] = ev.multiclass_metrics(scored)
         out[f"{name}_risk"] = ev.risk_metrics(scored)
-        out[f"{name}_auc"] = ev.auc(md.score_rows(model, data.filter(F.col("split") == name)))
+        out[f"{name}_auc"] = ev.auc(scored)
     return out
 
 
+def _stored_scores(model, part: DataFrame) -> DataFrame:
+    """Label, prediction and risk probability of a part: scored once, stored for all metrics."""
+    return sp.materialize(md.score_rows(model, part, keep=(config.LABEL,)))
+
+
 def _scored_split(spark, ml_path, model_path, split, features):
-    data = sp.split_by_rank(_complete(spark, ml_path, features))
-    return md.score_rows(md.load_model(model_path), data.filter(F.col("split") == split))
+    return md.score_rows(md.load_model(model_path), sp.rank_parts(_complete(spark, ml_path, features))[split])
 
 
 def tune_threshold(spark: SparkSession, ml_path: str, model_path: str,
@@ -128,8 +134,7 @@ def train_evaluate_80(spark: SparkSession, ml_path: str, model_path: str,
     model = md.train_rf(data.filter(F.col("split") == "train"), features, impute=True, **rf_params)
     md.save_model(model, model_path)
     test = data.filter(F.col("split") == "test")
-    predicted = model.transform(test)
-    scored = md.score_rows(model, test, keep=(config.LABEL,))
+    predicted = scored = _stored_scores(model, test)
     return {"split_counts": pr.class_distribution(data, by=["split"]),
             "test_confusion": ev.confusion_matrix(predicted),
             "test_cells": ev.confusion_cells(predicted),
@@ -172,8 +177,8 @@ def feature_report(spark: SparkSession, processed_path: str) -> dict[str, DataFr
             "preview": rp.preview(w, ["vehicle_id", "time"])}
 
 
-def publish(spark: SparkSession, readings_path: str, servers: str, topic: str, limit: int | None = 1000) -> DataFrame:
-    """Producer: readings as JSON messages (first ``limit`` in time order, or all)
+def publish(spark: SparkSession, readings_path: str, servers: str, topic: str, limit: int | None = None) -> DataFrame:
+    """Producer: all readings as JSON messages (or the first ``limit`` in time order)
     written to a Kafka topic in one batch job; returns what was sent."""
     from voltaic.streaming import messages as ms
 

@@ -22,29 +22,27 @@ def running_totals(
     sum_cols: Sequence[str],
     *,
     descending: bool = True,
-    buckets: int = 200,
-    max_bucket_rows: int = 1_000_000,
+    bucket_rows: int = 50_000,
     prefix: str = "cum_",
 ) -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over all rows at or before this row's
     position in ``order_col`` order. ``order_col`` must be unique per row
-    (e.g. the output of a ``groupBy(order_col)``) and numeric, non-NULL.
+    (e.g. the output of a ``groupBy(order_col)``) and numeric; a NULL raises.
 
-    The first pass also counts the rows; when ``buckets`` would leave more than
-    ``max_bucket_rows`` rows per bucket, the edges are recomputed with more
-    buckets, so no bucket's window grows with the data."""
+    One pass counts the rows; the number of buckets is that count over
+    ``bucket_rows``, at every size, so no bucket's window grows with the data.
+    The driver holds the bucket edges, one double per ``bucket_rows`` rows."""
     sum_cols = list(sum_cols)
-
-    def edges_for(b: int):
-        qs = [i / b for i in range(1, b)]
-        return F.percentile_approx(F.col(order_col).cast("double"), qs, max(10000, 4 * b))
-
-    row = df.agg(edges_for(buckets).alias("q"), F.count(F.lit(1)).alias("n")).first()
-    edges = row["q"] or []
-    if row["n"] > buckets * max_bucket_rows:
-        more = -(-row["n"] // max_bucket_rows)
-        edges = df.agg(edges_for(more).alias("q")).first()["q"] or []
-    splits = [float("-inf"), *sorted({float(e) for e in edges}), float("inf")]
+    value = F.col(order_col).cast("double")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(value.isNull()).alias("nulls")).first()
+    if row["nulls"]:
+        raise ValueError(f"{row['nulls']} rows have no {order_col}")
+    buckets = -(-row["n"] // bucket_rows)
+    edges = []
+    if buckets > 1:
+        qs = [i / buckets for i in range(1, buckets)]
+        edges = df.agg(F.percentile_approx(value, qs, max(10000, 4 * buckets)).alias("q")).first()["q"] or []
+    splits = [float("-inf"), *sorted({float(e) for e in edges if abs(float(e)) < float("inf")}), float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     dbl = f"_{order_col}_dbl"

@@ -60,40 +60,14 @@ def threshold_sweep(
     *,
     label: str = LABEL,
     probability: str = "risk_probability",
-    method: str = "auto",
 ) -> DataFrame:
     """M7: per threshold ``t``, predict ``p >= t`` and report cells and rates.
 
-    One scan either way. ``"counts"``: the grid becomes ``4 * len(thresholds)``
-    conditional counts of one aggregate (best for the short grids the
-    reference uses). ``"histogram"``: probabilities are bucketed at the
-    thresholds and counted per ``(label, bucket)``, then cumulated over that
-    table of at most ``2 * (len + 2)`` rows, so any grid size costs the same
-    scan. ``"auto"`` picks counts up to 32 thresholds.
+    One scan and one route for every grid: probabilities are bucketed at the
+    distinct thresholds and counted per ``(label, bucket)``, then cumulated over
+    that table of at most ``len + 2`` rows. One row per given threshold, in
+    the given order, repeats included. A NULL probability is predicted negative.
     """
-    if method == "histogram" or (method == "auto" and len(thresholds) > 32):
-        return _sweep_histogram(df, thresholds, label, probability)
-    lbl, p = F.col(label), F.col(probability)
-    aggs = []
-    for i, t in enumerate(thresholds):
-        aggs += _cells(lbl, F.coalesce(p >= F.lit(float(t)), F.lit(False)), f"_{i}")
-    wide = df.agg(*aggs)
-    rows = F.array(*[
-        F.struct(
-            F.lit(float(t)).alias("threshold"),
-            *[F.col(f"{c}_{i}").alias(c) for c in
-              ("true_positives", "false_positives", "false_negatives", "true_negatives")],
-        )
-        for i, t in enumerate(thresholds)
-    ])
-    long = wide.select(F.inline(rows))
-    return with_rates(long).select(
-        "threshold", "precision", "recall", "f1", "true_positives", "false_positives",
-        "false_negatives", "true_negatives", "fpr",
-    )
-
-
-def _sweep_histogram(df: DataFrame, thresholds: Sequence[float], label: str, probability: str) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql import Window
 
@@ -123,7 +97,8 @@ def _sweep_histogram(df: DataFrame, thresholds: Sequence[float], label: str, pro
         (F.sum("_pos").over(whole) - tp).cast("long").alias("false_negatives"),
         (F.sum("_neg").over(whole) - fp).cast("long").alias("true_negatives"),
     ).filter(F.col("threshold").isNotNull())
-    return with_rates(cells).select(
+    given = df.sparkSession.createDataFrame([(i, float(t)) for i, t in enumerate(thresholds)], "_i int, threshold double")
+    return with_rates(given.join(F.broadcast(cells), "threshold")).orderBy("_i").select(
         "threshold", "precision", "recall", "f1", "true_positives", "false_positives",
         "false_negatives", "true_negatives", "fpr",
     )
@@ -176,7 +151,7 @@ def multiclass_metrics(df: DataFrame, label: str = LABEL, prediction: str = "pre
     )
 
 
-def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", buckets: int = 200,
+def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", bucket_rows: int = 50_000,
         checkpoint: bool = True) -> DataFrame:
     """Exact ROC-AUC and PR-AUC (trapezoid), MLlib's curve conventions.
 
@@ -184,15 +159,17 @@ def auc(df: DataFrame, *, label: str = LABEL, score: str = "risk_probability", b
     written once to the checkpoint folder; running positive and negative
     counts in descending score order come from ``running_totals`` (no
     single-partition window). ROC starts at (0, 0); the PR curve starts at
-    (0, precision of the first point).
+    (0, precision of the first point). A NULL score ranks lowest, as in
+    ``threshold_sweep``, where it is negative at every threshold.
     """
-    g = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+    lowest = F.lit(float("-inf"))
+    g = df.groupBy(F.coalesce(F.col(score).cast("double"), lowest).alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     if checkpoint:  # read three times below (edges, per-bucket totals, running sums): compute once
         from voltaic.operators.split import materialize
 
         g = materialize(g)
-    cum = running_totals(g, "s", ["pos", "neg"], descending=True, buckets=buckets)
+    cum = running_totals(g, "s", ["pos", "neg"], descending=True, bucket_rows=bucket_rows)
     cp, cn = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     prev_p, prev_n = cp - pos, cn - neg

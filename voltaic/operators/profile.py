@@ -82,17 +82,14 @@ def signal_percentiles(
 
 
 def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``describe`` as a typed long table ``(column, count, mean, stddev, min, max)``."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], list(cols), "column", "value"
-    )
-    return long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    """``describe`` as a typed long table ``(column, count, mean, stddev, min, max)``:
+    one wide aggregate; an empty table gives a row per column with count 0."""
+    made = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max}
+    wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in made.items()])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{n}_{i}").alias(n) for n in made]) for i, c in enumerate(cols)
+    ])
+    return wide.select(F.inline(rows))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None, *, long: bool = False) -> DataFrame:
@@ -110,7 +107,7 @@ def vehicles(df: DataFrame, key: str = "vehicle_id") -> DataFrame:
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first by ``order`` (ascending), deterministic.
+    """One row per key, the first by ``order`` (ascending, NULLs last), deterministic.
 
     Done as an aggregate of ``min(struct(order..., rest...))`` rather than a
     ``row_number`` window: the partial aggregate runs before the exchange, so a
@@ -120,10 +117,11 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    if len(order + rest) == 1:  # a single value column: plain min, hash-aggregated
+    if len(order + rest) == 1:  # plain min (skips NULLs too), hash-aggregated
         c = (order + rest)[0]
         return df.groupBy(*keys).agg(F.min(c).alias(c)).select(*df.columns)
-    packed = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_r")
+    parts = [x for c in order + rest for x in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+    packed = F.min(F.struct(*parts)).alias("_r")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in order + rest]) \
         .select(*df.columns)
 

@@ -10,12 +10,11 @@ lexicographically) among rows whose first column is not NULL.
    in range) brackets rank k between two values of the first column, and one
    counting pass fixes how many rows fall below the bracket. Each round
    shrinks the range by about accuracy/4, and all requests share every pass.
-3. One job puts each request's remaining candidates in its own window
-   partition and picks the row at rank ``k - below``.
+3. One aggregate collects each request's remaining candidates - at most
+   ``max_bracket``, whatever the table size - and picks the one at rank
+   ``k - below``. A search that does not get there raises.
 
-Only scalars reach the driver. The final window holds at most
-``max_bracket`` rows (plus ties on the first column) per request, whatever
-the table size, so it never funnels the whole table into one task.
+Only scalars reach the driver.
 """
 from __future__ import annotations
 
@@ -23,7 +22,7 @@ import math
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaic.functions.exprs import lit_for
@@ -59,8 +58,8 @@ def select_ranks(
     requests: Sequence[tuple[Sequence[str], int]],
     *,
     accuracy: int = 10000,
-    max_bracket: int = 1_000_000,
-    max_rounds: int = 12,
+    max_bracket: int = 1_000,
+    max_rounds: int = 40,
     counts: dict | None = None,
 ) -> list:
     """Exact k-th values; ``None`` for ``k <= 0`` or ``k`` beyond the rows.
@@ -115,6 +114,10 @@ def select_ranks(
                 st[i].update(lo=lo, hi=hi, lo_open=True, hi_open=True, below=lt + eq_lo,
                              inside=le - eq_hi - lt - eq_lo)
 
+    stuck = [reqs[i] for i in live if i not in ties and st[i]["inside"] > max_bracket]
+    if stuck:
+        raise RuntimeError(f"rank search did not narrow {stuck} in {max_rounds} rounds")
+
     for i, (value, r) in ties.items():
         cols = reqs[i][0]
         if len(cols) == 1:
@@ -126,19 +129,15 @@ def select_ranks(
 
     final = [i for i in live if i not in ties]
     if final:
-        parts = []
+        # One scan for all requests: each gathers its few candidates in order.
+        picks = []
         for i in final:
             cols, k = reqs[i]
-            parts.append(df.filter(_bracket(df, cols[0], st[i])).select(
-                F.lit(i).alias("_req"), F.lit(k - st[i]["below"]).alias("_target"),
-                F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(cols)]).alias("_key")))
-        cand = parts[0]
-        for p in parts[1:]:
-            cand = cand.unionByName(p)
-        w = Window.partitionBy("_req").orderBy("_key")
-        picked = (cand.withColumn("_rn", F.row_number().over(w))
-                  .filter(F.col("_rn") == F.col("_target")).select("_req", "_key").collect())
-        answers.update({r["_req"]: tuple(r["_key"]) for r in picked})
+            key = F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(cols)])
+            inside = F.sort_array(F.collect_list(F.when(_bracket(df, cols[0], st[i]), key)))
+            picks.append(F.try_element_at(inside, F.lit(k - st[i]["below"])).alias(f"r{i}"))
+        row = df.agg(*picks).first()
+        answers.update({i: tuple(row[f"r{i}"]) for i in final if row[f"r{i}"] is not None})
     return [answers.get(i) for i in range(len(reqs))]
 
 

@@ -3,10 +3,11 @@
 ``split_by_rank`` reproduces ``row_number() OVER (ORDER BY time, vehicle_id)``
 cutoffs exactly without a global window (which plans a single-partition
 exchange): the cutoff tuples at ranks ``int(n * f)`` come from
-``ranks.select_ranks`` (bounded narrowing by approximate quantiles, then one
-window per cutoff over at most ~1e6 candidates; tie groups are never
-gathered). Only the cutoff tuples reach the driver; rows are then split by
-comparing ``(time, vehicle_id)`` with them, a pushable filter.
+``ranks.select_ranks`` (bounded narrowing by approximate quantiles; tie groups
+are never gathered). Only the order columns are stored for that search and
+only the cutoff tuples reach the driver. ``split_by_rank`` labels rows by a
+CASE over them; ``rank_parts`` returns each part by plain comparisons, which
+reach a Parquet scan as pushed filters.
 
 The time-quantile splits keep the reference's ``percentile_approx`` by
 default; ``exact=True`` gives discrete quantiles through the same selector.
@@ -71,12 +72,10 @@ def split_by_rank(
 ) -> DataFrame:
     """M1: add ``split`` = train / validation / test by exact rank cutoffs.
 
-    The cutoffs need three small passes over the input; with ``checkpoint``
-    the input is computed once and written to the checkpoint folder first.
+    The cutoffs need a few passes over the order columns; with ``checkpoint``
+    these columns (no others) are written to the checkpoint folder first.
     """
-    if checkpoint:
-        df = materialize(df)
-    _, cutoffs = rank_cutoffs(df, fractions, order, **kw)
+    _, cutoffs = rank_cutoffs(_order_only(df, order, checkpoint), fractions, order, **kw)
     expr = None
     for name, cut in zip(names, cutoffs):
         cond = F.lit(False) if cut is None else _tuple_le(df, list(order), cut)
@@ -84,6 +83,36 @@ def split_by_rank(
     return df.withColumn("split", expr.otherwise(F.lit(names[len(cutoffs)])))
 
 
+def _order_only(df: DataFrame, order: Sequence[str], checkpoint: bool) -> DataFrame:
+    own = df.select(*order)
+    return materialize(own) if checkpoint else own
+
+
+def rank_parts(
+    df: DataFrame,
+    fractions: Sequence[float] = config.SPLIT_FRACTIONS,
+    order: Sequence[str] = ("time", "vehicle_id"),
+    names: Sequence[str] = SPLIT_NAMES,
+    checkpoint: bool = False,
+    **kw,
+) -> dict[str, DataFrame]:
+    """M1 as one DataFrame per part, each a plain range of ``order``; ``checkpoint``
+    is worth it only where ``df`` is not already a stored table."""
+    order = list(order)
+    _, cutoffs = rank_cutoffs(_order_only(df, order, checkpoint), fractions, order, **kw)
+    out, low = {}, None
+    for name, cut in zip(names, [*cutoffs, None]):
+        last = name == names[len(cutoffs)]
+        part = df if last else df.filter(F.lit(False) if cut is None else _tuple_le(df, order, cut))
+        if not last and cut is not None:
+            part = part.filter(F.col(order[0]) <= lit_for(df, order[0], cut[0]))
+        if low is not None:
+            part = part.filter(~_tuple_le(df, order, low)).filter(F.col(order[0]) >= lit_for(df, order[0], low[0]))
+        out[name] = part
+        low = cut if cut is not None else low
+    return out
+
+
 def time_cutoffs(df: DataFrame, fractions: Sequence[float], time_col: str = "time",
                  accuracy: int = 10000, exact: bool = False) -> list:
     """Time quantiles (M2/M3). Default: ``percentile_approx`` in one pass with
@@ -92,7 +121,8 @@ def time_cutoffs(df: DataFrame, fractions: Sequence[float], time_col: str = "tim
     if exact:
         q = exact_quantiles(df, [time_col], list(fractions))
         return [q[(time_col, f)] for f in fractions]
-    return list(df.agg(F.percentile_approx(time_col, list(fractions), accuracy).alias("q")).first()["q"])
+    cuts = df.agg(F.percentile_approx(time_col, list(fractions), accuracy).alias("q")).first()["q"]
+    return [None] * len(fractions) if cuts is None else list(cuts)
 
 
 def split_by_time(df: DataFrame, fractions: Sequence[float] = (0.8,), time_col: str = "time",
@@ -101,16 +131,16 @@ def split_by_time(df: DataFrame, fractions: Sequence[float] = (0.8,), time_col:
     """M2 (one fraction, train/test) and M3 (two fractions): ``time <= cutoff`` inclusive.
 
     ``checkpoint`` (default: on in exact mode, which makes several passes)
-    computes the input once into the checkpoint folder first.
+    writes the time column to the checkpoint folder first. Without rows (or
+    without times) there is no cutoff and every row falls into the last part.
     """
-    if checkpoint if checkpoint is not None else exact:
-        df = materialize(df)
     if names is None:
         names = ("train", "test") if len(fractions) == 1 else SPLIT_NAMES
-    cuts = time_cutoffs(df, fractions, time_col, accuracy, exact)
+    searched = _order_only(df, [time_col], checkpoint if checkpoint is not None else exact)
+    cuts = time_cutoffs(searched, fractions, time_col, accuracy, exact)
     expr = None
     for name, cut in zip(names, cuts):
-        cond = F.col(time_col) <= lit_for(df, time_col, cut)
+        cond = F.lit(False) if cut is None else F.col(time_col) <= lit_for(df, time_col, cut)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return df.withColumn("split", expr.otherwise(F.lit(names[len(cuts)])))
 

@@ -225,7 +225,7 @@ ORDER BY f1 DESC, threshold ASC LIMIT 1""")(
 
 register("evaluate_at_threshold", f"""SELECT {P.EVAL_THRESHOLD} :: DOUBLE AS threshold, true_positives,
   false_positives, false_negatives, true_negatives, precision, recall, f1, accuracy, fpr
-FROM ({O.rates(f'({O.SCORES}) s', False).replace('{p}', f'risk_probability >= {P.EVAL_THRESHOLD}')}) r""")(
+FROM ({O.rates(f'({O.SCORES}) s', False).replace('{p}', f'coalesce(risk_probability >= {P.EVAL_THRESHOLD}, false)')}) r""")(
     lambda s, d: ev.evaluate_at_threshold(event_scores(s, d), P.EVAL_THRESHOLD))
 
 register("risk_metrics", f"""SELECT precision, recall, f1
@@ -244,7 +244,7 @@ SELECT sum(tp) / sum(n_l) AS accuracy, sum(f * n_l) / sum(n_l) AS f1,
   sum(prec * n_l) / sum(n_l) AS weighted_precision, sum(rec * n_l) / sum(n_l) AS weighted_recall FROM f""")(
     lambda s, d: ev.multiclass_metrics(event_scores(s, d)))
 
-register("auc", f"""WITH g AS (SELECT risk_probability AS s, count_if(maintenance_risk = 1) AS pos,
+register("auc", f"""WITH g AS (SELECT coalesce(risk_probability, '-inf'::DOUBLE) AS s, count_if(maintenance_risk = 1) AS pos,
   count_if(maintenance_risk <> 1) AS neg FROM ({O.SCORES}) x GROUP BY 1),
 c AS (SELECT *, sum(pos) OVER (ORDER BY s DESC) AS cp, sum(neg) OVER (ORDER BY s DESC) AS cn FROM g),
 p AS (SELECT *, cp - pos AS pp, cn - neg AS pn, cp / (cp + cn) AS prec FROM c)
@@ -436,7 +436,7 @@ _MODELS: dict = {}
 
 
 def ev_model(spark, d):
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, d)
     if key not in _MODELS:
         data = sp.split_by_rank(ev_complete(spark, d))
         _MODELS[key] = md.train_rf(data.filter(F.col("split") == "train"))
@@ -645,4 +645,4 @@ register("message_quality", f"""SELECT count(*) AS messages,
 
 _FINE_GRID = [round(i / 100, 2) for i in range(101)]
 register("threshold_curve", O.sweep(_FINE_GRID))(
-    lambda s, d: ev.threshold_sweep(event_scores(s, d), _FINE_GRID, method="histogram"))
+    lambda s, d: ev.threshold_sweep(event_scores(s, d), _FINE_GRID))

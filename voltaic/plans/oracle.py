@@ -18,8 +18,8 @@ FROM lineitem"""
 
 SCORES = """SELECT 'V' || CAST(user_id % 7 AS VARCHAR) AS vehicle_id, ts AS time, event_id,
   CAST(value > 100 AS INTEGER) AS maintenance_risk,
-  CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 AS risk_probability,
-  CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 >= 0.5 AS DOUBLE) AS prediction
+  CASE WHEN event_id % 17 <> 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 END AS risk_probability,
+  CAST(event_id % 17 <> 0 AND CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 >= 0.5 AS DOUBLE) AS prediction
 FROM events"""
 
 
@@ -101,7 +101,7 @@ def ev_wide() -> str:
 
 LI_RAW = f"""SELECT 'SRC_' || l_returnflag AS source, 'S' || CAST(l_suppkey AS VARCHAR) AS vehicle_id,
   epoch_us(CASE WHEN l_returnflag = 'R' THEN CAST(l_shipdate AS TIMESTAMP) + INTERVAL 64 YEAR
-                ELSE CAST(l_shipdate AS TIMESTAMP) END) * 1000 AS time_ns,
+                ELSE CAST(l_shipdate AS TIMESTAMP) END) * 1000 + l_orderkey * 1001000 AS time_ns,
   CAST(CASE l_linenumber WHEN 1 THEN 4 WHEN 2 THEN 15 WHEN 3 THEN 56 WHEN 4 THEN 900
        WHEN 5 THEN 1200 WHEN 6 THEN 1208 WHEN 7 THEN 1209 END AS INTEGER) AS value_id,
   CAST(l_quantity AS DOUBLE) AS value
@@ -168,7 +168,7 @@ FROM (SELECT {'t.threshold, ' if with_threshold else ''}
 def sweep(grid) -> str:
     values = ", ".join(f"({t})" for t in grid)
     inner = f"({SCORES}) s, (SELECT CAST(t0 AS DOUBLE) AS threshold FROM (VALUES {values}) v(t0)) t"
-    body = rates(inner).replace("{p}", "s.risk_probability >= t.threshold")
+    body = rates(inner).replace("{p}", "coalesce(s.risk_probability >= t.threshold, false)")
     return f"""SELECT threshold, precision, recall, f1, true_positives, false_positives, false_negatives,
   true_negatives, fpr FROM ({body}) r"""
 

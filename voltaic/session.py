@@ -34,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
-_LOCAL_CKPT: dict[int, str] = {}
+_LOCAL_CKPT: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -42,7 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir`` (the cluster's shared folder) is used as is; else
     a folder already given to the context with ``setCheckpointDir``. Only when
-    neither exists (local tests) is a fresh scratch folder chosen; it is set on
+    neither exists and the master is local (tests) is a fresh scratch folder chosen
+    (on a cluster that raises); it is set on
     the context, because ``spark.checkpoint.dir`` cannot be changed at runtime.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,11 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
         sc = None
     if not path and sc is not None:
-        path = sc.getCheckpointDir() or _LOCAL_CKPT.get(id(sc))
+        path = sc.getCheckpointDir() or _LOCAL_CKPT.get(sc.applicationId)
     if not path:
+        if sc is not None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all hosts of the cluster share")
         path = tempfile.mkdtemp(prefix="voltaic-ckpt-")
         if sc is not None:
-            _LOCAL_CKPT[id(sc)] = path
+            _LOCAL_CKPT[sc.applicationId] = path
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path

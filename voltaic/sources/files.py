@@ -47,14 +47,17 @@ def load_folder(spark: SparkSession, path: str, schema: T.StructType | None = No
     """All part files of a folder as one table, lenient time coercion.
 
     Files with differing columns are merged by name (missing -> NULL). A
-    missing or empty folder gives an empty DataFrame (with ``schema`` when
-    given) instead of an error. Unparseable times become NULL.
+    missing folder or one without part files gives an empty DataFrame (with
+    ``schema`` when given); any other problem raises. Unparseable times become
+    NULL.
     """
     from pyspark.errors import AnalysisException
 
     try:
         df = spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], schema or T.StructType([]))
     if time_col in df.columns and not isinstance(df.schema[time_col].dataType,
                                                   (T.TimestampType, T.TimestampNTZType)):

@@ -55,21 +55,29 @@ def normalize_sources(
 
     Other sources get the plain ns -> µs cast (``mode="strict"`` raises when
     sub-µs digits would be lost). ``corrected`` marks rows the repair shifted.
+    A row without a source raises: whether to repair it cannot be known.
     """
     listed = list(repaired)
     is_listed = F.col(source_col).isin(listed) if listed else F.lit(False)
     fix = is_listed & is_repaired("time_ns", limit_ns)
-    time = F.when(is_listed, repair_time("time_ns", limit_ns, years)).otherwise(nanos_to_micros("time_ns", mode))
+    unknown = F.raise_error(F.lit("a reading has no source")).cast("timestamp_ntz")
+    time = F.when(F.col(source_col).isNull(), unknown).when(is_listed, repair_time("time_ns", limit_ns, years)).otherwise(nanos_to_micros("time_ns", mode))
     cols = [c for c in raw.columns if c != "time_ns"]
     return raw.select(*[F.col(c) for c in cols if c != "time"], time.alias("time"), fix.alias("corrected"))
 
 
 def sources_from_files(spark: SparkSession, files: Mapping[str, str]) -> DataFrame:
-    """S6 from a ``{source: path}`` map: one scan, source from the file name."""
-    paths = list(files.values())
-    by_name = {p.rstrip("/").rsplit("/", 1)[-1]: name for name, p in files.items()}
-    df = scan_nanos(spark, *paths).withColumn("_file", F.col("_metadata.file_name"))
-    return df.withColumn("source", code_case("_file", by_name)).drop("_file")
+    """S6 from a ``{source: path}`` map: each path (a file or a folder of part files) is
+    scanned as its source, so equal file names in different folders stay apart.
+    Two sources with one path are refused; a missing path raises."""
+    paths = [p.rstrip("/") for p in files.values()]
+    if len(set(paths)) < len(paths):
+        raise ValueError("two sources name the same path")
+    scans = [scan_nanos(spark, p).withColumn("source", F.lit(name)) for name, p in files.items()]
+    out = scans[0]
+    for scan in scans[1:]:
+        out = out.unionByName(scan, allowMissingColumns=True)
+    return out
 
 
 def lineitem_raw_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +90,7 @@ def lineitem_raw_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         src.alias("source"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("vehicle_id"),
-        ntz_to_nanos(shifted).alias("time_ns"),
+        (ntz_to_nanos(shifted) + F.col("l_orderkey") * F.lit(1_001_000)).alias("time_ns"),
         code_case("l_linenumber", dict(enumerate(LINE_NUMBER_CODES, start=1))).cast("int").alias("value_id"),
         F.col("l_quantity").cast("double").alias("value"),
     )

@@ -36,17 +36,20 @@ def instant_to_ntz(c: Column) -> Column:
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, *, starting: str = "earliest",
-                 fail_on_data_loss: bool = True, stream: bool = True) -> DataFrame:
+                 fail_on_data_loss: bool = True, stream: bool = True,
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Kafka topic as a stream (or a bounded batch read with ``stream=False``).
 
     Needs the ``spark-sql-kafka-0-10`` package for the installed Spark on the
     classpath. Progress is kept in the query checkpoint, not a consumer group.
+    ``max_offsets_per_trigger`` bounds a micro-batch, also the first of a backlog.
     """
     reader = spark.readStream if stream else spark.read
     r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting))
-    if stream:
-        r = r.option("failOnDataLoss", str(bool(fail_on_data_loss)).lower())
+    r = r.option("failOnDataLoss", str(bool(fail_on_data_loss)).lower())
+    if stream and max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return r.load()
 
 
