@@ -8,8 +8,9 @@ only a file's last row is padded. Each row also lists the documents that start
 in it. Memory-mapping a file gives zero-copy access to any row: its place
 follows from its number.
 
-The tokenizer works on white-space-separated runs, remembered in a cache of
-bounded size: the vocabulary's splitter never joins text across white space.
+The tokenizer works on the distinct white-space-separated runs of a slice of
+rows, remembered in a cache of bounded size: the vocabulary's splitter never
+joins text across white space. A slice's ids are then gathered by run number.
 Texts with white space that only some splitters know go through whole.
 
 Null and empty texts have no ids but the end id. Rows with equal ids follow
@@ -18,31 +19,62 @@ each other in an order given by their texts; null ids come first.
 from __future__ import annotations
 
 import functools
-import re
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.byte_bpe import Cache
 from voltaic.llm.common import Scratch, ship, slices
 from voltaic.llm.files import new_name, reading, writing
 
-#: Entries of a worker's cache per generation; two are held.
-CACHE_ENTRIES = 400_000
+#: A worker forgets its cache when it holds more runs and words than this.
+CACHE_ENTRIES = 1_000_000
 #: Rows of an Arrow record batch in a file.
 BATCH_ROWS = 512
 _STATES: dict = {}
 
 
+class Table:
+    """Ids by string: a row number each, the ids of all rows one after another in one array."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
+
+    def find(self, keys: list[str]) -> np.ndarray:
+        """Row of each key, -1 for unknown ones."""
+        return np.fromiter(map(self.rows.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+
+    def add(self, keys: list[str], lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Rows of the new keys."""
+        rows = np.arange(len(self.rows), len(self.rows) + len(keys))
+        self.rows.update(zip(keys, rows.tolist(), strict=True))
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.ids = np.append(self.ids, ids)
+        return rows
+
+    def join(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows' ids in one array, and each row's number of them."""
+        lengths = self.lengths[rows]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[rows] - ends + lengths, lengths) + np.arange(lengths.sum())
+        return self.ids[at], lengths
+
+
 class Encoder:
     """Ids by the tokenizers library, a distinct run once."""
 
     #: White space that not every splitter takes for such.
-    ODD = re.compile("[\x1c-\x1f\x85\xa0\u2000-\u200a\u1680\u2028\u2029\u202f\u205f\u3000]")
+    ODD = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    #: Words of lower-case Latin letters, accented ones included.
+    LATIN = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{17f}]+$"
 
     def __init__(self, content: str):
         from tokenizers import Tokenizer
@@ -52,53 +84,89 @@ class Encoder:
         self.normalize = self.tokenizer.normalizer.normalize_str
         self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = self.tokenizer.model
-        self.codes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.cache, self.words = Cache(CACHE_ENTRIES), Cache(CACHE_ENTRIES // 2)
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in made]
-
-    def _runs(self, runs: list[str]) -> dict[str, bytes]:
-        """The library's normalizer and splitter on many runs at once, its model on each distinct word once."""
+        self.size = self.tokenizer.get_vocab_size()
+        # The splitter's spelling of each accented letter, byte by byte.
+        self.letters = {c: self.split(chr(c))[0][0] for c in range(0xDF, 0x180) if c != 0xF7}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.runs, self.words = Table(), Table()
+        self.runs.add([""], np.zeros(1, np.int64), np.zeros(0, "<u4"))
+
+    def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return _flat(made)
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        """Rows of words that the splitter leaves whole; the model sees each new one once."""
+        rows = self.words.find(words)
+        new = np.flatnonzero(rows < 0)
+        keys = [words[i] for i in new.tolist()]
+        tokenize = self.model.tokenize
+        ids, lengths = _flat([[t.id for t in tokenize(w)] for w in keys])
+        rows[new] = self.words.add(keys, lengths, ids)
+        return rows
+
+    def _encode_runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's normalizer and splitter on many runs at once, its model on each distinct word."""
         normal = self.normalize(" ".join(runs)).split(" ")
         if len(normal) != len(runs):
-            return dict(zip(runs, self._library(runs), strict=True))
-        words: dict[str, list[str]] = {}
-        other = []
-        for own in dict.fromkeys(normal):
-            # ASCII letters, with full stops and commas after them or none, are what the splitter makes of them.
-            body = own.rstrip(".,")
-            if body.isascii() and body.isalpha():
-                words[own] = [body] if len(body) == len(own) else [body, own[len(body) :]]
-            else:
-                other.append(own)
+            return self._library(runs)
+        own = pa.array(normal, pa.string())
+        # Latin letters, with full stops and commas after them or none: the splitter cuts between the two.
+        body = pc.ascii_rtrim(own, ".,")
+        latin = pc.match_substring_regex(body, self.LATIN)
+        ascii_ = pc.and_(latin, pc.string_is_ascii(body))
+        simple = latin.to_numpy(zero_copy_only=False)
+        accented = np.flatnonzero(pc.and_not(latin, ascii_).to_numpy(zero_copy_only=False))
+        size = pc.utf8_length(body).to_numpy()
+        tailed = np.flatnonzero(simple & (pc.utf8_length(own).to_numpy() > size))
+        tails = [normal[i][n:] for i, n in zip(tailed.tolist(), size[tailed].tolist(), strict=True)]
+        odd = np.flatnonzero(~simple)
+        other = [normal[i] for i in odd.tolist()]
         pieces = self.split(" ".join(other)) if other else []
         ends = np.cumsum([len(r) + 1 for r in other])
-        of_run = np.searchsorted(ends, [span[0] for _, span in pieces], side="right")
-        edges = np.searchsorted(of_run, np.arange(len(other) + 1)).tolist()
-        text = [p for p, _ in pieces]
-        words.update((own, text[a:b]) for own, a, b in zip(other, edges[:-1], edges[1:], strict=True))
-        known, new = self.words.split(set().union(*words.values()))
-        tokenize, code = self.model.tokenize, self.codes
-        made = {w: b"".join([code[t.id] for t in tokenize(w)]) for w in new}
-        self.words.update(made)
-        known.update(made)
-        coded = {o: known[w[0]] if len(w) == 1 else b"".join([known[p] for p in w]) for o, w in words.items()}
-        return {run: coded[own] for run, own in zip(runs, normal, strict=True)}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if t and self.ODD.search(t) else (t or "").split() for t in texts]
-        known, new = self.cache.split(set().union(*(s for s in split if s)))
+        at = odd[np.searchsorted(ends, [span[0] for _, span in pieces], side="right")] if pieces else odd[:0]
+        spelt = [w.translate(self.letters) for w in body.take(accented).to_pylist()]
+        made = pa.array(spelt + tails + [p for p, _ in pieces], pa.string())
+        found = pa.concat_arrays([body.filter(ascii_), made]).dictionary_encode()
+        of_run = np.concatenate([np.flatnonzero(ascii_.to_numpy(zero_copy_only=False)), accented, tailed, at])
+        order = np.argsort(of_run, kind="stable")
+        rows = self._words(found.dictionary.to_pylist())[found.indices.to_numpy()[order]]
+        ids, lengths = self.words.join(rows)
+        return ids, np.bincount(of_run[order], lengths, len(runs)).astype(np.int64)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and each text's number of them."""
+        if len(self.runs.rows) + len(self.words.rows) > CACHE_ENTRIES or len(self.runs.ids) > 8 * CACHE_ENTRIES:
+            self._forget()
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, self.ODD)
+        lists = pc.ascii_split_whitespace(pc.if_else(odd, "", texts))
+        found = lists.flatten().dictionary_encode()
+        runs = found.dictionary.to_pylist()
+        row = self.runs.find(runs)
+        new = np.flatnonzero(row < 0)
         for i in range(0, len(new), 50_000):
-            made = self._runs(new[i : i + 50_000])
-            known.update(made)
-            self.cache.update(made)
-        return [
-            self._library([t])[0] if s is None else b"".join(map(known.__getitem__, s))
-            for t, s in zip(texts, split, strict=True)
-        ]
+            part = new[i : i + 50_000]
+            keys = [runs[k] for k in part.tolist()]
+            ids, lengths = self._encode_runs(keys)
+            row[part] = self.runs.add(keys, lengths, ids)
+        ids, lengths = self.runs.join(row[found.indices.to_numpy()])
+        edges = np.append(0, np.cumsum(lengths))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        lengths = np.diff(edges)
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(whole):
+            made = np.split(ids, edges[1:-1])
+            for i in whole.tolist():
+                made[i], lengths[i : i + 1] = self._library([texts[i].as_py()])
+            ids = np.concatenate(made)
+        return ids, lengths
+
+
+def _flat(made: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, made), np.int64, len(made))
+    return np.fromiter(itertools.chain.from_iterable(made), "<u4", int(lengths.sum())), lengths
 
 
 def _encoder(content: str) -> Encoder:
@@ -135,7 +203,7 @@ class ShardWriter:
 
     def add(self, doc: int | None, ids: np.ndarray) -> None:
         self.docs.append((doc, self.written + self.buffered))
-        self.buffer.append(ids.astype(self.dtype))
+        self.buffer.append(ids)
         self.buffered += len(ids)
         if self.buffered >= self.length * BATCH_ROWS:
             self._flush(False)
@@ -174,16 +242,19 @@ def _write(folder: str, vocabulary, length: int, end_id: int, batches) -> Iterat
     encoder = _encoder(vocabulary.value)
     writer, count, shard = None, 0, None
     name = new_name(folder, ".arrow")
-    end = np.array([end_id], "<u4").tobytes()
+    kind = _id_type(max(encoder.size, end_id + 1))
     for batch in batches:
         for part in slices(batch, 1, 8 << 20):
-            docs, shards = part.column(0).to_pylist(), part.column(2)
-            for doc, ids in zip(docs, encoder.encode(part.column(1).to_pylist()), strict=True):
-                if writer is None:
-                    context = writing(name)
-                    writer, shard = ShardWriter(context.__enter__(), length, _id_type(max(len(encoder.codes), end_id + 1))), shards[0].as_py()
-                writer.add(doc, np.frombuffer(ids + end, "<u4"))
-                count += 1
+            if writer is None:
+                context = writing(name)
+                writer, shard = ShardWriter(context.__enter__(), length, kind), part.column(2)[0].as_py()
+            ids, lengths = encoder.encode(part.column(1))
+            stops = np.cumsum(lengths)
+            ids = np.insert(ids.astype(kind.to_pandas_dtype()), stops, end_id)
+            stops = stops + np.arange(1, len(stops) + 1)
+            for doc, start, stop in zip(part.column(0).to_pylist(), (stops - lengths - 1).tolist(), stops.tolist(), strict=True):
+                writer.add(doc, ids[start:stop])
+            count += part.num_rows
     if writer is not None:
         writer.close()
         context.__exit__(None, None, None)
