@@ -175,3 +175,27 @@ def test_embeddings(spark):
         (13, 0, 13, True), (None, 0, None, True),
     ], key=str)
     assert pca_dedup.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_token_ids_equal_the_library(monkeypatch):
+    """Random texts of accents, odd white space and special-token strings, with a cache that keeps being forgotten."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    with open(WORDS, encoding="utf-8") as f:
+        content = f.read()
+    library = Tokenizer.from_str(content)
+    library.encode_special_tokens = True
+    rng = random.Random(3)
+    parts = [*"abcABC.,'!?09éÉçŉſĳŁ÷ß", "é", "İ", "Σσς", "日本", "😀", " ", "\t", "\n", "\x1c", "\x85", "\xa0", "　", "<|endoftext|>"]
+    texts = [None, "", " ", ".", ",.", "é,", "x" * 5000] + ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(3000)]
+    monkeypatch.setattr(arrow_ids, "CACHE_ENTRIES", 500)
+    encoder = arrow_ids.Encoder(content)
+    for i in range(0, len(texts), 200):
+        own = texts[i : i + 200]
+        ids, lengths = encoder.encode(pa.array([None, *own], pa.string()).slice(1))
+        got = [g.tolist() for g in np.split(ids, np.cumsum(lengths)[:-1])]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in own]
