@@ -93,6 +93,15 @@ def id_bucket(id_col: str, modulus: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(modulus)
 
 
+def in_sample(share: float, *key: Column | str) -> Column:
+    """Whether a row belongs to a sample of about ``share`` of all rows, by 62 bits of the hash of ``key``.
+
+    So fine a measure keeps a sample of a few thousand rows whole out of any number of rows.
+    """
+    span = 1 << 62
+    return F.pmod(F.xxhash64(*key), F.lit(span)) < F.lit(int(share * span))
+
+
 def slices(batch: pa.RecordBatch, index: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy row slices of at most ``most`` text bytes, or of a single longer row."""
     import numpy as np

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import DOUBLE, STRING, map_text, ship, slices
+from voltaic.llm.common import DOUBLE, STRING, in_sample, map_text, ship, slices
 
 #: Prediction for texts without letters.
 UNDETERMINED = "und"
@@ -125,7 +125,7 @@ def fit(
         raise ValueError(f"more than {MAX_LANGUAGES} distinct labels")
     share = sample_docs / max(1, rows.count())
     if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64(F.lit("langid"), "id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        rows = rows.where(in_sample(share, F.lit("langid"), "id"))
     run = functools.partial(_count_setup, 1, 0, tuple(orders), bits)
     counted = rows.select("text", "lang").mapInArrow(run, "lang string, bucket long, n long")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import Scratch, ship
+from voltaic.llm.common import Scratch, in_sample, ship
 from voltaic.llm.components import connected_components
 
 #: Rows of a tile that are compared with the other tile at a time.
@@ -94,8 +94,8 @@ def fit_rotation(contents: DataFrame, size: int, sample_vectors: int) -> np.ndar
     share = sample_vectors / max(1, contents.count())
     rows = contents.select("raw")
     if share < 1:
-        rows = contents.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000)).select("raw")
-    parts = rows.coalesce(4).mapInArrow(functools.partial(_moments, size), "moments binary").collect()
+        rows = contents.where(in_sample(share, "key")).select("raw")
+    parts = rows.repartition(4).mapInArrow(functools.partial(_moments, size), "moments binary").collect()
     total = sum((np.frombuffer(p[0]).reshape(size, size) for p in parts), np.zeros((size, size)))
     return np.linalg.eigh(total)[1][:, ::-1].copy()
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import DOUBLE, LONG, STRINGS, map_text, ship, slices
+from voltaic.llm.common import DOUBLE, LONG, STRINGS, in_sample, map_text, ship, slices
 
 #: Letters that look like Latin ones (Cyrillic, then Greek).
 HOMOGLYPHS = dict(zip("аеорсухіѕјкмтнв", "aeopcyxisjkmthb", strict=True)) | dict(
@@ -233,7 +233,7 @@ def fit(
     known = known.where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
     share = sample_docs / max(1, known.count())
     if share < 1:
-        known = known.where(F.pmod(F.xxhash64(F.lit("toxicity"), "id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        known = known.where(in_sample(share, F.lit("toxicity"), "id"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     sample = rows.join(known, "id").groupBy(F.xxhash64("text").alias("h")).agg(
         F.max(F.struct("toxic", "text")).alias("r")
