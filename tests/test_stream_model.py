@@ -5,6 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from voltaic import config
 from voltaic.session import scratch_path
 from voltaic.streaming import features as sf
 from voltaic.streaming import messages as ms
@@ -119,7 +120,6 @@ def test_publish_limit_takes_first_in_order(spark):
 
 
 def test_saved_model_carries_feature_order(spark, tmp_path):
-    from voltaic import config
     from voltaic.operators import model as md
     from voltaic.operators.split import split_by_time
     from voltaic.plans.catalog import ev_ml
@@ -129,3 +129,60 @@ def test_saved_model_carries_feature_order(spark, tmp_path):
     again = md.load_model(md.save_model(m, str(tmp_path / "m")))
     assert md.model_features(again) == config.FEATURES_SOC_FIRST
     assert [r.feature for r in md.feature_importance(spark, again).collect()] != []
+
+
+def _backlog(folder, n=40):
+    """One file per ten seconds, three vehicles, in time order."""
+    start = dt.datetime(2024, 1, 1)
+    for i in range(n):
+        t = (start + dt.timedelta(seconds=10 * i)).isoformat()
+        lines = [json.dumps({"vehicle_id": f"V{v}", "time": t, "value_id": code, "value": 350.0 + (i * (v + 3)) % 60
+                             if code == 1200 else 50.0 + i % 7}) for v in range(3) for code in (900, 1200)]
+        path = folder / f"m{i:03d}.json"
+        path.write_text("\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def test_one_batch_equals_many_and_state_options(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    _backlog(src)
+    got = {}
+    for name, files, ttl in (("one", None, None), ("many", 7, None), ("ttl", 7, 3_600_000)):
+        windows = sf.stream_windows(ms.text_source(spark, str(src), max_files_per_trigger=files))
+        feats = sf.stream_features(windows, state_ttl_ms=ttl)
+        q = sf.run_to_parquet(sf.to_ntz_times(feats), str(tmp_path / name), str(tmp_path / f"{name}-ck"))
+        assert files is None or sum(p["numInputRows"] > 0 for p in q.recentProgress) > 3
+        got[name] = sorted(map(tuple, spark.read.parquet(str(tmp_path / name)).select(
+            "vehicle_id", "time", "hv_soc", "hv_battery_voltage", "voltage_change", "soc_change").collect()))
+    assert len(got["one"]) > 90 and got["one"] == got["many"] == got["ttl"]
+
+
+def test_missing_features_are_filled_or_dropped(spark):
+    import pytest
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    cols = "vehicle_id string, time timestamp, hv_soc double, hv_battery_voltage double, " + ", ".join(
+        f"{c} double" for c in config.STREAM_FILL_COLUMNS)
+    n = len(config.STREAM_FILL_COLUMNS)
+    rows = [("V", None, 50.0, 350.0, *[1.0] * n), ("W", None, 50.0, 350.0, None, *[1.0] * (n - 1))]
+    df = spark.createDataFrame(rows, cols)
+
+    class Scorer:
+        def transform(self, d):
+            made = Pipeline(stages=[VectorAssembler(inputCols=config.FEATURES, outputCol="probability")])
+            return made.fit(d).transform(d).withColumn("prediction", F.lit(0.0))
+
+    assert [r.vehicle_id for r in sf.score_stream(df, Scorer(), missing="drop").collect()] == ["V"]
+    assert sorted(r.vehicle_id for r in sf.score_stream(df, Scorer()).collect()) == ["V", "W"]
+    with pytest.raises(ValueError):
+        sf.score_stream(df, Scorer(), missing="keep")
+
+
+def test_console_sink_runs(spark, tmp_path):
+    _write(str(tmp_path), "q.json", [_msg("2024-01-01T00:00:01", 1200, 400.0)])
+    q = sf.run_to_console(ms.parse_messages(ms.text_source(spark, str(tmp_path))))
+    q.processAllAvailable()
+    assert q.exception() is None and q.lastProgress is not None
+    q.stop()

@@ -4,13 +4,20 @@ These compose the operators; they add no logic of their own. Paths name
 shared storage on a cluster. Every job returns the DataFrames it reports
 (counts, metrics, importances) instead of printing them.
 
-    python -m voltaic.jobs preprocess  --input readings/ --output processed/
-    python -m voltaic.jobs ml-dataset  --input readings/ --output ml_dataset/
-    python -m voltaic.jobs train       --input ml_dataset/ --model model/
-    python -m voltaic.jobs tune        --input ml_dataset/ --model model/
-    python -m voltaic.jobs evaluate    --input ml_dataset/ --model model/ --output metrics_csv/
-    python -m voltaic.jobs train-time  --input ml_dataset/ --model model/
-    python -m voltaic.jobs train-80    --input ml_dataset/ --model model/
+    python -m voltaic.jobs normalize --source A=raw/a --source B=raw/b --repaired B --output readings/
+    python -m voltaic.jobs preprocess --input readings/ --output processed/
+    python -m voltaic.jobs ml-dataset --input readings/ --output ml_dataset/
+    python -m voltaic.jobs train --input ml_dataset/ --model model/
+    python -m voltaic.jobs tune --input ml_dataset/ --model model/
+    python -m voltaic.jobs evaluate --input ml_dataset/ --model model/ --output metrics_csv/
+    python -m voltaic.jobs train-time --input ml_dataset/ --model model/
+    python -m voltaic.jobs train-80 --input ml_dataset/ --model model/
+    python -m voltaic.jobs signal-report --input readings/
+    python -m voltaic.jobs voltage-report --input readings/
+    python -m voltaic.jobs feature-report --input processed/
+    python -m voltaic.jobs publish --input readings/ --servers host:9092 --topic t
+    python -m voltaic.jobs inspect-topic --servers host:9092 --topic t
+    python -m voltaic.jobs stream --servers host:9092 --topic t --model model/ --output scores/ --checkpoint ck/
 """
 from __future__ import annotations
 
@@ -60,9 +67,11 @@ def _complete(spark: SparkSession, ml_path: str, features: Sequence[str]) -> Dat
 
 
 def train_valid_test(spark: SparkSession, ml_path: str, model_path: str,
-                     features: Sequence[str] = config.FEATURES, **rf_params) -> dict[str, DataFrame]:
-    """Exact 60/20/20 rank split, class-weighted forest, validation and test metrics."""
-    parts = sp.rank_parts(_complete(spark, ml_path, features))
+                     features: Sequence[str] = config.FEATURES, embargo_rows: int = 0,
+                     **rf_params) -> dict[str, DataFrame]:
+    """Exact 60/20/20 rank split, class-weighted forest, validation and test metrics.
+    ``embargo_rows`` rows after each cutoff are left out of every part."""
+    parts = sp.rank_parts(_complete(spark, ml_path, features), embargo_rows=embargo_rows)
     model = md.train_rf(parts["train"], features, **rf_params)
     md.save_model(model, model_path)
     labelled = [p.withColumn("split", F.lit(name)) for name, p in parts.items()]
@@ -83,22 +92,24 @@ def _stored_scores(model, part: DataFrame) -> DataFrame:
     return sp.materialize(md.score_rows(model, part, keep=(config.LABEL,)))
 
 
-def _scored_split(spark, ml_path, model_path, split, features):
-    return md.score_rows(md.load_model(model_path), sp.rank_parts(_complete(spark, ml_path, features))[split])
+def _scored_split(spark, ml_path, model_path, split, features, embargo_rows):
+    parts = sp.rank_parts(_complete(spark, ml_path, features), embargo_rows=embargo_rows)
+    return md.score_rows(md.load_model(model_path), parts[split])
 
 
 def tune_threshold(spark: SparkSession, ml_path: str, model_path: str,
                    grid: Sequence[float] = config.THRESHOLD_GRID_COARSE,
-                   features: Sequence[str] = config.FEATURES) -> DataFrame:
+                   features: Sequence[str] = config.FEATURES, embargo_rows: int = 0) -> DataFrame:
     """Threshold sweep on the validation split (one job for the whole grid)."""
-    return ev.threshold_sweep(_scored_split(spark, ml_path, model_path, "validation", features), grid)
+    return ev.threshold_sweep(_scored_split(spark, ml_path, model_path, "validation", features, embargo_rows), grid)
 
 
 def evaluate_threshold(spark: SparkSession, ml_path: str, model_path: str,
                        grid: Sequence[float] = config.THRESHOLD_GRID_REPORT,
-                       features: Sequence[str] = config.FEATURES, csv_path: str | None = None) -> DataFrame:
+                       features: Sequence[str] = config.FEATURES, csv_path: str | None = None,
+                       embargo_rows: int = 0) -> DataFrame:
     """Threshold sweep on the test split; optionally written as the metrics CSV."""
-    sweep = ev.threshold_sweep(_scored_split(spark, ml_path, model_path, "test", features), grid)
+    sweep = ev.threshold_sweep(_scored_split(spark, ml_path, model_path, "test", features, embargo_rows), grid)
     if csv_path:
         fs.export_csv(sweep.select(*fs.THRESHOLD_METRICS_SCHEMA.fieldNames()), csv_path)
     return sweep
@@ -166,13 +177,16 @@ def voltage_report(spark: SparkSession, readings_path: str, code: int = 1200,
 
 def feature_report(spark: SparkSession, processed_path: str) -> dict[str, DataFrame]:
     """Processed-table analysis: describe, NULL counts, SOC/voltage ranges, vehicles,
-    schema and a preview."""
+    schema, a preview, and rows with and without temperatures where the table has that flag."""
     from voltaic.operators import report as rp
 
     w = spark.read.parquet(processed_path)
     cols = [c for c in ("vehicle_speed", "ambient_air_temp", "hv_aux_power", "hv_soc", "hv_battery_voltage",
                         "battery_temp_avg", "battery_temp_delta") if c in w.columns]
-    return {"describe": pr.describe_columns(w, cols), "nulls": pr.null_counts(w, long=True),
+    flag = "temperature_available"
+    own = {"temperature": pr.class_distribution(w, flag)} if flag in w.columns else {}
+    return own | {
+            "describe": pr.describe_columns(w, cols), "nulls": pr.null_counts(w, long=True),
             "ranges": pr.range_stats(w), "vehicles": pr.vehicles(w), "schema": pr.schema_report(w),
             "preview": rp.preview(w, ["vehicle_id", "time"])}
 
@@ -197,44 +211,72 @@ def inspect_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 def stream_scoring(spark: SparkSession, messages: DataFrame, model_path: str, output: str, checkpoint: str,
                    *, window: str = config.WINDOW, watermark: str = config.WATERMARK,
                    band: tuple[float, float] = config.VOLTAGE_BAND,
-                   processing_time: str = "5 seconds", first_row: str = "current"):
+                   processing_time: str = "5 seconds", first_row: str = "current",
+                   missing: str = "fill", state_ttl_ms: int | None = None):
     """Messages -> closed windows -> per-vehicle features (state store) -> scores,
     appended to Parquet every ``processing_time``; returns the running query."""
     from voltaic.streaming import features as sf
 
     feats = sf.stream_features(sf.stream_windows(messages, window=window, watermark=watermark),
-                               band=band, first_row=first_row)
-    scored = sf.score_stream(feats, md.load_model(model_path))
+                               band=band, first_row=first_row, state_ttl_ms=state_ttl_ms)
+    scored = sf.score_stream(feats, md.load_model(model_path), missing=missing)
     return sf.run_to_parquet(sf.to_ntz_times(scored), output, checkpoint, available_now=False,
                              processing_time=processing_time)
 
 
+def _stream_stage(spark: SparkSession, a):
+    from voltaic.streaming import messages as ms
+
+    source = ms.kafka_source(spark, a.servers, a.topic, max_offsets_per_trigger=a.max_offsets)
+    return stream_scoring(spark, source, a.model, a.output, a.checkpoint)
+
+
+#: Stage name -> (options it needs, its job).
+STAGES = {
+    "normalize": (("source", "output"), lambda s, a: normalize(
+        s, dict(x.split("=", 1) for x in a.source), a.output, a.repaired)),
+    "preprocess": (("input", "output"), lambda s, a: pr.schema_report(preprocess(s, a.input, a.output))),
+    "ml-dataset": (("input", "output"), lambda s, a: build_ml_dataset(s, a.input, a.output)),
+    "train": (("input", "model"), lambda s, a: train_valid_test(s, a.input, a.model, embargo_rows=a.embargo_rows)),
+    "tune": (("input", "model"), lambda s, a: tune_threshold(s, a.input, a.model, embargo_rows=a.embargo_rows)),
+    "evaluate": (("input", "model"), lambda s, a: evaluate_threshold(
+        s, a.input, a.model, csv_path=a.output, embargo_rows=a.embargo_rows)),
+    "train-time": (("input", "model"), lambda s, a: train_time_split(s, a.input, a.model)),
+    "train-80": (("input", "model"), lambda s, a: train_evaluate_80(s, a.input, a.model)),
+    "signal-report": (("input",), lambda s, a: signal_report(s, a.input)),
+    "voltage-report": (("input",), lambda s, a: voltage_report(s, a.input)),
+    "feature-report": (("input",), lambda s, a: feature_report(s, a.input)),
+    "publish": (("input", "servers", "topic"), lambda s, a: publish(s, a.input, a.servers, a.topic, a.limit)),
+    "inspect-topic": (("servers", "topic"), lambda s, a: inspect_topic(s, a.servers, a.topic)),
+    "stream": (("servers", "topic", "model", "output", "checkpoint"), _stream_stage),
+}
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="voltaic.jobs")
-    ap.add_argument("stage", choices=["preprocess", "ml-dataset", "train", "tune", "evaluate", "train-time",
-                                      "train-80"])
-    ap.add_argument("--input", required=True)
-    ap.add_argument("--output")
-    ap.add_argument("--model")
+    ap.add_argument("stage", choices=list(STAGES))
+    for name in ("input", "output", "model", "servers", "topic", "checkpoint"):
+        ap.add_argument(f"--{name}")
+    ap.add_argument("--source", action="append", metavar="NAME=PATH", help="a raw source (repeat)")
+    ap.add_argument("--repaired", action="append", default=[], metavar="NAME", help="a source to repair (repeat)")
+    ap.add_argument("--limit", type=int, help="publish only the first readings")
+    ap.add_argument("--max-offsets", type=int, default=1_000_000, help="messages per micro-batch at most")
+    ap.add_argument("--embargo-rows", type=int, default=0, help="rows left out after each split cutoff")
     args = ap.parse_args(argv)
+    needs, job = STAGES[args.stage]
+    absent = [n for n in needs if not getattr(args, n)]
+    if absent:
+        ap.error(f"{args.stage} needs " + ", ".join(f"--{n}" for n in absent))
     spark = SparkSession.builder.appName(f"voltaic-{args.stage}").getOrCreate()
-    if args.stage == "preprocess":
-        preprocess(spark, args.input, args.output).printSchema()
-    elif args.stage == "ml-dataset":
-        build_ml_dataset(spark, args.input, args.output).show()
-    elif args.stage == "train":
-        for name, df in train_valid_test(spark, args.input, args.model).items():
+    result = job(spark, args)
+    if isinstance(result, DataFrame):
+        result.show(truncate=False)
+    elif isinstance(result, dict):
+        for name, df in result.items():
             print(name)
             df.show(truncate=False)
-    elif args.stage == "tune":
-        tune_threshold(spark, args.input, args.model).show()
-    elif args.stage == "evaluate":
-        evaluate_threshold(spark, args.input, args.model, csv_path=args.output).show()
     else:
-        run = train_time_split if args.stage == "train-time" else train_evaluate_80
-        for name, df in run(spark, args.input, args.model).items():
-            print(name)
-            df.show(truncate=False)
+        result.awaitTermination()
 
 
 if __name__ == "__main__":

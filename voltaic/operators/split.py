@@ -94,22 +94,32 @@ def rank_parts(
     order: Sequence[str] = ("time", "vehicle_id"),
     names: Sequence[str] = SPLIT_NAMES,
     checkpoint: bool = False,
+    embargo_rows: int = 0,
     **kw,
 ) -> dict[str, DataFrame]:
     """M1 as one DataFrame per part, each a plain range of ``order``; ``checkpoint``
-    is worth it only where ``df`` is not already a stored table."""
-    order = list(order)
-    _, cutoffs = rank_cutoffs(_order_only(df, order, checkpoint), fractions, order, **kw)
-    out, low = {}, None
-    for name, cut in zip(names, [*cutoffs, None]):
-        last = name == names[len(cutoffs)]
-        part = df if last else df.filter(F.lit(False) if cut is None else _tuple_le(df, order, cut))
-        if not last and cut is not None:
-            part = part.filter(F.col(order[0]) <= lit_for(df, order[0], cut[0]))
+    is worth it only where ``df`` is not already a stored table. The first
+    ``embargo_rows`` rows (in ``order``) after each cutoff belong to no part, so
+    that labels which look ahead do not reach across it."""
+    order = tuple(order)
+    stored = _order_only(df, order, checkpoint)
+    n = count_nonnull(stored, [order[0]])[order[0]]
+    ends = [int(n * f) for f in fractions]
+    starts = [min(n, k + embargo_rows) for k in ends]
+    ranks = sorted({*ends, *starts})
+    found = dict(zip(ranks, select_ranks(stored, [(order, k) for k in ranks], counts={order[0]: n}, **kw), strict=True))
+    out = {}
+    for i, name in enumerate(names[: len(ends) + 1]):
+        part = df
+        if i < len(ends):
+            high = found[ends[i]]
+            part = part.filter(F.lit(False) if high is None else _tuple_le(df, order, high))
+            if high is not None:
+                part = part.filter(F.col(order[0]) <= lit_for(df, order[0], high[0]))
+        low = found[starts[i - 1]] if i else None
         if low is not None:
             part = part.filter(~_tuple_le(df, order, low)).filter(F.col(order[0]) >= lit_for(df, order[0], low[0]))
         out[name] = part
-        low = cut if cut is not None else low
     return out
 
 

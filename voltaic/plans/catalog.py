@@ -428,7 +428,7 @@ def _scan_nanos(spark, d):
 
 register("scan_nanos", O.LI_RAW)(_scan_nanos)
 
-# ---- model (rows-only: forest output has no SQL equivalent) ------------------------------------
+# ---- model: forest output has no SQL form; its keys, counts and invariants have -------------------
 
 from voltaic.operators import model as md  # noqa: E402
 
@@ -447,17 +447,55 @@ def ev_split(spark, d, name):
     return sp.split_by_rank(ev_complete(spark, d)).filter(F.col("split") == name)
 
 
-register("train_rf")(lambda s, d: md.model_summary(s, ev_model(s, d)))
-register("feature_importance")(lambda s, d: md.feature_importance(s, ev_model(s, d)))
-register("score_rows")(lambda s, d: md.score_rows(ev_model(s, d), ev_split(s, d, "test")))
+def _checked(scored: DataFrame) -> DataFrame:
+    """A score table with its invariants in place of the forest's numbers."""
+    p = F.col("risk_probability")
+    keys = [c for c in scored.columns if c not in ("risk_probability", "prediction")]
+    return scored.select(*keys, p.between(0, 1).alias("probability_ok"),
+                         (F.col("prediction") == (p > 0.5).cast("double")).alias("prediction_ok"))
+
+
+def _checked_importance(importance: DataFrame) -> DataFrame:
+    total = importance.agg(F.sum("importance")).first()[0]
+    return importance.select("feature", F.col("importance").between(0, 1).alias("importance_ok"),
+                             F.lit(abs(total - 1) < 1e-9).alias("total_ok"))
+
+
+def _train_rf(spark, d):
+    forest = md.model_summary(spark, ev_model(spark, d)).first()
+    counts = ev_split(spark, d, "train").agg(F.count_if(F.col(config.LABEL) == 0).alias("train_negatives"),
+                                             F.count_if(F.col(config.LABEL) == 1).alias("train_positives"))
+    return counts.select("*", *[F.lit(forest[c]).alias(c) for c in ("num_trees", "max_depth", "num_features")],
+                         F.lit(forest["total_nodes"] >= forest["num_trees"]).alias("nodes_ok"))
+
+
+register("train_rf", f"""SELECT count_if(maintenance_risk = 0) AS train_negatives,
+  count_if(maintenance_risk = 1) AS train_positives, {config.RF_PARAMS['numTrees']} AS num_trees,
+  {config.RF_PARAMS['maxDepth']} AS max_depth, {len(config.FEATURES)} AS num_features, true AS nodes_ok
+FROM ({O.split_rank()}) r WHERE split = 'train'""")(_train_rf)
+
+_FEATURE_ROWS = ", ".join(f"('{c}')" for c in config.FEATURES)
+register("feature_importance", f"""SELECT feature, true AS importance_ok, true AS total_ok
+FROM (VALUES {_FEATURE_ROWS}) v(feature)""")(
+    lambda s, d: _checked_importance(md.feature_importance(s, ev_model(s, d))))
+
+_TEST_KEYS = f"SELECT vehicle_id, time, maintenance_risk FROM ({O.split_rank()}) r WHERE split = 'test'"
+register("score_rows", f"SELECT *, true AS probability_ok, true AS prediction_ok FROM ({_TEST_KEYS}) k")(
+    lambda s, d: _checked(md.score_rows(ev_model(s, d), ev_split(s, d, "test"))))
 
 
 def _model_roundtrip(spark, d):
+    """The saved and reloaded model scores every test row as the fitted one does."""
     path = md.save_model(ev_model(spark, d), _scratch(spark, "model"))
-    return md.score_rows(md.load_model(path), ev_split(spark, d, "test"))
+    test, keys = ev_split(spark, d, "test"), ["vehicle_id", "time", config.LABEL]
+    fitted = md.score_rows(ev_model(spark, d), test)
+    again = md.score_rows(md.load_model(path), test).withColumnsRenamed(
+        {"prediction": "prediction_2", "risk_probability": "risk_probability_2"})
+    same = (F.col("prediction") == F.col("prediction_2")) & (F.col("risk_probability") == F.col("risk_probability_2"))
+    return fitted.join(again, keys).select(*keys, same.alias("same"))
 
 
-register("model_roundtrip")(_model_roundtrip)
+register("model_roundtrip", f"SELECT *, true AS same FROM ({_TEST_KEYS}) k")(_model_roundtrip)
 
 
 def _validation_sweep(spark, d):
@@ -465,7 +503,17 @@ def _validation_sweep(spark, d):
     return ev.threshold_sweep(scored, config.THRESHOLD_GRID_LOW)
 
 
-register("validation_sweep")(_validation_sweep)
+def _by_label(cells: DataFrame) -> list:
+    """Every row is in one of the two cells of its label."""
+    return [(F.col("true_positives") + F.col("false_negatives")).alias("positives"),
+            (F.col("false_positives") + F.col("true_negatives")).alias("negatives")]
+
+
+_LOW_GRID = ", ".join(f"({t})" for t in config.THRESHOLD_GRID_LOW)
+register("validation_sweep", f"""SELECT CAST(t0 AS DOUBLE) AS threshold, count_if(maintenance_risk = 1) AS positives,
+  count_if(maintenance_risk = 0) AS negatives
+FROM ({O.split_rank()}) r, (VALUES {_LOW_GRID}) v(t0) WHERE split = 'validation' GROUP BY 1""")(
+    lambda s, d: (lambda sweep: sweep.select("threshold", *_by_label(sweep)))(_validation_sweep(s, d)))
 
 # ---- streaming --------------------------------------------------------------------------------
 
@@ -487,15 +535,40 @@ register("publish_messages", f"""SELECT vehicle_id AS key, vehicle_id, time, val
         "key", "m.vehicle_id", F.col("m.time").try_cast("timestamp_ntz").alias("time"), "m.value_id", "m.value"))
 
 
+#: Readings of four codes are sent a second time, spoilt in a way of their own each.
+_SPOILT = "vehicle_id IS NOT NULL AND time IS NOT NULL AND value IS NOT NULL AND value_id IN (4, 15, 56, 900)"
+
+
+def _spoilt_dir(spark, d, name):
+    """The messages of all readings and spoilt copies: no JSON, an unreadable time, a
+    fractional code, no value."""
+    readings = ev_readings(spark, d)
+    path = _messages_dir(spark, d, name, readings)
+    code = F.get_json_object("value", "$.value_id").cast("int")
+    text = F.col("value")
+    spoilt = ms.publish_messages(readings.filter(_SPOILT)).select(
+        "key",
+        F.when(code == 4, F.concat(F.lit("oops "), text))
+        .when(code == 15, F.regexp_replace(text, '"time":"[^"]*"', '"time":"noon"'))
+        .when(code == 56, F.regexp_replace(text, '"value_id":56', '"value_id":56.5'))
+        .otherwise(F.regexp_replace(text, ',"value":[^}]*', "")).alias("value"))
+    ms.write_text(spoilt, path, "append")
+    return path
+
+
 def _stream_parse(spark, d):
-    src = _messages_dir(spark, d, "stream_parse_in")
+    src = _spoilt_dir(spark, d, "stream_parse_in")
     out, ck = _scratch(spark, "stream_parse_out"), _scratch(spark, "stream_parse_ck")
     parsed = ms.parse_messages(ms.text_source(spark, src))
     sf.run_to_parquet(sf.to_ntz_times(parsed, ("event_time",)), out, ck)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).fillna(-1, subset=["value_id"])  # an unreadable code shows as -1
 
 
-register("stream_parse", f"SELECT {_PARSED} FROM ({O.EV_READINGS}) r")(_stream_parse)
+register("stream_parse", f"""SELECT vehicle_id, time AS event_time, coalesce(value_id, -1) AS value_id, value
+FROM ({O.EV_READINGS}) r UNION ALL
+SELECT CASE WHEN value_id <> 4 THEN vehicle_id END, CASE WHEN value_id NOT IN (4, 15) THEN time END,
+  CASE WHEN value_id NOT IN (4, 56) THEN value_id ELSE -1 END, CASE WHEN value_id NOT IN (4, 900) THEN value END
+FROM ({O.EV_READINGS}) s WHERE {_SPOILT}""")(_stream_parse)
 
 
 def _topic_inspect(spark, d):
@@ -541,11 +614,12 @@ def _stream_late(spark, d):
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                   for op in p.get("stateOperators") or [])
     after = spark.read.parquet(out).count()
-    return spark.createDataFrame([(before, after, int(dropped))],
-                                 "windows_before long, windows_after long, late_state_rows_dropped long")
+    return spark.createDataFrame([(before, after, dropped > 0)],
+                                 "windows_before long, windows_after long, late_rows_dropped boolean")
 
 
-register("stream_late")(_stream_late)
+register("stream_late", f"""SELECT count(*) AS windows_before, count(*) AS windows_after, true AS late_rows_dropped
+FROM ({O.stream_windows()}) w""")(_stream_late)
 
 
 def _stream_features(spark, d, halves: bool = False):
@@ -580,10 +654,12 @@ def _stream_scores(spark, d):
     feats = sf.stream_features(sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW),
                                band=P.EV_BAND, first_row="current")
     sf.run_to_parquet(sf.to_ntz_times(sf.score_stream(feats, model)), out, ck)
-    return spark.read.parquet(out)
+    return _checked(spark.read.parquet(out))
 
 
-register("stream_scores")(_stream_scores)
+register("stream_scores", f"""SELECT vehicle_id, time, hv_soc, hv_battery_voltage,
+  coalesce(voltage_change, 0.0) AS voltage_change, coalesce(soc_change, 0.0) AS soc_change,
+  true AS probability_ok, true AS prediction_ok FROM ({O.stream_features()}) f""")(_stream_scores)
 
 # ---- the ML chain on daily supplier readings (larger input; also used by the bench) ---------------
 
@@ -616,31 +692,42 @@ def _train_imputed(spark, d):
     """The 60/20/20 time-percentile variant: median imputer fitted on training rows,
     SOC-first feature order (the second training script)."""
     data = sp.split_by_time(ev_ml(spark, d), [0.6, 0.8], exact=True)
-    model = md.train_rf(data.filter(F.col("split") == "train"), config.FEATURES_SOC_FIRST, impute=True)
-    return md.feature_importance(spark, model)
+    features = config.FEATURES_SOC_FIRST
+    model = md.train_rf(data.filter(F.col("split") == "train"), features, impute=True, relative_error=0.0)
+    medians = model.stages[0].surrogateDF.unpivot([], features, "feature", "surrogate")
+    return _checked_importance(md.feature_importance(spark, model)).join(medians, "feature")
 
 
-register("train_rf_imputed")(_train_imputed)
+_MEDIANS = ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in config.FEATURES_SOC_FIRST)
+register("train_rf_imputed", f"""WITH m AS ({O.ml_dataset()}),
+t AS (SELECT {_MEDIANS} FROM m WHERE time <= (SELECT quantile_disc(time, 0.6) FROM m))
+SELECT feature, surrogate, true AS importance_ok, true AS total_ok
+FROM (UNPIVOT t ON {", ".join(config.FEATURES_SOC_FIRST)} INTO NAME feature VALUE surrogate) u""")(_train_imputed)
 
 
 def _evaluate_best_on_test(spark, d):
     """M8 + M9: choose the threshold on validation, evaluate it on the test split."""
-    best = _validation_sweep(spark, d).orderBy(F.desc("f1"), F.asc("threshold")).first()
+    best = ev.best_threshold(_validation_sweep(spark, d)).first()
     scored = md.score_rows(ev_model(spark, d), ev_split(spark, d, "test"))
-    return ev.evaluate_at_threshold(scored, best["threshold"])
+    cells = ev.evaluate_at_threshold(scored, best["threshold"])
+    on_grid = F.col("threshold").isin(config.THRESHOLD_GRID_LOW)
+    return cells.select(*_by_label(cells), on_grid.alias("on_grid"))
 
 
-register("evaluate_best_on_test")(_evaluate_best_on_test)
+register("evaluate_best_on_test", f"""SELECT count_if(maintenance_risk = 1) AS positives,
+  count_if(maintenance_risk = 0) AS negatives, true AS on_grid FROM ({_TEST_KEYS}) k""")(_evaluate_best_on_test)
 
 
 def _message_quality(spark, d):
-    return ms.message_quality(ms.text_source(spark, _messages_dir(spark, d, "message_quality_in"), stream=False))
+    return ms.message_quality(ms.text_source(spark, _spoilt_dir(spark, d, "message_quality_in"), stream=False))
 
 
-register("message_quality", f"""SELECT count(*) AS messages,
-  count_if(vehicle_id IS NULL AND time IS NULL AND value_id IS NULL AND value IS NULL) AS malformed,
-  count_if(time IS NOT NULL AND TRY_CAST(strftime(time, '%Y-%m-%dT%H:%M:%S.%f') AS TIMESTAMP) IS NULL) AS bad_time,
-  count_if(value_id IS NULL) AS no_code, count_if(value IS NULL) AS no_value FROM ({O.EV_READINGS}) r""")(
+register("message_quality", f"""SELECT count(*) + count_if({_SPOILT}) AS messages,
+  count_if(vehicle_id IS NULL AND time IS NULL AND value_id IS NULL AND value IS NULL)
+    + count_if({_SPOILT} AND value_id = 4) AS malformed,
+  count_if({_SPOILT} AND value_id = 15) AS bad_time,
+  count_if(value_id IS NULL) + count_if({_SPOILT} AND value_id = 56) AS no_code,
+  count_if(value IS NULL) + count_if({_SPOILT} AND value_id = 900) AS no_value FROM ({O.EV_READINGS}) r""")(
     _message_quality)
 
 _FINE_GRID = [round(i / 100, 2) for i in range(101)]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltaic import config
-from voltaic.functions.exprs import guarded_ratio, in_band
+from voltaic.functions.exprs import in_band
 from voltaic.operators.windows import window_pivot
 from voltaic.streaming.messages import instant_to_ntz, parse_messages, valid_messages
 
@@ -58,8 +58,13 @@ def valid_windows(windows: DataFrame, band=config.VOLTAGE_BAND) -> DataFrame:
                           & (F.col("hv_soc") > 0) & in_band("hv_battery_voltage", *band))
 
 
-def stream_features(windows: DataFrame, *, band=config.VOLTAGE_BAND, first_row: str = "null") -> DataFrame:
-    """Validity filter, then the stateful previous-window features per vehicle."""
+def stream_features(windows: DataFrame, *, band=config.VOLTAGE_BAND, first_row: str = "null",
+                    state_ttl_ms: int | None = None) -> DataFrame:
+    """Validity filter, then the stateful previous-window features per vehicle.
+
+    ``state_ttl_ms`` forgets a vehicle that was silent for so long (processing
+    time); its next window counts as a first one. Default: kept for ever.
+    """
     from pyspark import cloudpickle
 
     from voltaic.streaming import state
@@ -70,35 +75,27 @@ def stream_features(windows: DataFrame, *, band=config.VOLTAGE_BAND, first_row:
     cloudpickle.register_pickle_by_value(state)
     valid = valid_windows(windows, band).select(*[f.name for f in WINDOW_SCHEMA.fields])
     return valid.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=state.PreviousWindowProcessor(first_row, [f.name for f in FEATURE_SCHEMA.fields]),
+        statefulProcessor=state.PreviousWindowProcessor(first_row, [f.name for f in FEATURE_SCHEMA.fields],
+                                                               state_ttl_ms),
         outputStructType=FEATURE_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if state_ttl_ms else "None",
     )
 
 
-def batch_features(windows: DataFrame, *, band=config.VOLTAGE_BAND) -> DataFrame:
-    """The batch twin of ``stream_features`` (for checks): lag over the valid windows."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("vehicle_id").orderBy("time")
-    v, s = F.col("hv_battery_voltage"), F.col("hv_soc")
-    return (valid_windows(windows, band)
-            .withColumn("voltage_per_soc", guarded_ratio(v, s))
-            .withColumn("previous_voltage", F.lag(v).over(w))
-            .withColumn("previous_soc", F.lag(s).over(w))
-            .withColumn("voltage_change", v - F.col("previous_voltage"))
-            .withColumn("soc_change", s - F.col("previous_soc")))
-
-
 def to_ntz_times(df: DataFrame, cols=("time",)) -> DataFrame:
     """Outputs that face batch tables carry TIMESTAMP_NTZ wall clocks."""
     return df.select(*[instant_to_ntz(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def score_stream(features: DataFrame, model, fill=config.STREAM_FILL_COLUMNS) -> DataFrame:
-    """Fill missing features with 0.0, score, keep the reported columns."""
+def score_stream(features: DataFrame, model, fill=config.STREAM_FILL_COLUMNS, *, missing: str = "fill") -> DataFrame:
+    """Score and keep the reported columns. Rows with missing features get 0.0
+    for them (``missing="fill"``) or are left out like in batch training (``"drop"``)."""
     from voltaic.functions.exprs import probability_of
-    scored = model.transform(features.fillna(0.0, subset=list(fill)))
+    if missing not in ("fill", "drop"):
+        raise ValueError("missing must be 'fill' or 'drop'")
+    ready = features.fillna(0.0, subset=list(fill)) if missing == "fill" else features.dropna(subset=list(fill))
+    scored = model.transform(ready)
     return scored.select("vehicle_id", "time", "hv_soc", "hv_battery_voltage", "voltage_change", "soc_change",
                          "prediction", probability_of("probability").alias("risk_probability"))
 

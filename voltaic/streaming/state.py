@@ -21,17 +21,20 @@ class PreviousWindowProcessor(StatefulProcessor):
     ``first_row="null"`` leaves the first window's previous values NULL (the
     batch definition); ``"current"`` uses the window itself with zero change
     (the reference stream's behaviour). Windows not newer than the stored one
-    are ignored for the state (monotone state), but still emitted.
+    are ignored for the state (monotone state), but still emitted. A vehicle's
+    windows of one micro-batch are sorted together; the source's intake bound
+    (``max_offsets_per_trigger``, ``max_files_per_trigger``) limits them.
     """
 
-    def __init__(self, first_row: str, columns: list[str]):
+    def __init__(self, first_row: str, columns: list[str], ttl_ms: int | None = None):
         if first_row not in ("null", "current"):
             raise ValueError("first_row must be 'null' or 'current'")
         self.first_row = first_row
         self.columns = list(columns)
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", STATE_SCHEMA)
+        self.last = handle.getValueState("last", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("time", kind="stable")
