@@ -81,23 +81,6 @@ def test_report_jobs(spark):
     assert feat["describe"].count() == 7 and feat["preview"].count() <= 20
 
 
-def test_commands(spark, capsys):
-    import pytest
-
-    base = scratch_path(spark, "test-commands-" + uuid.uuid4().hex[:8])
-    readings = write_dataset(events_as_readings(spark, "/root/testdata/sf0.001"), f"{base}/readings")
-    jobs.main(["preprocess", "--input", readings, "--output", f"{base}/processed"])
-    jobs.main(["ml-dataset", "--input", readings, "--output", f"{base}/ml"])
-    jobs.main(["signal-report", "--input", readings])
-    jobs.main(["voltage-report", "--input", readings])
-    jobs.main(["feature-report", "--input", f"{base}/processed"])
-    shown = capsys.readouterr().out
-    assert all(name in shown for name in ("stats", "names", "percentiles", "temperature", "describe", "ranges"))
-    for stage in ("normalize", "publish", "inspect-topic", "stream", "train"):
-        with pytest.raises(SystemExit):
-            jobs.main([stage])
-
-
 def test_embargo_leaves_rows_after_each_cutoff(spark):
     from voltaic.operators.split import rank_parts
 
