@@ -199,3 +199,63 @@ def test_token_ids_equal_the_library(monkeypatch):
         ids, lengths = encoder.encode(pa.array([None, *own], pa.string()).slice(1))
         got = [g.tolist() for g in np.split(ids, np.cumsum(lengths)[:-1])]
         assert got == [library.encode(t or "", add_special_tokens=False).ids for t in own]
+
+
+def _ids(encoder, texts):
+    import numpy as np
+    import pyarrow as pa
+
+    ids, lengths = encoder.encode(pa.array(texts, pa.string()))
+    return [g.tolist() for g in np.split(ids, np.cumsum(lengths)[:-1])]
+
+
+def test_added_tokens_equal_the_default_library(monkeypatch):
+    """Random texts with whole, broken and joined special tokens against the library as it comes."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    with open(WORDS, encoding="utf-8") as f:
+        content = f.read()
+    library = Tokenizer.from_str(content)
+    rng = random.Random(7)
+    parts = [*"aB.,'9é|<>", "\u0301", "日", " ", "\t", "\x85", "\xa0", "<|", "|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", None, "a<|endoftext|>b", "x\xa0<|startoftext|>\x85y"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(2000)]
+    monkeypatch.setattr(arrow_ids, "CACHE_ENTRIES", 500)
+    monkeypatch.setattr(arrow_ids, "_STATES", {})
+    encoder = arrow_ids._encoder(content)
+    for i in range(0, len(texts), 200):
+        own = texts[i : i + 200]
+        assert _ids(encoder, own) == [library.encode(t or "", add_special_tokens=False).ids for t in own]
+
+
+def test_added_tokens_of_other_kinds(monkeypatch):
+    """Tokens with white space, found after normalizing, taking the white space around or standing alone."""
+    from tokenizers import AddedToken, Tokenizer
+
+    texts = ["a [sep one] b", "x[SEP ONE]y", "a [cls] b", "a[cls]b", "a[CLS] b", "plain words", "", "a [sep\tone]"]
+    for kind in ({"normalized": False}, {"normalized": True}, {"normalized": False, "lstrip": True, "rstrip": True},
+                 {"normalized": False, "single_word": True}):
+        library = Tokenizer.from_file(WORDS)
+        library.add_tokens([AddedToken("[sep one]", **kind), AddedToken("[cls]", **kind)])
+        monkeypatch.setattr(arrow_ids, "_STATES", {})
+        got = _ids(arrow_ids._encoder(library.to_str()), texts)
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts], kind
+
+
+def test_token_ids_with_special_tokens_in_the_text(spark):
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    texts = ["hello <|endoftext|> world", "one two", "<|startoftext|>a", None, "three"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(arrow_ids.read(arrow_ids.write(table, Scratch(spark, "t"), path=WORDS, end_id=2, length=4, shards=2)))
+    start = 0
+    for doc, text in enumerate(texts):
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        assert (got[doc].start, got[doc].n_tokens, got[doc].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)

@@ -11,7 +11,10 @@ follows from its number.
 The tokenizer works on the distinct white-space-separated runs of a slice of
 rows, remembered in a cache of bounded size: the vocabulary's splitter never
 joins text across white space. A slice's ids are then gathered by run number.
-Texts with white space that only some splitters know go through whole.
+Texts with white space that only some splitters know go through whole. Added
+tokens written in a text are recognised, as by the library's own
+``encode(text, add_special_tokens=False)``: runs that hold one go through the
+library, texts where one may span or follow from white space go through whole.
 
 Null and empty texts have no ids but the end id. Rows with equal ids follow
 each other in an order given by their texts; null ids come first.
@@ -69,24 +72,35 @@ class Table:
 
 
 class Encoder:
-    """Ids by the tokenizers library, a distinct run once."""
+    """Ids by the tokenizers library, a distinct run once.
+
+    ``encode_special_tokens`` is the library's flag: special tokens written in a text are spelt out
+    when it is set, recognised when not.
+    """
 
     #: White space that not every splitter takes for such.
     ODD = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
     #: Words of lower-case Latin letters, accented ones included.
     LATIN = r"^[a-z\x{df}-\x{f6}\x{f8}-\x{17f}]+$"
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, encode_special_tokens: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = encode_special_tokens
         self.normalize = self.tokenizer.normalizer.normalize_str
         self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size()
         # The splitter's spelling of each accented letter, byte by byte.
         self.letters = {c: self.split(chr(c))[0][0] for c in range(0xDF, 0x180) if c != 0xF7}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        added = [t for t in added if t.content and not (t.special and encode_special_tokens)]
+        #: Matches runs that hold an added token, or nothing.
+        self.added = "|".join(_literal(t.content) for t in added) or r"[^\x{0}-\x{10ffff}]"
+        #: Matches texts that go through whole; tokens found in normalized text could be in any.
+        wide = [_literal(t.content) for t in added if any(c.isspace() for c in t.content)]
+        self.whole = "" if any(t.normalized for t in added) else "|".join([self.ODD, *wide])
         self._forget()
 
     def _forget(self) -> None:
@@ -141,17 +155,20 @@ class Encoder:
         if len(self.runs.rows) + len(self.words.rows) > CACHE_ENTRIES or len(self.runs.ids) > 8 * CACHE_ENTRIES:
             self._forget()
         texts = pc.fill_null(texts, "")
-        odd = pc.match_substring_regex(texts, self.ODD)
+        odd = pc.match_substring_regex(texts, self.whole)
         lists = pc.ascii_split_whitespace(pc.if_else(odd, "", texts))
         found = lists.flatten().dictionary_encode()
         runs = found.dictionary.to_pylist()
         row = self.runs.find(runs)
         new = np.flatnonzero(row < 0)
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            keys = [runs[k] for k in part.tolist()]
-            ids, lengths = self._encode_runs(keys)
-            row[part] = self.runs.add(keys, lengths, ids)
+        special = pc.match_substring_regex(found.dictionary.take(pa.array(new)), self.added)
+        special = special.to_numpy(zero_copy_only=False)
+        for method, rows in ((self._encode_runs, new[~special]), (self._library, new[special])):
+            for i in range(0, len(rows), 50_000):
+                part = rows[i : i + 50_000]
+                keys = [runs[k] for k in part.tolist()]
+                ids, lengths = method(keys)
+                row[part] = self.runs.add(keys, lengths, ids)
         ids, lengths = self.runs.join(row[found.indices.to_numpy()])
         edges = np.append(0, np.cumsum(lengths))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         lengths = np.diff(edges)
@@ -164,6 +181,11 @@ class Encoder:
         return ids, lengths
 
 
+def _literal(text: str) -> str:
+    """A regular expression (RE2) for the text itself."""
+    return "".join(c if c.isalnum() else rf"\x{{{ord(c):x}}}" for c in text)
+
+
 def _flat(made: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter(map(len, made), np.int64, len(made))
     return np.fromiter(itertools.chain.from_iterable(made), "<u4", int(lengths.sum())), lengths
@@ -173,7 +195,7 @@ def _encoder(content: str) -> Encoder:
     key = hash(content)
     if key not in _STATES:
         _STATES.clear()
-        _STATES[key] = Encoder(content)
+        _STATES[key] = Encoder(content, encode_special_tokens=False)
     return _STATES[key]
 
 
