@@ -259,3 +259,23 @@ def test_token_ids_with_special_tokens_in_the_text(spark):
         ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
         assert (got[doc].start, got[doc].n_tokens, got[doc].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_range_keys_of_token_ids_hold_no_texts(spark, monkeypatch):
+    """Spark collects a sample of the range keys to the driver."""
+    docs = spark.createDataFrame([(2, "b a"), (1, "x"), (1, "y"), (None, "z"), (1, "x"), (1, None)], "doc_id long, text string")
+    kind, seen = type(docs), []
+    dealt = kind.repartitionByRange
+
+    def spy(self, count, *keys):
+        seen.append([f.dataType.simpleString() for f in self.select(*keys).schema.fields])
+        return dealt(self, count, *keys)
+
+    monkeypatch.setattr(kind, "repartitionByRange", spy)
+    got = arrow_ids.read(arrow_ids.write(docs, Scratch(spark, "t"), path=WORDS, end_id=2, length=4, shards=3)).collect()
+    assert seen == [["bigint", "bigint"]]
+    order = sorted(got, key=lambda r: r.start)
+    assert [r.doc_id for r in order] == [None, 1, 1, 1, 1, 2]
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(order, order[1:]))
+    crcs = [r.ids_crc32 for r in order[1:5]]
+    assert len(set(crcs)) == 3 and sum(a == b for a, b in zip(crcs, crcs[1:])) == 1

@@ -17,7 +17,8 @@ tokens written in a text are recognised, as by the library's own
 library, texts where one may span or follow from white space go through whole.
 
 Null and empty texts have no ids but the end id. Rows with equal ids follow
-each other in an order given by their texts; null ids come first.
+each other in an order given by a hash of their texts, then the texts; null ids
+come first.
 """
 from __future__ import annotations
 
@@ -310,7 +311,10 @@ def write(
         vocabulary = spark.sparkContext.broadcast(f.read())
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange(shards, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Spark collects a sample of the range keys: a hash in place of the text keeps it small.
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    dealt = rows.repartitionByRange(shards, "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text")
+    dealt = dealt.drop("text_hash")
     dealt = dealt.withColumn("shard", F.spark_partition_id())
     run = functools.partial(_write, scratch.folder("ids"), vocabulary, length, end_id)
     files = scratch.store(dealt.mapInArrow(run, "shard int, file string, documents long, ids long"), "files")
