@@ -279,3 +279,37 @@ def test_range_keys_of_token_ids_hold_no_texts(spark, monkeypatch):
     assert all(a.start + a.n_tokens == b.start for a, b in zip(order, order[1:]))
     crcs = [r.ids_crc32 for r in order[1:5]]
     assert len(set(crcs)) == 3 and sum(a == b for a, b in zip(crcs, crcs[1:])) == 1
+
+
+def test_rows_of_an_id_file_by_number(tmp_path, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from voltaic.llm.files import writing
+
+    monkeypatch.setattr(arrow_ids, "BATCH_ROWS", 8)
+    rng = np.random.default_rng(6)
+    name = f"file://{tmp_path}/x/rows.arrow"
+    docs = [rng.integers(0, 60_000, n).astype(np.uint16) for n in [41, 1, 0, 300, *rng.integers(1, 70, 40)]]
+    with writing(name) as out:
+        writer = arrow_ids.ShardWriter(out, 4, pa.uint16())
+        for i, ids in enumerate(docs):
+            writer.add(i, ids)
+        writer.close()
+    flat = np.concatenate(docs)
+    count = -(-len(flat) // 4)
+    rows = arrow_ids.Rows(name)
+    sizes = [rows.file.get_batch(k).num_rows for k in range(rows.file.num_record_batches)]
+    assert set(sizes[:-1]) == {8} and 0 < sizes[-1] <= 8 and sum(sizes) == len(rows) == count
+    padded = np.append(flat, np.zeros(count * 4 - len(flat), np.uint16))
+    before = pa.total_allocated_bytes()
+    for r in (0, 7, 8, count - 1, *range(count)):
+        ids, mask = rows[r]
+        assert ids.tolist() == padded[4 * r : 4 * r + 4].tolist() and not ids.flags.owndata
+        assert mask.to_pylist() == [4 * r + k < len(flat) for k in range(4)]
+    assert pa.total_allocated_bytes() == before
+    for r in (-1, count):
+        with pytest.raises(IndexError):
+            rows[r]
+    starts = [s for k in range(len(sizes)) for s in rows.file.get_batch(k).column(3).flatten().to_pylist()]
+    assert starts == np.cumsum([0, *map(len, docs)])[:-1].tolist()

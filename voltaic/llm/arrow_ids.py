@@ -5,8 +5,9 @@ shard's ids, each document ending with ``end_id``, form one stream that is cut
 into rows of ``length`` ids (``fixed_size_list``, 16 bits an id where the vocabulary
 allows, else 32) with a bit mask of the same shape;
 only a file's last row is padded. Each row also lists the documents that start
-in it. Memory-mapping a file gives zero-copy access to any row: its place
-follows from its number.
+in it. Every record batch but a file's last has ``BATCH_ROWS`` rows, so a row's
+batch follows from its number; ``Rows`` memory-maps a file and gives any row
+without a copy.
 
 The tokenizer works on the distinct white-space-separated runs of a slice of
 rows, remembered in a cache of bounded size: the vocabulary's splitter never
@@ -30,11 +31,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltaic.llm.common import Scratch, ship, slices
-from voltaic.llm.files import new_name, reading, writing
+from voltaic.llm.files import new_name, reading, resolve, writing
 
 #: A worker forgets its cache when it holds more runs and words than this.
 CACHE_ENTRIES = 1_000_000
@@ -233,7 +235,7 @@ class ShardWriter:
 
     def _flush(self, last: bool) -> None:
         ids = np.concatenate(self.buffer) if self.buffer else np.zeros(0, self.dtype)
-        rows = -(-len(ids) // self.length) if last else len(ids) // self.length
+        rows = -(-len(ids) // self.length) if last else len(ids) // self.length // BATCH_ROWS * BATCH_ROWS
         used = min(len(ids), rows * self.length)
         flat = np.zeros(rows * self.length, self.dtype)
         flat[:used] = ids[:used]
@@ -260,6 +262,31 @@ class ShardWriter:
         self.file.close()
 
 
+class Rows:
+    """Rows of one memory-mapped file by number, without a copy. The file is on a mounted folder."""
+
+    def __init__(self, name: str):
+        system, path = resolve(name)
+        if not isinstance(system, fs.LocalFileSystem):
+            raise ValueError(f"{name} cannot be memory-mapped")
+        self.file = pa.ipc.open_file(pa.memory_map(path))
+        self.length = self.file.schema.field("input_ids").type.list_size
+        batches = self.file.num_record_batches
+        self.size = (batches - 1) * BATCH_ROWS + self.file.get_batch(batches - 1).num_rows if batches else 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, row: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of a row."""
+        if not 0 <= row < self.size:
+            raise IndexError(row)
+        batch = self.file.get_batch(row // BATCH_ROWS)
+        start = row % BATCH_ROWS * self.length
+        ids, mask = (batch.column(i).values.slice(start, self.length) for i in (0, 1))
+        return ids.to_numpy(), mask
+
+
 def _write(folder: str, vocabulary, length: int, end_id: int, batches) -> Iterator[pa.RecordBatch]:
     """One file per partition; yields name, documents, ids and the smallest shard key."""
     encoder = _encoder(vocabulary.value)
