@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest test tables."""
 import pytest
 
+from voltaic.plans import oracle as O
 from voltaic.plans.catalog import ORACLE, QUERIES
 from oracle_check import canon, con_for
 from conftest import SF_SMALL
@@ -50,3 +51,44 @@ def test_zone_independent(spark, con, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     want = con.sql(ORACLE[name]).df()
     assert canon(got, 6) == canon(want, 6)
+
+
+def test_queries_take_the_whole_path(spark, con, monkeypatch):
+    """Sources by folder and the K2 output, part files of three kinds, NULL keys and values among the copies."""
+    from voltaic.sources import files as fs
+    from voltaic.sources import raw as rw
+
+    scanned, written, loaded = [], [], []
+    scan, write, load = rw.sources_from_files, fs.write_dataset, fs.load_folder
+    monkeypatch.setattr(rw, "sources_from_files", lambda s, f: scanned.append(sorted(f)) or scan(s, f))
+    monkeypatch.setattr(fs, "write_dataset", lambda df, path, **kw: written.append((df.columns, kw)) or write(df, path, **kw))
+    monkeypatch.setattr(fs, "load_folder", lambda s, path: loaded.append(path) or load(s, path))
+    for name in ("normalize_sources", "row_accounting"):
+        rows = QUERIES[name](spark, SF_SMALL)
+        assert rows.inputFiles() and all("/normalized-" in f and "/source=SRC_" in f for f in rows.inputFiles())
+    assert scanned == [["SRC_A", "SRC_N", "SRC_R"]] * 2
+    assert [kw.get("partition_by") for _, kw in written] == [["source"]] * 4 and "corrected" in written[1][0]
+
+    QUERIES["load_folder"](spark, SF_SMALL)
+    parts = {tuple(spark.read.parquet(f).dtypes) for f in spark.read.parquet(loaded[0]).inputFiles()}
+    assert {dict(p)["time"] for p in parts} == {"string", "timestamp_ntz"} and len({len(p) for p in parts}) == 2
+
+    (keys, copies, null_keys, nulls) = con.sql(f"""SELECT count(*), sum(n), count_if(vehicle_id IS NULL), count_if(v < n) FROM (
+      SELECT vehicle_id, count(*) AS n, count(value) AS v FROM ({O.LI_PRICED}) GROUP BY vehicle_id, time, value_id)""").fetchall()[0]
+    assert copies > keys and 0 < null_keys < keys and nulls > 0
+
+
+def test_folder_with_times_of_two_types(spark, tmp_path):
+    from voltaic.sources.files import load_folder
+
+    whole = spark.sql("SELECT 'a' AS id, TIMESTAMP_NTZ '2024-01-01 00:00:00.000001' AS time, 1 AS x")
+    text = spark.sql("SELECT * FROM VALUES ('b', '2024-01-02 03:00:00', 2.5D), ('c', 'none', NULL) t(id, time, y)")
+    whole.write.parquet(str(tmp_path / "f"))
+    text.write.mode("append").parquet(str(tmp_path / "f"))
+    got = {r.id: (str(r.time), r.x, r.y) for r in load_folder(spark, str(tmp_path / "f")).collect()}
+    assert got == {"a": ("2024-01-01 00:00:00.000001", 1, None), "b": ("2024-01-02 03:00:00", None, 2.5),
+                   "c": ("None", None, None)}
+    spark.sql("SELECT 'd' AS id, TIMESTAMP_NTZ '2024-01-03 00:00:00' AS time, 'one' AS x").write.mode("append").parquet(
+        str(tmp_path / "f"))
+    with pytest.raises(Exception, match="CANNOT_MERGE_SCHEMAS"):
+        load_folder(spark, str(tmp_path / "f"))

@@ -185,6 +185,12 @@ register("dedup_readings", f"""SELECT vehicle_id, time, value_id, min(value) AS
 FROM ({O.LI_READINGS}) r GROUP BY ALL""")(
     lambda s, d: pr.dedup(li_readings(s, d), ["vehicle_id", "time", "value_id"], ["value"]))
 
+register("dedup_readings_nulls", f"""SELECT vehicle_id, time, value_id, value, price FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id, time, value_id
+                               ORDER BY value NULLS LAST, price NULLS LAST) AS n
+  FROM ({O.LI_PRICED}) r) x WHERE n = 1""")(
+    lambda s, d: pr.dedup(rd.lineitem_as_priced_readings(s, d), ["vehicle_id", "time", "value_id"], ["value", "price"]))
+
 register("band_audit", f"""SELECT count(*) AS total,
   count_if(value >= 5 AND value <= 150 AND NOT isnan(value)) AS valid,
   count_if(value < 5 OR value > 150) AS out_of_band, count_if(value <= 0) AS non_positive
@@ -383,8 +389,18 @@ def _export_csv(spark, d):
 register("export_csv", ORACLE["vehicle_slice"])(_export_csv)
 
 
+#: Left out of the part file that holds rows without temperatures.
+_TEMPERATURES = ["hv_temp_min", "hv_temp_max", "battery_temp_avg", "battery_temp_delta"]
+
+
 def _load_folder(spark, d):
-    path = fs.write_dataset(ev_wide(spark, d), _scratch(spark, "load_folder"))
+    """The whole table in three kinds of part files: all columns, times as text, no temperature columns."""
+    wide = fs.read_dataset(spark, fs.write_dataset(ev_wide(spark, d), _scratch(spark, "load_folder_all")))
+    kind = F.pmod(F.xxhash64("vehicle_id", "time"), F.lit(3))
+    bare = (kind == 2) & F.coalesce(*_TEMPERATURES).isNull()
+    path = fs.write_dataset(wide.filter((kind != 1) & ~bare), _scratch(spark, "load_folder"))
+    wide.filter(kind == 1).withColumn("time", F.col("time").cast("string")).write.mode("append").parquet(path)
+    wide.filter(bare).drop(*_TEMPERATURES).write.mode("append").parquet(path)
     return fs.load_folder(spark, path)
 
 
@@ -413,12 +429,22 @@ register("threshold_lookup", f"""SELECT threshold, precision, recall, f1, true_p
 
 register("repair_time", O.repaired())(lambda s, d: rw.repair_readings(rw.lineitem_raw_sources(s, d)))
 
-register("normalize_sources", O.repaired(("SRC_R",)))(
-    lambda s, d: rw.normalize_sources(rw.lineitem_raw_sources(s, d), ["SRC_R"]))
+def _normalize_sources(spark, d):
+    """One raw folder per source, scanned as its source; the normalized output, a folder per source, is read back."""
+    raw = rw.lineitem_raw_sources(spark, d).withColumnRenamed("time_ns", "time")
+    path = fs.write_dataset(raw, _scratch(spark, "raw_sources"), partition_by=["source"])
+    names = [r["source"] for r in raw.select("source").distinct().collect()]
+    files = {name: f"{path}/source={name}" for name in sorted(names)}
+    norm = rw.normalize_sources(rw.sources_from_files(spark, files), ["SRC_R"])
+    out = fs.write_dataset(norm, _scratch(spark, "normalized"), partition_by=["source"])
+    return fs.read_dataset(spark, out, norm.schema)
+
+
+register("normalize_sources", O.repaired(("SRC_R",)))(_normalize_sources)
 
 register("row_accounting", f"""SELECT source, count(*) AS rows, count_if(corrected) AS corrected_rows
 FROM ({O.repaired(('SRC_R',))}) n GROUP BY ROLLUP (source)""")(
-    lambda s, d: pr.row_accounting(rw.normalize_sources(rw.lineitem_raw_sources(s, d), ["SRC_R"])))
+    lambda s, d: pr.row_accounting(_normalize_sources(s, d)))
 
 
 def _scan_nanos(spark, d):

@@ -16,6 +16,14 @@ LI_READINGS = """SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS vehicle_id, CAST(l_
   CAST(l_quantity AS DOUBLE) AS value
 FROM lineitem"""
 
+LI_PRICED = """SELECT CASE WHEN l_suppkey % 2 = 1 THEN 'S' || CAST(l_suppkey AS VARCHAR) END AS vehicle_id,
+  CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS time,
+  CAST(CASE l_linenumber WHEN 1 THEN 4 WHEN 2 THEN 15 WHEN 3 THEN 56 WHEN 4 THEN 900
+       WHEN 5 THEN 1200 WHEN 6 THEN 1208 WHEN 7 THEN 1209 END AS INTEGER) AS value_id,
+  CASE WHEN l_orderkey % 3 > 0 THEN CAST(l_quantity AS DOUBLE) END AS value,
+  CASE WHEN l_partkey % 4 > 0 THEN CAST(l_extendedprice AS DOUBLE) END AS price
+FROM lineitem"""
+
 SCORES = """SELECT 'V' || CAST(user_id % 7 AS VARCHAR) AS vehicle_id, ts AS time, event_id,
   CAST(value > 100 AS INTEGER) AS maintenance_risk,
   CASE WHEN event_id % 17 <> 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100 END AS risk_probability,

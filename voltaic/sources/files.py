@@ -46,7 +46,8 @@ def load_folder(spark: SparkSession, path: str, schema: T.StructType | None = No
                 time_col: str = "time") -> DataFrame:
     """All part files of a folder as one table, lenient time coercion.
 
-    Files with differing columns are merged by name (missing -> NULL). A
+    Files with differing columns are merged by name (missing -> NULL); times may
+    be text in some files and timestamps in others. A
     missing folder or one without part files gives an empty DataFrame (with
     ``schema`` when given); any other problem raises. Unparseable times become
     NULL.
@@ -59,12 +60,36 @@ def load_folder(spark: SparkSession, path: str, schema: T.StructType | None = No
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], schema or T.StructType([]))
+    except Exception as e:  # a plain Java error in a classic session
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+        return _load_mixed_times(spark, path, time_col)
+    return _coerce_time(df, time_col)
+
+
+def _coerce_time(df: DataFrame, time_col: str) -> DataFrame:
     if time_col in df.columns and not isinstance(df.schema[time_col].dataType,
                                                   (T.TimestampType, T.TimestampNTZType)):
         df = df.withColumn(time_col, F.try_to_timestamp(F.col(time_col).cast("string")).cast("timestamp_ntz"))
     return df
 
 
+def _load_mixed_times(spark: SparkSession, path: str, time_col: str) -> DataFrame:
+    """Part files whose time columns differ in type: one scan per type. The driver reads a footer per file."""
+    kinds: dict[str, list[str]] = {}
+    for file in spark.read.parquet(path).inputFiles():
+        types = dict(spark.read.parquet(file).dtypes)
+        kinds.setdefault(types.get(time_col, ""), []).append(file)
+    out = None
+    for kind, files in sorted(kinds.items()):
+        scan = spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*files)
+        scan = _coerce_time(scan, time_col)
+        if kind == "timestamp":
+            scan = scan.withColumn(time_col, F.col(time_col).cast("timestamp_ntz"))
+        out = scan if out is None else out.unionByName(scan, allowMissingColumns=True)
+    return out
+
+
 def export_csv(df: DataFrame, path: str) -> str:
     """K7: all columns as CSV with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)

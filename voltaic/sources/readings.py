@@ -69,6 +69,19 @@ def lineitem_as_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineitem_as_priced_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as monthly readings with two value columns: NULL vehicles (even suppliers) and NULLs in both."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    codes = dict(enumerate(LINE_NUMBER_CODES, start=1))
+    return li.select(
+        F.when(F.col("l_suppkey") % 2 == 1, F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("vehicle_id"),
+        F.trunc("l_shipdate", "month").cast("timestamp_ntz").alias("time"),
+        code_case("l_linenumber", codes).cast("int").alias("value_id"),
+        F.when(F.col("l_orderkey") % 3 > 0, F.col("l_quantity").cast("double")).alias("value"),
+        F.when(F.col("l_partkey") % 4 > 0, F.col("l_extendedprice").cast("double")).alias("price"),
+    )
+
+
 def extract_signals(readings: DataFrame, codes: Iterable[int], *, millis: str | None = None) -> DataFrame:
     """Keep the listed signal codes (F1/S4); optionally cast time to ms.
 
