@@ -114,3 +114,59 @@ def test_toxicity_held_out(spark):
         below += 1 - label
         area += below * label
     assert area / (len(caught) * len(clean)) > 0.97
+
+
+def _plain_count(scores):
+    """Tokens of a marked word by a plain search over all splits."""
+    import functools
+
+    longest, floor = max(map(len, scores)), min(scores.values()) - 10
+
+    @functools.cache
+    def best(word):
+        top = [(0.0, 0)]
+        for stop in range(1, len(word) + 1):
+            found = (-1e18, 0)
+            for start in range(max(0, stop - longest), stop):
+                score = scores.get(word[start:stop])
+                if score is not None and top[start][0] + score > found[0]:
+                    found = (top[start][0] + score, top[start][1] + 1)
+            size = len(word[stop - 1].encode())
+            if word[stop - 1] not in scores and top[-1][0] + size * floor > found[0]:
+                found = (top[-1][0] + size * floor, top[-1][1] + size)
+            top.append(found)
+        return top[-1][1]
+
+    return best
+
+
+def test_token_counts_of_every_document(spark, documents):
+    from voltaic.llm import token_counts as tc
+
+    best = _plain_count(tc.piece_scores(tc.read_pieces(public_tokenizers.path(PIECE_VOCABULARY))))
+    got = {r.doc_id: (r.n_words, r.n_tokens) for r in QUERIES["op6_token_counts"](spark, SF_SMALL).collect()}
+    split = {doc: (text or "").split() for doc, text, _ in documents}
+    assert got == {doc: (len(words), sum(best("▁" + w) for w in words)) for doc, words in split.items()}
+
+
+def test_token_counts_of_long_words(monkeypatch):
+    """Words above MAX_BATCH_WORD through a trie that is emptied again and again."""
+    import random
+
+    from voltaic.llm import token_counts as tc
+
+    scores = tc.piece_scores(tc.read_pieces(public_tokenizers.path(PIECE_VOCABULARY)))
+    best, rng = _plain_count(scores), random.Random(8)
+    pieces = [p.strip("▁") or "a" for p in rng.sample(sorted(scores), 300)] + ["😀", "é", "日本", "ẞ"]
+    words = ["".join(rng.choices(pieces, k=rng.randint(10, 60))) for _ in range(60)]
+    words = [w for w in words if len(w) > tc.MAX_BATCH_WORD]
+    words += [words[0] + "s", words[0][:60], "x" * 49, "x" * 48, "x" * 700]
+    resets = []
+    clear = tc.Trie.clear
+    monkeypatch.setattr(tc, "MAX_NODES", 400)
+    monkeypatch.setattr(tc.Trie, "clear", lambda self: resets.append(1) or clear(self))
+    counter = tc.BatchCounter(scores)
+    for _ in range(2):
+        assert counter.count(set(words)) == {w: best("▁" + w) for w in words}
+        counter.cache = tc.Cache(10)
+    assert len(resets) > 10
