@@ -156,3 +156,76 @@ def test_pipeline_against_brute_force(spark):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert {d: r.n_tokens for d, r in after.items()} == {d: len(library.encode_ordinary(r.text)) for d, r in before.items()}
     assert cp.run(spark, SF_SMALL).count() == len(after)
+
+
+def test_pipeline_rejects_by_score_and_language(spark):
+    """What the first two stages keep, by plain Python over each stage's own input with its own model."""
+    import math
+    import zlib
+
+    import corpus_pipeline as cp
+
+    from voltaic.llm import langid, toxicity
+
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = [(-1, "123 ... 456"), (-2, ""), (-3, None), (-4, "12 !?")]
+    odd = spark.createDataFrame([(i, t, "en", "x", 0) for i, t in odd], cp.COLUMNS)
+    docs = docs.select(cp.COLUMNS).union(odd.select([odd[c].cast(docs.schema[c].dataType) for c in cp.COLUMNS]))
+    rows = {r.doc_id: r for r in docs.collect()}
+    labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{folder}/labels.parquet'").fetchall())
+
+    learn = [d for d in rows if zlib.crc32(str(d).encode()) % 3 != 1]
+    table = spark.read.parquet(f"{folder}/labels.parquet")
+    ids = spark.createDataFrame([(d,) for d in learn], "doc_id long")
+    model = toxicity.fit(docs.join(ids, "doc_id"), table.join(ids, "doc_id"))
+    spared = [" " + " ".join(toxicity.fold(p)) + " " for p in model.exceptions]
+
+    def places(line, entry):
+        return [i for i in range(len(line)) if line.startswith(entry, i)]
+
+    def score(text):
+        words = toxicity.fold(text)
+        line = " " + " ".join(words) + " "
+        free = [(i, i + len(p)) for p in spared for i in places(line, p)]
+        best = {}
+        for entry, weight in model.entries.items():
+            for i in places(line, entry) if words else ():
+                if not any(a <= i and i + len(entry) <= b for a, b in free):
+                    best[i] = max(weight, best.get(i, 0.0))
+        total = sum(best.values())
+        a, b, c = model.curve
+        return 1 / (1 + math.exp(-(a + b * math.log1p(total) + c * math.log1p(1000 * total / max(len(words), 1)))))
+
+    after = {r.doc_id for r in cp.remove_toxic(spark, docs, folder).collect()}
+    assert after == {d for d, r in rows.items() if score(r.text) < 0.7}
+    planted = [d for d in rows if labels.get(d) == 1]
+    clean = [d for d in rows if labels.get(d) == 0]
+    assert len(planted) > 40 and sum(d not in after for d in planted) >= 0.75 * len(planted)
+    assert sum(d in after for d in clean) >= 0.98 * len(clean)
+
+    learn = [d for d in rows if zlib.crc32(str(d).encode()) % 4 != 2]
+    model = langid.fit(docs.join(spark.createDataFrame([(d,) for d in learn], "doc_id long"), "doc_id"))
+
+    def known(text):
+        low = (text or "").lower()
+        run = "".join(c if c.isalpha() else " " if i and low[i - 1].isalpha() else "" for i, c in enumerate(low))
+        if not any(map(str.isalpha, run)):
+            return False
+        total, grams = model.log_prior.copy(), 0
+        for order in model.orders:
+            for i in range(len(run) - order + 1):
+                h = order
+                for c in run[i : i + order]:
+                    h = (h ^ ord(c)) * 0x9E3779B1 % 2**32
+                    h ^= h >> 15
+                total += model.log_prob[:, (h * 0x85EBCA6B % 2**32) >> (32 - model.bits)]
+                grams += 1
+        scaled = (total - total.max()) * min(1, 100 / max(grams, 1))
+        return 1 / np.exp(scaled).sum() >= 0.5
+
+    # The plain loop is slow: every short text, and every eleventh of the long ones.
+    tried = [d for k, d in enumerate(sorted(rows)) if len(rows[d].text or "") < 300 or k % 11 == 0]
+    after = {r.doc_id for r in cp.keep_known_language(spark, docs, folder).collect()}
+    assert {-1, -2, -3, -4}.isdisjoint(after)
+    assert after & set(tried) == {d for d in tried if known(rows[d].text)}
