@@ -1,6 +1,8 @@
 """DuckDB SQL for the numbered queries that SQL can express."""
 from __future__ import annotations
 
+from voltaic.llm.pii import ADDED, BASE, CONTEXT, Kind
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = _UPPER.lower()
 
@@ -88,3 +90,49 @@ r(id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.c FROM r JOIN l ON
 m AS (SELECT id AS vec_id, min(c) AS component_id FROM r GROUP BY 1)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM m LEFT JOIN n USING (vec_id)"""
+
+
+#: ``m`` is a match, ``before`` and ``after`` what lies between it and its neighbours.
+_ALONE = "NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]')"
+_CHECKS = {
+    "email": "true",
+    "ip": "list_max(list_transform(string_split(m, '.'), lambda p: p::HUGEINT)) <= 255",
+    "card": """len(d) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, len(d) + 1), lambda k:
+               CASE WHEN (len(d) - k) % 2 = 0 THEN d[k]::INT ELSE (d[k]::INT * 2) // 10 + (d[k]::INT * 2) % 10 END)) % 10 = 0""",
+    "phone": "len(d) BETWEEN 9 AND 15",
+    "iban": f"""{_ALONE} AND len(replace(m, ' ', '')) BETWEEN 15 AND 34 AND
+                list_reduce(list_prepend(0, list_transform(string_split(replace(m, ' ', '')[5:] || m[1:4], ''),
+                  lambda c: instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1)),
+                  lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1""",
+    "ssn": f"""{_ALONE} AND NOT regexp_matches(m, '^(000|666|9)|-00-|0000$')
+               AND NOT regexp_matches(before, '[0-9]-$') AND NOT regexp_matches(after, '^-[0-9]')""",
+}
+
+
+def _kind_spans(place: int, kind: Kind, base: bool, threshold: float) -> str:
+    near = f"lower(right(before, {CONTEXT}) || ' ' || left(after, {CONTEXT}))"
+    score = f"""{kind.prior} + CASE WHEN regexp_matches({near}, '{kind.support}') THEN {kind.lift} ELSE 0 END
+                - CASE WHEN regexp_matches({near}, '{kind.oppose}') THEN {kind.lift} ELSE 0 END"""
+    kept = "" if base else f"AND round({score}, 6) >= {threshold}"
+    return f"""
+SELECT doc_id, {place} AS place, '{kind.name}' AS kind, stop - length(m) AS start, stop
+FROM (SELECT doc_id, ms[k] AS m, regexp_replace(ms[k], '[^0-9]', '', 'g') AS d, ps[k] AS before, ps[k + 1] AS after,
+        sum(length(ms[k]) + length(ps[k])) OVER (PARTITION BY doc_id ORDER BY k) AS stop
+      FROM (SELECT doc_id, ms, ps, unnest(range(1, len(ms) + 1)) AS k
+            FROM (SELECT doc_id, regexp_extract_all(t, '{kind.pattern}') AS ms, regexp_split_to_array(t, '{kind.pattern}') AS ps
+                  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))))
+WHERE {_CHECKS[kind.name]} {kept}"""
+
+
+def personal_data(threshold: float = 0.5) -> str:
+    """Every kind's matches and the gaps between them; offsets are running sums of their lengths."""
+    kinds = [(k, True) for k in BASE] + [(k, False) for k in ADDED]
+    found = " UNION ALL ".join(_kind_spans(i, k, base, threshold) for i, (k, base) in enumerate(kinds))
+    counts = ", ".join(f"coalesce(n_{k.name}, 0)::BIGINT AS n_{k.name}" for k in BASE)
+    sums = ", ".join(f"count_if(kind = '{k.name}') AS n_{k.name}" for k in BASE)
+    listed = "string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY place, start)"
+    return f"""
+WITH s AS ({found}),
+g AS (SELECT doc_id, {sums}, {listed} FILTER (place < {len(BASE)}) AS base, {listed} AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN g USING (doc_id)"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaic.llm import (
+    alignment,
     arrow_ids,
     bag_minhash,
     byte_bpe,
@@ -13,16 +14,19 @@ from voltaic.llm import (
     langid,
     oracle,
     pca_dedup,
+    pii,
     token_counts,
     toxicity,
     url_rules,
     warc,
+    whitening,
 )
 from voltaic.llm.common import Scratch, id_bucket, read_table
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 #: ``(verdict, host, path)``.
 URL_RULES = [
     ("allow", "org", "/"),
@@ -99,6 +103,26 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN, decode=True))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, components=32).withColumnRenamed("id", "vec_id")
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.align(
+        docs, path_a=public_tokenizers.path(BYTE_TOKENIZER), path_b=public_tokenizers.path(PIECE_VOCABULARY)
+    )
+    return found.select(
+        F.col("id").cast("long").alias("doc_id"),
+        "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared",
+    )
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_toxicity": op2_toxicity,
@@ -110,6 +134,9 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_whitening": op11_whitening,
+    "op12_pii": op12_pii,
+    "op13_alignment": op13_alignment,
 }
 
 #: The rest has no SQL form and is tested against brute force, the library it follows or held-out rows.
@@ -119,4 +146,5 @@ ORACLE: dict[str, str] = {
     "op4_warc": oracle.WARC,
     "op8_url_rules": oracle.url_rules(URL_RULES),
     "op9_embedding_dedup": oracle.embedding_duplicates(0.98),
+    "op12_pii": oracle.personal_data(),
 }
