@@ -212,13 +212,13 @@ def stream_scoring(spark: SparkSession, messages: DataFrame, model_path: str, ou
                    *, window: str = config.WINDOW, watermark: str = config.WATERMARK,
                    band: tuple[float, float] = config.VOLTAGE_BAND,
                    processing_time: str = "5 seconds", first_row: str = "current",
-                   missing: str = "fill", state_ttl_ms: int | None = None):
+                   missing: str = "fill", state_ttl: str | None = None):
     """Messages -> closed windows -> per-vehicle features (state store) -> scores,
     appended to Parquet every ``processing_time``; returns the running query."""
     from voltaic.streaming import features as sf
 
     feats = sf.stream_features(sf.stream_windows(messages, window=window, watermark=watermark),
-                               band=band, first_row=first_row, state_ttl_ms=state_ttl_ms)
+                               band=band, first_row=first_row, state_ttl=state_ttl, window=window)
     scored = sf.score_stream(feats, md.load_model(model_path), missing=missing)
     return sf.run_to_parquet(sf.to_ntz_times(scored), output, checkpoint, available_now=False,
                              processing_time=processing_time)
@@ -227,8 +227,10 @@ def stream_scoring(spark: SparkSession, messages: DataFrame, model_path: str, ou
 def _stream_stage(spark: SparkSession, a):
     from voltaic.streaming import messages as ms
 
-    source = ms.kafka_source(spark, a.servers, a.topic, max_offsets_per_trigger=a.max_offsets)
-    return stream_scoring(spark, source, a.model, a.output, a.checkpoint)
+    source = ms.kafka_source(spark, a.servers, a.topic, starting=a.starting, fail_on_data_loss=not a.allow_data_loss,
+                             max_offsets_per_trigger=a.max_offsets)
+    return stream_scoring(spark, source, a.model, a.output, a.checkpoint, window=a.window, processing_time=a.trigger,
+                          first_row=a.first_row, missing=a.missing, state_ttl=a.state_ttl)
 
 
 #: Stage name -> (options it needs, its job).
@@ -262,6 +264,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--limit", type=int, help="publish only the first readings")
     ap.add_argument("--max-offsets", type=int, default=1_000_000, help="messages per micro-batch at most")
     ap.add_argument("--embargo-rows", type=int, default=0, help="rows left out after each split cutoff")
+    ap.add_argument("--starting", default="earliest", help="first offsets of a new stream: earliest or latest")
+    ap.add_argument("--allow-data-loss", action="store_true", help="go on when the topic lost messages")
+    ap.add_argument("--window", default=config.WINDOW, help="length of a window")
+    ap.add_argument("--trigger", default="5 seconds", help="time between micro-batches")
+    ap.add_argument("--first-row", choices=("current", "null"), default="current",
+                    help="previous values of a vehicle's first window")
+    ap.add_argument("--missing", choices=("fill", "drop"), default="fill", help="rows with missing features")
+    ap.add_argument("--state-ttl", help="forget a vehicle that was silent for so long, e.g. '1 day'")
     args = ap.parse_args(argv)
     needs, job = STAGES[args.stage]
     absent = [n for n in needs if not getattr(args, n)]

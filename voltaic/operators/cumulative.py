@@ -1,20 +1,66 @@
 """Running totals over a global order without a single-partition window.
 
-``Window.orderBy(x)`` with no partition sends every row to one task. Here
-the ordered values are cut into ``buckets`` ranges at approximate quantiles
-(a one-pass ``percentile_approx``; only the bucket edges reach the driver),
-per-bucket totals are summed (one row per bucket), their exclusive prefix is
-taken over that tiny table, and each bucket adds its offset to a running sum
-partitioned by bucket. Exact for any input; balanced when the quantiles are.
+``Window.orderBy(x)`` with no partition sends every row to one task. Here the
+ordered values are cut twice: into at most ``COARSE`` ranges at approximate
+quantiles of the whole, and each range into at most ``FINE`` cells at
+approximate quantiles of its own. Sums are then taken level by level - the
+rows of a cell, the cells of a range, the ranges - and a row's running total
+is the sum of three prefixes: of the ranges before its own, of the cells
+before its own in that range, and of the rows before it in the cell.
+
+Whatever the number of rows, the driver holds one edge and one total per
+range (at most ``COARSE``), the cells' edges travel as one small array per
+range, and the cells' prefixes come back by a join on the cell. Exact for any
+input; balanced when the quantiles are.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges of the whole at most, and cells of a range at most.
+COARSE, FINE = 1024, 256
+
+
+def fan_out(rows: int, bucket_rows: int) -> tuple[int, int]:
+    """Ranges, and cells of a range, for cells of about ``bucket_rows`` rows."""
+    cells = max(1, -(-rows // bucket_rows))
+    coarse = min(COARSE, max(math.isqrt(cells - 1) + 1, -(-cells // FINE)))
+    return coarse, min(FINE, -(-cells // coarse))
+
+
+def _quantiles(value: Column, parts: int) -> Column:
+    """Inner edges of ``parts`` ranges, each once, rising."""
+    if parts < 2:
+        return F.array().cast("array<double>")
+    edges = F.percentile_approx(value, [i / parts for i in range(1, parts)], max(10_000, 8 * parts))
+    return F.array_sort(F.array_distinct(edges))
+
+
+def _place(value: Column, edges: Column, most: int) -> Column:
+    """How many of up to ``most`` rising edges are below a value: a binary search over the array."""
+    place = F.lit(0)
+    step = 1 << max(0, most.bit_length() - 1)
+    while step:
+        # NULL beyond the array's end: not below.
+        below = F.coalesce(F.get(edges, place + (step - 1)) < value, F.lit(False))
+        place = place + F.when(below, F.lit(step)).otherwise(F.lit(0))
+        step //= 2
+        yield place
+        place = F.col("_place")
+
+
+def _with_place(df: DataFrame, value: str, edges: str, most: int, out: str) -> DataFrame:
+    """``_place`` as a column; a step of the search reads the one before it from a column, so nothing is repeated."""
+    if most < 1:
+        return df.withColumn(out, F.lit(0))
+    for place in _place(F.col(value), F.col(edges), most):
+        df = df.withColumn("_place", place)
+    return df.withColumnRenamed("_place", out)
+
 
 def running_totals(
     df: DataFrame,
@@ -27,39 +73,48 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over all rows at or before this row's
     position in ``order_col`` order. ``order_col`` must be unique per row
-    (e.g. the output of a ``groupBy(order_col)``) and numeric; a NULL raises.
-
-    One pass counts the rows; the number of buckets is that count over
-    ``bucket_rows``, at every size, so no bucket's window grows with the data.
-    The driver holds the bucket edges, one double per ``bucket_rows`` rows."""
-    sum_cols = list(sum_cols)
+    (e.g. the output of a ``groupBy(order_col)``) and numeric; a NULL raises."""
+    sum_cols, base = list(sum_cols), df.columns
     value = F.col(order_col).cast("double")
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(value.isNull()).alias("nulls")).first()
     if row["nulls"]:
         raise ValueError(f"{row['nulls']} rows have no {order_col}")
-    buckets = -(-row["n"] // bucket_rows)
-    edges = []
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        edges = df.agg(F.percentile_approx(value, qs, max(10000, 4 * buckets)).alias("q")).first()["q"] or []
-    splits = [float("-inf"), *sorted({float(e) for e in edges if abs(float(e)) < float("inf")}), float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    dbl = f"_{order_col}_dbl"
-    x = Bucketizer(splits=splits, inputCol=dbl, outputCol="_bucket", handleInvalid="keep").transform(
-        df.withColumn(dbl, F.col(order_col).cast("double"))
-    ).drop(dbl)
-    bucket_order = F.desc("_bucket") if descending else F.asc("_bucket")
-    totals = x.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    before = Window.orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
-    )
-    within = (Window.partitionBy("_bucket")
+    coarse, fine = fan_out(row["n"], bucket_rows)
+    edges = df.agg(_quantiles(value, coarse).alias("q")).first()["q"] or []
+    rows = df.withColumn("_value", value).withColumn("_edges", F.array(*map(F.lit, edges)).cast("array<double>"))
+    rows = _with_place(rows, "_value", "_edges", len(edges), "_range").drop("_edges")
+    # Each range's own edges: at most COARSE arrays of at most FINE doubles.
+    inner = rows.groupBy("_range").agg(_quantiles(F.col("_value"), fine).alias("_edges"))
+    rows = _with_place(rows.join(F.broadcast(inner), "_range"), "_value", "_edges", fine - 1, "_cell").drop("_edges", "_value")
+
+    cells = rows.groupBy("_range", "_cell").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    totals = cells.groupBy("_range").agg(*[F.sum(f"_t_{c}").alias(c) for c in sum_cols]).collect()
+    starts = _prefixes(totals, sum_cols, len(edges) + 1, descending)
+    order = F.desc("_cell") if descending else F.asc("_cell")
+    before = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cells.select("_range", "_cell", *[
+        (F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)) + _looked_up(starts[c], "_range")).alias(f"_o_{c}")
+        for c in sum_cols
+    ])
+    within = (Window.partitionBy("_range", "_cell")
               .orderBy(F.desc(order_col) if descending else F.asc(order_col))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = x.join(F.broadcast(offsets), "_bucket")
-    return joined.select(
-        *df.columns,
-        *[(F.sum(c).over(within) + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols],
-    )
+    return rows.join(offsets, ["_range", "_cell"]).select(
+        *base, *[(F.sum(c).over(within) + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
+
+
+def _prefixes(totals, sum_cols: list[str], ranges: int, descending: bool) -> dict[str, list]:
+    """For each column the sum over the ranges before each range."""
+    of = {r["_range"]: r for r in totals}
+    out: dict[str, list] = {c: [0] * ranges for c in sum_cols}
+    sums = dict.fromkeys(sum_cols, 0)
+    for k in (range(ranges - 1, -1, -1) if descending else range(ranges)):
+        for c in sum_cols:
+            out[c][k] = sums[c]
+            if k in of and of[k][c] is not None:
+                sums[c] += of[k][c]
+    return out
+
+
+def _looked_up(values: list, place: str) -> Column:
+    return F.get(F.array(*map(F.lit, values)), F.col(place))

@@ -26,9 +26,9 @@ from voltaic.operators.ranks import count_nonnull, exact_quantiles, select_ranks
 SPLIT_NAMES = ("train", "validation", "test")
 
 
-def _tuple_le(df: DataFrame, cols: Sequence[str], values: Sequence) -> Column:
-    """Lexicographic ``(cols) <= (values)``."""
-    c0, v0 = F.col(cols[0]), lit_for(df, cols[0], values[0])
+def _tuple_le(df: DataFrame, cols: Sequence[str], values: Sequence, first: Column | None = None) -> Column:
+    """Lexicographic ``(cols) <= (values)``; ``first`` stands in for the first column."""
+    c0, v0 = F.col(cols[0]) if first is None else first, lit_for(df, cols[0], values[0])
     if len(cols) == 1:
         return c0 <= v0
     return (c0 < v0) | ((c0 == v0) & _tuple_le(df, cols[1:], values[1:]))
@@ -123,6 +123,38 @@ def rank_parts(
     return out
 
 
+def purged_split(
+    df: DataFrame,
+    fractions: Sequence[float] = config.SPLIT_FRACTIONS,
+    order: Sequence[str] = ("time", "vehicle_id"),
+    names: Sequence[str] = SPLIT_NAMES,
+    *,
+    label_end: str = "label_end",
+    checkpoint: bool = True,
+    **kw,
+) -> DataFrame:
+    """M1 without labels that look across a cutoff: ``split`` as ``split_by_rank``
+    gives it, without the rows whose look-ahead frame ends after their part does.
+
+    ``label_end`` (see ``sequence_features``) is the first order column's value
+    at the end of a row's own frame; the frame's other rows are of the same
+    vehicle, so the frame ends at ``(label_end, rest of the order)``. A row of
+    the last part always stays, and so does a row without a frame. How many
+    rows go depends on each vehicle's own rate of rows, unlike an embargo of a
+    number of rows of all vehicles together.
+    """
+    order = list(order)
+    _, cutoffs = rank_cutoffs(_order_only(df, order, checkpoint), fractions, order, **kw)
+    split = crosses = None
+    for name, cut in zip(names, cutoffs):
+        cond = F.lit(False) if cut is None else _tuple_le(df, order, cut)
+        over = F.lit(False) if cut is None else ~_tuple_le(df, order, cut, first=F.col(label_end))
+        split = F.when(cond, F.lit(name)) if split is None else split.when(cond, F.lit(name))
+        crosses = F.when(cond, over) if crosses is None else crosses.when(cond, over)
+    purged = F.coalesce(crosses.otherwise(F.lit(False)), F.lit(False))
+    return df.withColumn("split", split.otherwise(F.lit(names[len(cutoffs)]))).filter(~purged)
+
+
 def time_cutoffs(df: DataFrame, fractions: Sequence[float], time_col: str = "time",
                  accuracy: int = 10000, exact: bool = False) -> list:
     """Time quantiles (M2/M3). Default: ``percentile_approx`` in one pass with

@@ -139,6 +139,10 @@ register("risk_label", f"SELECT vehicle_id, time, future_max_voltage_change, mai
     lambda s, d: fx.risk_label(fx.sequence_features(ev_banded(s, d), chunk="1 day"), P.EV_RISK)
     .select("vehicle_id", "time", "future_max_voltage_change", "maintenance_risk"))
 
+register("lookahead_horizon", O.lookahead_horizon(P.EV_HORIZON))(
+    lambda s, d: fx.horizon_max(fx.sequence_features(ev_banded(s, d), chunk="1 day"), P.EV_HORIZON, chunk="1 day")
+    .select("vehicle_id", "time", "voltage_change", "horizon_max_voltage_change"))
+
 register("ml_dataset", O.ml_dataset())(lambda s, d: ev_ml(s, d))
 
 register("complete_rows", O.complete_rows())(lambda s, d: ev_complete(s, d))
@@ -273,6 +277,15 @@ register("split_time_3way", O.time_split([0.6, 0.8], ["train", "validation", "te
     .select("vehicle_id", "time", config.LABEL, "split"))
 
 
+def ev_labelled_ends(spark, d):
+    ml = fx.ml_dataset(ev_readings(spark, d), window=P.EV_WINDOW, band=P.EV_BAND, threshold=P.EV_RISK, label_end=True)
+    return ml.dropna(subset=["vehicle_id", "time", config.LABEL, *config.FEATURES])
+
+
+register("split_purged", O.split_purged())(
+    lambda s, d: sp.purged_split(ev_labelled_ends(s, d)).select("vehicle_id", "time", "label_end", config.LABEL, "split"))
+
+
 def ev_train(spark, d):
     return sp.split_by_rank(ev_complete(spark, d)).filter(F.col("split") == "train")
 
@@ -454,97 +467,131 @@ def _scan_nanos(spark, d):
 
 register("scan_nanos", O.LI_RAW)(_scan_nanos)
 
-# ---- model: forest output has no SQL form; its keys, counts and invariants have -------------------
+# ---- model: forest output has no SQL form. Its numbers stand beside the same numbers made a second way,
+# from the table of the saved forest's nodes; keys and counts are checked by SQL -------------------------
 
 from voltaic.operators import model as md  # noqa: E402
+from voltaic.operators import nodes as nd  # noqa: E402
 
-_MODELS: dict = {}
+_KEYS = ["vehicle_id", "time", config.LABEL]
 
 
-def ev_model(spark, d):
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _MODELS:
-        data = sp.split_by_rank(ev_complete(spark, d))
-        _MODELS[key] = md.train_rf(data.filter(F.col("split") == "train"))
-    return _MODELS[key]
+def ev_fitted(spark, d):
+    """The split rows, stored once, and the forest fitted on their training part."""
+    data = sp.materialize(sp.split_by_rank(ev_complete(spark, d)))
+    return data, md.train_rf(data.filter(F.col("split") == "train"))
 
 
-def ev_split(spark, d, name):
-    return sp.split_by_rank(ev_complete(spark, d)).filter(F.col("split") == name)
+def _forest(spark, model):
+    return nd.saved_forest(spark, model, _scratch(spark, "forest"))
 
 
-def _checked(scored: DataFrame) -> DataFrame:
-    """A score table with its invariants in place of the forest's numbers."""
-    p = F.col("risk_probability")
-    keys = [c for c in scored.columns if c not in ("risk_probability", "prediction")]
-    return scored.select(*keys, p.between(0, 1).alias("probability_ok"),
-                         (F.col("prediction") == (p > 0.5).cast("double")).alias("prediction_ok"))
+def _scored(spark, model, rows):
+    """Rows scored by the fitted pipeline and by its nodes."""
+    nodes, depth = _forest(spark, model)
+    both = nd.score_with_nodes(rows, nodes, md.model_features(model), depth)
+    scored = md.score_rows(model, both, keep=(*_KEYS, "node_probability"))
+    return scored.withColumn("same", F.col("risk_probability") == F.col("node_probability"))
 
 
-def _checked_importance(importance: DataFrame) -> DataFrame:
-    total = importance.agg(F.sum("importance")).first()[0]
-    return importance.select("feature", F.col("importance").between(0, 1).alias("importance_ok"),
-                             F.lit(abs(total - 1) < 1e-9).alias("total_ok"))
+def _importances(spark, model):
+    nodes, _ = _forest(spark, model)
+    again = nd.node_importance(nodes, md.model_features(model)).withColumnRenamed("importance", "node_importance")
+    both = md.feature_importance(spark, model).join(again, "feature")
+    return both.withColumn("same", F.abs(F.col("importance") - F.col("node_importance")) < 1e-12)
 
 
 def _train_rf(spark, d):
-    forest = md.model_summary(spark, ev_model(spark, d)).first()
-    counts = ev_split(spark, d, "train").agg(F.count_if(F.col(config.LABEL) == 0).alias("train_negatives"),
-                                             F.count_if(F.col(config.LABEL) == 1).alias("train_positives"))
-    return counts.select("*", *[F.lit(forest[c]).alias(c) for c in ("num_trees", "max_depth", "num_features")],
-                         F.lit(forest["total_nodes"] >= forest["num_trees"]).alias("nodes_ok"))
+    """The forest trained on the training part: its rows, its parameters, its size by the model and by its nodes."""
+    data, model = ev_fitted(spark, d)
+    nodes, _ = _forest(spark, model)
+    forest = md.model_summary(spark, model).first()
+    counts = data.filter(F.col("split") == "train").agg(
+        F.count_if(F.col(config.LABEL) == 0).alias("train_negatives"), F.count_if(F.col(config.LABEL) == 1).alias("train_positives"))
+    size = nodes.agg(F.count_distinct("tree").alias("trees"), F.count(F.lit(1)).alias("nodes")).first()
+    return counts.select("*", *[F.lit(forest[c]).alias(c) for c in ("num_trees", "max_depth", "num_features", "total_nodes")],
+                         F.lit((size["trees"], size["nodes"]) == (forest["num_trees"], forest["total_nodes"])).alias("same"))
+
 
+register("train_rf")(_train_rf)
+register("feature_importance")(lambda s, d: _importances(s, ev_fitted(s, d)[1]))
 
-register("train_rf", f"""SELECT count_if(maintenance_risk = 0) AS train_negatives,
-  count_if(maintenance_risk = 1) AS train_positives, {config.RF_PARAMS['numTrees']} AS num_trees,
-  {config.RF_PARAMS['maxDepth']} AS max_depth, {len(config.FEATURES)} AS num_features, true AS nodes_ok
-FROM ({O.split_rank()}) r WHERE split = 'train'""")(_train_rf)
 
-_FEATURE_ROWS = ", ".join(f"('{c}')" for c in config.FEATURES)
-register("feature_importance", f"""SELECT feature, true AS importance_ok, true AS total_ok
-FROM (VALUES {_FEATURE_ROWS}) v(feature)""")(
-    lambda s, d: _checked_importance(md.feature_importance(s, ev_model(s, d))))
+def _score_rows(spark, d):
+    data, model = ev_fitted(spark, d)
+    return _scored(spark, model, data.filter(F.col("split") == "test"))
+
+
+register("score_rows")(_score_rows)
 
 _TEST_KEYS = f"SELECT vehicle_id, time, maintenance_risk FROM ({O.split_rank()}) r WHERE split = 'test'"
-register("score_rows", f"SELECT *, true AS probability_ok, true AS prediction_ok FROM ({_TEST_KEYS}) k")(
-    lambda s, d: _checked(md.score_rows(ev_model(s, d), ev_split(s, d, "test"))))
+
+
+def _scored_keys(spark, d):
+    """Every test row is scored once, its prediction is the likelier class, and both ways agree."""
+    p = F.col("risk_probability")
+    ok = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("double")) & F.col("same")
+    return _score_rows(spark, d).select(*_KEYS, ok.alias("consistent"))
+
+
+register("scored_keys", f"SELECT *, true AS consistent FROM ({_TEST_KEYS}) k")(_scored_keys)
+
+
+def _forest_nodes(spark, d):
+    """The trained forest as a table."""
+    return _forest(spark, ev_fitted(spark, d)[1])[0]
+
+
+register("forest_nodes")(_forest_nodes)
 
 
 def _model_roundtrip(spark, d):
     """The saved and reloaded model scores every test row as the fitted one does."""
-    path = md.save_model(ev_model(spark, d), _scratch(spark, "model"))
-    test, keys = ev_split(spark, d, "test"), ["vehicle_id", "time", config.LABEL]
-    fitted = md.score_rows(ev_model(spark, d), test)
+    data, model = ev_fitted(spark, d)
+    path = md.save_model(model, _scratch(spark, "model"))
+    test = data.filter(F.col("split") == "test")
+    fitted = md.score_rows(model, test)
     again = md.score_rows(md.load_model(path), test).withColumnsRenamed(
         {"prediction": "prediction_2", "risk_probability": "risk_probability_2"})
     same = (F.col("prediction") == F.col("prediction_2")) & (F.col("risk_probability") == F.col("risk_probability_2"))
-    return fitted.join(again, keys).select(*keys, same.alias("same"))
+    return fitted.join(again, _KEYS).select(*_KEYS, same.alias("same"))
 
 
 register("model_roundtrip", f"SELECT *, true AS same FROM ({_TEST_KEYS}) k")(_model_roundtrip)
 
 
-def _validation_sweep(spark, d):
-    scored = md.score_rows(ev_model(spark, d), ev_split(spark, d, "validation"))
-    return ev.threshold_sweep(scored, config.THRESHOLD_GRID_LOW)
+def _both_sweeps(scored: DataFrame, grid) -> DataFrame:
+    """The sweep over the pipeline's probabilities, and whether the nodes' probabilities give the same."""
+    sweep = ev.threshold_sweep(scored, grid)
+    again = ev.threshold_sweep(scored.withColumn("risk_probability", F.col("node_probability")), grid)
+    cells = [c for c in sweep.columns if c != "threshold"]
+    b = again.select("threshold", *[F.col(c).alias(f"{c}_2") for c in cells])
+    same = F.lit(True)
+    for c in cells:
+        same &= F.col(c).eqNullSafe(F.col(f"{c}_2"))
+    return sweep.join(b, "threshold").select("threshold", *cells, same.alias("same"))
+
 
+def _validation_sweep(spark, d):
+    data, model = ev_fitted(spark, d)
+    return _both_sweeps(_scored(spark, model, data.filter(F.col("split") == "validation")), config.THRESHOLD_GRID_LOW)
 
-def _by_label(cells: DataFrame) -> list:
-    """Every row is in one of the two cells of its label."""
-    return [(F.col("true_positives") + F.col("false_negatives")).alias("positives"),
-            (F.col("false_positives") + F.col("true_negatives")).alias("negatives")]
 
+register("validation_sweep")(_validation_sweep)
 
 _LOW_GRID = ", ".join(f"({t})" for t in config.THRESHOLD_GRID_LOW)
-register("validation_sweep", f"""SELECT CAST(t0 AS DOUBLE) AS threshold, count_if(maintenance_risk = 1) AS positives,
+register("validation_counts", f"""SELECT CAST(t0 AS DOUBLE) AS threshold, count_if(maintenance_risk = 1) AS positives,
   count_if(maintenance_risk = 0) AS negatives
 FROM ({O.split_rank()}) r, (VALUES {_LOW_GRID}) v(t0) WHERE split = 'validation' GROUP BY 1""")(
-    lambda s, d: (lambda sweep: sweep.select("threshold", *_by_label(sweep)))(_validation_sweep(s, d)))
+    lambda s, d: _validation_sweep(s, d).select(
+        "threshold", (F.col("true_positives") + F.col("false_negatives")).alias("positives"),
+        (F.col("false_positives") + F.col("true_negatives")).alias("negatives")))
 
 # ---- streaming --------------------------------------------------------------------------------
 
 from voltaic.streaming import features as sf  # noqa: E402
 from voltaic.streaming import messages as ms  # noqa: E402
+from voltaic.streaming import progress as pg  # noqa: E402
 
 _PARSED = "vehicle_id, time AS event_time, value_id, value"
 
@@ -633,28 +680,25 @@ def _stream_late(spark, d):
         return sf.run_to_parquet(sf.to_ntz_times(win), out, ck)
 
     run()
-    before = spark.read.parquet(out).count()
     late = ev_readings(spark, d).withColumn("time", F.timestamp_add("DAY", F.lit(-10), F.col("time")))
     _messages_dir(spark, d, "", late, mode="append", path=src)
     q = run()
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                   for op in p.get("stateOperators") or [])
-    after = spark.read.parquet(out).count()
-    return spark.createDataFrame([(before, after, dropped > 0)],
-                                 "windows_before long, windows_after long, late_rows_dropped boolean")
+    return spark.read.parquet(out).withColumn("late_rows_dropped", F.lit(dropped > 0))
 
 
-register("stream_late", f"""SELECT count(*) AS windows_before, count(*) AS windows_after, true AS late_rows_dropped
-FROM ({O.stream_windows()}) w""")(_stream_late)
+register("stream_late", f"SELECT *, true AS late_rows_dropped FROM ({O.stream_windows()}) w")(_stream_late)
 
 
-def _stream_features(spark, d, halves: bool = False):
+def _stream_features(spark, d, halves: bool = False, state_ttl: str | None = None, ck: str | None = None):
     src = _scratch(spark, "stream_features_in")
-    out, ck = _scratch(spark, "stream_features_out"), _scratch(spark, "stream_features_ck")
+    out, ck = _scratch(spark, "stream_features_out"), ck or _scratch(spark, "stream_features_ck")
     readings = ev_readings(spark, d)
 
     def run():
-        feats = sf.stream_features(sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW), band=P.EV_BAND)
+        feats = sf.stream_features(sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW),
+                                   band=P.EV_BAND, state_ttl=state_ttl, window=P.EV_WINDOW)
         sf.run_to_parquet(sf.to_ntz_times(feats), out, ck)
 
     if halves:  # restart from the checkpoint half way: state must carry over
@@ -672,20 +716,69 @@ def _stream_features(spark, d, halves: bool = False):
 register("stream_features", O.stream_features())(_stream_features)
 register("stream_restart", O.stream_features())(lambda s, d: _stream_features(s, d, halves=True))
 
+register("stream_expiry", O.stream_features(ttl=P.EV_STATE_TTL))(
+    lambda s, d: _stream_features(s, d, halves=True, state_ttl=P.EV_STATE_TTL))
+
+
+def _stream_state(spark, d):
+    """The state that the feature stream left in its checkpoint: each vehicle's last valid closed window."""
+    ck = _scratch(spark, "stream_state_ck")
+    _stream_features(spark, d, ck=ck)
+    return pg.last_windows(spark, ck)
+
+
+register("stream_state", f"""SELECT vehicle_id, max(time) AS time, max_by(hv_battery_voltage, time) AS hv_battery_voltage,
+  max_by(hv_soc, time) AS hv_soc FROM ({O.stream_features()}) f GROUP BY 1""")(_stream_state)
+
+
+def _stream_progress(spark, d):
+    """Readings in two deliveries: what each micro-batch planned, its watermarks, whether it is done."""
+    ck = _scratch(spark, "stream_progress_ck")
+    _stream_features(spark, d, halves=True, ck=ck)
+    done = pg.progress(spark, ck).filter("committed")
+    return done.agg(F.max("next_watermark").alias("watermark"), F.count_if(F.size("offsets") == 1).alias("batches")) \
+        .select("watermark", (F.col("batches") >= 2).alias("two_deliveries"))
+
+
+register("stream_progress", f"""SELECT date_trunc('millisecond', max(time)) - INTERVAL 30 SECOND AS watermark,
+  true AS two_deliveries FROM ({O.ev_valid_messages()}) m""")(_stream_progress)
+
+
+def _stream_redelivery(spark, d):
+    """Every message sent twice: the windows of once."""
+    src = _messages_dir(spark, d, "stream_redelivery_in")
+    _messages_dir(spark, d, "", mode="append", path=src)
+    out, ck = _scratch(spark, "stream_redelivery_out"), _scratch(spark, "stream_redelivery_ck")
+    win = sf.stream_windows(ms.text_source(spark, src, max_files_per_trigger=None), window=P.EV_WINDOW, redelivered=True)
+    sf.run_to_parquet(sf.to_ntz_times(win), out, ck)
+    return spark.read.parquet(out)
+
+
+register("stream_redelivery", O.stream_windows(f"SELECT DISTINCT * FROM ({O.EV_READINGS}) e WHERE value IS NOT NULL"))(
+    _stream_redelivery)
+
 
 def _stream_scores(spark, d):
-    model = ev_model(spark, d)
+    """The stream scored by the pipeline and, in the same micro-batches, by the nodes of its saved forest."""
+    model = ev_fitted(spark, d)[1]
+    nodes, depth = _forest(spark, model)
     src = _messages_dir(spark, d, "stream_scores_in")
     out, ck = _scratch(spark, "stream_scores_out"), _scratch(spark, "stream_scores_ck")
     feats = sf.stream_features(sf.stream_windows(ms.text_source(spark, src), window=P.EV_WINDOW),
                                band=P.EV_BAND, first_row="current")
-    sf.run_to_parquet(sf.to_ntz_times(sf.score_stream(feats, model)), out, ck)
-    return _checked(spark.read.parquet(out))
+    filled = feats.fillna(0.0, subset=list(config.STREAM_FILL_COLUMNS))
+    filled = nd.score_with_nodes(filled, nodes, md.model_features(model), depth)
+    scored = sf.score_stream(filled, model, keep=("node_probability",))
+    sf.run_to_parquet(sf.to_ntz_times(scored), out, ck)
+    return spark.read.parquet(out).withColumn("same", F.col("risk_probability") == F.col("node_probability"))
+
 
+register("stream_scores")(_stream_scores)
 
-register("stream_scores", f"""SELECT vehicle_id, time, hv_soc, hv_battery_voltage,
-  coalesce(voltage_change, 0.0) AS voltage_change, coalesce(soc_change, 0.0) AS soc_change,
-  true AS probability_ok, true AS prediction_ok FROM ({O.stream_features()}) f""")(_stream_scores)
+_SCORED_WINDOWS = f"""SELECT vehicle_id, time, hv_soc, hv_battery_voltage, coalesce(voltage_change, 0.0) AS voltage_change,
+  coalesce(soc_change, 0.0) AS soc_change FROM ({O.stream_features()}) f"""
+register("stream_scored_windows", f"SELECT *, true AS same FROM ({_SCORED_WINDOWS}) w")(
+    lambda s, d: _stream_scores(s, d).drop("prediction", "risk_probability", "node_probability"))
 
 # ---- the ML chain on daily supplier readings (larger input; also used by the bench) ---------------
 
@@ -721,27 +814,34 @@ def _train_imputed(spark, d):
     features = config.FEATURES_SOC_FIRST
     model = md.train_rf(data.filter(F.col("split") == "train"), features, impute=True, relative_error=0.0)
     medians = model.stages[0].surrogateDF.unpivot([], features, "feature", "surrogate")
-    return _checked_importance(md.feature_importance(spark, model)).join(medians, "feature")
+    return _importances(spark, model).join(medians, "feature")
 
 
+register("train_rf_imputed")(_train_imputed)
+
 _MEDIANS = ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in config.FEATURES_SOC_FIRST)
-register("train_rf_imputed", f"""WITH m AS ({O.ml_dataset()}),
+register("imputed_medians", f"""WITH m AS ({O.ml_dataset()}),
 t AS (SELECT {_MEDIANS} FROM m WHERE time <= (SELECT quantile_disc(time, 0.6) FROM m))
-SELECT feature, surrogate, true AS importance_ok, true AS total_ok
-FROM (UNPIVOT t ON {", ".join(config.FEATURES_SOC_FIRST)} INTO NAME feature VALUE surrogate) u""")(_train_imputed)
+SELECT feature, surrogate, true AS same
+FROM (UNPIVOT t ON {", ".join(config.FEATURES_SOC_FIRST)} INTO NAME feature VALUE surrogate) u""")(
+    lambda s, d: _train_imputed(s, d).select("feature", "surrogate", "same"))
 
 
 def _evaluate_best_on_test(spark, d):
-    """M8 + M9: choose the threshold on validation, evaluate it on the test split."""
-    best = ev.best_threshold(_validation_sweep(spark, d)).first()
-    scored = md.score_rows(ev_model(spark, d), ev_split(spark, d, "test"))
-    cells = ev.evaluate_at_threshold(scored, best["threshold"])
-    on_grid = F.col("threshold").isin(config.THRESHOLD_GRID_LOW)
-    return cells.select(*_by_label(cells), on_grid.alias("on_grid"))
+    """M8 + M9: choose the threshold on validation, evaluate it on the test split; both by both ways."""
+    data, model = ev_fitted(spark, d)
+    parts = {name: _scored(spark, model, data.filter(F.col("split") == name)) for name in ("validation", "test")}
+
+    def best(column: str) -> DataFrame:
+        own = {k: v.withColumn("risk_probability", F.col(column)) for k, v in parts.items()}
+        chosen = ev.best_threshold(ev.threshold_sweep(own["validation"], config.THRESHOLD_GRID_LOW)).first()
+        return ev.evaluate_at_threshold(own["test"], chosen["threshold"])
 
+    return best("risk_probability").withColumn(
+        "same", F.lit(best("risk_probability").first() == best("node_probability").first()))
 
-register("evaluate_best_on_test", f"""SELECT count_if(maintenance_risk = 1) AS positives,
-  count_if(maintenance_risk = 0) AS negatives, true AS on_grid FROM ({_TEST_KEYS}) k""")(_evaluate_best_on_test)
+
+register("evaluate_best_on_test")(_evaluate_best_on_test)
 
 
 def _message_quality(spark, d):
@@ -759,3 +859,49 @@ register("message_quality", f"""SELECT count(*) + count_if({_SPOILT}) AS message
 _FINE_GRID = [round(i / 100, 2) for i in range(101)]
 register("threshold_curve", O.sweep(_FINE_GRID))(
     lambda s, d: ev.threshold_sweep(event_scores(s, d), _FINE_GRID))
+
+# ---- tables kept up to date, clustered tables, mergeable sketches ---------------------------------
+
+from voltaic.operators import sketches as sk  # noqa: E402
+from voltaic.sources import clustered as cl  # noqa: E402
+from voltaic.sources import incremental as inc  # noqa: E402
+
+
+def _window_incremental(spark, d):
+    """The readings in two deliveries, the second with late ones of earlier days; a third update finds nothing to do."""
+    readings = li_readings(spark, d)
+    cut = lit_for(readings, "time", readings.agg(F.percentile_approx("time", 0.75, 10000).alias("m")).first()["m"])
+    first = F.coalesce((F.col("time") <= cut) & (F.pmod(F.xxhash64("vehicle_id", "time"), F.lit(10)) > 0), F.lit(False))
+    src, out, log = (_scratch(spark, f"window_incremental_{n}") for n in ("in", "out", "log"))
+    for part in (first, ~first):
+        readings.filter(part).write.mode("append").parquet(src)
+        inc.update_windows(spark, src, out, log, window=P.LI_WINDOW)
+    inc.update_windows(spark, src, out, log, window=P.LI_WINDOW)
+    return inc.read_windows(spark, out)
+
+
+register("window_incremental", O.wide(O.LI_READINGS, P.LI_WINDOW))(_window_incremental)
+
+
+def _clustered_slice(spark, d):
+    path = cl.write_clustered(ev_wide(spark, d), _scratch(spark, "clustered"), files=32)
+    return cl.read_slice(spark, path, vehicle=P.SLICE_VEHICLE, start=P.SLICE_START, end=P.SLICE_END)
+
+
+register("clustered_slice", ORACLE["vehicle_slice"])(_clustered_slice)
+
+
+def _range_quantiles(spark, d):
+    """Quantiles of every vehicle and signal from stored daily sketches, held against the true ranks of the readings."""
+    readings = ev_readings(spark, d)
+    stored = fs.read_dataset(spark, fs.write_dataset(sk.daily_sketches(readings), _scratch(spark, "sketches")))
+    by = ["vehicle_id", "value_id"]
+    found = sk.quantiles(sk.merged(stored, by), config.PERCENTILES)
+    return sk.within_bound(found, readings, by, error=sk.rank_error()).drop("estimate")
+
+
+register("range_quantiles", f"""SELECT vehicle_id, value_id, readings, low, high, quantile, true AS rank_error_ok
+FROM (SELECT vehicle_id, value_id, count(*) AS readings, min(value) AS low, max(value) AS high FROM ({O.EV_READINGS}) r
+      WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1, 2) g,
+  (SELECT CAST(q0 AS DOUBLE) AS quantile FROM (VALUES {', '.join(f'({q})' for q in config.PERCENTILES)}) v(q0)) q""")(
+    _range_quantiles)

@@ -103,6 +103,32 @@ def split_rank() -> str:
 FROM ({ranked()}) r"""
 
 
+def labelled_ends(lookahead: int = config.LOOKAHEAD_ROWS) -> str:
+    """Complete rows with the time of the last row that their label looks at."""
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in ["vehicle_id", "time", "maintenance_risk", *config.FEATURES])
+    return f"""SELECT * FROM (SELECT *, max(time) OVER (PARTITION BY vehicle_id ORDER BY time
+    ROWS BETWEEN 1 FOLLOWING AND {lookahead} FOLLOWING) AS label_end FROM ({labelled()}) x) y
+WHERE future_max_voltage_change IS NOT NULL AND previous_soc IS NOT NULL AND {nn}"""
+
+
+def split_purged() -> str:
+    """Rows whose frame does not reach past the last row of their part."""
+    return f"""WITH r AS (SELECT *, row_number() OVER (ORDER BY time, vehicle_id) AS rn, count(*) OVER () AS n
+           FROM ({labelled_ends()}) c),
+s AS (SELECT *, CASE WHEN rn <= CAST(floor(n * 0.6) AS BIGINT) THEN 'train'
+             WHEN rn <= CAST(floor(n * 0.8) AS BIGINT) THEN 'validation' ELSE 'test' END AS split FROM r),
+e AS (SELECT split, max(rn) AS rn FROM s GROUP BY 1),
+c AS (SELECT s.split, s.time AS t, s.vehicle_id AS v FROM s JOIN e USING (split, rn))
+SELECT vehicle_id, time, label_end, maintenance_risk, split FROM s JOIN c USING (split)
+WHERE split = 'test' OR label_end < t OR (label_end = t AND vehicle_id <= v)"""
+
+
+def lookahead_horizon(horizon: str) -> str:
+    return f"""SELECT vehicle_id, time, voltage_change, max(abs(voltage_change)) OVER (PARTITION BY vehicle_id ORDER BY time
+  RANGE BETWEEN INTERVAL 1 MICROSECOND FOLLOWING AND INTERVAL '{horizon}' FOLLOWING) AS horizon_max_voltage_change
+FROM ({sequenced()}) s"""
+
+
 def ev_wide() -> str:
     return wide(EV_READINGS, P.EV_WINDOW)
 
@@ -132,22 +158,28 @@ def ev_valid_messages() -> str:
     return f"SELECT * FROM ({EV_READINGS}) r WHERE value_id IN (4, 15, 56, 900, 1200) AND time IS NOT NULL AND value IS NOT NULL"
 
 
-def stream_windows() -> str:
+def stream_windows(readings: str = EV_READINGS) -> str:
     cols = ", ".join(config.SIGNALS_ML.values())
     return f"""SELECT vehicle_id, time, {cols}
-FROM ({pivot(EV_READINGS, config.SIGNALS_ML, P.EV_WINDOW, True)}) w
+FROM ({pivot(readings, config.SIGNALS_ML, P.EV_WINDOW, True)}) w
 WHERE window_end <= (SELECT max(time) FROM ({ev_valid_messages()}) m) - INTERVAL 30 SECOND"""
 
 
-def stream_features(band=P.EV_BAND) -> str:
+def stream_features(band=P.EV_BAND, ttl: str | None = None) -> str:
     lo, hi = band
+    fresh = f"time - previous_time <= INTERVAL '{ttl}'"
+    kept = "*" if ttl is None else f"""* EXCLUDE (previous_voltage, previous_soc, previous_time),
+  CASE WHEN {fresh} THEN previous_voltage END AS previous_voltage,
+  CASE WHEN {fresh} THEN previous_soc END AS previous_soc"""
     return f"""WITH v AS (SELECT * FROM ({stream_windows()}) w
   WHERE hv_soc IS NOT NULL AND hv_battery_voltage IS NOT NULL AND hv_soc > 0
     AND hv_battery_voltage >= {lo} AND hv_battery_voltage <= {hi} AND NOT isnan(hv_battery_voltage)),
 l AS (SELECT *, hv_battery_voltage / hv_soc AS voltage_per_soc,
-  lag(hv_battery_voltage) OVER w AS previous_voltage, lag(hv_soc) OVER w AS previous_soc
-  FROM v WINDOW w AS (PARTITION BY vehicle_id ORDER BY time))
-SELECT *, hv_battery_voltage - previous_voltage AS voltage_change, hv_soc - previous_soc AS soc_change FROM l"""
+  lag(hv_battery_voltage) OVER w AS previous_voltage, lag(hv_soc) OVER w AS previous_soc{
+    "" if ttl is None else ", lag(time) OVER w AS previous_time"}
+  FROM v WINDOW w AS (PARTITION BY vehicle_id ORDER BY time)),
+p AS (SELECT {kept} FROM l)
+SELECT *, hv_battery_voltage - previous_voltage AS voltage_change, hv_soc - previous_soc AS soc_change FROM p"""
 
 
 def rates(inner: str, with_threshold: bool = True) -> str:

@@ -14,3 +14,7 @@ SLICE_VEHICLE = "V3"
 SLICE_START = "2024-01-05"
 SLICE_END = "2024-01-10"
 EVAL_THRESHOLD = 0.70
+#: A previous stream window that started longer ago than this counts as none.
+EV_STATE_TTL = "12 hours"
+#: Look-ahead by time: two windows or a gap of them.
+EV_HORIZON = "12 hours"

@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 from voltaic import config
 from voltaic.functions.exprs import in_band
+from voltaic.operators.features import duration_seconds
 from voltaic.operators.windows import window_pivot
-from voltaic.streaming.messages import instant_to_ntz, parse_messages, valid_messages
+from voltaic.streaming.messages import first_copies, instant_to_ntz, parse_messages, valid_messages
 
 WINDOW_SCHEMA = T.StructType([
     T.StructField("vehicle_id", T.StringType()),
@@ -44,12 +45,17 @@ def use_rocksdb(spark) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
-def stream_windows(messages: DataFrame, *, window: str = config.WINDOW,
-                   watermark: str = config.WATERMARK, signals=config.SIGNALS_ML) -> DataFrame:
-    """Parsed messages -> watermarked tumbling-window pivot (append-safe)."""
-    parsed = valid_messages(parse_messages(messages), list(signals))
-    return window_pivot(parsed.withWatermark("event_time", watermark), signals, window,
-                        time_col="event_time", with_end=False)
+def stream_windows(messages: DataFrame, *, window: str = config.WINDOW, watermark: str = config.WATERMARK,
+                   signals=config.SIGNALS_ML, redelivered: bool = False) -> DataFrame:
+    """Parsed messages -> watermarked tumbling-window pivot (append-safe).
+
+    ``redelivered``: messages may come more than once (within the watermark's
+    delay); only the first copy counts.
+    """
+    parsed = valid_messages(parse_messages(messages), list(signals)).withWatermark("event_time", watermark)
+    if redelivered:
+        parsed = first_copies(parsed)
+    return window_pivot(parsed, signals, window, time_col="event_time", with_end=False)
 
 
 def valid_windows(windows: DataFrame, band=config.VOLTAGE_BAND) -> DataFrame:
@@ -59,11 +65,13 @@ def valid_windows(windows: DataFrame, band=config.VOLTAGE_BAND) -> DataFrame:
 
 
 def stream_features(windows: DataFrame, *, band=config.VOLTAGE_BAND, first_row: str = "null",
-                    state_ttl_ms: int | None = None) -> DataFrame:
+                    state_ttl: str | None = None, window: str = config.WINDOW) -> DataFrame:
     """Validity filter, then the stateful previous-window features per vehicle.
 
-    ``state_ttl_ms`` forgets a vehicle that was silent for so long (processing
-    time); its next window counts as a first one. Default: kept for ever.
+    ``state_ttl`` (an interval such as ``"1 day"``, event time) lets a previous
+    window that started longer before count as none, and deletes a vehicle's
+    state when the watermark passes its last ``window`` by that time. Default:
+    kept for ever.
     """
     from pyspark import cloudpickle
 
@@ -73,13 +81,15 @@ def stream_features(windows: DataFrame, *, band=config.VOLTAGE_BAND, first_row:
     # the processor runs in a driver-side Python runner too, which does not see
     # files added with addPyFile: ship its self-contained module by value
     cloudpickle.register_pickle_by_value(state)
-    valid = valid_windows(windows, band).select(*[f.name for f in WINDOW_SCHEMA.fields])
+    valid = valid_windows(windows, band).select(
+        *[f.name for f in WINDOW_SCHEMA.fields], F.unix_micros("time").alias("micros"))
     return valid.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=state.PreviousWindowProcessor(first_row, [f.name for f in FEATURE_SCHEMA.fields],
-                                                               state_ttl_ms),
+        statefulProcessor=state.PreviousWindowProcessor(
+            first_row, [f.name for f in FEATURE_SCHEMA.fields],
+            None if state_ttl is None else 1000 * duration_seconds(state_ttl), 1000 * duration_seconds(window)),
         outputStructType=FEATURE_SCHEMA,
         outputMode="Append",
-        timeMode="ProcessingTime" if state_ttl_ms else "None",
+        timeMode="None" if state_ttl is None else "EventTime",
     )
 
 
@@ -88,8 +98,9 @@ def to_ntz_times(df: DataFrame, cols=("time",)) -> DataFrame:
     return df.select(*[instant_to_ntz(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def score_stream(features: DataFrame, model, fill=config.STREAM_FILL_COLUMNS, *, missing: str = "fill") -> DataFrame:
-    """Score and keep the reported columns. Rows with missing features get 0.0
+def score_stream(features: DataFrame, model, fill=config.STREAM_FILL_COLUMNS, *, missing: str = "fill",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """Score and keep the reported columns (and those named in ``keep``). Rows with missing features get 0.0
     for them (``missing="fill"``) or are left out like in batch training (``"drop"``)."""
     from voltaic.functions.exprs import probability_of
     if missing not in ("fill", "drop"):
@@ -97,7 +108,7 @@ def score_stream(features: DataFrame, model, fill=config.STREAM_FILL_COLUMNS, *,
     ready = features.fillna(0.0, subset=list(fill)) if missing == "fill" else features.dropna(subset=list(fill))
     scored = model.transform(ready)
     return scored.select("vehicle_id", "time", "hv_soc", "hv_battery_voltage", "voltage_change", "soc_change",
-                         "prediction", probability_of("probability").alias("risk_probability"))
+                         "prediction", probability_of("probability").alias("risk_probability"), *keep)
 
 
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str, *, available_now: bool = True,

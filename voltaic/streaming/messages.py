@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltaic.functions.timefix import micros_to_ntz, ntz_to_micros
+from voltaic.functions.timefix import instant_to_ntz, ntz_to_micros
 
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("vehicle_id", T.StringType(), True),
@@ -24,25 +24,25 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType(), True),
 ])
 
+#: Default intake of a micro-batch.
+MAX_OFFSETS_PER_TRIGGER = 1_000_000
+MAX_FILES_PER_TRIGGER = 1_000
+
 
 def ntz_to_instant(c: Column) -> Column:
     """TIMESTAMP_NTZ wall clock -> TIMESTAMP instant, reading the clock as UTC."""
     return F.timestamp_micros(ntz_to_micros(c))
 
 
-def instant_to_ntz(c: Column) -> Column:
-    """TIMESTAMP instant -> its UTC wall clock as TIMESTAMP_NTZ."""
-    return micros_to_ntz(F.unix_micros(c))
-
-
 def kafka_source(spark: SparkSession, servers: str, topic: str, *, starting: str = "earliest",
                  fail_on_data_loss: bool = True, stream: bool = True,
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
     """Kafka topic as a stream (or a bounded batch read with ``stream=False``).
 
     Needs the ``spark-sql-kafka-0-10`` package for the installed Spark on the
     classpath. Progress is kept in the query checkpoint, not a consumer group.
-    ``max_offsets_per_trigger`` bounds a micro-batch, also the first of a backlog.
+    ``max_offsets_per_trigger`` bounds a micro-batch, also the first of a backlog,
+    and with it what the per-vehicle state operator sorts at a time; ``None`` lifts it.
     """
     reader = spark.readStream if stream else spark.read
     r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
@@ -53,7 +53,7 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, *, starting: str
     return r.load()
 
 
-def text_source(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None,
+def text_source(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                 stream: bool = True) -> DataFrame:
     """JSON-lines files as a message stream with a ``value`` column (test stand-in for Kafka)."""
     if not stream:
@@ -119,6 +119,17 @@ def write_text(messages: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def first_copies(parsed: DataFrame, key: tuple[str, ...] = ("vehicle_id", "event_time", "value_id", "value")) -> DataFrame:
+    """A11 on streams: drop messages sent again (a sink that delivers at least once does that).
+
+    ``parsed`` carries a watermark on ``event_time``. The first message of a key
+    stays; its key is remembered until the watermark passes its time by the
+    watermark's delay and deleted then, so the state holds the messages of that
+    time only. A copy that comes later still is a late message, which windows drop.
+    """
+    return parsed.dropDuplicatesWithinWatermark(list(key))
+
+
 def message_quality(messages: DataFrame) -> DataFrame:
     """Counts of bad records in one pass: malformed JSON (no field parsed),
     unparseable times, NULL or fractional codes and NULL values."""
