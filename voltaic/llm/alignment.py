@@ -34,6 +34,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -51,11 +53,15 @@ from voltaic.llm.common import SLICE_BYTES, Scratch, ship, slices
 BLOCK_BYTES = 4 << 20
 #: Bytes of distinct cuts aligned in one product.
 BATCH_BYTES = 256 << 10
-#: Cuts of up to so many characters are kept, in generations of so many.
-KEPT_CHARS, KEPT = 48, 100_000
+#: A worker forgets the cuts it knows when it holds more of them, or more id pairs, than this.
+KEPT_CUTS, KEPT_PAIRS = 300_000, 6_000_000
 #: Entries of the group product made at a time.
 PRODUCT = 1 << 20
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: In ASCII, where a space has a neighbour that is white space too.
+_ODD = ["  ", *(pair for c in "\t\n\v\f\r\x1c\x1d\x1e\x1f" for pair in (c + " ", " " + c))]
+#: Counts of a text or cut.
+_COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_shared"]
 
 
 # ---- sparse matrices ----
@@ -134,9 +140,15 @@ def overlap_links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, n
     return linked.rows(), linked.cols, linked.values
 
 
+def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
+    """Bytes where tokens of both sides end (both rise)."""
+    at = np.searchsorted(ends_b, ends_a)
+    return ends_a[ends_b[np.minimum(at, len(ends_b) - 1)] == ends_a] if len(ends_b) else ends_a[:0]
+
+
 def group_links(ends_a: np.ndarray, ends_b: np.ndarray, most: int = PRODUCT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Token numbers (a, b) in the same group, in blocks of about ``most`` links."""
-    cuts = np.intersect1d(ends_a, ends_b)
+    cuts = common_ends(ends_a, ends_b)
     left, right = token_groups(ends_a, cuts), token_groups(ends_b, cuts).transposed()
     sizes = np.cumsum(row_sizes(left, right))
     first = 0
@@ -150,7 +162,7 @@ def group_links(ends_a: np.ndarray, ends_b: np.ndarray, most: int = PRODUCT) ->
 
 def count_group_links(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     """Tokens of the other side in the group of each A token: row sizes of the group product."""
-    cuts = np.intersect1d(ends_a, ends_b)
+    cuts = common_ends(ends_a, ends_b)
     return row_sizes(token_groups(ends_a, cuts), token_groups(ends_b, cuts).transposed())
 
 
@@ -186,24 +198,49 @@ class Vocabulary:
         return self.buffer[at]
 
 
-@dataclass(slots=True)
-class Cut:
-    """Alignment of one distinct cut of text; ``pairs`` holds a 32-bit key per link."""
+class Cuts:
+    """Alignments of distinct cuts of text, by row: counts, id pairs of all rows one after another, group texts."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.spelled = np.zeros(0, bool)
+        self.counts = np.zeros((0, len(_COUNTS)), np.int64)
+        self.ptr = np.zeros(1, np.int64)
+        self.pairs = np.zeros(0, np.uint32)
+        self.groups: list[bytes] = []
+
+    def full(self) -> bool:
+        return len(self.rows) > KEPT_CUTS or len(self.pairs) > KEPT_PAIRS
+
+    def add(self, cuts: list[str], spelled: np.ndarray, counts: np.ndarray, pairs: np.ndarray, groups: list[bytes]) -> None:
+        self.rows.update(zip(cuts, range(len(self.rows), len(self.rows) + len(cuts)), strict=True))
+        self.spelled = np.append(self.spelled, spelled)
+        self.counts = np.concatenate([self.counts, counts])
+        links = counts[:, _COUNTS.index("n_links")]
+        self.ptr = np.append(self.ptr, self.ptr[-1] + np.cumsum(links))
+        self.pairs = np.append(self.pairs, pairs)
+        self.groups += groups
+
+
+def _digits(most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Decimal digits of the numbers below ``most``, each with room for a separator: start, length, bytes."""
+    written = [b"%d," % i for i in range(most)]
+    length = np.array([len(w) for w in written], np.int64)
+    return np.cumsum(length) - length, length, np.frombuffer(b"".join(written), np.uint8)
+
 
-    spelled: bool
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    n_shared: int
-    groups: str
-    pairs: bytes
+def _spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Positions ``start[i] .. start[i] + length[i] - 1`` of all i, one after another."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + length, length)
 
 
 class Aligner:
     """Both tokenizers of a worker and the cuts it has aligned."""
 
     def __init__(self, file_a: bytes, file_b: bytes):
+        # A task has one core: the library's own threads would take the others' and cost more than they bring.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -216,88 +253,92 @@ class Aligner:
         names = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
         self.bytes_a = Vocabulary([bytes(alphabet.get(c, 63) for c in name) for name in names])
         self.bytes_b = Vocabulary([piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())])
-        self.new: dict[str, Cut] = {}
-        self.old: dict[str, Cut] = {}
-
-    def cuts(self, wanted: set[str]) -> dict[str, Cut]:
-        """Alignment of every wanted cut (without its leading space)."""
-        out, missing, size = {}, [], 0
-        for cut in wanted:
-            known = self.new.get(cut) or self.old.get(cut)
-            if known is None:
-                missing.append(cut)
-                size += len(cut)
-                if size >= BATCH_BYTES:
-                    out.update(zip(missing, self._align(missing), strict=True))
-                    missing, size = [], 0
-            else:
-                out[cut] = known
-        out.update(zip(missing, self._align(missing), strict=True))
-        return out
-
-    def keep(self, cuts: dict[str, Cut]) -> None:
-        """Remember short cuts; a full generation replaces the one before it."""
-        self.new.update((c, v) for c, v in cuts.items() if len(c) <= KEPT_CHARS)
-        if len(self.new) > KEPT:
-            self.old, self.new = self.new, {}
-
-    def _align(self, cuts: list[str]) -> list[Cut]:
+        self.digits = _digits(max(len(self.bytes_a.length), len(self.bytes_b.length)))
+        self.known = Cuts()
+
+    def learn(self, cuts: list[str]) -> None:
+        """Align the cuts that are not known yet, so many bytes at a time."""
+        missing = [c for c in dict.fromkeys(cuts) if c not in self.known.rows]
+        first = size = 0
+        for k, cut in enumerate(missing):
+            size += len(cut) + 1
+            if size >= BATCH_BYTES:
+                self._align(missing[first : k + 1])
+                first, size = k + 1, 0
+        if first < len(missing):
+            self._align(missing[first:])
+
+    def _align(self, cuts: list[str]) -> None:
         """Align distinct cuts side by side: their incidence matrices are blocks of one."""
-        if not cuts:
-            return []
+        chain = itertools.chain.from_iterable
         ids = (
             [e.ids for e in self.a.encode_batch_fast([" " + c for c in cuts], add_special_tokens=False)],
             self.b.encode(cuts, num_threads=1),
         )
-        size = np.array([len(c.encode()) + 1 for c in cuts])
+        size = np.array([len(c) + 1 if c.isascii() else len(c.encode()) + 1 for c in cuts])
         text = np.frombuffer((" " + " ".join(cuts)).encode(), np.uint8)
-        flat = [np.fromiter((i for own in side for i in own), np.int64, sum(map(len, side))) for side in ids]
-        held = [np.array([len(own) for own in side]) for side in ids]
-        spelled = np.ones(len(cuts), bool)
-        for side, words in ((0, self.bytes_a), (1, self.bytes_b)):
-            made = words.spell(flat[side])
-            ends = np.concatenate([[0], np.cumsum(words.length[flat[side]])])
-            last = np.cumsum(held[side])
-            if len(made) == len(text) and (np.diff(ends[np.concatenate([[0], last])]) == size).all():
+        held = [np.fromiter(map(len, side), np.int64, len(cuts)) for side in ids]
+        flat = [np.fromiter(chain(side), np.int64, int(n.sum())) for side, n in zip(ids, held, strict=True)]
+        spelled = self._spelled(flat, held, size, text)
+        if not spelled.all():
+            good = [c for c, ok in zip(cuts, spelled, strict=True) if ok]
+            bad = [c for c, ok in zip(cuts, spelled, strict=True) if not ok]
+            none = np.zeros((len(bad), len(_COUNTS)), np.int64)
+            self.known.add(bad, np.zeros(len(bad), bool), none, np.zeros(0, np.uint32), [b""] * len(bad))
+            if good:
+                self._align(good)
+            return
+
+        ends = [np.cumsum(v.length[f]) for v, f in ((self.bytes_a, flat[0]), (self.bytes_b, flat[1]))]
+        a, b, _ = overlap_links(*ends)
+        shared = np.concatenate([[0], np.cumsum(count_group_links(*ends))])
+        common = common_ends(*ends)
+        # Where each cut's tokens, groups and links stop.
+        stops = [np.cumsum(n) for n in held]
+        stop_groups = np.searchsorted(common, np.cumsum(size), side="right")
+        stop_links = np.searchsorted(a, stops[0])
+        counts = np.stack([
+            held[0], held[1], np.diff(stop_groups, prepend=0), np.diff(stop_links, prepend=0),
+            np.diff(shared[stops[0]], prepend=0),
+        ], axis=1)
+        groups = self._written(flat, ends, common, stop_groups)
+        self.known.add(cuts, spelled, counts, pair_key(flat[0][a], flat[1][b]), groups)
+
+    def _spelled(self, flat, held, size: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Whether the tokens of both sides spell each cut."""
+        ok = np.ones(len(size), bool)
+        stop = np.cumsum(size)
+        for ids, n, words in zip(flat, held, (self.bytes_a, self.bytes_b), strict=True):
+            made = words.spell(ids)
+            ends = np.concatenate([[0], np.cumsum(words.length[ids])])[np.cumsum(n)]
+            if len(made) == len(text) and (ends == stop).all():
                 wrong = np.concatenate([[0], np.cumsum(made != text)])
-                stop = np.cumsum(size)
-                spelled &= wrong[stop] == wrong[stop - size]
+                ok &= wrong[stop] == wrong[stop - size]
             else:
-                where = np.cumsum(size) - size
-                for k in range(len(cuts)):
-                    a, b = ends[last[k] - held[side][k]], ends[last[k]]
-                    spelled[k] &= made[a:b].tobytes() == text[where[k] : where[k] + size[k]].tobytes()
-        good = np.flatnonzero(spelled)
-        if len(good) < len(cuts):
-            rest = iter(self._align([cuts[k] for k in good]))
-            none = Cut(False, 0, 0, 0, 0, 0, "", b"")
-            return [next(rest) if ok else none for ok in spelled]
-
-        ends_a, ends_b = (np.cumsum(v.length[f]) for v, f in ((self.bytes_a, flat[0]), (self.bytes_b, flat[1])))
-        a, b, _ = overlap_links(ends_a, ends_b)
-        pairs = pair_key(flat[0][a], flat[1][b])
-        shared = count_group_links(ends_a, ends_b)
-        common = np.intersect1d(ends_a, ends_b)
-        # Of each cut: where its tokens, links and groups stop.
-        stop = np.cumsum(size)
-        stop_a, stop_b = np.cumsum(held[0]), np.cumsum(held[1])
-        stop_links = np.searchsorted(a, stop_a)
-        stop_groups = np.searchsorted(common, stop, side="right")
-        sums = np.concatenate([[0], np.cumsum(shared)])
-        last_a, last_b = np.searchsorted(ends_a, common) + 1, np.searchsorted(ends_b, common) + 1
-        names = [list(map(str, f.tolist())) for f in flat]
-        said, p, q = [], 0, 0
-        for x, y in zip(last_a.tolist(), last_b.tolist(), strict=True):
-            said.append(",".join(names[0][p:x]) + "|" + ",".join(names[1][q:y]))
-            p, q = x, y
-        out, at = [], (0, 0, 0, 0)
-        for now in zip(stop_a.tolist(), stop_b.tolist(), stop_links.tolist(), stop_groups.tolist(), strict=True):
-            out.append(Cut(
-                True, now[0] - at[0], now[1] - at[1], now[3] - at[3], now[2] - at[2], int(sums[now[0]] - sums[at[0]]),
-                ";".join(said[at[3] : now[3]]), pairs[at[2] : now[2]].tobytes(),
-            ))
-            at = now
-        return out
+                starts = np.concatenate([[0], ends[:-1]])
+                ok &= [
+                    made[x:y].tobytes() == text[z - k : z].tobytes()
+                    for x, y, z, k in zip(starts, ends, stop, size, strict=True)
+                ]
+        return ok
+
+    def _written(self, flat, ends, common: np.ndarray, stop_groups: np.ndarray) -> list[bytes]:
+        """Each cut's groups as ``a1,a2|b1;a3|b2``: ids in order of group and side, each with the sign that follows it."""
+        sides = [np.searchsorted(common, e) * 2 + k for k, e in enumerate(ends)]
+        place = np.concatenate(sides)
+        order = np.argsort(place, kind="stable")
+        place, ids = place[order], np.concatenate(flat)[order]
+        start, length, signs = self.digits
+        length = length[ids]
+        out = signs[_spread(start[ids], length)]
+        last = np.cumsum(length) - 1
+        ending = np.append(np.diff(place) > 0, True)
+        out[last[ending & (place % 2 == 0)]] = ord("|")
+        out[last[ending & (place % 2 == 1)]] = ord(";")
+        # A group ends with its last B token.
+        stops = last[ending & (place % 2 == 1)][stop_groups - 1].tolist()
+        whole = out.tobytes()
+        return [whole[x:y] for x, y in zip([0, *[s + 1 for s in stops[:-1]]], stops, strict=True)]
 
 
 #: An id pair as one number; piece ids stay below 2**16.
@@ -322,26 +363,48 @@ def _aligner(files) -> Aligner:
 # ---- documents ----
 
 
-def _aligned(aligner: Aligner, texts: list[str | None]) -> list[tuple]:
-    """``(n_a, n_b, n_groups, n_links, n_shared, digest, pair keys, their links)`` of each text."""
-    split = [_CUT.split(t) if t else [] for t in texts]
-    known = aligner.cuts({c for own in split for c in own})
-    out = []
-    for own in split:
-        made = [known[c] for c in own]
-        if not made or not all(c.spelled for c in made):
-            out.append((0, 0, 0, 0, 0, "", np.zeros(0, np.uint32), np.zeros(0, np.uint32)))
-            continue
+def split_text(text: str | None) -> list[str]:
+    """Cuts of a text, without the space before each."""
+    if not text:
+        return []
+    if text.isascii() and not (text[0] == " " or text[-1] == " " or any(odd in text for odd in _ODD)):
+        return text.split(" ")
+    return _CUT.split(text)
+
+
+def _aligned(aligner: Aligner, texts: list[str | None]) -> tuple:
+    """Of all texts: counts (a row each), digests, and pair keys with their links, by text in one array each."""
+    if aligner.known.full():
+        aligner.known = Cuts()
+    split = [split_text(t) for t in texts]
+    known = aligner.known
+    aligner.learn(list(itertools.chain.from_iterable(split)))
+    sizes = np.array([len(own) for own in split], np.int64)
+    row = np.fromiter(map(known.rows.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    # A text with a cut that is not spelled has no tokens.
+    bad = np.bincount(doc, ~known.spelled[row], len(texts)) > 0
+    if bad.any():
+        keep = ~bad[doc]
+        row, doc = row[keep], doc[keep]
+        sizes = np.where(bad, 0, sizes)
+    counts = np.zeros((len(texts), len(_COUNTS)), np.int64)
+    for k in range(len(_COUNTS)):
+        counts[:, k] = np.bincount(doc, known.counts[row, k], len(texts)).astype(np.int64)
+    stops = np.cumsum(sizes).tolist()
+    digests, rows, first = [], row.tolist(), 0
+    for stop in stops:
         said = hashlib.sha256()
-        for k in range(0, len(made), 65536):
-            said.update(((";" if k else "") + ";".join([c.groups for c in made[k : k + 65536]])).encode())
-        keys, links = np.unique(np.frombuffer(b"".join([c.pairs for c in made]), np.uint32), return_counts=True)
-        out.append((
-            sum(c.n_a for c in made), sum(c.n_b for c in made), sum(c.n_groups for c in made),
-            sum(c.n_links for c in made), sum(c.n_shared for c in made), said.hexdigest(), keys, links.astype(np.uint32),
-        ))
-    aligner.keep(known)
-    return out
+        for k in range(first, stop, 65536):
+            said.update((b";" if k > first else b"") + b";".join([known.groups[r] for r in rows[k : min(stop, k + 65536)]]))
+        digests.append(said.hexdigest() if stop > first else "")
+        first = stop
+    links = np.diff(known.ptr)[row]
+    key = np.repeat(doc.astype(np.uint64) << np.uint64(32), links) | known.pairs[_spread(known.ptr[row], links)]
+    key.sort()
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    held = np.bincount((key[new] >> np.uint64(32)).astype(np.int64), minlength=len(texts))
+    return counts, digests, held, key[new].astype(np.uint32), np.diff(np.append(new, len(key))).astype(np.uint32)
 
 
 def _pack(numbers: np.ndarray) -> bytes:
@@ -355,9 +418,6 @@ def _unpack(packed: bytes, count: int) -> np.ndarray:
     return planes.reshape(4, count).T.copy().view("<u4").reshape(-1)
 
 
-_COUNTS = ["n_a", "n_b", "n_groups", "n_links", "n_shared"]
-
-
 def _block_schema(id_field: T.StructField) -> T.StructType:
     array = lambda kind: T.ArrayType(kind)
     return T.StructType([
@@ -379,31 +439,27 @@ def _blocks(files, names: list[str], batches: Iterator[pa.RecordBatch]) -> Itera
     ids, made, size = [], [], 0
 
     def block() -> pa.RecordBatch:
-        every = np.concatenate([m[6] for m in made])
+        counts, held, every, links = (np.concatenate([m[k] for m in made]) for k in (0, 2, 3, 4))
         keys, places, docs = np.unique(every, return_inverse=True, return_counts=True)
-        held = np.array([len(m[6]) for m in made])
         # Within a document places rise: differences are small.
         steps = np.diff(places, prepend=0)
-        starts = np.cumsum(held) - held
-        starts = starts[held > 0]
+        starts = (np.cumsum(held) - held)[held > 0]
         steps[starts] = places[starts]
         one = lambda values, kind: pa.array([values], kind)
         longs, list_of = pa.list_(pa.int64()), pa.ListArray.from_arrays
         id_list = pa.chunked_array(ids).combine_chunks()
         id_list = list_of(pa.array([0, len(id_list)], pa.int32()), id_list)
         columns = [pa.array([uuid.uuid4().hex]), id_list]
-        columns += [one([m[k] for m in made], longs) for k in range(len(_COUNTS))]
-        columns += [one([m[5] for m in made], pa.list_(pa.string())), one(held, longs)]
-        columns += [pa.array([_pack(steps)], pa.binary())]
-        columns += [pa.array([_pack(np.concatenate([m[7] for m in made]))], pa.binary())]
+        columns += [one(counts[:, k], longs) for k in range(len(_COUNTS))]
+        columns += [one([d for m in made for d in m[1]], pa.list_(pa.string())), one(held, longs)]
+        columns += [pa.array([_pack(steps)], pa.binary()), pa.array([_pack(links)], pa.binary())]
         columns += [one(keys.astype(np.int64), longs), one(docs.astype(np.int32), pa.list_(pa.int32()))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     for batch in batches:
         for part in slices(batch, 1, SLICE_BYTES):
-            texts = part.column(1).to_pylist()
             ids.append(part.column(0))
-            made += _aligned(aligner, texts)
+            made.append(_aligned(aligner, part.column(1).to_pylist()))
             size += part.column(1).nbytes
             if size >= BLOCK_BYTES:
                 yield block()
