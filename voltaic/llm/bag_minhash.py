@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltaic.llm.common import BINARY, LONG, LONGS, Scratch, map_text, words
-from voltaic.llm.components import connected_components
+from voltaic.llm.components import connected_components, spanning_links
 
 SHINGLE = 5
 #: Texts and features in a tile, features that are multiplied at a time.
@@ -188,8 +188,8 @@ def _compare_tiles(threshold: float, batches: Iterator[pa.RecordBatch]) -> Itera
                 continue
             left, right = ([np.frombuffer(r, np.uint64) for r in raw] for raw in (raw_a, raw_b))
             i, j = np.nonzero(apart & (overlaps(left, right) >= threshold))
-            # One link between two parts says as much as all of them.
-            ends = np.unique(np.stack([np.array(parts_a)[i], np.array(parts_b)[j]], axis=1), axis=0)
+            # A spanning forest of the linked parts says as much as all their links.
+            ends = spanning_links(np.array(parts_a)[i], np.array(parts_b)[j])
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
 
@@ -324,11 +324,13 @@ def _links_of_missed(placed: DataFrame, shingled: DataFrame, threshold: float, s
 
 
 def _texts_of(own: DataFrame, sketched: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text of each wanted content: that of its smallest id (a null id reads as one more value)."""
-    rows = own.withColumn("id", F.coalesce("id", F.lit(-(2**63))))
-    need = wanted.withColumn("id", F.coalesce("id", F.lit(-(2**63))))
-    with_key = map_text(rows.join(need.select("id").distinct(), "id", "left_semi"), "text", {"key": BINARY}, _key_setup)
-    return with_key.dropDuplicates(["id", "key"]).join(need, ["id", "key"]).select("node", "text")
+    """One text of each wanted content: that of its smallest id; a content without any id is found by its key alone."""
+    named = own.join(wanted.where("id is not null").select("id").distinct(), "id", "left_semi")
+    with_key = map_text(named, "text", {"key": BINARY}, _key_setup)
+    out = with_key.dropDuplicates(["id", "key"]).join(wanted, ["id", "key"]).select("node", "text")
+    nameless = wanted.where("id is null").select("key", "node")
+    with_key = map_text(own.where("id is null").select("text"), "text", {"key": BINARY}, _key_setup)
+    return out.unionByName(with_key.dropDuplicates(["key"]).join(nameless, "key").select("node", "text"))
 
 
 def _key_setup():
@@ -345,13 +347,21 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     Texts without words all stay. Of several rows with that id and content, one stays.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    keepers = found.where("kept and key is not null").select(
-        F.col("key").alias("__key"), F.col("id").alias("__id")
-    ).distinct()
-    keyed = map_text(docs, text_col, {"__key": BINARY}, _key_setup)
-    wordless = keyed.where("__key is null").drop("__key")
-    stay = keyed.alias("d").join(
-        keepers.alias("k"), (F.col("d.__key") == F.col("k.__key")) & F.col(f"d.{id_col}").eqNullSafe(F.col("k.__id"))
-    )
-    stay = stay.select("d.*").dropDuplicates([id_col, "__key"])
-    return stay.drop("__key").unionByName(wordless)
+    found = Scratch(docs.sparkSession, "keep-one").store(found, "found")
+    by_id = found.where("id is not null").groupBy("id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept"))
+    # An id that occurs once says by itself whether its row stays: no text is looked at again.
+    once = by_id.where("rows = 1 and kept").select(F.col("id").alias(id_col))
+    stay = docs.join(once, id_col, "left_semi")
+    often = by_id.where("rows > 1").select(F.col("id").alias(id_col))
+    rest = docs.join(often, id_col, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    # Names that no column of docs has.
+    tag = max((len(c) for c in docs.columns), default=0) + 1
+    key, row = "k" * tag, "r" * tag
+    keepers = found.where("kept and key is not null").select(F.col("key").alias("__key"), F.col("id").alias("__id")).distinct()
+    keyed = map_text(rest, text_col, {key: BINARY}, _key_setup)
+    # Rows without words are told apart by a number of their own, so each stays.
+    keyed = keyed.withColumn(row, F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    of_class = (F.col(f"d.{key}") == F.col("k.__key")) & F.col(f"d.{id_col}").eqNullSafe(F.col("k.__id"))
+    kept = keyed.alias("d").join(keepers.alias("k"), of_class, "left").where(F.col(f"d.{key}").isNull() | F.col("k.__key").isNotNull())
+    kept = kept.select("d.*").dropDuplicates([id_col, key, row])
+    return stay.select(docs.columns).unionByName(kept.select(docs.columns))

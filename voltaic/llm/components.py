@@ -1,12 +1,29 @@
 """Connected components of a link table, as joins and partial aggregates only."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltaic.llm.common import Scratch
 
 
+def spanning_links(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Links ``(node, smallest node reachable)`` that join the same nodes as ``a, b``: fewer than there are nodes."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        before = label.copy()
+        np.minimum.at(label, i, label[j])
+        np.minimum.at(label, j, label[i])
+        label = label[label]
+        if (before == label).all():
+            break
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return np.stack([nodes[moved], nodes[label[moved]]], axis=1)
+
+
 def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``(id, component)`` of every node that is not the smallest of its component.
 
