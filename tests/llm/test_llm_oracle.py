@@ -36,7 +36,6 @@ def test_token_ids_match_the_library(spark, documents):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(WORD_VOCABULARY))
-    tokenizer.encode_special_tokens = True
     got = {r.doc_id: r for r in QUERIES["op5_token_ids"](spark, SF_SMALL).collect()}
     assert len(got) == len(documents)
     start = 0
@@ -170,3 +169,73 @@ def test_token_counts_of_long_words(monkeypatch):
         assert counter.count(set(words)) == {w: best("▁" + w) for w in words}
         counter.cache = tc.Cache(10)
     assert len(resets) > 10
+
+
+def test_language_query_against_plain_counts(spark, documents):
+    """Naive Bayes n-gram by n-gram: language and score of every document of the fixture."""
+    from collections import Counter
+
+    def grams(text):
+        line, low = "", (text or "").lower()
+        for ch in low:
+            line += ch if ch.isalpha() else " " * (line[-1:] not in ("", " "))
+        for order in (1, 2, 3, 4):
+            for at in range(len(line) - order + 1):
+                h = order
+                for ch in line[at : at + order]:
+                    h = (h ^ ord(ch)) * 0x9E3779B1 & 0xFFFFFFFF
+                    h ^= h >> 15
+                yield (h * 0x85EBCA6B & 0xFFFFFFFF) >> 16
+
+    held = {doc: zlib.crc32(str(doc).encode()) % 4 == 2 for doc, _, _ in documents}
+    every = {doc: Counter(grams(text)) for doc, text, _ in documents}
+    names = sorted({lang for doc, text, lang in documents if not held[doc] and lang and text is not None})
+    own = {n: Counter() for n in names}
+    prior = Counter()
+    for doc, text, lang in documents:
+        if not held[doc] and lang and text is not None:
+            own[lang].update(every[doc])
+            prior[lang] += 1
+    total = {n: sum(own[n].values()) + 0.5 * 65536 for n in names}
+    got = {r.doc_id: r for r in QUERIES["op7_language_id"](spark, SF_SMALL).collect()}
+    assert len(got) == len(documents)
+    for doc, _, _ in documents:
+        logs = [np.log(prior[n] / prior.total()) + sum(
+            k * float(np.float32(np.log(own[n][g] + 0.5) - np.log(total[n]))) for g, k in every[doc].items()) for n in names]
+        many = every[doc].total()
+        scaled = (np.array(logs) - max(logs)) * min(1, 100 / max(1, many))
+        assert got[doc].lang_pred == (names[int(np.argmax(logs))] if many else "und")
+        assert abs(got[doc].score - (1 / np.exp(scaled).sum() if many else 0)) < 1e-6
+
+
+def test_toxicity_query_against_plain_search(spark, documents):
+    """Every entry and exception phrase looked up one by one in every document of the fixture."""
+    from voltaic.llm import toxicity
+    from voltaic.llm.common import id_bucket, read_table
+
+    held_out = id_bucket("doc_id", 3) == 1
+    docs = read_table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs.where(~held_out), read_table(spark, SF_SMALL, "labels").where(~held_out))
+    assert model.entries
+
+    def places(line, phrase):
+        at = line.find(phrase)
+        while at >= 0:
+            yield at, at + len(phrase)
+            at = line.find(phrase, at + 1)
+
+    got = {r.doc_id: r for r in QUERIES["op2_toxicity"](spark, SF_SMALL).collect()}
+    for doc, text, _ in documents:
+        own = toxicity.fold(text)
+        line = " " + " ".join(own) + " "
+        spared = [p for phrase in model.exceptions for p in places(line, " " + " ".join(toxicity.fold(phrase)) + " ")]
+        best, hits = {}, 0
+        for entry, weight in model.entries.items():
+            for a, b in places(line, entry):
+                if not any(x <= a and b <= y for x, y in spared):
+                    best[a] = max(best.get(a, 0.0), weight)
+                    hits += 1
+        weight = sum(best[a] for a in sorted(best))
+        x = model.curve[0] + model.curve[1] * np.log1p(weight) + model.curve[2] * np.log1p(1000 * weight / max(1, len(own)))
+        score = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        assert got[doc].n_hits == hits and abs(got[doc].score - score) < 1e-9 and got[doc].predicted == (score >= 0.7)

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltaic.llm.common import SLICE_BYTES, Scratch, ship, slices
+from voltaic.llm.common import SLICE_BYTES, Scratch, ship, slices, worker_state
 
 #: Text bytes of a block of documents (or one longer document).
 BLOCK_BYTES = 4 << 20
@@ -349,15 +349,9 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a.astype(np.uint32) << _ID_BITS) | b.astype(np.uint32)).astype(np.uint32)
 
 
-_ALIGNERS: dict[str, Aligner] = {}
-
-
 def _aligner(files) -> Aligner:
     key, a, b = files.value
-    if key not in _ALIGNERS:
-        _ALIGNERS.clear()
-        _ALIGNERS[key] = Aligner(a, b)
-    return _ALIGNERS[key]
+    return worker_state(__name__, key, lambda: Aligner(a, b))
 
 
 # ---- documents ----

@@ -10,7 +10,10 @@ match of n bytes costs O(n log n), also a run of a million equal characters.
 Short matches are merged many at a time: one tree a row of a numpy matrix, all
 rows one merge a step. Matches repeat a lot, so each Python worker remembers
 encoded runs of non-space text in a cache of bounded size; a hit and a miss
-give the same ids.
+give the same ids. Cutting a text into such runs first is right for
+``CUT_PATTERN``, which begins a match at every space between two other
+characters and never takes white space after other characters into a match;
+with any other pattern each text's own matches are taken one by one.
 
 Null and empty texts have no ids and decode to no bytes. Repeated rows, ties
 and further columns are kept as they are; every row is handled by itself.
@@ -26,13 +29,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import BINARY, LONG, map_text
+from voltaic.llm.common import BINARY, LONG, map_text, worker_state
 
+#: Fixed value: the pattern for which runs may be cut first.
+CUT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Above every rank of a vocabulary.
 NO_PAIR = 1 << 40
 #: Entries of a worker's cache per generation (about 200 bytes each); two generations are held.
 CACHE_ENTRIES = 200_000
-_STATES: dict[tuple, "Codec"] = {}
 
 
 def read_ranks(path: str) -> bytes:
@@ -218,6 +222,7 @@ class Codec:
         self.ranks = parse_ranks(content)
         self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
+        self.cuts_runs = pattern == CUT_PATTERN
         self.runs = Cache(CACHE_ENTRIES)
         self.pairs = PairTable(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
@@ -228,6 +233,10 @@ class Codec:
         self.starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
 
+    def matches(self, text: str) -> list[str]:
+        """Whole matches of the pattern, groups or not."""
+        return [m.group() for m in self.pattern.finditer(text)] if self.pattern.groups else self.pattern.findall(text)
+
     def merged(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of each match."""
         out: dict[str, bytes] = {}
@@ -252,10 +261,11 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [
-            [] if not t else self.pattern.findall(t) if self.ODD.search(t) else self.RUNS.findall(t) for t in texts
+            [] if not t else self.RUNS.findall(t) if self.cuts_runs and not self.ODD.search(t) else self.matches(t)
+            for t in texts
         ]
         known, new = self.runs.split(set().union(*split))
-        matches = [self.pattern.findall(run) for run in new]
+        matches = [self.matches(run) if self.cuts_runs else [run] for run in new]
         pieces = self.merged(set().union(*matches))
         made = {
             run: pieces[own[0]] if len(own) == 1 else b"".join([pieces[m] for m in own])
@@ -279,11 +289,7 @@ class Codec:
 
 
 def codec(content: bytes, pattern: str) -> Codec:
-    key = (hash(content), pattern)
-    if key not in _STATES:
-        _STATES.clear()
-        _STATES[key] = Codec(content, pattern)
-    return _STATES[key]
+    return worker_state(__name__, (hash(content), pattern), lambda: Codec(content, pattern))
 
 
 def _encode_setup(vocabulary, pattern: str, decode: bool):
@@ -307,15 +313,18 @@ def load_vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(read_ranks(path))
 
 
-def encode(docs: DataFrame, *, path: str, pattern: str, text_col: str = "text", decode: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame, *, path: str, pattern: str, text_col: str = "text", decode: bool = False, keep_text: bool = True
+) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit), without a shuffle.
 
     ``decode=True`` also decodes the ids in the same pass (``decoded``, bytes).
-    Columns of these names in the input are replaced.
+    Columns of these names in the input are replaced; ``keep_text=False`` leaves
+    out the texts.
     """
     columns = {"n_tokens": LONG, "ids": BINARY} | ({"decoded": BINARY} if decode else {})
     vocabulary = load_vocabulary(docs.sparkSession, path)
-    return map_text(docs, text_col, columns, functools.partial(_encode_setup, vocabulary, pattern, decode))
+    return map_text(docs, text_col, columns, functools.partial(_encode_setup, vocabulary, pattern, decode), keep_text)
 
 
 def decode(encoded: DataFrame, *, path: str, pattern: str = r"\S+|\s+", ids_col: str = "ids") -> DataFrame:

@@ -30,8 +30,20 @@ STRINGS = (T.ArrayType(T.StringType()), pa.list_(pa.string()))
 _SHIPPED: set[str] = set()
 
 
+#: Bytes of an Arrow batch between the JVM and a Python worker at most; each side holds one whole.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in every Python worker (once per application)."""
+    """Make this package importable in every Python worker (once per application).
+
+    Where the session has Spark's own limit on the bytes of an Arrow batch (64
+    MB), it is lowered to ``BATCH_BYTES``: batches of long texts would fill the
+    executors. A limit set by the user stays.
+    """
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -115,18 +127,41 @@ def slices(batch: pa.RecordBatch, index: int, most: int = SLICE_BYTES) -> Iterat
         start, before = stop, int(sizes[stop - 1])
 
 
+#: What a Python worker keeps between tasks, of one operator at a time.
+_KEPT: dict = {}
+
+
+def worker_state(owner: str, key, make: Callable[[], object] | None = None):
+    """What ``make()`` gives, kept by this worker for later tasks of the same ``owner`` and ``key``.
+
+    A task of another owner drops it, so caches do not outlive the stage that
+    fills them. Without ``make`` only the dropping is done.
+    """
+    if _KEPT and _KEPT["owner"] != owner:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+    if make is None:
+        return None
+    if _KEPT.get("key") != key:
+        _KEPT.clear()
+        _KEPT.update(owner=owner, key=key, value=make())
+    return _KEPT["value"]
+
+
 def map_text(
     df: DataFrame,
     text_col: str,
     columns: dict[str, tuple],
     setup: Callable[[], Callable[[list], list]],
     keep_text: bool = True,
+    where: Callable[..., list] | None = None,
 ) -> DataFrame:
     """Append ``columns`` computed from ``text_col``, slice by slice, without a shuffle.
 
     ``setup()`` runs once per task and returns a function from a list of texts
     (``None`` for null) to one list of values per appended column. Input columns
-    named like an appended one are replaced.
+    named like an appended one are replaced. ``where`` takes these lists and says
+    of each row whether it stays; rows that go never leave the worker.
     """
     ship(df.sparkSession)
     base = df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in columns}])
@@ -138,14 +173,18 @@ def map_text(
     schema = T.StructType(fields + [T.StructField(n, t[0]) for n, t in columns.items()])
     types, names = [t[1] for t in columns.values()], schema.names
 
+    owner = getattr(setup, "func", setup).__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(owner, None)
         fn = setup()
         for batch in batches:
             for part in slices(batch, index):
                 made = fn(part.column(index).to_pylist())
                 arrays = [part.column(i) for i in kept]
                 arrays += [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(made, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                out = pa.RecordBatch.from_arrays(arrays, names=names)
+                yield out if where is None else out.filter(pa.array(where(*made), pa.bool_()))
 
     return base.mapInArrow(run, schema)
 

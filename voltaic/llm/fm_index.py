@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltaic.llm.common import LONG, STRINGS, map_text, ship, words
+from voltaic.llm.common import LONG, STRINGS, Scratch, map_text, ship, words
 
 #: Distance of sampled suffix positions.
 SAMPLE = 16
@@ -234,22 +234,28 @@ def find_spans(
     item_col: str = "item_id",
     item_text_col: str = "text",
     size: int = 10,
-    block_windows: int = 1_000_000,
+    block_windows: int = 200_000,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (merged word ranges), ``n_hit`` (words in them) and ``items`` (their ids as text).
 
-    One map over the documents per block of windows; no shuffle. Input columns
-    named like the appended ones are replaced.
+    One map over the documents per block of windows; no shuffle. With several
+    blocks the rows are stored in the shared folder after each but the last, so
+    one block's windows are alive at a time. Input columns named like the appended ones are replaced.
     """
     columns = {"n_words": LONG, "spans": SPANS, "n_hit": LONG, "items": STRINGS}
-    out = None
+    out = shared = None
+    scratch = Scratch(docs.sparkSession, "windows")
     for windows in window_blocks(
         benchmark, size=size, id_col=item_col, text_col=item_text_col, block_windows=block_windows
     ):
+        before = shared
         shared = docs.sparkSession.sparkContext.broadcast(windows)
         if out is None:
             out = map_text(docs, text_col, columns, functools.partial(_find_setup, shared))
             continue
+        stored = scratch.store(out, "block")
+        before.unpersist()
+        out = stored
         renamed = {c: f"{c}_before" for c in columns}
         out = map_text(out.withColumnsRenamed(renamed), text_col, columns, functools.partial(_find_setup, shared))
         out = out.withColumn("spans", _merged(F.concat("spans_before", "spans")))

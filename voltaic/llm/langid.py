@@ -174,7 +174,17 @@ def _score_setup(model):
     return lambda texts: list(score_texts(own, texts))
 
 
-def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; input columns of these names are replaced."""
+def predict(
+    docs: DataFrame, model: Model, *, text_col: str = "text", least: float | None = None, keep_text: bool = True
+) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``; input columns of these names are replaced.
+
+    With ``least``, only rows of a determined language with that score or more
+    stay; ``keep_text=False`` leaves out the texts.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return map_text(docs, text_col, {"lang_pred": STRING, "score": DOUBLE}, functools.partial(_score_setup, shared))
+    where = None
+    if least is not None:
+        where = lambda langs, scores: [c != UNDETERMINED and s >= least for c, s in zip(langs, scores, strict=True)]
+    columns = {"lang_pred": STRING, "score": DOUBLE}
+    return map_text(docs, text_col, columns, functools.partial(_score_setup, shared), keep_text, where)

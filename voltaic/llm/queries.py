@@ -47,7 +47,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
     held_out = F.coalesce(id_bucket("doc_id", 3) == 1, F.lit(False))
     model = toxicity.fit(docs.where(~held_out), labels.where(~held_out))
-    scored = toxicity.score(docs, model, threshold=0.7)
+    scored = toxicity.score(docs, model, threshold=0.7, keep_text=False)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_hits")
 
 
@@ -84,7 +84,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False))
     model = langid.fit(docs.where(~held_out))
-    out = langid.predict(docs.select("doc_id", "text"), model)
+    out = langid.predict(docs.select("doc_id", "text"), model, keep_text=False)
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
@@ -100,7 +100,8 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BYTE_VOCABULARY)
-    return byte_bpe.digests(byte_bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN, decode=True))
+    coded = byte_bpe.encode(docs, path=path, pattern=public_tokenizers.PATTERN, decode=True, keep_text=False)
+    return byte_bpe.digests(coded)
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

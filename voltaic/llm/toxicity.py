@@ -9,13 +9,15 @@ phrase does not count. The summed weight and the weight per 1000 words go
 through a logistic curve, which gives the score.
 
 Fitting uses at most about ``sample_docs`` labelled documents (chosen by a hash
-of the id, exact repeats once). Scoring covers every whole text. Null and empty
+of the id, exact repeats once) and at most ``max_entries`` entries. Scoring covers every whole text. Null and empty
 texts have no match and get the score of weight 0. Rows are scored one by one,
 so repeats, ties and further columns make no difference.
 """
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import DOUBLE, LONG, STRINGS, in_sample, map_text, ship, slices
+from voltaic.llm.common import DOUBLE, LONG, STRINGS, Scratch, in_sample, map_text, ship, slices
 
 #: Letters that look like Latin ones (Cyrillic, then Greek).
 HOMOGLYPHS = dict(zip("аеорсухіѕјкмтнв", "aeopcyxisjkmthb", strict=True)) | dict(
@@ -93,11 +95,14 @@ class Matcher:
                 spared.append((start, end))
             else:
                 found.append((start, end, entry, weight))
-        return [
-            (start, entry, weight)
-            for start, end, entry, weight in found
-            if not any(a <= start and end <= b for a, b in spared)
-        ]
+        if spared:
+            # Of the phrases that begin at or before a match, the one that reaches furthest decides.
+            spared.sort()
+            begins = [a for a, _ in spared]
+            reach = list(itertools.accumulate((b for _, b in spared), max))
+            at = [bisect.bisect_right(begins, match[0]) - 1 for match in found]
+            found = [match for match, k in zip(found, at, strict=True) if k < 0 or reach[k] < match[1]]
+        return [(start, entry, weight) for start, _, entry, weight in found]
 
     def measure(self, words: list[str]) -> tuple[float, list[tuple[int, str, float]]]:
         """Summed weight, the strongest match of each word counting once."""
@@ -146,6 +151,17 @@ def _list_features(candidates, batches):
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32()))], names=["features"])
 
 
+def _neighbours(line: str, start: int) -> list[str]:
+    """The word after the space at ``start`` with the word before it, and with the word after it."""
+    stop = line.index(" ", start + 1)
+    out = []
+    if start:
+        out.append(line[line.rindex(" ", 0, start) + 1 : stop])
+    if stop < len(line) - 1:
+        out.append(line[start + 1 : line.index(" ", stop + 1)])
+    return out
+
+
 def _measure(model, batches):
     matcher = Matcher(model.value)
     for batch in batches:
@@ -157,9 +173,7 @@ def _measure(model, batches):
                 line = " " + " ".join(words) + " "
                 around = set()
                 for start, _, _ in hits:
-                    before = line[: start + 1].split()[-1:]
-                    here = line[start:].split(maxsplit=2)[:2]
-                    around.update([" ".join(before + here[:1])] * bool(before) + [" ".join(here)] * (len(here) > 1))
+                    around.update(_neighbours(line, start))
                 out.append((weight, len(words), sorted(around)))
             weights, lengths, arounds = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -237,7 +251,9 @@ def fit(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
     sample = rows.join(known, "id").groupBy(F.xxhash64("text").alias("h")).agg(
         F.max(F.struct("toxic", "text")).alias("r")
-    ).select("r.text", "r.toxic").persist()
+    ).select("r.text", "r.toxic")
+    scratch = Scratch(spark, "toxicity")
+    sample = scratch.store(sample, "sample")
     try:
         totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
         n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
@@ -284,7 +300,7 @@ def fit(
         model.curve = tuple(float(b) for b in _logistic(_features(weight, n_words), toxic_col))
         return model
     finally:
-        sample.unpersist()
+        scratch.drop(sample)
 
 
 def _score_setup(model):
@@ -302,13 +318,17 @@ def _score_setup(model):
     return fn
 
 
-def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+def score(
+    docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.7, drop: bool = False, keep_text: bool = True
+) -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``n_hits``, ``hits`` (matched entries) and ``predicted`` (score >= threshold).
 
-    Input columns of these names are replaced.
+    Input columns of these names are replaced. ``drop`` leaves out the rows
+    predicted toxic, ``keep_text=False`` the texts.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "predicted"])
     columns = {"score": DOUBLE, "n_hits": LONG, "hits": STRINGS}
-    out = map_text(docs, text_col, columns, functools.partial(_score_setup, shared))
+    where = (lambda scores, *_: [s < threshold for s in scores]) if drop else None
+    out = map_text(docs, text_col, columns, functools.partial(_score_setup, shared), keep_text, where)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
