@@ -4,6 +4,12 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its
 predecessor kept; ``run`` writes each stage's rows as Parquet in the shared
 folder and reads them back as the next stage's ``docs``, so a lost executor or
 a restarted stage never recomputes what came before.
+
+Null and empty texts, and texts without letters, have no language and go in the
+second stage. Null ids are allowed; documents with one are classed by their
+texts. Of repeated rows, equal ones included, the near-duplicate stage keeps
+one. Columns other than ``COLUMNS`` are not read, whatever their names. An empty
+table gives an empty table at every stage.
 """
 from __future__ import annotations
 
@@ -25,16 +31,14 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents whose toxicity score stays below ``TOXIC_SCORE``; the lexicon is learned from labelled ``docs``."""
     learn = ~F.coalesce(id_bucket("doc_id", 3) == 1, F.lit(False))
     model = toxicity.fit(docs.where(learn), read_table(spark, sf_dir, "labels").where(learn))
-    return toxicity.score(docs.select(COLUMNS), model, threshold=TOXIC_SCORE).where("predicted = 0").select(COLUMNS)
+    return toxicity.score(docs.select(COLUMNS), model, threshold=TOXIC_SCORE, drop=True).select(COLUMNS)
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters and a language the model is sure enough of."""
     learn = ~F.coalesce(id_bucket("doc_id", 4) == 2, F.lit(False))
     model = langid.fit(docs.where(learn))
-    found = langid.predict(docs.select(COLUMNS), model)
-    sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return found.where(sure).select(COLUMNS)
+    return langid.predict(docs.select(COLUMNS), model, least=MIN_LANGUAGE_SCORE).select(COLUMNS)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +56,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the decoded bytes."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     coded = byte_bpe.encode(
-        docs.select("doc_id", "text", "lang", "source"), path=path, pattern=public_tokenizers.PATTERN, decode=True
-    )
+        docs.select("doc_id", "text", "lang", "source"), path=path, pattern=public_tokenizers.PATTERN, decode=True, keep_text=False
+    )
     return coded.select(
         "doc_id", "lang", "source", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
