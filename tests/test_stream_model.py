@@ -129,3 +129,85 @@ def test_saved_model_carries_feature_order(spark, tmp_path):
     again = md.load_model(md.save_model(m, str(tmp_path / "m")))
     assert md.model_features(again) == config.FEATURES_SOC_FIRST
     assert [r.feature for r in md.feature_importance(spark, again).collect()] != []
+
+
+def test_state_of_silent_vehicles_is_deleted(spark):
+    """Event-time expiry: a gap beyond the time counts as none, a silent vehicle's state goes, and the stream ends by itself."""
+    from voltaic.streaming import progress as pg
+
+    base = scratch_path(spark, "test-expiry-" + uuid.uuid4().hex[:8])
+    src, out, ck = f"{base}/in", f"{base}/out", f"{base}/ck"
+
+    def run():
+        feats = sf.stream_features(sf.stream_windows(ms.text_source(spark, src)), band=(300, 500), state_ttl="60 seconds")
+        return sf.run_to_parquet(sf.to_ntz_times(feats), out, ck)
+
+    def window(vehicle, sec, v):
+        t = (dt.datetime(2024, 1, 1) + dt.timedelta(seconds=sec)).isoformat()
+        return [_msg(t, 1200, v, vehicle), _msg(t, 900, 50.0, vehicle)]
+
+    plain = src.replace("file:", "")
+    _write(plain, "1.json", window("A", 0, 400) + window("B", 0, 410) + window("A", 60, 420) + window("B", 61, 1) + window("A", 200, 1))
+    run()
+    kept = {r["vehicle_id"]: r["time"] for r in pg.last_windows(spark, ck).collect()}
+    assert kept == {"A": dt.datetime(2024, 1, 1, 0, 1)}  # B's window ended at 10 s, the watermark is at 170 s
+    _write(plain, "2.json", window("B", 220, 430) + window("A", 230, 440) + window("A", 240, 450) + window("B", 400, 1))
+    run()
+    got = {(r["vehicle_id"], r["time"].minute * 60 + r["time"].second): r["previous_voltage"] for r in spark.read.parquet(out).collect()}
+    assert got == {("A", 0): None, ("B", 0): None, ("A", 60): 400.0, ("B", 220): None, ("A", 230): None, ("A", 240): 440.0}
+    assert pg.last_windows(spark, ck).count() == 0  # the watermark is at 370 s
+
+    table = pg.progress(spark, ck).orderBy("batch_id").collect()
+    assert [r["batch_id"] for r in table] == list(range(len(table))) and all(r["committed"] for r in table)
+    assert table[-1]["next_watermark"] == dt.datetime(2024, 1, 1, 0, 6, 10)
+    os.remove(f"{ck.replace('file:', '')}/commits/{len(table) - 1}")
+    assert [r["committed"] for r in pg.progress(spark, ck).orderBy("batch_id").collect()] == [True] * (len(table) - 1) + [False]
+
+
+def test_redelivered_messages_count_once(spark):
+    """Copies in the same and in a later micro-batch, within the watermark's delay."""
+    base = scratch_path(spark, "test-redelivery-" + uuid.uuid4().hex[:8])
+    src, out, ck = f"{base}/in", f"{base}/out", f"{base}/ck"
+    plain = src.replace("file:", "")
+    t = [(dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)).isoformat() for s in (1, 2, 12, 100)]
+
+    def run():
+        win = sf.stream_windows(ms.text_source(spark, src), redelivered=True)
+        sf.run_to_parquet(sf.to_ntz_times(win), out, ck)
+
+    _write(plain, "1.json", [_msg(t[0], 1200, 400.0), _msg(t[0], 1200, 400.0), _msg(t[1], 1200, 401.0)])
+    run()
+    _write(plain, "2.json", [_msg(t[0], 1200, 400.0), _msg(t[1], 1200, 402.0), _msg(t[2], 1200, 500.0)])
+    run()
+    _write(plain, "3.json", [_msg(t[2], 1200, 500.0), _msg(t[3], 1200, 1.0)])
+    run()
+    got = {r["time"].second: r["hv_battery_voltage"] for r in spark.read.parquet(out).collect()}
+    assert got == {0: (400.0 + 401.0 + 402.0) / 3, 10: 500.0}
+
+
+def test_console_sink_prints_every_batch(spark, tmp_path, capfd):
+    """K4: the demonstration sink runs, takes what is there and stops when told."""
+    _write(str(tmp_path), "1.json", [_msg("2024-01-01T00:00:01", 1200, 400.0), _msg("2024-01-01T00:00:02", 900, 50.0)])
+    query = sf.run_to_console(ms.parse_messages(ms.text_source(spark, str(tmp_path))), num_rows=5)
+    try:
+        query.processAllAvailable()
+        assert query.lastProgress["numInputRows"] == 2
+    finally:
+        query.stop()
+    assert "Batch: 0" in capfd.readouterr().out
+
+
+def test_missing_features_fill_or_drop(spark):
+    """Rows with missing features are scored with zeros or left out."""
+    from voltaic import config
+    from voltaic.operators import model as md
+    from voltaic.plans.catalog import ev_complete
+
+    train = ev_complete(spark, "/root/testdata/sf0.01")
+    model = md.train_rf(train, numTrees=3, maxDepth=3)
+    rows = train.limit(4).withColumn("previous_soc", F.when(F.col("time") != train.limit(4).agg(F.min("time")).first()[0],
+                                                              F.col("previous_soc")))
+    gaps = rows.filter("previous_soc IS NULL").count()
+    assert gaps and sf.score_stream(rows, model).count() == 4
+    assert sf.score_stream(rows, model, missing="drop").count() == 4 - gaps
+    assert config.LABEL in rows.columns

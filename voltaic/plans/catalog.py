@@ -446,8 +446,8 @@ def _normalize_sources(spark, d):
     """One raw folder per source, scanned as its source; the normalized output, a folder per source, is read back."""
     raw = rw.lineitem_raw_sources(spark, d).withColumnRenamed("time_ns", "time")
     path = fs.write_dataset(raw, _scratch(spark, "raw_sources"), partition_by=["source"])
-    names = [r["source"] for r in raw.select("source").distinct().collect()]
-    files = {name: f"{path}/source={name}" for name in sorted(names)}
+    names = spark.read.parquet(path).select("source").distinct()  # from the folders' names: no file is read
+    files = {r["source"]: f"{path}/source={r['source']}" for r in names.orderBy("source").collect()}
     norm = rw.normalize_sources(rw.sources_from_files(spark, files), ["SRC_R"])
     out = fs.write_dataset(norm, _scratch(spark, "normalized"), partition_by=["source"])
     return fs.read_dataset(spark, out, norm.schema)
@@ -461,8 +461,8 @@ FROM ({O.repaired(('SRC_R',))}) n GROUP BY ROLLUP (source)""")(
 
 
 def _scan_nanos(spark, d):
-    path = fs.write_dataset(rw.lineitem_raw_sources(spark, d), _scratch(spark, "raw_nanos"))
-    return rw.scan_nanos(spark, path, time_col="time_ns")
+    """All raw readings in files whose time is TIMESTAMP(NANOS), read back as whole nanoseconds."""
+    return rw.scan_nanos(spark, *rw.write_nanos(rw.lineitem_raw_sources(spark, d), _scratch(spark, "raw_nanos")))
 
 
 register("scan_nanos", O.LI_RAW)(_scan_nanos)

@@ -35,6 +35,40 @@ def scan_nanos(spark: SparkSession, *paths: str, time_col: str = "time") -> Data
     return df.withColumnRenamed(time_col, "time_ns") if time_col != "time_ns" else df
 
 
+def write_nanos(raw: DataFrame, folder: str, *, time_col: str = "time_ns", as_col: str = "time") -> list[str]:
+    """Write a table as Parquet files whose ``as_col`` is TIMESTAMP(NANOS), a type Spark cannot write, one file a
+    task through Arrow; returns the files' paths.
+
+    ``folder`` is in storage that all tasks share. A file gets a name of its own attempt and counts only
+    once its task reports it, so a lost or repeated task leaves at most a file that nobody reads.
+    """
+    names = [as_col if c == time_col else c for c in raw.columns]
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        uri = "file://" + folder[5:] if folder.startswith("file:/") and not folder.startswith("file://") else folder
+        system, path = fs.FileSystem.from_uri(uri)
+        system.create_dir(path, recursive=True)
+        name, writer, rows = f"part-{uuid.uuid4().hex}.parquet", None, 0
+        for batch in batches:
+            columns = [c.cast(pa.int64()).cast(pa.timestamp("ns")) if n == as_col else c
+                       for n, c in zip(names, batch.columns, strict=True)]
+            table = pa.Table.from_arrays(columns, names=names)
+            writer = writer or pq.ParquetWriter(f"{path}/{name}", table.schema, filesystem=system, version="2.6")
+            writer.write_table(table)
+            rows += len(table)
+        if writer:
+            writer.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([rows], pa.int64())], names=["name", "rows"])
+
+    return [f"{folder}/{r['name']}" for r in raw.mapInArrow(write, "name string, rows long").collect()]
+
+
 def repair_readings(raw: DataFrame, *, limit_ns: int = config.REPAIR_LIMIT_NS,
                     years: int = config.REPAIR_YEARS) -> DataFrame:
     """X1 on a raw table with ``time_ns``: repaired ``time`` plus a ``corrected`` flag."""
