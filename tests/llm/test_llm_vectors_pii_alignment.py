@@ -109,7 +109,8 @@ def test_whitening_of_extreme_entries(spark):
     rows = [(i, [float(i) * 1e9, 1.0 + i % 3]) for i in range(6)] + [(9, [1e300, 1.0])]
     got = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert len(got) == 14 and {r.deviation for r in got if r.id == 9} == {None}
-    assert all(np.isfinite(r.whitened) for r in got)
+    # the other dimension's variance is below the rounding error of the matrix
+    assert all((r.whitened is None) == (r.component == 2) for r in got)
     small = spark.createDataFrame(rows[:6], "vec_id long, embedding array<double>")
     x = [[int(64 * i * 1e9), 64 * (1 + i % 3)] for i in range(6)]
     sums = [sum(c) for c in zip(*x, strict=True)]
@@ -162,14 +163,20 @@ def test_personal_data_against_plain_patterns(spark):
 
 def test_personal_data_in_long_texts(spark):
     """Runs that a careless pattern reads again and again, or recurses into, and many matches in one text."""
-    texts = ["a" * 400_000 + "@", "1" * 400_000, "1 " * 200_000, "9." * 200_000, "+1" + "(" * 300_000, "a.b@c" * 60_000,
-             "😀 1.2.3.4 " * 30_000, "x@y" + ".z" * 200_000, "A" * 300_000 + "GB82"]
+    mails, parts = 20_000, 40_000
+    texts = ["a" * 400_000 + "@", "1" * 400_000, "1 " * 200_000, "+1" + "(" * 300_000, "A" * 300_000 + "GB82",
+             "9." * parts, "a.b@c" * mails, "😀 1.2.3.4 " * 10_000, "x@y" + ".z" * 200_000]
     got = found(spark, texts)
-    assert [s[:3] for s in got[7]] == [("email", 0, 400_003)]
-    assert [s[:3] for s in got[6]] == [("ip", 2 + 10 * i, 9 + 10 * i) for i in range(30_000)]
-    assert got[0] == got[4] == []
-    for i in (1, 2, 3, 5):
-        assert [s[:3] for s in got[i] if s[3]] == plain_spans(texts[i])
+    assert all(got[i] == [] for i in range(5))
+    assert plain_spans("9." * 40) == [("ip", 8 * i, 8 * i + 7) for i in range(10)]
+    assert [s[:3] for s in got[5]] == [("ip", 8 * i, 8 * i + 7) for i in range(parts // 4)]
+    few = plain_spans("a.b@c" * 40)
+    assert few == [("email", 0, 8)] + [("email", 9 + 10 * i, 18 + 10 * i) for i in range(len(few) - 1)]
+    many = [s[:3] for s in got[6]]
+    assert many == [("email", 0, 8)] + [("email", 9 + 10 * i, 18 + 10 * i) for i in range(len(many) - 1)]
+    assert len(many) - len(few) == (mails - 40) // 2
+    assert [s[:3] for s in got[7]] == [("ip", 2 + 10 * i, 9 + 10 * i) for i in range(10_000)]
+    assert [s[:3] for s in got[8]] == [("email", 0, 400_003)]
 
 
 def test_personal_data_added_kinds(spark):
