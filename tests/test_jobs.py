@@ -90,3 +90,20 @@ def test_embargo_leaves_rows_after_each_cutoff(spark):
     assert ids[0] == {"train": list(range(60)), "validation": list(range(60, 80)), "test": list(range(80, 100))}
     assert ids[6] == {"train": list(range(60)), "validation": list(range(66, 80)), "test": list(range(86, 100))}
     assert ids[30] == {"train": list(range(60)), "validation": [], "test": []}
+
+
+def test_update_and_purged_training_jobs(spark):
+    from voltaic.operators.split import purged_split
+
+    base = scratch_path(spark, "test-purge-" + uuid.uuid4().hex[:8])
+    readings = write_dataset(events_as_readings(spark, "/root/testdata/sf0.01"), f"{base}/readings")
+    found = [jobs.update_windows(spark, readings, f"{base}/processed", f"{base}/log", window="6 hours").first() for _ in range(2)]
+    assert found[0].new >= 1 and found[0].days > 20 and (found[1].new, found[1].days) == (0, 0)
+    assert spark.read.parquet(f"{base}/processed").count() == 690
+    jobs.build_ml_dataset(spark, readings, f"{base}/ml", window="6 hours", band=(5.0, 150.0), threshold=60.0, label_end=True)
+    out = jobs.train_valid_test(spark, f"{base}/ml", f"{base}/model", numTrees=3, maxDepth=3, purge=True)
+    counts = {r["split"]: r["n"] for r in out["split_counts"].groupBy("split").sum("count").toDF("split", "n").collect()}
+    rows = spark.read.parquet(f"{base}/ml").dropna()
+    want = {r["split"]: r["count"] for r in purged_split(rows).groupBy("split").count().collect()}
+    assert counts == want and counts["train"] < 287 and counts["validation"] < 96 and counts["test"] == 96
+    assert jobs.tune_threshold(spark, f"{base}/ml", f"{base}/model", purge=True).count() == 7

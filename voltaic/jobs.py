@@ -6,6 +6,7 @@ shared storage on a cluster. Every job returns the DataFrames it reports
 
     python -m voltaic.jobs normalize --source A=raw/a --source B=raw/b --repaired B --output readings/
     python -m voltaic.jobs preprocess --input readings/ --output processed/
+    python -m voltaic.jobs update --input readings/ --output processed/ --manifest processed_manifest/
     python -m voltaic.jobs ml-dataset --input readings/ --output ml_dataset/
     python -m voltaic.jobs train --input ml_dataset/ --model model/
     python -m voltaic.jobs tune --input ml_dataset/ --model model/
@@ -32,9 +33,10 @@ from voltaic.operators import evaluate as ev
 from voltaic.operators import model as md
 from voltaic.operators import profile as pr
 from voltaic.operators import split as sp
-from voltaic.operators.features import ml_dataset
+from voltaic.operators.features import LABEL_END, ml_dataset
 from voltaic.operators.windows import window_wide
 from voltaic.sources import files as fs
+from voltaic.sources import incremental as inc
 from voltaic.sources import raw as rw
 from voltaic.sources.readings import scan_readings
 
@@ -62,16 +64,27 @@ def build_ml_dataset(spark: SparkSession, input_path: str, output: str, **params
     return pr.class_distribution(fs.read_dataset(spark, output))
 
 
-def _complete(spark: SparkSession, ml_path: str, features: Sequence[str]) -> DataFrame:
-    return spark.read.parquet(ml_path).select("vehicle_id", "time", config.LABEL, *features).dropna()
+def update_windows(spark: SparkSession, input_path: str, output: str, manifest: str, window: str = config.WINDOW) -> DataFrame:
+    """New, changed or missing reading files -> the days of windows that they touch; returns what was found."""
+    done = inc.update_windows(spark, input_path, output, manifest, window=window)
+    return spark.createDataFrame([tuple(done.values())], ", ".join(f"{k} long" for k in done))
+
+
+def _parts(spark: SparkSession, ml_path: str, features: Sequence[str], embargo_rows: int, purge: bool) -> dict[str, DataFrame]:
+    """The chronological parts of the complete rows; ``purge`` needs an ML table with ``label_end``."""
+    ends = [LABEL_END] if purge else []
+    needed = ["vehicle_id", "time", config.LABEL, *features]
+    rows = spark.read.parquet(ml_path).select(*needed, *ends).dropna(subset=needed)
+    return sp.rank_parts(rows, embargo_rows=embargo_rows, label_end=LABEL_END if purge else None)
 
 
 def train_valid_test(spark: SparkSession, ml_path: str, model_path: str,
-                     features: Sequence[str] = config.FEATURES, embargo_rows: int = 0,
+                     features: Sequence[str] = config.FEATURES, embargo_rows: int = 0, purge: bool = False,
                      **rf_params) -> dict[str, DataFrame]:
     """Exact 60/20/20 rank split, class-weighted forest, validation and test metrics.
-    ``embargo_rows`` rows after each cutoff are left out of every part."""
-    parts = sp.rank_parts(_complete(spark, ml_path, features), embargo_rows=embargo_rows)
+    ``embargo_rows`` rows after each cutoff are left out of every part; with ``purge``
+    (an ML table built with ``label_end=True``) the rows whose label looks across one."""
+    parts = _parts(spark, ml_path, features, embargo_rows, purge)
     model = md.train_rf(parts["train"], features, **rf_params)
     md.save_model(model, model_path)
     labelled = [p.withColumn("split", F.lit(name)) for name, p in parts.items()]
@@ -92,24 +105,26 @@ def _stored_scores(model, part: DataFrame) -> DataFrame:
     return sp.materialize(md.score_rows(model, part, keep=(config.LABEL,)))
 
 
-def _scored_split(spark, ml_path, model_path, split, features, embargo_rows):
-    parts = sp.rank_parts(_complete(spark, ml_path, features), embargo_rows=embargo_rows)
+def _scored_split(spark, ml_path, model_path, split, features, embargo_rows, purge):
+    parts = _parts(spark, ml_path, features, embargo_rows, purge)
     return md.score_rows(md.load_model(model_path), parts[split])
 
 
 def tune_threshold(spark: SparkSession, ml_path: str, model_path: str,
                    grid: Sequence[float] = config.THRESHOLD_GRID_COARSE,
-                   features: Sequence[str] = config.FEATURES, embargo_rows: int = 0) -> DataFrame:
+                   features: Sequence[str] = config.FEATURES, embargo_rows: int = 0, purge: bool = False) -> DataFrame:
     """Threshold sweep on the validation split (one job for the whole grid)."""
-    return ev.threshold_sweep(_scored_split(spark, ml_path, model_path, "validation", features, embargo_rows), grid)
+    scored = _scored_split(spark, ml_path, model_path, "validation", features, embargo_rows, purge)
+    return ev.threshold_sweep(scored, grid)
 
 
 def evaluate_threshold(spark: SparkSession, ml_path: str, model_path: str,
                        grid: Sequence[float] = config.THRESHOLD_GRID_REPORT,
                        features: Sequence[str] = config.FEATURES, csv_path: str | None = None,
-                       embargo_rows: int = 0) -> DataFrame:
+                       embargo_rows: int = 0, purge: bool = False) -> DataFrame:
     """Threshold sweep on the test split; optionally written as the metrics CSV."""
-    sweep = ev.threshold_sweep(_scored_split(spark, ml_path, model_path, "test", features, embargo_rows), grid)
+    scored = _scored_split(spark, ml_path, model_path, "test", features, embargo_rows, purge)
+    sweep = ev.threshold_sweep(scored, grid)
     if csv_path:
         fs.export_csv(sweep.select(*fs.THRESHOLD_METRICS_SCHEMA.fieldNames()), csv_path)
     return sweep
@@ -238,11 +253,14 @@ STAGES = {
     "normalize": (("source", "output"), lambda s, a: normalize(
         s, dict(x.split("=", 1) for x in a.source), a.output, a.repaired)),
     "preprocess": (("input", "output"), lambda s, a: pr.schema_report(preprocess(s, a.input, a.output))),
-    "ml-dataset": (("input", "output"), lambda s, a: build_ml_dataset(s, a.input, a.output)),
-    "train": (("input", "model"), lambda s, a: train_valid_test(s, a.input, a.model, embargo_rows=a.embargo_rows)),
-    "tune": (("input", "model"), lambda s, a: tune_threshold(s, a.input, a.model, embargo_rows=a.embargo_rows)),
+    "update": (("input", "output", "manifest"), lambda s, a: update_windows(s, a.input, a.output, a.manifest, a.window)),
+    "ml-dataset": (("input", "output"), lambda s, a: build_ml_dataset(s, a.input, a.output, label_end=a.purge)),
+    "train": (("input", "model"), lambda s, a: train_valid_test(
+        s, a.input, a.model, embargo_rows=a.embargo_rows, purge=a.purge)),
+    "tune": (("input", "model"), lambda s, a: tune_threshold(
+        s, a.input, a.model, embargo_rows=a.embargo_rows, purge=a.purge)),
     "evaluate": (("input", "model"), lambda s, a: evaluate_threshold(
-        s, a.input, a.model, csv_path=a.output, embargo_rows=a.embargo_rows)),
+        s, a.input, a.model, csv_path=a.output, embargo_rows=a.embargo_rows, purge=a.purge)),
     "train-time": (("input", "model"), lambda s, a: train_time_split(s, a.input, a.model)),
     "train-80": (("input", "model"), lambda s, a: train_evaluate_80(s, a.input, a.model)),
     "signal-report": (("input",), lambda s, a: signal_report(s, a.input)),
@@ -257,13 +275,15 @@ STAGES = {
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="voltaic.jobs")
     ap.add_argument("stage", choices=list(STAGES))
-    for name in ("input", "output", "model", "servers", "topic", "checkpoint"):
+    for name in ("input", "output", "model", "servers", "topic", "checkpoint", "manifest"):
         ap.add_argument(f"--{name}")
     ap.add_argument("--source", action="append", metavar="NAME=PATH", help="a raw source (repeat)")
     ap.add_argument("--repaired", action="append", default=[], metavar="NAME", help="a source to repair (repeat)")
     ap.add_argument("--limit", type=int, help="publish only the first readings")
     ap.add_argument("--max-offsets", type=int, default=1_000_000, help="messages per micro-batch at most")
     ap.add_argument("--embargo-rows", type=int, default=0, help="rows left out after each split cutoff")
+    ap.add_argument("--purge", action="store_true",
+                    help="ml-dataset: keep the end of each label's frame; train, tune, evaluate: leave out labels across a cutoff")
     ap.add_argument("--starting", default="earliest", help="first offsets of a new stream: earliest or latest")
     ap.add_argument("--allow-data-loss", action="store_true", help="go on when the topic lost messages")
     ap.add_argument("--window", default=config.WINDOW, help="length of a window")

@@ -95,12 +95,14 @@ def rank_parts(
     names: Sequence[str] = SPLIT_NAMES,
     checkpoint: bool = False,
     embargo_rows: int = 0,
+    label_end: str | None = None,
     **kw,
 ) -> dict[str, DataFrame]:
     """M1 as one DataFrame per part, each a plain range of ``order``; ``checkpoint``
     is worth it only where ``df`` is not already a stored table. The first
     ``embargo_rows`` rows (in ``order``) after each cutoff belong to no part, so
-    that labels which look ahead do not reach across it."""
+    that labels which look ahead do not reach across it; with ``label_end`` (see
+    ``purged_split``) the rows whose own label does reach across it do not."""
     order = tuple(order)
     stored = _order_only(df, order, checkpoint)
     n = count_nonnull(stored, [order[0]])[order[0]]
@@ -116,6 +118,8 @@ def rank_parts(
             part = part.filter(F.lit(False) if high is None else _tuple_le(df, order, high))
             if high is not None:
                 part = part.filter(F.col(order[0]) <= lit_for(df, order[0], high[0]))
+                if label_end is not None:
+                    part = part.filter(F.coalesce(_tuple_le(df, order, high, first=F.col(label_end)), F.lit(True)))
         low = found[starts[i - 1]] if i else None
         if low is not None:
             part = part.filter(~_tuple_le(df, order, low)).filter(F.col(order[0]) >= lit_for(df, order[0], low[0]))
