@@ -26,16 +26,14 @@ COARSE, FINE = 1024, 256
 
 
 def fan_out(rows: int, bucket_rows: int) -> tuple[int, int]:
-    """Ranges, and cells of a range, for cells of about ``bucket_rows`` rows."""
+    """Ranges, and cells of a range, for cells of about ``bucket_rows`` rows; two at least, so every size takes one route."""
     cells = max(1, -(-rows // bucket_rows))
-    coarse = min(COARSE, max(math.isqrt(cells - 1) + 1, -(-cells // FINE)))
-    return coarse, min(FINE, -(-cells // coarse))
+    coarse = min(COARSE, max(2, math.isqrt(cells - 1) + 1, -(-cells // FINE)))
+    return coarse, min(FINE, max(2, -(-cells // coarse)))
 
 
 def _quantiles(value: Column, parts: int) -> Column:
     """Inner edges of ``parts`` ranges, each once, rising."""
-    if parts < 2:
-        return F.array().cast("array<double>")
     edges = F.percentile_approx(value, [i / parts for i in range(1, parts)], max(10_000, 8 * parts))
     return F.array_sort(F.array_distinct(edges))
 
@@ -55,8 +53,6 @@ def _place(value: Column, edges: Column, most: int) -> Column:
 
 def _with_place(df: DataFrame, value: str, edges: str, most: int, out: str) -> DataFrame:
     """``_place`` as a column; a step of the search reads the one before it from a column, so nothing is repeated."""
-    if most < 1:
-        return df.withColumn(out, F.lit(0))
     for place in _place(F.col(value), F.col(edges), most):
         df = df.withColumn("_place", place)
     return df.withColumnRenamed("_place", out)
@@ -79,6 +75,8 @@ def running_totals(
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(value.isNull()).alias("nulls")).first()
     if row["nulls"]:
         raise ValueError(f"{row['nulls']} rows have no {order_col}")
+    if not row["n"]:
+        return df.select("*", *[F.col(c).alias(f"{prefix}{c}") for c in sum_cols])
     coarse, fine = fan_out(row["n"], bucket_rows)
     edges = df.agg(_quantiles(value, coarse).alias("q")).first()["q"] or []
     rows = df.withColumn("_value", value).withColumn("_edges", F.array(*map(F.lit, edges)).cast("array<double>"))

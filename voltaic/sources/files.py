@@ -120,16 +120,17 @@ def read_footers(spark: SparkSession, path: str, time_col: str = "time") -> Data
     return files.mapInArrow(footers, "path string, kind string, columns binary")
 
 
-def _merged(spark: SparkSession, columns: list[bytes]) -> T.StructType:
+def _merged(columns: list[bytes]) -> T.StructType:
     """All columns of some files by name; a column of two types raises."""
     import pyarrow as pa
+    from pyspark.sql.pandas.types import from_arrow_schema
 
     schemas = [pa.ipc.read_schema(pa.py_buffer(c)) for c in columns]
     try:
         merged = pa.unify_schemas(schemas)
     except (pa.ArrowInvalid, pa.ArrowTypeError) as e:
         raise ValueError(f"CANNOT_MERGE_SCHEMAS: {e}") from e
-    return spark.createDataFrame(merged.empty_table()).schema if len(merged) else T.StructType([])
+    return from_arrow_schema(merged, prefer_timestamp_ntz=True)
 
 
 def wall_time(time: Column, kind: str) -> Column:
@@ -167,7 +168,7 @@ def load_folder(spark: SparkSession, path: str, schema: T.StructType | None = No
     by_schema = footers.groupBy("kind", "columns").agg(F.count(F.lit(1)).alias("files")).collect()
     if not by_schema:
         return spark.createDataFrame([], schema or T.StructType([]))
-    columns = _merged(spark, [bytes(r["columns"]) for r in by_schema])
+    columns = _merged([bytes(r["columns"]) for r in by_schema])
     kinds = sorted({r["kind"] for r in by_schema})
     names: dict[str, list[str]] = {k: [path] for k in kinds}
     if len(kinds) > 1:
