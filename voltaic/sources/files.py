@@ -68,22 +68,10 @@ def list_files(spark: SparkSession, path: str, glob: str = "*", contents: bool =
     return files.select("path", "length", F.col("modificationTime").alias("modified"), *extra)
 
 
-def _time_kind(schema, time_col: str) -> str:
-    """What a file's time column holds: wall, instant, nanos, text, other, or nothing."""
-    import pyarrow as pa
-
-    if time_col not in schema.names:
-        return ""
-    kind = schema.field(time_col).type
-    if pa.types.is_timestamp(kind):
-        return "nanos" if kind.unit == "ns" else "instant" if kind.tz else "wall"
-    return "text" if pa.types.is_string(kind) or pa.types.is_large_string(kind) else "other"
-
-
 def read_footers(spark: SparkSession, path: str, time_col: str = "time") -> DataFrame:
     """``path, kind, columns`` of every Parquet file of a folder, in one job: a task reads the footers of its files.
 
-    ``kind`` is what the time column holds, ``columns`` the serialized Arrow
+    ``kind`` is what the time column holds (wall, instant, nanos, text, other, or nothing), ``columns`` the serialized Arrow
     schema of the others. Where a task cannot open the store itself
     (``ARROW_STORES``), Spark hands it the files whole. A file that is no
     Parquet file raises.
@@ -93,6 +81,17 @@ def read_footers(spark: SparkSession, path: str, time_col: str = "time") -> Data
     files = list_files(spark, path, contents=contents)
     files = files.select("path", "content" if contents else F.lit(None).cast("binary").alias("content"))
 
+    # Nested, so that they travel with the plan: workers need not have this package.
+    def time_kind(schema) -> str:
+        import pyarrow as pa
+
+        if time_col not in schema.names:
+            return ""
+        kind = schema.field(time_col).type
+        if pa.types.is_timestamp(kind):
+            return "nanos" if kind.unit == "ns" else "instant" if kind.tz else "wall"
+        return "text" if pa.types.is_string(kind) or pa.types.is_large_string(kind) else "other"
+
     def footers(batches):
         import pyarrow as pa
         import pyarrow.parquet as pq
@@ -110,7 +109,7 @@ def read_footers(spark: SparkSession, path: str, time_col: str = "time") -> Data
                     source = system.open_input_file(name)
                 with source:
                     schema = pq.read_schema(source).remove_metadata()
-                kinds.append(_time_kind(schema, time_col))
+                kinds.append(time_kind(schema))
                 others = [pa.field(f.name, f.type) for f in schema if f.name != time_col]
                 columns.append(pa.schema(others).serialize().to_pybytes())
             yield pa.RecordBatch.from_arrays(
